@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+from .jaccard import op10_ngram_jaccard_join
 from .substring import op6_substring_dedup
 
-QUERIES = {"op6_substring_dedup": op6_substring_dedup}
+QUERIES = {
+    "op6_substring_dedup": op6_substring_dedup,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+}
 
 WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL = {
+    "op10_ngram_jaccard_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents),
+s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 3, least(len(words), 1) + 1)), lambda i: list_slice(words, i, i + 4))) AS grams FROM w),
+g AS (SELECT doc_id, unnest(grams) AS gram FROM s),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM g a JOIN g b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT a, b FROM o JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n_both >= 75 * (len(x.grams) + len(y.grams) - n_both)),
+r AS (SELECT doc_id, doc_id AS to_id FROM s UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.to_id = e.a)
+SELECT s.doc_id, len(any_value(grams))::BIGINT AS n_shingles, min(to_id) AS component_id FROM s JOIN r USING (doc_id) GROUP BY s.doc_id""",
     "op6_substring_dedup": f"""
 WITH w AS (SELECT doc_id, {WORDS.format('text')} AS words FROM documents),
 win AS (SELECT doc_id, i, list_slice(words, i, i + 12) AS g FROM w, unnest(range(1, len(words) - 11)) t(i)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -21,17 +22,24 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once and read it back: later readers neither recompute it nor need its shuffles.
 
-    The garbage call lets Spark's cleaner drop the shuffle files behind the table.
+    The garbage calls let Spark's cleaner drop the shuffle files behind the table.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallyweld/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     del df
-    spark.sparkContext._jvm.System.gc()
+    gc.collect()
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
     return out
 
 
 def total_bytes(df: DataFrame, column: str) -> int:
     """Bytes of a text column over all rows; sizes the number of blocks."""
     return df.selectExpr(f"coalesce(sum(octet_length(`{column}`)), 0) as n").first()["n"]
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of some MB whatever the length of the texts (session setting; one row may exceed it)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))

@@ -15,7 +15,7 @@ import pyarrow as pa
 #: Separators of words, as a character class body; Java and RE2 read it alike.
 SEPARATORS = r"\x20\x09-\x0D"
 #: Bytes of text that one numpy pass handles (more only for a longer single document).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def words_sql(text: str) -> str:
