@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
+from . import chat, license, mixing, quality
+from .chat import op2_chat_formatting
+from .exact import op8_exact_dedup
 from .jaccard import op10_ngram_jaccard_join
+from .license import op1_license_scan
+from .mixing import op5_mixing
+from .packing import op4_best_fit_packing
+from .quality import op9_quality_rules
 from .substring import op6_substring_dedup
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_chat_formatting": op2_chat_formatting,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_mixing": op5_mixing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL = {
+    "op1_license_scan": license.duckdb_sql(),
+    "op2_chat_formatting": chat.duckdb_sql(),
+    "op5_mixing": mixing.duckdb_sql(),
+    "op8_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size, doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))""",
+    "op9_quality_rules": quality.duckdb_sql(),
     "op10_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents),
 s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 3, least(len(words), 1) + 1)), lambda i: list_slice(words, i, i + 4))) AS grams FROM w),
