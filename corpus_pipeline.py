@@ -1,11 +1,57 @@
-"""Cleaning and packing a corpus in stages."""
+"""A corpus pipeline: quality rules, exact dedup, near-duplicate groups, mixing, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; all but the
+last return the columns of documents. doc_id tells rows apart.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tallyweld.llm.exact import drop_copies
+from tallyweld.llm.jaccard import similar_groups
+from tallyweld.llm.mixing import take
+from tallyweld.llm.packing import pack
+from tallyweld.llm.quality import judge
+from tallyweld.llm.store import materialize
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return judge(docs).filter("quality.kept").select(*docs.columns)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest doc_id."""
+    return drop_copies(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked at 0.75 on five-word shingles, the one with the smallest doc_id."""
+    first = similar_groups(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first"))
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["__first"]), "left_semi")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as the mix draws them: some twice, some not, the last of a source in part."""
+    return take(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 1024 tokens."""
+    return pack(docs)
+
+
+STAGES = [("quality rules", quality_rules), ("exact dedup", exact_dedup), ("near duplicates", near_duplicates), ("mixing", mixing), ("packing", packing)]
+#: Packing needs a tokenizer, which SQL can't express; tests hold run() against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents, each written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = materialize(docs, name.replace(" ", "-"))
     return docs

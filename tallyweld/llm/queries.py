@@ -6,18 +6,22 @@ from . import chat, license, mixing, quality
 from .chat import op2_chat_formatting
 from .exact import op8_exact_dedup
 from .jaccard import op10_ngram_jaccard_join
+from .langid import op7_language_id
 from .license import op1_license_scan
 from .mixing import op5_mixing
 from .packing import op4_best_fit_packing
+from .pii import op3_pii
 from .quality import op9_quality_rules
 from .substring import op6_substring_dedup
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_pii": op3_pii,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_mixing": op5_mixing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
