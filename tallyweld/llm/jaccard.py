@@ -12,10 +12,12 @@ transpose holds the overlap of every pair. Most of it need not be computed:
    least ceil(n * similarity) of them: fewer shared ones, and it goes. Of the others the
    n - ceil(n * similarity) + 1 rarest n-grams are its prefix; two classes that link share an
    n-gram of both prefixes.
-4. Pairs of classes that share a prefix n-gram and whose sizes allow a link get their overlap
-   from the product of their two rows. Not all pairs of a group are made: two rounds compare each
-   class with one leader of its prefix n-grams and join what links; then every pair that is still
-   in different components is compared, so no link between components is lost.
+4. Pairs of classes that share a prefix n-gram and whose sizes, of the sets and of their shared
+   parts, allow a link get their overlap from the product of their two rows. Not all pairs of a
+   group are made: two rounds compare each class with one leader of its prefix n-grams, the one
+   with the fewest n-grams of its own, and join what links; then every pair that is still in
+   different components, and whose sketches are near enough for a link, is compared, so no link
+   between components is lost.
 
 Fingerprints of different n-grams, and keys of different sets, are equal with a chance of about
 n*n/2**65 for n of them.
@@ -39,6 +41,9 @@ GROUP_BYTES = 8 << 20
 FLUSH_GRAMS = 600_000
 #: Classes of one n-gram in a gathered stretch from which on it sends a count only.
 HOT = 256
+#: Bits of a class's sketch: bit i says whether an odd number of its shared n-grams fall on it. The
+#: bits in which two sketches differ are at most the n-grams in which the two sets differ.
+SKETCH = 512
 #: Rounds that compare with a leader before all that is left is compared.
 STAR_ROUNDS = 2
 
@@ -222,12 +227,14 @@ def _rows(percent: int):
         take = good[key]
         key, grams, freq = key[take], grams[take], freq[take]
         end = np.cumsum(shared[good])
+        place = np.repeat(np.arange(good.sum()), shared[good]) * SKETCH + ((grams >> U64(20)) % U64(SKETCH)).astype(np.int64)
+        sketch = np.packbits((np.bincount(place, minlength=int(good.sum()) * SKETCH) % 2).astype(bool)).view(np.int64).reshape(-1, SKETCH // 64)
         rare = grams[np.lexsort((grams, freq, key))].view(np.int64)
         prefix = [rare[b - s : b - m + 1] for b, s, m in zip(end, shared[good], least[good], strict=True)]
         return pa.table({
-            "key": keys[good], "n": sizes[good],
+            "key": keys[good], "n": sizes[good], "m": shared[good],
             "grams": pa.array([grams[b - s : b].tobytes() for b, s in zip(end, shared[good], strict=True)], pa.binary()),
-            "prefix": pa.array(prefix, pa.list_(pa.int64())),
+            "prefix": pa.array(prefix, pa.list_(pa.int64())), "sketch": pa.array(list(sketch), pa.list_(pa.int64())),
         })
 
     return run
@@ -288,23 +295,28 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str =
     kept = matrix.filter(F.col("kind") == _SHARED)
     if not matrix.filter(F.col("kind") == _PARKED).isEmpty():
         kept = kept.union(matrix.filter(F.col("kind").isin(_PARKED, _ANSWER)).groupBy("more").applyInArrow(_answers(groups), _KIND))
-    rows = materialize(kept.groupBy("grp").applyInArrow(_rows(percent), "key long, n long, grams binary, prefix array<long>"), "rows")
+    rows = materialize(kept.groupBy("grp").applyInArrow(_rows(percent), "key long, n long, m long, grams binary, prefix array<long>, sketch array<long>"), "rows")
 
-    post = materialize(rows.select("key", "n", F.explode("prefix").alias("gram")), "prefixes")
+    post = materialize(rows.select("key", "n", "m", F.explode("prefix").alias("gram")), "prefixes")
     labels = rows.select("key", F.col("key").alias("comp"))
-    fits = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    # an overlap is at most the smaller set, and at most what either set shares with any other
+    most = "least(n_a, n_b, m_a, m_b)"
+    fits = f"100 * {most} >= {percent} * (n_a + n_b - {most})"
     for turn in range(STAR_ROUNDS + 1):
         own = post.join(labels, "key")
-        mixed = own.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by(F.struct(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b")), F.xxhash64("key", F.lit(turn))).alias("leader"))
+        mixed = own.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by(F.struct(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("comp").alias("comp_b")), F.struct(F.col("n") - F.col("m"), F.xxhash64("key", F.lit(turn)))).alias("leader"))
         mixed = mixed.filter("low < high").select("gram", "leader.*")
-        mine = own.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), "gram")
+        mine = own.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("m").alias("m_a"), F.col("comp").alias("comp_a"), "gram")
         if turn < STAR_ROUNDS:
             near = mine.join(mixed, "gram").filter("comp_a <> comp_b").filter(fits).groupBy("a", "b").count()
             pairs = near.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
         else:
-            left = materialize(mine.join(mixed.select("gram"), "gram"), "left")
-            other = left.select(F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("comp_a").alias("comp_b"), "gram")
-            pairs = left.join(other, "gram").filter("comp_a < comp_b").filter(fits).select("a", "b").distinct()
+            bits = rows.select(F.col("key").alias("a"), *(F.col("sketch")[i].alias(f"bits{i}") for i in range(SKETCH // 64)))
+            left = materialize(mine.join(mixed.select("gram"), "gram").join(bits, "a"), "left")
+            other = left.select("gram", *(F.col(c).alias(c.replace("_a", "_b") if "_" in c else f"{c}_b") for c in left.columns if c not in ("gram", "a")), F.col("a").alias("b"))
+            apart = " + ".join(["n_a - m_a + n_b - m_b", *(f"bit_count(bits{i} ^ bits{i}_b)" for i in range(SKETCH // 64))])
+            near = f"{100 + percent} * ({apart}) <= {100 - percent} * (n_a + n_b)"
+            pairs = left.join(other, "gram").filter("comp_a < comp_b").filter(fits).filter(near).select("a", "b").distinct()
         labels = _merge(labels, _links(pairs, rows, percent))
 
     listed = matrix.filter(F.col("kind") == _DOCS).select("head").mapInArrow(_documents, "doc_id long, n long, key long")

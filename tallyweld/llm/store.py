@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -19,20 +18,21 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df once and read it back: later readers neither recompute it nor need its shuffles.
+#: Spark's own setting: a query's shuffle files go when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
-    The garbage calls let Spark's cleaner drop the shuffle files behind the table.
-    """
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write df once and read it back: later readers neither recompute it nor need its shuffles."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallyweld/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    del df
-    gc.collect()
-    for _ in range(2):
-        spark.sparkContext._jvm.System.gc()
-    return out
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def total_bytes(df: DataFrame, column: str) -> int:
