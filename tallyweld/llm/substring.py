@@ -12,7 +12,7 @@ only: below it a path's label is replaced by its 64-bit fingerprint.
    and its size follows from the number of groups, which follows the input's size.
 3. `_subtrees` sorts a group's suffixes by path. The deep internal nodes are the paths with two
    or more documents; their suffixes in all but the smallest document are repeats.
-4. Marked positions go back to their documents, where runs of them are the maximal repeats.
+4. Marked positions go back to their documents (`_merge`), where runs of them are the maximal repeats.
 
 Fingerprints of unequal windows collide with a chance of about n*n/2**65 for n suffixes that
 share a group's prefix hash, besides the prefix hash itself.
@@ -27,18 +27,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .store import materialize, total_bytes
-from .textkit import _SPACE, U64, blocks, gram_hashes, ranges
+from .store import bounded_batches, materialize, total_bytes
+from .textkit import _SPACE, U64, blocks, gram_hashes, mix, ranges
 
 #: Characters after which a suffix's prefix is long enough to tell groups apart.
 PREFIX_CHARS = 24
 #: Bytes of text whose suffixes make one group on average.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 #: Words that a task gathers before it deals them out.
-FLUSH_WORDS = 1_500_000
+FLUSH_WORDS = 600_000
 
-_DEALT = "grp long, doc_id long, fp long, entries binary, own binary"
-_MARKS = "doc_id long, fp long, marks binary"
+_DEALT = "grp long, heads binary, entries binary"
+_MARKED = "doc_id long, fp long, marks binary"
 
 
 def _pack(path: np.ndarray, pos: np.ndarray) -> bytes:
@@ -51,9 +51,23 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.uint16, n, 8 * n).astype(np.uint32) | np.frombuffer(blob, np.uint16, n, 10 * n).astype(np.uint32) << np.uint32(16)
 
 
-def _split(blob: bytes, sizes: np.ndarray) -> list[bytes]:
-    at = np.r_[0, np.cumsum(sizes)]
-    return [blob[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+def _table(grp, heads, entries) -> pa.Table:
+    return pa.table({"grp": pa.array(grp, pa.int64()), "heads": pa.array(heads, pa.binary()), "entries": pa.array(entries, pa.binary())})
+
+
+def _by_document(docs: np.ndarray, fps: np.ndarray, which: np.ndarray, pos: np.ndarray, groups: int) -> tuple[list, list, list]:
+    """Marked positions (sorted by document) dealt to groups of documents, one row for each group."""
+    group = (mix(docs[which].view(np.uint64)) % U64(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    group, which, pos = group[order], which[order], pos[order]
+    cuts = np.r_[0, np.flatnonzero(np.diff(group)) + 1, len(group)] if len(group) else np.zeros(1, np.int64)
+    heads, entries = [], []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        runs = np.r_[0, np.flatnonzero(np.diff(which[a:b])) + 1]
+        at = which[a + runs]
+        heads.append(np.stack([docs[at], fps[at], np.diff(np.r_[runs, b - a])]).tobytes())
+        entries.append(pos[a:b].astype(np.uint32).tobytes())
+    return list(group[cuts[:-1]]), heads, entries
 
 
 def _suffixes(window: int, groups: int):
@@ -66,31 +80,22 @@ def _suffixes(window: int, groups: int):
         least = sorted_ids[np.flatnonzero(new)][np.cumsum(new) - 1]
         covered = np.zeros(len(path), bool)
         covered[order] = sorted_ids != least
-        for keep, group in ((covered, None), (~covered, prefix)):
-            take = np.flatnonzero(keep)
-            if not len(take):
-                continue
-            if group is None:
-                runs = np.r_[0, np.flatnonzero(np.diff(which[take])) + 1, len(take)]
-                key = np.full(len(runs) - 1, -1, np.int64)
-                blobs = [b""] * len(key)
-                own = [pos[take[a:b]].astype(np.uint32).tobytes() for a, b in zip(runs[:-1], runs[1:], strict=True)]
-                at = which[take[runs[:-1]]]
-                yield pa.record_batch({"grp": -1 - (at % groups), "doc_id": docs[at], "fp": fps[at], "entries": pa.array(blobs, pa.binary()), "own": pa.array(own, pa.binary())})
-                continue
-            g = (group[take] % U64(groups)).astype(np.int64)
-            take = take[np.lexsort((take, g))]
-            g.sort()
-            cuts = np.r_[0, np.flatnonzero(np.diff(g)) + 1, len(take)]
-            blobs, heads = [], []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                part = take[a:b]
-                runs = np.r_[0, np.flatnonzero(np.diff(which[part])) + 1]
-                at = which[part[runs]]
-                heads.append(np.stack([docs[at], fps[at], np.diff(np.r_[runs, len(part)])]).tobytes())
-                blobs.append(_pack(path[part], pos[part]))
-            none = np.zeros(len(blobs), np.int64)
-            yield pa.record_batch({"grp": g[cuts[:-1]], "doc_id": none, "fp": none, "entries": pa.array(blobs, pa.binary()), "own": pa.array(heads, pa.binary())})
+        take = np.flatnonzero(covered)
+        known, heads, entries = _by_document(docs, fps, which[take], pos[take], groups)
+        yield from _table([-1 - g for g in known], heads, entries).to_batches()
+        take = np.flatnonzero(~covered)
+        g = (prefix[take] % U64(groups)).astype(np.int64)
+        take = take[np.argsort(g, kind="stable")]
+        g.sort()
+        cuts = np.r_[0, np.flatnonzero(np.diff(g)) + 1, len(take)]
+        heads, entries = [], []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = take[a:b]
+            runs = np.r_[0, np.flatnonzero(np.diff(which[part])) + 1]
+            at = which[part[runs]]
+            heads.append(np.stack([docs[at], fps[at], np.diff(np.r_[runs, len(part)])]).tobytes())
+            entries.append(_pack(path[part], pos[part]))
+        yield from _table(g[cuts[:-1]], heads, entries).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, n_docs = [], 0, 0
@@ -127,32 +132,47 @@ def _suffixes(window: int, groups: int):
     return run
 
 
-def _subtrees(table: pa.Table) -> pa.Table:
-    """The repeats of one group of suffixes, or what a batch already knew."""
-    if table.num_rows and table.column("grp")[0].as_py() < 0:
-        return pa.table({"doc_id": table.column("doc_id"), "fp": table.column("fp"), "marks": table.column("own")})
-    heads = [np.frombuffer(x, np.int64).reshape(3, -1) for x in table.column("own").to_pylist()]
-    docs, fps, counts = (np.concatenate([h[i] for h in heads]) for i in range(3))
-    parts = [_unpack(x) for x in table.column("entries").to_pylist()]
-    path, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-    run = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-    order = np.argsort(path, kind="stable")
-    path = path[order]
-    same = path[1:] == path[:-1]
-    inner = np.r_[same, False] | np.r_[False, same]  # leaves go; the rest hangs below a deep node
-    order, path = order[inner], path[inner]
-    ids = docs[run[order]]
-    if not len(order):
-        return pa.table({"doc_id": pa.array([], pa.int64()), "fp": pa.array([], pa.int64()), "marks": pa.array([], pa.binary())})
-    node = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
-    least = np.repeat(np.minimum.reduceat(ids, node), np.diff(np.r_[node, len(path)]))
-    hit = order[ids != least]
-    hit.sort()
-    runs = run[hit]
-    cuts = np.r_[0, np.flatnonzero(np.diff(runs)) + 1, len(hit)] if len(hit) else np.zeros(1, np.int64)
-    at = runs[cuts[:-1]] if len(hit) else np.zeros(0, np.int64)
-    marks = _split(pos[hit].tobytes(), 4 * np.diff(cuts))
-    return pa.table({"doc_id": docs[at], "fp": fps[at], "marks": pa.array(marks, pa.binary())})
+def _heads(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x, np.int64).reshape(3, -1) for x in column.to_pylist()], axis=1)
+
+
+def _subtrees(groups: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The repeats of one group of suffixes, or what a batch already knew, by group of documents."""
+        first = table.column("grp")[0].as_py()
+        if first < 0:
+            return _table([-1 - first] * table.num_rows, table.column("heads").to_pylist(), table.column("entries").to_pylist())
+        docs, fps, counts = _heads(table.column("heads"))
+        parts = [_unpack(x) for x in table.column("entries").to_pylist()]
+        path, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        suffix_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        order = np.argsort(path, kind="stable")
+        path = path[order]
+        same = path[1:] == path[:-1]
+        inner = np.r_[same, False] | np.r_[False, same]  # leaves go; the rest hangs below a deep node
+        order, path = order[inner], path[inner]
+        if not len(order):
+            return _table([], [], [])
+        ids = docs[suffix_of[order]]
+        node = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
+        least = np.repeat(np.minimum.reduceat(ids, node), np.diff(np.r_[node, len(path)]))
+        hit = order[ids != least]
+        hit.sort()
+        return _table(*_by_document(docs, fps, suffix_of[hit], pos[hit], groups))
+
+    return run
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    """All marks of each document of a group, sorted."""
+    docs, fps, counts = _heads(table.column("heads"))
+    pos = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("entries").to_pylist()])
+    order = np.lexsort((pos, np.repeat(fps, counts), np.repeat(docs, counts)))
+    own = np.repeat(np.arange(len(docs)), counts)[order]
+    docs, fps, pos = docs[own], fps[own], pos[order]
+    cuts = np.r_[0, np.flatnonzero((docs[1:] != docs[:-1]) | (fps[1:] != fps[:-1])) + 1, len(pos)]
+    marks = [np.unique(pos[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.table({"doc_id": docs[cuts[:-1]], "fp": fps[cuts[:-1]], "marks": pa.array(marks, pa.binary())})
 
 
 def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
@@ -175,7 +195,7 @@ def _clean(window: int):
                     lo, hi = first[i], first[i + 1]
                     gone = np.zeros(hi - lo + 1, np.int64)
                     if marks:
-                        p = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in marks])).astype(np.int64)
+                        p = np.frombuffer(marks, np.uint32).astype(np.int64)
                         gone[p] += 1
                         np.subtract.at(gone, np.minimum(p + window, hi - lo), 1)
                     gone = np.cumsum(gone[:-1]) > 0
@@ -208,13 +228,14 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     remove each other's words. Texts shorter than the window stay whole. Other columns are not
     read. No rows in, no rows out.
     """
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = base.withColumn("fp", F.xxhash64("text"))
     groups = max(4, total_bytes(base, "text") // GROUP_BYTES)
     dealt = base.mapInArrow(_suffixes(window, groups), _DEALT)
-    marks = materialize(dealt.groupBy("grp").applyInArrow(_subtrees, _MARKS), "repeats")
-    marks = marks.groupBy("doc_id", "fp").agg(F.collect_list("marks").alias("marks"))
-    both = base.join(marks, ["doc_id", "fp"], "left").select("doc_id", "text", F.coalesce("marks", F.array().cast("array<binary>")).alias("marks"))
+    marks = dealt.groupBy("grp").applyInArrow(_subtrees(groups), _DEALT)
+    marks = materialize(marks.groupBy("grp").applyInArrow(_merge, _MARKED), "repeats")
+    both = base.join(marks, ["doc_id", "fp"], "left").select("doc_id", "text", "marks")
     out = both.mapInArrow(_clean(window), _OUT)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(2**63), F.col("doc_id")))
 
