@@ -1,0 +1,240 @@
+"""Cascade, state, clients, files and command line on hand-made rows."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyweld import cli, fixtures as fx
+from tallyweld.operators import matching as m
+from tallyweld.operators.state import StateStore, latest, pending
+from tallyweld.operators.suppliers import preprocess, with_input_id
+from tallyweld.plans import registry as reg
+from tallyweld.plans.unified import RunConfig, run_matching, run_unified
+from tallyweld.schemas import UNIFIED_COLUMNS
+from tallyweld.sources import clients, readers, writers
+from tallyweld.streaming.files import match_files
+
+UNITS = [("100000001", "ALPHA BOULANGERIE", "A"), ("100000002", "BETA TRANSPORT", "A"), ("100000003", "GAMMA CONSEIL", "A"), ("100000004", "GAMMA CONSEIX", "A"), ("100000005", "OMEGA TRAVAUX NORD", "A"), ("100000006", "CLOSED COMPANY", "F"), ("100000007", "SIGMA HOTEL", "A"), ("100000008", None, "A"), ("100000009", "ÉPSILON BOIS", "A")]
+# siren, nic, postal code, city, number, kind, street, seat, state
+PLACES = [
+    ("100000001", "00011", "75001", "Paris", "1", "Rue", "de Rivoli", True, "A"),
+    ("100000002", "00012", "69001", "Lyon", "2", "Rue", "Mercière", True, "F"),
+    ("100000003", "00013", "13001", "Marseille", "3", "Rue", "Haute", True, "A"),
+    ("100000004", "00014", "13001", "Marseille", "3", "Rue", "Haute", True, "A"),
+    ("100000005", "00015", "59000", "Lille", "5", "Rue", "du Nord", False, "A"),
+    ("100000005", "00025", "59000", "Lille", "5", "Rue", "du Nord", True, "A"),
+    ("100000005", "00035", "59001", "Lille", "7", "Rue", "du Nord", False, "A"),
+    ("100000006", "00016", "31000", "Toulouse", "6", "Rue", "Basse", True, "A"),
+    ("100000007", "00017", "06000", "Nice", None, None, "Promenade", None, "A"),
+    ("100000007", "00027", None, "Cannes", "9", "Rue", "Mer", False, "A"),
+    ("100000009", "00019", "33000", "Bordeaux", "4", "Quai", "Sud", True, "A"),
+]
+SUPPLIERS = [
+    ("direct", "x", "100 000 001 00011", None, "", ""), ("direct-inactive-unit", "x", "10000000600016", None, "", ""), ("inactive-siret", "BETA TRANSPORT", "10000000200012", "69001", "Lyon", "2 rue Mercière"),
+    ("strict", "Alpha Boulangerie SARL", None, "75001", "Paris", ""), ("strict-double", "GAMMA CONSEIL", None, "13001", "Marseille", "3 rue Haute"), ("no-location", "ALPHA", None, None, None, ""), ("digits", "SAS 123 456", None, "75001", "Paris", ""),
+    ("arbiter-seat", "OMEGA TRAVAUX", None, "59000", "Lille", "5 rue du Nord"), ("filtered", "OMEGA NORD", None, "59000", "Strasbourg", ""), ("nationwide", "SIGMA HOTELS", None, None, "Cannes", "9 rue Mer"), ("no-department", "ALPHA BOULANGERIES XXXX", None, "97100", "Basse", ""),
+    ("accent", "EPSILON BOIS", None, "33000", "Bordeaux", ""), ("low", "SIGMA GARAGE", None, "06000", "Nicx", ""),
+]
+
+
+@pytest.fixture(scope="module")
+def registry(spark):
+    units = spark.createDataFrame([(a, b, "62.01Z", c) for a, b, c in UNITS], "siren string, denominationUniteLegale string, activitePrincipaleUniteLegale string, etatAdministratifUniteLegale string")
+    rows = [(s + n, s, cp, city, num, kind, street, None, None, seat, state) for s, n, cp, city, num, kind, street, seat, state in PLACES]
+    est = spark.createDataFrame(rows, "siret string, siren string, codePostalEtablissement string, libelleCommuneEtablissement string, numeroVoieEtablissement string, typeVoieEtablissement string, libelleVoieEtablissement string, complementAdresseEtablissement string, distributionSpecialeEtablissement string, etablissementSiege boolean, etatAdministratifEtablissement string")
+    return reg.in_memory(units, est), units, est
+
+
+@pytest.fixture(scope="module")
+def suppliers(spark):
+    return spark.createDataFrame(SUPPLIERS, "Auxiliaire string, Nom string, `Code SIRET` string, Postal string, Ville string, `Adresse 1` string")
+
+
+@pytest.fixture(scope="module")
+def results(suppliers, registry):
+    return {r.input_id: r for r in m.match(suppliers, registry[0]).collect()}
+
+
+def test_cascade(results):
+    step = {k: (r.step, r.match_method, r.resolved_siret, r.confidence_score) for k, r in results.items()}
+    assert len(results) == len(SUPPLIERS)
+    assert step["direct"] == ("DIRECT_ID", "DIRECT_ID", "10000000100011", 1.0)
+    assert step["direct-inactive-unit"][0] == "DIRECT_ID" and results["direct-inactive-unit"].official_name is None
+    assert step["inactive-siret"] == ("NOT_FOUND", "NOT_FOUND", None, 0.0)
+    assert step["strict"] == ("STRICT_LOCAL", "STRICT_LOCAL", "10000000100011", 0.95)
+    assert step["strict-double"][:2] == ("CALCULATED", "CALCULATED") and results["strict-double"].resolved_siret == "10000000300013" and results["strict-double"].confidence_score == 1.0
+    assert step["no-location"][0] == "NO_LOCATION" and step["digits"][0] == "NOT_FOUND" and step["filtered"][0] == "NOT_FOUND" and step["no-department"][0] == "NOT_FOUND"
+    assert step["arbiter-seat"][2] == "10000000500025"
+    assert step["nationwide"][0] == "CALCULATED" and step["nationwide"][2] == "10000000700027"
+    assert step["accent"][0] == "STRICT_LOCAL"  # É against E is two bytes
+    assert step["low"] == ("LOW_SCORE", "NOT_FOUND", None, 0.0)
+    for r in results.values():
+        assert len(r.alternatives) <= 5 and round(r.confidence_score * 100) % 5 == 0
+
+
+def test_decide_ties(spark):
+    def run(*cands, address="12 RUE HAUTE"):
+        rows = [("a", address, i + 1, f"s{i}", f"n{i}", score, seat, addr) for i, (score, seat, addr) in enumerate(cands)]
+        df = spark.createDataFrame(rows, "input_id string, supplier_address string, rank int, siret string, official_name string, score int, is_siege boolean, address string")
+        return m.decide(df).first()
+
+    assert run((80, False, "X"), (80, True, "Y")).resolved_siret == "s1"
+    assert run((60, True, "1 RUE BASSE"), (60, True, "12 RUE HAUTE")).resolved_siret == "s1"
+    assert run((60, True, "X"), (60, True, "X")).resolved_siret == "s0"
+    assert run((60, False, "X"), (50, True, "X")).step == "CALCULATED_FALLBACK"
+    assert run((90, False, "X"), (90, True, "X")).resolved_siret == "s0"
+    low = run((40, False, "X"), (40, True, "Y"), (30, True, "Y"))
+    assert low.step == "LOW_SCORE" and low.resolved_siret is None and low.alternatives == ["s1", "s2"]
+    assert run((50, False, "X")).confidence_score == 0.5
+
+
+def test_empty_sides(spark):
+    df = spark.createDataFrame([("a", "A B", "", "", "1", "B A", "", "ANY PLACE", True)], "input_id string, clean_name string, supplier_city string, supplier_address string, siret string, official_name string, city string, address string, is_siege boolean")
+    assert m.scored(m.near_enough(df)).first().score == 80  # equal empty cities count; an empty address does not
+
+
+def test_state(spark, tmp_path, suppliers, registry):
+    store = StateStore(spark, f"{tmp_path}/state")
+    assert store.read().count() == 0
+    store.upsert_results(spark.createDataFrame([("a", "1", "n", 0.5, "CALCULATED", ["x", "y"]), ("b", "2", "n", 0.5, "CALCULATED", [])], "input_id string, resolved_siret string, official_name string, confidence_score double, match_method string, alternatives array<string>"))
+    store.upsert_errors(spark.createDataFrame([("b", "ValueError: x"), ("c", "e")], "input_id string, error string"))
+    got = {r.input_id: r for r in store.read().collect()}
+    assert got["a"].alternatives_json == '["x", "y"]' and got["a"].error is None
+    assert got["b"].resolved_siret == "2" and got["b"].error == "ValueError: x" and got["c"].resolved_siret is None
+    ids = spark.createDataFrame([(x,) for x in "abcd"], "input_id string")
+    left = lambda **k: sorted(r[0] for r in pending(ids, store.read(), **k).collect())
+    assert left() == ["d"] and left(retry_errors=True) == ["b", "c", "d"] and left(retry_errors=True, limit=1) == ["b"]
+    store.upsert_results(spark.createDataFrame([("b", "3")], "input_id string, resolved_siret string"))
+    assert {r.input_id: (r.resolved_siret, r.error) for r in store.read().collect()}["b"] == ("3", None)
+
+
+def test_resumable_run(spark, tmp_path, suppliers, registry, results):
+    cfg = RunConfig(f"{tmp_path}/state", f"{tmp_path}/csv", batch_rows=5)
+    state = {r.input_id: r for r in run_matching(suppliers, registry[0], cfg).collect()}
+    assert {k: r.resolved_siret for k, r in state.items()} == {k: r.resolved_siret for k, r in results.items()}
+    before = StateStore(spark, cfg.checkpoint).next_seq()
+    run_matching(suppliers, registry[0], cfg)
+    assert StateStore(spark, cfg.checkpoint).next_seq() == before
+    csv = spark.read.option("header", True).csv(f"{tmp_path}/csv")
+    assert tuple(csv.columns) == UNIFIED_COLUMNS and csv.filter("input_id = 'direct'").first().resolved_siret == "10000000100011"
+
+
+def test_preprocess(spark):
+    rows = [("1", "6000", None, None, "2024"), ("2", "x", "DE", "732 829 320 00074", "2024"), ("3", "75001", None, None, "nan"), ("4", "75001", None, None, "NULL"), ("5", "BOL", None, None, "2024"), ("6", "75001.0", None, None, "2024"), ("7", None, None, "732 829 320 00074", "2024")]
+    df = spark.createDataFrame([(a, "n", p, "LA PAZ", c, s, t) for a, p, c, s, t in rows], "Auxiliaire string, NAME string, zip string, city string, country string, siret string, `Date dern. Mouvt` string")
+    got = preprocess(df)
+    ids = lambda x: sorted(r.Auxiliaire for r in x.collect())
+    assert ids(got.french) == ["1", "6", "7"] and ids(got.other) == ["2", "5"] and got.french.columns == df.columns
+    assert got.stats.first().asDict() == {"total_original": 7, "filtered_inactive": 2, "french_suppliers": 3, "non_french_suppliers": 2, "total_processed": 5}
+    assert preprocess(df, filter_inactive=False, limit=3).stats.first().total_processed == 3
+
+
+def test_ids(spark):
+    df = spark.createDataFrame([("a", "t"), ("", "t"), (None, None), (None, None)], "Auxiliaire string, `Code tiers` string")
+    got = [r.input_id for r in with_input_id(df).collect()]
+    assert got[:2] == ["a", "t"] and got[2].startswith("row-") and got[2] == got[3]
+
+
+class Answers:
+    """A cleaning client: corrects one name, fails on another."""
+
+    def complete(self, prompt):
+        rows = [json.loads(x.split(". ", 1)[1]) for x in prompt.split("\n")[2:]]
+        if any(r["Nom"] == "FAIL" for r in rows):
+            raise RuntimeError("no answer")
+        return "```json\n" + json.dumps([{"clean_name": "ALPHA BOULANGERIE", "search_token": "ALPHA", "clean_cp": "75001", "clean_city": "PARIS"} for _ in rows]) + "\n```"
+
+
+class Finder:
+    def search(self, prompt):
+        if "BROKEN" in prompt:
+            return "not json"
+        return '{"website": "w", "email": null, "confidence": null}' if "NULL" in prompt else '```\n{"website": "w", "phone": "1", "confidence": 0.7}\n```'
+
+
+def test_cleaner(spark, registry):
+    df = spark.createDataFrame([("1", "Alfa Bulangerie", "75001"), ("2", "Alfa Bulangerie", "75001"), ("3", "FAIL", "75001")], "Auxiliaire string, Nom string, Postal string")
+    got = {r.input_id: r for r in m.match(df, registry[0], cleaner=clients.cleaner(Answers(), batch=1)).collect()}
+    assert got["1"].match_method == got["2"].match_method == "STRICT_LOCAL" and got["3"].match_method == "NOT_FOUND"
+
+
+def test_search(spark):
+    df = spark.createDataFrame([("1", "Firma", "Berlin", "DE"), ("2", "Firma", "Berlin", "DE"), ("3", None, None, None), ("4", "BROKEN", "", ""), ("5", "NULL", "x", "BE")], "Auxiliaire string, Nom string, Ville string, Pays string")
+    got = {r.input_id: r for r in clients.search(df, Finder()).collect()}
+    assert got["1"].found_website == got["2"].found_website == "w" and got["2"].confidence_score == 0.7 and got["1"].country == "DE"
+    assert got["3"].search_method == "NO_NAME" and got["4"].search_method == "ERROR" and got["4"].country == "UNKNOWN" and got["5"].confidence_score == 0.0
+
+
+def test_readers(spark, tmp_path):
+    p = tmp_path / "a.csv"
+    p.write_bytes("Nom,Postal,Ville\nÉté,01000,NULL\n\"a,b\",, x \n".encode("latin1"))
+    got = [tuple(r) for r in readers.load_suppliers(spark, str(p)).collect()]
+    assert got == [("Été", "01000", None), ("a,b", None, " x ")] or got == [("Été", "01000", None), ("a,b", None, "x")]
+    (tmp_path / "b.csv").write_text("Nom,Code SIRET\nÉ,00012\n")
+    assert readers.load_suppliers(spark, f"{tmp_path}/b.csv", 1).first()["Code SIRET"] == "00012"
+
+
+def test_unified_and_build(spark, tmp_path, registry, suppliers):
+    _, units, est = registry
+    units.write.parquet(f"{tmp_path}/ul")
+    est.write.parquet(f"{tmp_path}/etab")
+    built = reg.build(spark, f"{tmp_path}/ul", f"{tmp_path}/etab", f"{tmp_path}/reg")
+    assert dict(built.parts.dtypes)["dept"] == "string" and built.parts.filter("dept = '06'").count() == 1
+    assert reg.paths(spark, f"{tmp_path}/reg")["ul_parquet"] == f"{tmp_path}/ul"
+    again = reg.build(spark, f"{tmp_path}/ul", f"{tmp_path}/etab", f"{tmp_path}/reg")  # partitions are reused
+    assert again.parts.count() == built.parts.count()
+    want = {r.input_id: r.resolved_siret for r in m.match(suppliers, registry[0]).collect()}
+    assert {r.input_id: r.resolved_siret for r in m.match(suppliers, again).collect()} == want
+    raw = suppliers.withColumn("Pays", F.when(F.col("Auxiliaire") == "low", "DE"))
+    raw.write.parquet(f"{tmp_path}/in.parquet")
+    both = run_unified(spark, f"{tmp_path}/in.parquet", again, f"{tmp_path}/out", client=Finder())
+    rows = {r.input_id: r for r in both.collect()}
+    assert rows["low"].search_method == "GEMINI_WEB_SEARCH" and rows["direct"].resolved_siret == "10000000100011" and tuple(both.columns) == UNIFIED_COLUMNS
+    with pytest.raises(Exception):
+        run_unified(spark, f"{tmp_path}/in.parquet", again, f"{tmp_path}/out", client=Finder())  # stale outputs are refused
+    run_unified(spark, f"{tmp_path}/in.parquet", again, f"{tmp_path}/out", client=Finder(), clean_output=True, skip_match=True)
+
+
+def test_sample(spark, registry):
+    _, units, est = registry
+    assert {r.siren for r in reg.aligned_sample(units, est.filter("siren < '100000003'")).collect()} == {"100000001", "100000002"}
+    assert reg.sample_by_key(est, 1).count() == est.count()
+
+
+def test_stream(spark, tmp_path, registry, suppliers):
+    suppliers.repartition(3).write.parquet(f"{tmp_path}/in")
+    for _ in range(2):
+        q = match_files(spark, f"{tmp_path}/in", suppliers.schema, registry[0], f"{tmp_path}/state", f"{tmp_path}/cp", files_per_batch=1)
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert StateStore(spark, f"{tmp_path}/state").attempts().count() == len(SUPPLIERS)
+
+
+def test_writers(spark, tmp_path):
+    a = spark.createDataFrame([("b", "00000000000001", 0.5, ["x"])], "input_id string, resolved_siret string, confidence_score double, alternatives array<string>")
+    b = spark.createDataFrame([("a", "w")], "input_id string, found_website string")
+    writers.write_csv(writers.union_results(a, b), f"{tmp_path}/o", single_file=True)
+    rows = spark.read.option("header", True).csv(f"{tmp_path}/o").collect()
+    assert [r.input_id for r in rows] == ["a", "b"] and rows[1].resolved_siret == "00000000000001" and rows[1].alternatives == '["x"]'
+    with pytest.raises(Exception):
+        writers.write_csv(a, f"{tmp_path}/o", overwrite=False)
+
+
+def test_cli_parser():
+    args = cli.parser().parse_args(["parallel-optimized", "--suppliers", "s.csv", "--api-batch-size", "5"])
+    assert args.command == "parallel-optimized" and args.api_batch_size == 5
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args([])
+
+
+def test_fixture_counts(spark):
+    d = "/root/testdata/sf0.001"
+    assert fx.legal_unit(spark, d).count() == 200 and fx.establishment(spark, d).count() == 1500 and fx.supplier_raw(spark, d).count() == 90
+
+
+def test_latest_is_order_free(spark):
+    rows = [("a", "1", None, 1), ("a", None, "e", 2), ("b", None, "e", 1), ("b", "2", None, 3)]
+    df = spark.createDataFrame([(i, s, None, None, None, None, e, 0, q) for i, s, e, q in rows], "input_id string, resolved_siret string, official_name string, confidence_score double, match_method string, alternatives_json string, error string, updated_at_epoch long, seq long")
+    for x in (df, df.orderBy(F.desc("seq"))):
+        assert {r.input_id: (r.resolved_siret, r.error) for r in latest(x).collect()} == {"a": ("1", "e"), "b": ("2", None)}
