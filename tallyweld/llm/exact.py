@@ -25,6 +25,9 @@ LOOKUP_ROWS = 1 << 16
 #: Bits of a level for each key that reaches it.
 GAMMA = 2.0
 
+#: Stands for a null id in the tables: ids are compared as longs, and null is the smallest.
+NO_ID = -(2**63)
+
 _INDEX = "shard long, levels array<binary>, digests binary, ids binary, rows binary, counts binary"
 _FOUND = "doc_id long, row long, digest binary, keep_id long, keep_row long, group_size long"
 
@@ -92,13 +95,17 @@ def _look_up(docs: pa.Table, index: pa.Table) -> pa.Table:
 
 def _groups(rows: DataFrame) -> DataFrame:
     """Of equal digests: the winner's id and row, and the number of rows."""
-    best = F.max(F.struct(F.coalesce("doc_id", F.lit(-(2**63))), F.struct("doc_id", "row").alias("kept")))
-    return rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size")).select("digest", F.col("best.kept.doc_id").alias("keep_id"), F.col("best.kept.row").alias("keep_row"), "group_size")
+    best = F.max(F.struct("doc_id", "row"))
+    return rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size")).select("digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
+
+
+def _id(c: str):
+    return F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row (a number of its own for each row) and the SHA-256 of the text, written once."""
-    return materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest")), "digests")
+    """doc_id (NO_ID for null), row (a number of its own for each row) and the SHA-256 of the text, written once."""
+    return materialize(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest")), "digests")
 
 
 def exact_groups(rows: DataFrame, history: DataFrame | None = None) -> DataFrame:
@@ -121,11 +128,11 @@ def exact_groups(rows: DataFrame, history: DataFrame | None = None) -> DataFrame
     index = index.join(copies.withColumnRenamed("copies", "made"), "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("made") - 1))).drop("made")
     found = asked.groupBy("shard", "part").cogroup(index.groupBy("shard", "part")).applyInArrow(_look_up, _FOUND)
     if history is None:
-        return found.select("doc_id", "row", "digest", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
+        return found.select(_id("doc_id"), "row", "digest", _id("keep_id"), "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
     found = materialize(found, "found")
     new = found.filter("group_size is null").select("doc_id", "row", "digest")
-    new = new.join(_groups(new), "digest").select("doc_id", "row", "digest", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
-    return found.filter("group_size is not null").select("doc_id", "row", "digest", "keep_id", "group_size", F.lit(False).alias("kept")).union(new)
+    new = new.join(_groups(new), "digest").select(_id("doc_id"), "row", "digest", _id("keep_id"), "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
+    return found.filter("group_size is not null").select(_id("doc_id"), "row", "digest", _id("keep_id"), "group_size", F.lit(False).alias("kept")).union(new)
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
