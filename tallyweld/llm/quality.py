@@ -100,7 +100,7 @@ def posteriors(voted: DataFrame) -> DataFrame:
     rated = f"transform(patterns, x -> struct(x.votes AS votes, x.n AS n, 1 / (1 + exp(-{said})) AS p))"
     add = lambda what, when: f"aggregate(r, 0D, (s, x) -> s + CASE WHEN {when} THEN {what} ELSE 0D END)"
     share = lambda what, vote: f"transform(sequence(0, {n - 1}), j -> {{}})".format(f"try_divide({add(what, f'x.votes[j] = {vote}')}, {add(what, 'x.votes[j] <> 0')})")
-    better = f"""transform(array({rated}), r -> struct({_clamp(f"{add('x.n * x.p', 'true')} / {add('x.n', 'true')}", PRIOR)} AS prior,
+    better = f"""transform(array({rated}), r -> struct({_clamp(f"try_divide({add('x.n * x.p', 'true')}, {add('x.n', 'true')})", PRIOR)} AS prior,
         transform({share('x.n * x.p', 1)}, (v, j) -> least(greatest(coalesce(v, 0.5D), array({floors})[j]), {MOST_RIGHT}D)) AS good,
         transform({share('x.n * (1 - x.p)', -1)}, v -> {_clamp('v', (BAD_RIGHT, MOST_RIGHT))}) AS bad))[0]"""
     start = f"struct({START[0]}D AS prior, array_repeat({START[1]}D, {n}) AS good, array_repeat({START[2]}D, {n}) AS bad)"
