@@ -7,7 +7,8 @@ number that is a telephone number in one place is one in another place of the do
 Loopy message passing gives each token's probabilities.
 
 Potentials are estimated piecewise from counts over all documents, with the patterns' spans as
-labels: a token's shape against its label, neighbouring labels, and labels of repeats.
+labels: a token's shape (and whether its neighbours are candidates) against its label, neighbouring
+labels, and labels of repeats.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ OTHER = len(KINDS)
 CERTAIN, ROUNDS = 0.9, 10
 #: Digits at the end of numbers that make them repeats of each other.
 KEY_DIGITS = 7
-SHAPES = 256
+SHAPES = 1024
 
 _MAIL_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _MAIL_HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -90,7 +91,7 @@ def joined(spans: list[Span]) -> str:
 
 
 def _shape(token: str) -> int:
-    """A token's features as one number below SHAPES."""
+    """A token's own features as one number below 256; two more bits say whether its neighbours are candidates."""
     digits = _NOT_DIGIT.sub("", token)
     n = len(digits)
     size = sum(n >= x for x in (1, 4, 7, 10, 14, 20))
@@ -136,6 +137,8 @@ class Graph:
             self.labels.append(KINDS.index(hit[0][0]) if hit else OTHER)
             if number == last + 1:
                 self.chain.append((node - 1, node))
+                self.shapes[node - 1] |= 256
+                self.shapes[node] |= 512
             last = number
             key = _key(token)
             if key is not None:
@@ -164,7 +167,7 @@ class Field:
     """Log potentials."""
 
     def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray):
-        smooth = unary + 0.5
+        smooth = unary + np.where(np.arange(unary.shape[1]) == OTHER, 2.0, 0.1)  # an unknown shape is no entity
         self.unary = np.log(smooth / smooth.sum(axis=1, keepdims=True))
         self.chain, self.skip = self._pair(chain), self._pair(skip)
 
