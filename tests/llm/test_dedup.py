@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from brute import exact, jaccard, substring
+from brute import exact, jaccard, split, substring
 
 from tallyweld.llm import exact as ex, jaccard as ja, substring as su
 from tallyweld.llm.components import components
@@ -19,7 +19,7 @@ def test_substring(docs):
     got = su.remove_repeats(docs).collect()
     assert sorted((key(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == sorted(substring(pairs(docs)))
     for r in got:
-        assert sum(x["words"] for x in r.repeats) == r.n_removed and len(r.kept_text.split()) == r.n_words - r.n_removed
+        assert sum(x["words"] for x in r.repeats) == r.n_removed and len(split(r.kept_text)) == r.n_words - r.n_removed
 
 
 def test_substring_splits_and_small_batches(docs, monkeypatch):

@@ -189,7 +189,7 @@ def test_pack(docs, none):
             assert offset == at
             at += n
         assert at <= 1024
-    assert len(bins) <= -(-sum(r.length for r in got) // 1024) * 1.05 + 2
+    assert len(bins) <= -(-sum(r.length for r in got) // 1024) * 1.01 + 2
     assert packing.pack(none).count() == 0
 
 
@@ -208,7 +208,7 @@ def test_sum_of_squares_places_where_the_sum_is_least():
             return sum(v * v for v in c.values())
 
         used = 20 - level.get(b, 0)
-        best = min([total(20, 20 - n), *(total(g, g - n) for g, c in count.items() if c and n <= g < 20)])
+        best = min([total(g, g - n) for g, c in count.items() if c and n <= g < 20], default=total(20, 20 - n))
         assert o == level.get(b, 0) and total(used, used - n) == best
         if used < 20:
             count[used] -= 1
