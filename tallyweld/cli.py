@@ -5,18 +5,21 @@ from __future__ import annotations
 import argparse
 import importlib
 import logging
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
 from .plans import registry as reg
 from .plans.unified import RunConfig, run_matching, run_unified
-from .sources.clients import cleaner
+from .operators.matching import arbitrate
+from .sources.clients import arbiter, cleaner
 from .sources.readers import load_suppliers
 
 
-def _client(spec: str | None):
-    """module:attribute of a client, called without arguments."""
+def _client(spec: str | None, variable: str | None = None):
+    """module:attribute of a client, called without arguments; an environment variable can name it, too."""
+    spec = spec or (os.environ.get(variable) if variable else None)
     if not spec:
         return None
     module, _, name = spec.partition(":")
@@ -68,13 +71,13 @@ def main(argv: list[str] | None = None) -> int:
         reg.build(spark, args.ul_parquet, args.etab_parquet, args.registry, sample_one_in=args.sample_one_in, force=args.force, stemmer=args.stemmer)
         return 0
     registry = reg.load(spark, args.registry)
-    model = _client(args.cleaner)
+    model = _client(args.cleaner, "TALLYWELD_CLEANER")
     if args.command == "unified":
-        run_unified(spark, args.input, registry, args.output_dir, client=_client(args.search_client), cleaner=cleaner(model) if model else None, limit=args.limit_rows, filter_inactive=not args.no_filter_inactive, skip_match=args.skip_match, skip_search=args.skip_search, clean_output=args.clean_output, threads=args.search_threads, delay=args.search_delay)
+        run_unified(spark, args.input, registry, args.output_dir, client=_client(args.search_client, "TALLYWELD_SEARCH"), cleaner=cleaner(model) if model else None, limit=args.limit_rows, filter_inactive=not args.no_filter_inactive, skip_match=args.skip_match, skip_search=args.skip_search, clean_output=args.clean_output, threads=args.search_threads, delay=args.search_delay)
         return 0
     per_call = args.api_batch_size if args.command == "parallel-optimized" else 1
     cfg = RunConfig(args.checkpoint, args.output_csv, args.batch_size, args.limit_rows, args.retry_errors, args.direction)
-    run_matching(load_suppliers(spark, args.suppliers), registry, cfg, cleaner=cleaner(model, per_call) if model else None)
+    run_matching(load_suppliers(spark, args.suppliers), registry, cfg, cleaner=cleaner(model, per_call) if model else None, arbiter=arbiter(model) if model else arbitrate)
     return 0
 
 

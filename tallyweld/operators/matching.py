@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import similarity as sim, text as tx
 from ..plans.registry import Registry
+from ..sources.tables import materialize
 from . import bm25
 
 STRICT_EDITS, CITY_EDITS, ADDRESS_EDITS = 3, 3, 10
@@ -50,9 +51,13 @@ def _establishments(df: DataFrame) -> DataFrame:
     return df.select("siret", "siren", F.col("libelleCommuneEtablissement").alias("city"), "address", F.coalesce("is_siege", F.lit(False)).alias("is_siege"), *(["dept"] if "dept" in df.columns else []))
 
 
+_COMPARED = ("input_id", "clean_name", "supplier_city", "supplier_address")
+
+
 def fetch(cleaned: DataFrame, registry: Registry, candidates: DataFrame) -> DataFrame:
-    """Establishments of the candidates: of the supplier's department, or of all France without a postal code."""
-    asked = cleaned.join(candidates.select("search_token", "siren"), "search_token").select("input_id", "siren", F.substring("clean_cp", 1, 2).alias("dept"))
+    """Establishments of the candidates, with the supplier's columns to compare: of the supplier's
+    department, or of all France without a postal code."""
+    asked = cleaned.join(candidates.select("search_token", "siren"), "search_token").select(*_COMPARED, "siren", F.substring("clean_cp", 1, 2).alias("dept"))
     local = asked.filter(F.col("dept").isNotNull()).join(_establishments(registry.parts), ["siren", "dept"]).drop("dept")
     wide = asked.filter(F.col("dept").isNull()).drop("dept").join(_establishments(registry.active), "siren")
     names = registry.legal.select("siren", F.col("denominationUniteLegale").alias("official_name"))
@@ -98,8 +103,10 @@ def decide(ranked: DataFrame, arbiter=arbitrate) -> DataFrame:
     tie = b.isNotNull() & (a["score"] - b["score"] <= CLOSE)
     step = F.when(a["score"] > SURE, "CALCULATED").when(a["score"] < WEAK, "LOW_SCORE").when(tie, "ARBITER").otherwise("CALCULATED_FALLBACK")
     best = best.withColumn("step", step)
-    # a pluggable arbiter sees ties only
-    best = best.withColumn("pick", F.when((F.col("step") == "ARBITER") & (arbiter(F.col("supplier_address"), a, b) == "B"), b).otherwise(a))
+    # an arbiter gets nulls where there is no tie, so one that calls a model is asked for ties only
+    tied = F.col("step") == "ARBITER"
+    choice = arbiter(F.col("supplier_address"), F.when(tied, a), F.when(tied, b))
+    best = best.withColumn("choice", choice).withColumn("pick", F.when(tied & (F.col("choice") == "B"), b).otherwise(a))
     hit = F.col("step") != "LOW_SCORE"
     method = F.when(~hit, "NOT_FOUND").when(F.col("step") == "ARBITER", "GEMINI_ARBITER").otherwise("CALCULATED")
     return best.select(
@@ -109,36 +116,38 @@ def decide(ranked: DataFrame, arbiter=arbitrate) -> DataFrame:
     )
 
 
-def _result(df: DataFrame, method: str, confidence: float, step: str, found: bool = True) -> DataFrame:
-    none = F.lit(None).cast("string")
-    return df.select("input_id", (F.col("siret") if found else none).alias("resolved_siret"), (F.col("official_name") if found else none).alias("official_name"), F.lit(confidence).alias("confidence_score"), F.lit(method).alias("match_method"), F.array().cast("array<string>").alias("alternatives"), F.lit(step).alias("step"))
-
-
 def match(suppliers: DataFrame, registry: Registry, *, direction: str = "desc", arbiter=arbitrate, cleaner=None) -> DataFrame:
     """One result per supplier row with an input_id: input_id, resolved_siret, official_name,
     confidence_score, match_method, alternatives (array), step.
 
     cleaner maps (input_id rows) to other values of clean_name, search_token, clean_cp and
-    clean_city; rows that the exact number resolved are not cleaned.
+    clean_city; rows that the exact number resolved are not cleaned. The suppliers with what the
+    first two stages found are written once each (columns of the supplier side only), so that the
+    many reads of later stages don't run the earlier ones again.
     """
+    side = lambda df, tag: df.select("input_id", F.struct(*(c for c in df.columns if c != "input_id")).alias(tag))
     base = cleaned_rows(suppliers)
-    exact = direct(base, registry)
-    rest = base.join(exact.select("input_id"), "input_id", "left_anti")
+    first = materialize(base.join(side(direct(base, registry), "e"), "input_id", "left"), "suppliers")
+    rest = first.filter("e IS NULL").drop("e")
     if cleaner is not None:
-        rest = cleaner(rest, suppliers)
-    local = strict_local(rest, registry)
-    rest = rest.join(local.select("input_id"), "input_id", "left_anti")
+        rest = materialize(cleaner(rest, suppliers), "cleaned")
+    second = materialize(rest.join(side(strict_local(rest, registry), "l"), "input_id", "left"), "local")
     placed = F.col("clean_cp").isNotNull() | (F.col("supplier_city") != "")
-    lost, rest = rest.filter(~placed), rest.filter(placed)
-    found = fetch(rest, registry, fts_candidates(rest, registry, direction))
-    near = near_enough(found.join(rest.select("input_id", "clean_name", "supplier_city", "supplier_address"), "input_id"))
-    decided = decide(scored(near), arbiter)
-    none = rest.select("input_id").join(decided.select("input_id"), "input_id", "left_anti")
-    parts = [_result(exact, "DIRECT_ID", 1.0, "DIRECT_ID"), _result(local, "STRICT_LOCAL", 0.95, "STRICT_LOCAL"), _result(lost, "NOT_FOUND", 0.0, "NO_LOCATION", False), decided, _result(none, "NOT_FOUND", 0.0, "NOT_FOUND", False)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    asked = second.filter(F.col("l").isNull() & placed).drop("l")
+    decided = decide(scored(near_enough(fetch(asked, registry, fts_candidates(asked, registry, direction)))), arbiter)
+
+    exact = _result(first.filter("e IS NOT NULL").select("input_id", "e.*"), "DIRECT_ID", 1.0)
+    local = _result(second.filter("l IS NOT NULL").select("input_id", "l.*"), "STRICT_LOCAL", 0.95)
+    searched = second.filter("l IS NULL").select("input_id", placed.alias("placed")).join(side(decided, "d"), "input_id", "left")
+    found = searched.select(
+        "input_id", "d.resolved_siret", "d.official_name", F.coalesce("d.confidence_score", F.lit(0.0)).alias("confidence_score"), F.coalesce("d.match_method", F.lit("NOT_FOUND")).alias("match_method"),
+        F.coalesce("d.alternatives", F.array().cast("array<string>")).alias("alternatives"), F.coalesce("d.step", F.when(F.col("placed"), "NOT_FOUND").otherwise("NO_LOCATION")).alias("step"),
+    )
+    return exact.unionByName(local).unionByName(found)
+
+
+def _result(df: DataFrame, method: str, confidence: float) -> DataFrame:
+    return df.select("input_id", F.col("siret").alias("resolved_siret"), "official_name", F.lit(confidence).alias("confidence_score"), F.lit(method).alias("match_method"), F.array().cast("array<string>").alias("alternatives"), F.lit(method).alias("step"))
 
 
 def cleaned_rows(suppliers: DataFrame) -> DataFrame:
@@ -152,7 +161,7 @@ def diagnostics(cleaned: DataFrame, registry: Registry, direction: str = "desc")
     n = lambda df, name: df.groupBy("input_id").agg(F.count("*").alias(name))
     candidates = fts_candidates(cleaned, registry, direction)
     found = fetch(cleaned, registry, candidates)
-    ranked = scored(near_enough(found.join(cleaned.select("input_id", "clean_name", "supplier_city", "supplier_address"), "input_id")))
+    ranked = scored(near_enough(found))
     tops = ranked.filter("rank <= 5").groupBy("input_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "score"))), lambda x: x["score"]).alias("top_scores"))
     per_token = candidates.groupBy("search_token").agg(F.count("*").alias("fts_n"))
     out = cleaned.select("input_id", "search_token", "siren_from_vat", F.when(F.col("clean_cp").isNotNull(), F.concat(F.lit("department_"), F.substring("clean_cp", 1, 2))).otherwise("nationwide").alias("search_scope"))

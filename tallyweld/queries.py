@@ -69,6 +69,7 @@ c0 AS (SELECT "Auxiliaire" AS input_id, *, upper({_flat(_NAME)}) AS clean_name,
 c AS (SELECT input_id, "Nom", "Postal", "Ville", "Pays", "Adresse 1", CASE WHEN length(digits) = 14 THEN digits END AS siret, clean_name, coalesce({_cp('"Postal"')}, {_cp('"Adresse 1"')}) AS clean_cp,
  nullif(upper({_CITY}), '') AS clean_city, upper({_CITY}) AS supplier_city, upper({_STREET}) AS supplier_address,
  coalesce(nullif(list_reduce(list_filter(regexp_extract_all(clean_name, '[A-Z0-9]+'), lambda t: t NOT IN ({_quoted(LEGAL_FORMS)})), lambda a, t: CASE WHEN length(t) > length(a) THEN t ELSE a END, ''), ''), nullif(substr(clean_name, 1, 20), ''), 'UNKNOWN') AS search_token FROM c0)"""
+_RAW = f"supplier_raw AS ({fx.SUPPLIER_RAW})"
 POST = f"""post AS (SELECT siren, term, count(*) AS tf FROM (SELECT siren, unnest({_terms('name')}) AS term FROM lu) GROUP BY ALL),
 dl AS (SELECT siren, sum(tf) AS dl FROM post GROUP BY siren), df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
 st AS (SELECT count(*)::DOUBLE AS n, avg(len({_terms('name')})) AS avgdl FROM lu)"""
@@ -153,6 +154,25 @@ def search_query(spark, d):
     return _suppliers(spark, d).select("input_id", tx.search_query(F.col("Nom"), t("Ville"), t("Pays")).alias("q"))
 
 
+@query(f"WITH {_RAW} SELECT \"Auxiliaire\" AS input_id, count(*) AS n FROM supplier_raw GROUP BY 1")
+def input_ids(spark, d):
+    return _suppliers(spark, d).groupBy("input_id").agg(F.count("*").alias("n"))
+
+
+@query(r"SELECT doc_id, upper(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS t FROM documents WHERE NOT contains(text, 'ß')")
+def normalize_documents(spark, d):
+    """City normalisation over accented prose (the engines upper-case ß differently)."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").filter(~F.contains("text", F.lit("ß")))
+    return docs.select("doc_id", tx.normalize_city(F.col("text")).alias("t"))
+
+
+@query(f"WITH t AS (SELECT doc_id, {_terms('text')} AS w FROM documents WHERE NOT contains(text, 'ß')) SELECT doc_id, len(w)::BIGINT AS n_terms, len(list_distinct(w))::BIGINT AS n_distinct FROM t")
+def document_terms(spark, d):
+    """Search terms of accented prose."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").filter(~F.contains("text", F.lit("ß"))).select("doc_id", bm25.terms(F.col("text")).alias("w"))
+    return docs.select("doc_id", F.size("w").cast("long").alias("n_terms"), F.size(F.array_distinct("w")).cast("long").alias("n_distinct"))
+
+
 # ---- preprocessing ----------------------------------------------------------------------------
 _MARKED = " OR ".join(f"contains(city, {_quoted([x])})" for x in CITY_MARKERS)
 _PLACE = f"""place AS (SELECT *, CASE WHEN length(siret_cell) >= 9 THEN 'FRANCE'
@@ -162,7 +182,6 @@ _PLACE = f"""place AS (SELECT *, CASE WHEN length(siret_cell) >= 9 THEN 'FRANCE'
  FROM (SELECT "Auxiliaire" AS input_id, upper(trim(coalesce("Code SIRET", ''))) AS siret_cell, upper(trim(coalesce("Pays", ''))) AS pays, upper(trim(coalesce("Ville", ''))) AS city, split_part(trim(coalesce("Postal", '')), '.', 1) AS head,
   coalesce(trim("Date dern. Mouvt") NOT IN ('', 'None') AND lower(trim("Date dern. Mouvt")) NOT IN ('nan', 'null'), false) AS active FROM supplier_raw)),
 final AS (SELECT *, CASE WHEN pays IN ({_quoted(FRANCE_NAMES)}) OR pays LIKE 'FR%' THEN 'FRANCE' WHEN pays <> '' THEN pays ELSE inferred END AS country FROM place)"""
-_RAW = f"supplier_raw AS ({fx.SUPPLIER_RAW})"
 
 
 @query(f"WITH {_RAW}, {_PLACE} SELECT input_id, inferred, country FROM final")
@@ -294,9 +313,8 @@ def fetch_nationwide(spark, d):
 
 @query(f"{_BASE}, {_bm25('c', 'DESC')}, {_FETCH.format(c='c')}, {_NEAR.format(c='c')}, {_SCORED} SELECT input_id, siret, score::BIGINT AS score, rank FROM scored")
 def score_candidates(spark, d):
-    c, found = _found(spark, d)
-    near = m.near_enough(found.join(c.select("input_id", "clean_name", "supplier_city", "supplier_address"), "input_id"))
-    return m.scored(near).select("input_id", "siret", F.col("score").cast("long").alias("score"), F.col("rank").cast("long").alias("rank"))
+    _, found = _found(spark, d)
+    return m.scored(m.near_enough(found)).select("input_id", "siret", F.col("score").cast("long").alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 _ASKED = "regexp_extract_all(upper('Which address best matches ''' || supplier_address || '''?'), '[A-Z0-9]+')"

@@ -1,8 +1,10 @@
 """Cascade, state, clients, files and command line on hand-made rows."""
 
 import json
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tallyweld import cli, fixtures as fx
@@ -10,11 +12,13 @@ from tallyweld.operators import matching as m
 from tallyweld.operators.state import StateStore, latest, pending
 from tallyweld.operators.suppliers import preprocess, with_input_id
 from tallyweld.plans import registry as reg
-from tallyweld.plans.unified import RunConfig, run_matching, run_unified
+from tallyweld.plans.unified import RunConfig, match_one, run_matching, run_unified
 from tallyweld.schemas import UNIFIED_COLUMNS
 from tallyweld.sources import clients, readers, writers
 from tallyweld.streaming.files import match_files
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers don't import tests
+
 UNITS = [("100000001", "ALPHA BOULANGERIE", "A"), ("100000002", "BETA TRANSPORT", "A"), ("100000003", "GAMMA CONSEIL", "A"), ("100000004", "GAMMA CONSEIX", "A"), ("100000005", "OMEGA TRAVAUX NORD", "A"), ("100000006", "CLOSED COMPANY", "F"), ("100000007", "SIGMA HOTEL", "A"), ("100000008", None, "A"), ("100000009", "ÉPSILON BOIS", "A")]
 # siren, nic, postal code, city, number, kind, street, seat, state
 PLACES = [
@@ -33,8 +37,8 @@ PLACES = [
 SUPPLIERS = [
     ("direct", "x", "100 000 001 00011", None, "", ""), ("direct-inactive-unit", "x", "10000000600016", None, "", ""), ("inactive-siret", "BETA TRANSPORT", "10000000200012", "69001", "Lyon", "2 rue Mercière"),
     ("strict", "Alpha Boulangerie SARL", None, "75001", "Paris", ""), ("strict-double", "GAMMA CONSEIL", None, "13001", "Marseille", "3 rue Haute"), ("no-location", "ALPHA", None, None, None, ""), ("digits", "SAS 123 456", None, "75001", "Paris", ""),
-    ("arbiter-seat", "OMEGA TRAVAUX", None, "59000", "Lille", "5 rue du Nord"), ("filtered", "OMEGA NORD", None, "59000", "Strasbourg", ""), ("nationwide", "SIGMA HOTELS", None, None, "Cannes", "9 rue Mer"), ("no-department", "ALPHA BOULANGERIES XXXX", None, "97100", "Basse", ""),
-    ("accent", "EPSILON BOIS", None, "33000", "Bordeaux", ""), ("low", "SIGMA GARAGE", None, "06000", "Nicx", ""),
+    ("arbiter-seat", "OMEGA TRAVAUX", None, "59000", "Lille", "5 rue du Nord"), ("filtered", "OMEGA NORD", None, "59000", "Strasbourg", ""), ("nationwide", "SIGMA HOTEL", None, None, "Cannes", "9 rue Mer"), ("no-department", "ALPHA BOULANGERIES XXXX", None, "97100", "Basse", ""),
+    ("accent", "EPSILON BOIS", None, "33000", "Bordeaux", ""), ("low", "SIGMA BAR", None, "06000", "Nicx", ""),
 ]
 
 
@@ -159,6 +163,31 @@ def test_cleaner(spark, registry):
     assert got["1"].match_method == got["2"].match_method == "STRICT_LOCAL" and got["3"].match_method == "NOT_FOUND"
 
 
+class Judge:
+    def __init__(self, said):
+        self.said = said
+
+    def complete(self, prompt):
+        assert "Answer with A or B" in prompt
+        if self.said is None:
+            raise RuntimeError("no answer")
+        return self.said
+
+
+def test_arbiter_client(spark):
+    rows = [("tie", "X", 1, "s0", "n", 60, False, "X"), ("tie", "X", 2, "s1", "n", 60, False, "Y"), ("clear", "X", 1, "s0", "n", 70, False, "X"), ("clear", "X", 2, "s1", "n", 50, False, "X")]
+    df = spark.createDataFrame(rows, "input_id string, supplier_address string, rank int, siret string, official_name string, score int, is_siege boolean, address string")
+    for said, want in ((" a", "s0"), ("B", "s1"), ("neither", "s1"), (None, "s0")):
+        got = {r.input_id: r for r in m.decide(df, clients.arbiter(Judge(said))).collect()}
+        assert got["tie"].resolved_siret == want and got["clear"].resolved_siret == "s0" and got["tie"].match_method == "GEMINI_ARBITER"
+
+
+def test_match_one(spark, registry):
+    got = match_one(spark, registry[0], {"Auxiliaire": "x", "Nom": "ALPHA", "Postal": "", "Ville": "", "Code SIRET": None})
+    assert (got["match_method"], got["step"], got["resolved_siret"]) == ("NOT_FOUND", "NO_LOCATION", None)
+    assert match_one(spark, registry[0], {"Auxiliaire": "y", "Code SIRET": "10000000100011"})["confidence_score"] == 1.0
+
+
 def test_search(spark):
     df = spark.createDataFrame([("1", "Firma", "Berlin", "DE"), ("2", "Firma", "Berlin", "DE"), ("3", None, None, None), ("4", "BROKEN", "", ""), ("5", "NULL", "x", "BE")], "Auxiliaire string, Nom string, Ville string, Pays string")
     got = {r.input_id: r for r in clients.search(df, Finder()).collect()}
@@ -215,7 +244,7 @@ def test_writers(spark, tmp_path):
     a = spark.createDataFrame([("b", "00000000000001", 0.5, ["x"])], "input_id string, resolved_siret string, confidence_score double, alternatives array<string>")
     b = spark.createDataFrame([("a", "w")], "input_id string, found_website string")
     writers.write_csv(writers.union_results(a, b), f"{tmp_path}/o", single_file=True)
-    rows = spark.read.option("header", True).csv(f"{tmp_path}/o").collect()
+    rows = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/o").collect()
     assert [r.input_id for r in rows] == ["a", "b"] and rows[1].resolved_siret == "00000000000001" and rows[1].alternatives == '["x"]'
     with pytest.raises(Exception):
         writers.write_csv(a, f"{tmp_path}/o", overwrite=False)
