@@ -25,8 +25,8 @@ def terms(c: Column) -> Column:
 
 @dataclass
 class Index:
-    postings: DataFrame  # siren, term, tf, dl
-    vocabulary: DataFrame  # term, df
+    postings: DataFrame  # siren, term, tf, dl, weight
+    vocabulary: DataFrame  # term, df, idf
     stats: DataFrame  # one row: n, avgdl
 
 
@@ -52,17 +52,19 @@ def build(legal: DataFrame, key: str = "siren", field: str = "denominationUniteL
     length = postings.groupBy(key).agg(F.sum("tf").alias("dl"))
     # documents without any term count for n and avgdl, too
     stats = legal.select(F.size(terms(F.col(field))).alias("dl")).agg(F.count("*").cast("double").alias("n"), F.avg("dl").alias("avgdl"))
-    return Index(postings.join(length, key), postings.groupBy("term").agg(F.count("*").alias("df")), stats)
+    # the collection's figures enter once, as scalar subqueries, so that queries only look terms up
+    spark = legal.sparkSession
+    weighted = spark.sql(f"SELECT *, tf * {K1 + 1}D / (tf + {K1}D * ({1 - B}D + {B}D * dl / (SELECT avgdl FROM {{stats}}))) AS weight FROM {{p}}", p=postings.join(length, key), stats=stats)
+    rare = spark.sql("SELECT *, ln(1 + ((SELECT n FROM {stats}) - df + 0.5D) / (df + 0.5D)) AS idf FROM {v}", v=postings.groupBy("term").agg(F.count("*").alias("df")), stats=stats)
+    return Index(weighted, rare, stats)
 
 
 def score(index: Index, queries: DataFrame, token: str = "search_token", key: str = "siren") -> DataFrame:
     """(token, siren, score) of all companies that hold a term of the query."""
     asked = queries.select(token).distinct()
     asked = asked.select(token, F.explode(F.array_distinct(terms(F.col(token)))).alias("term"))
-    hits = asked.join(index.vocabulary, "term").join(index.postings, "term").crossJoin(F.broadcast(index.stats))  # stats is one row
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    tf = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    return hits.groupBy(token, key).agg(F.sum(idf * tf).alias("score"))
+    hits = asked.join(index.vocabulary, "term").join(index.postings, "term")
+    return hits.groupBy(token, key).agg(F.sum(F.col("idf") * F.col("weight")).alias("score"))
 
 
 def top(scored: DataFrame, limit: int = 20, direction: str = "desc", token: str = "search_token", key: str = "siren") -> DataFrame:
