@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
@@ -38,7 +39,7 @@ from .textkit import U64, blocks, gram_hashes, mix, ranges
 #: Bytes of text whose n-grams make one block of columns, or rows, on average.
 GROUP_BYTES = 8 << 20
 #: N-grams that a task gathers before it deals them out.
-FLUSH_GRAMS = 600_000
+FLUSH_GRAMS = 400_000
 #: Classes of one n-gram in a gathered stretch from which on it sends a count only.
 HOT = 256
 #: Bits of a class's sketch: bit i says whether an odd number of its shared n-grams fall on it. The
@@ -149,11 +150,30 @@ def _shared(keys, sizes, grams, freq, groups: int) -> list[tuple]:
     return out
 
 
+def _whole(f):
+    """f over all rows of a partition at once; a partition is one block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield from f(pa.Table.from_batches(held)).to_batches()
+
+    return run
+
+
+def _blocks(df: DataFrame, groups: int) -> DataFrame:
+    """One block a partition: blocks are of like size, and hashing them to fewer partitions would not be even."""
+    return df.repartitionById(groups, F.when(F.col("grp") < 0, -1 - F.col("grp")).otherwise(F.col("grp")).cast("int"))
+
+
 def _columns(groups: int):
     def run(table: pa.Table) -> pa.Table:
+        known = pc.less(table.column("grp"), 0)
+        passed, table = table.filter(known), table.filter(pc.invert(known))
         rows = table.to_pylist()
-        if rows[0]["grp"] < 0:
-            return table
+        del table
+        if not rows:
+            return passed
         posted = [r for r in rows if r["kind"] == _POSTINGS]
         counted = [r for r in rows if r["kind"] == _COUNTS]
         heads = np.concatenate([np.frombuffer(r["head"], np.int64).reshape(3, -1) for r in posted] or [np.zeros((3, 0), np.int64)], axis=1)
@@ -187,7 +207,7 @@ def _columns(groups: int):
         for r, i in zip(counted, at if counted else [], strict=True):
             stretch = int(np.frombuffer(r["more"], np.int64)[0])
             out.append((_ANSWER, -1 - stretch % groups, np.array([total[i]]).tobytes(), r["grams"], r["more"]))
-        return _batch(out)
+        return pa.concat_tables([passed, _batch(out)])
 
     return run
 
@@ -290,12 +310,11 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str =
     bounded_batches(docs.sparkSession)
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     groups = max(4, total_bytes(base, "text") // GROUP_BYTES)
-    matrix = base.mapInArrow(_incidence(n, groups), _KIND).groupBy("grp").applyInArrow(_columns(groups), _KIND)
-    matrix = materialize(matrix, "matrix")
+    matrix = materialize(_blocks(base.mapInArrow(_incidence(n, groups), _KIND), groups).mapInArrow(_whole(_columns(groups)), _KIND), "matrix")
     kept = matrix.filter(F.col("kind") == _SHARED)
     if not matrix.filter(F.col("kind") == _PARKED).isEmpty():
         kept = kept.union(matrix.filter(F.col("kind").isin(_PARKED, _ANSWER)).groupBy("more").applyInArrow(_answers(groups), _KIND))
-    rows = materialize(kept.groupBy("grp").applyInArrow(_rows(percent), "key long, n long, m long, grams binary, prefix array<long>, sketch array<long>"), "rows")
+    rows = materialize(_blocks(kept, groups).mapInArrow(_whole(_rows(percent)), "key long, n long, m long, grams binary, prefix array<long>, sketch array<long>"), "rows")
 
     post = materialize(rows.select("key", "n", "m", F.explode("prefix").alias("gram")), "prefixes")
     labels = rows.select("key", F.col("key").alias("comp"))
