@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .store import bounded_batches, materialize, total_bytes
@@ -136,15 +137,30 @@ def _heads(column: pa.ChunkedArray) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, np.int64).reshape(3, -1) for x in column.to_pylist()], axis=1)
 
 
+def _whole(f):
+    """f over all rows of a partition at once; a partition is one group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield from f(pa.Table.from_batches(held)).to_batches()
+
+    return run
+
+
 def _subtrees(groups: int):
     def run(table: pa.Table) -> pa.Table:
-        """The repeats of one group of suffixes, or what a batch already knew, by group of documents."""
-        first = table.column("grp")[0].as_py()
-        if first < 0:
-            return _table([-1 - first] * table.num_rows, table.column("heads").to_pylist(), table.column("entries").to_pylist())
+        """The repeats of one group of suffixes, and what batches already knew, by group of documents."""
+        known = pc.less(table.column("grp"), 0)
+        passed = table.filter(known)
+        passed = passed.set_column(0, "grp", pc.subtract(-1, passed.column("grp")))
+        table = table.filter(pc.invert(known))
+        if not table.num_rows:
+            return passed
         docs, fps, counts = _heads(table.column("heads"))
         parts = [_unpack(x) for x in table.column("entries").to_pylist()]
         path, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts, table
         suffix_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         order = np.argsort(path, kind="stable")
         path = path[order]
@@ -152,13 +168,13 @@ def _subtrees(groups: int):
         inner = np.r_[same, False] | np.r_[False, same]  # leaves go; the rest hangs below a deep node
         order, path = order[inner], path[inner]
         if not len(order):
-            return _table([], [], [])
+            return passed
         ids = docs[suffix_of[order]]
         node = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
         least = np.repeat(np.minimum.reduceat(ids, node), np.diff(np.r_[node, len(path)]))
         hit = order[ids != least]
         hit.sort()
-        return _table(*_by_document(docs, fps, suffix_of[hit], pos[hit], groups))
+        return pa.concat_tables([passed, _table(*_by_document(docs, fps, suffix_of[hit], pos[hit], groups))])
 
     return run
 
@@ -233,8 +249,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     base = base.withColumn("fp", F.xxhash64("text"))
     groups = max(4, total_bytes(base, "text") // GROUP_BYTES)
     dealt = base.mapInArrow(_suffixes(window, groups), _DEALT)
-    marks = dealt.groupBy("grp").applyInArrow(_subtrees(groups), _DEALT)
-    marks = materialize(marks.groupBy("grp").applyInArrow(_merge, _MARKED), "repeats")
+    # one group a task: groups are of like size, and hashing them to fewer partitions would not be even
+    own = F.when(F.col("grp") < 0, -1 - F.col("grp")).otherwise(F.col("grp")).cast("int")
+    marks = dealt.repartitionById(groups, own).mapInArrow(_whole(_subtrees(groups)), _DEALT)
+    marks = materialize(marks.repartitionById(groups, F.col("grp").cast("int")).mapInArrow(_whole(_merge), _MARKED), "repeats")
     both = base.join(marks, ["doc_id", "fp"], "left").select("doc_id", "text", "marks")
     out = both.mapInArrow(_clean(window), _OUT)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(2**63), F.col("doc_id")))
