@@ -302,3 +302,15 @@ def test_langid(spark):
     assert all(0 <= x.score <= 1 for x in got) and 0.3 < by[1003].score < 0.7
     assert {x.lang_pred for x in langid.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert langid.identify(df.limit(0)).count() == 0
+
+
+def test_block_of_long_words_and_cut_parts(monkeypatch):
+    """Hashes don't depend on where a long document is cut."""
+    from tallyweld.llm import textkit
+
+    text = "aa " + "b" * 500 + " c " * 300 + "aa"
+    whole = block(text)
+    starts, ends, _ = whole.words()
+    want = whole.word_hashes(starts, ends)
+    monkeypatch.setattr(textkit, "BLOCK_BYTES", 64)
+    assert list(whole.word_hashes(starts, ends)) == list(want) and want[0] == want[-1]
