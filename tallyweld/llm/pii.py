@@ -2,13 +2,15 @@
 
 The patterns' spans always stand. The field labels the other tokens that hold a digit or an `@`;
 all other tokens are taken to be no entity. Neighbours in the text share a chain potential, and
-distant tokens that repeat each other (equal last digits, equal mail name) a skip potential, so a
-number that is a telephone number in one place is one in another place of the document, too.
-Loopy message passing gives each token's probabilities.
+distant repeats (of a whole number, however it is cut into tokens, or of a mail name) a skip
+potential, so a number that is a telephone number in one place is one in another place of the
+document, too. Loopy message passing, until the messages stand still, gives each one's probabilities.
 
 Potentials are estimated piecewise from counts over all documents, with the patterns' spans as
 labels: a token's shape (and whether its neighbours are candidates) against its label, neighbouring
-labels, and labels of repeats.
+labels, and labels of repeats. A repeat of a span that the patterns miss carries no label and is not
+counted. Shapes and neighbours are bounded evidence, whatever the number of documents, and the skip
+potential attracts by more than both together, so a repeat takes the label of what it repeats.
 """
 
 from __future__ import annotations
@@ -25,11 +27,17 @@ from .store import bounded_batches
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
-#: Least probability of an entity that adds a span, and rounds of message passing.
-CERTAIN, ROUNDS = 0.9, 10
-#: Digits at the end of numbers that make them repeats of each other.
+#: Least probability of an entity that adds a span.
+CERTAIN = 0.9
+#: Change of a log message at which passing ends, and rounds after which it ends anyhow.
+STILL, MOST_ROUNDS = 1e-4, 1000
+#: Digits that a number has at least to be a repeat.
 KEY_DIGITS = 7
 SHAPES = 1024
+#: Share of the labels' probability that is even for any shape, and most that log potentials of neighbours say.
+EVEN, MOST_CHAIN = 0.01, 3.0
+#: Least gap in the skip potential between equal and other labels: 20.5 outweigh the bounds above at CERTAIN.
+ATTRACT = 24.0
 
 _MAIL_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _MAIL_HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -40,6 +48,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _CANDIDATE = re.compile(r"[0-9@]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_DIGITS = re.compile(r"[0-9]+")
+_GAP = re.compile(r"[\x20().-]{1,3}")
+#: Country codes of two digits; 1 and 7 have one, all others three.
+_TWO = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 _EDGE = " .,;:!?\"'()[]{}<>|"
 
 Span = tuple[str, int, int]
@@ -103,61 +115,156 @@ def _shape(token: str) -> int:
     return size | 8 * letters | 16 * dots | 32 * check | 64 * token.startswith("+") | 128 * ("-" in token)
 
 
+def _mail_key(token: str) -> str | None:
+    name = token.strip(_EDGE).split("@")[0].lower()
+    return "@" + name if name else None
+
+
 def _key(token: str) -> str | None:
-    """What repeats of a token have in common."""
+    """What unlabelled repeats of a token have in common."""
     if "@" in token:
-        name = token.strip(_EDGE).split("@")[0].lower()
-        return "@" + name if name else None
+        return _mail_key(token)
     digits = _NOT_DIGIT.sub("", token)
-    return digits[-KEY_DIGITS:] if len(digits) >= KEY_DIGITS else None
+    return digits if len(digits) >= KEY_DIGITS else None
+
+
+def _keys(kind: str, text: str) -> list[str]:
+    """The forms in which a pattern's span can be repeated; the first is its own."""
+    if kind == "email":
+        return [_mail_key(text)]
+    if kind == "ip":
+        return [text]
+    digits = _NOT_DIGIT.sub("", text)
+    if kind == "card":
+        return [digits]
+    size = 1 if digits[0] in "17" else 2 if digits[:2] in _TWO else 3
+    code, rest = digits[:size], digits[size:].lstrip("0")
+    forms = [digits, code + rest, code + "0" + rest, "00" + code + rest, rest, "0" + rest]
+    forms += [rest[-7:]] if code == "1" and len(rest) == 10 else []  # without the area
+    return [x for x in dict.fromkeys(forms) if len(x) >= KEY_DIGITS]
+
+
+def _repeats(text: str, base: list[Span], keys: set[str]) -> list[tuple[int, int, str]]:
+    """Whole numbers outside the base spans that are one of keys, cut by spaces, dots, hyphens or brackets or not at all."""
+    longest = max((len(_NOT_DIGIT.sub("", k)) for k in keys if k[0] != "@"), default=0)
+    if not longest:
+        return []
+    out: list[tuple[int, int, str]] = []
+    runs, i, at, taken = [m.span() for m in _DIGITS.finditer(text)], 0, 0, 0
+
+    def ends(near: str, far: str) -> bool:
+        return not (near.isalnum() or near in (".", "-") and far.isdigit())
+
+    while i < len(runs):
+        a, b = runs[i]
+        while at < len(base) and base[at][1] < b:
+            taken = max(taken, base[at][2])
+            at += 1
+        found = None
+        if a >= taken and ends(text[a - 1 : a], text[max(a - 2, 0) : max(a - 1, 0)]):
+            stop = base[at][1] if at < len(base) else len(text)
+            digits = dotted = ""
+            for j in range(i, len(runs)):
+                c, d = runs[j]
+                if d > stop or len(digits) + d - c > longest or j > i and not _GAP.fullmatch(text, runs[j - 1][1], c):
+                    break
+                digits, dotted = digits + text[c:d], dotted + "." * (j > i) + text[c:d]
+                key = digits if digits in keys else dotted if dotted in keys else None
+                if key and ends(text[d : d + 1], text[d + 1 : d + 2]):
+                    found = (j, d, key)
+        if found:
+            j, d, key = found
+            out.append((a - (text[a - 1 : a] == "(" and ")" in text[a:d]), d, key))
+            i = j
+        i += 1
+    return out
 
 
 class Graph:
-    """The candidate tokens of one text with their chain and skip edges."""
+    """The candidates of one text (base spans, repeats of their numbers, other tokens) with their chain and skip edges."""
 
     def __init__(self, text: str, base: list[Span]):
         self.spans, self.shapes, self.labels = [], [], []
-        keys: dict[str, int] = {}
+        self.free: list[bool] = []  # repeats of base spans that have no label
+        self.exact: list[bool] = []  # spans that are no tokens
         self.chain, self.skip = [], []
+        alone, end = [], 0
+        for kind, a, b in base:
+            if a >= end:
+                alone.append((kind, a, b, _keys(kind, text[a:b])))
+            end = max(end, b)
+        marks = [(a, b, KINDS.index(kind), keys) for kind, a, b, keys in alone]
+        known = {k for *_, keys in alone for k in keys}
+        marks += [(a, b, OTHER, [key]) for a, b, key in _repeats(text, base, known)]
+        marks.sort()
         i, last = 0, -2
+        owners: dict[str, dict[int, int]] = {}  # the first node of each label, by key
+        before: dict[str, int] = {}
+        wait: list[tuple[int, str]] = []
+
+        def add(a: int, b: int, label: int, number: int, exact: bool) -> int:
+            node = len(self.spans)
+            self.spans.append((a, b))
+            self.shapes.append(_shape(text[a:b]))
+            self.labels.append(label)
+            self.free.append(False)
+            self.exact.append(exact)
+            if number <= last + 1:
+                self.chain.append((node - 1, node))
+                self.shapes[node - 1] |= 256
+                self.shapes[node] |= 512
+            return node
+
         for number, m in enumerate(_TOKEN.finditer(text)):
             token = m[0]
             if not _CANDIDATE.search(token):
                 continue
             a, b = m.span()
-            while i < len(base) and base[i][2] <= a:
+            covered = i > 0 and marks[i - 1][1] > a
+            while i < len(marks) and marks[i][0] < b:
+                start, stop, label, keys = marks[i]
+                covered = True
+                node = add(start, stop, label, number, True)
+                last = number
                 i += 1
-            hit, j = [], i
-            while j < len(base) and base[j][1] < b:
-                hit += [base[j]] if base[j][2] > a else []
-                j += 1
-            node = len(self.spans)
-            self.spans.append((a, b))
-            self.shapes.append(_shape(token))
-            self.labels.append(KINDS.index(hit[0][0]) if hit else OTHER)
-            if number == last + 1:
-                self.chain.append((node - 1, node))
-                self.shapes[node - 1] |= 256
-                self.shapes[node] |= 512
+                if label == OTHER:
+                    wait.append((node, keys[0]))
+                    continue
+                if keys[0] in before:
+                    self.skip.append((before[keys[0]], node))  # to the repeat before: a chain of skips
+                before[keys[0]] = node
+                for key in keys:
+                    owners.setdefault(key, {}).setdefault(label, node)
+            if covered:
+                last = number
+                continue
+            node = add(a, b, OTHER, number, False)
             last = number
             key = _key(token)
-            if key is not None:
-                if key in keys:
-                    self.skip.append((keys[key], node))  # to the repeat before: a chain of skips
-                keys[key] = node
+            if key in known:
+                wait += [(node, key)] if "@" in token else []  # _repeats has the numbers
+            elif key is not None:
+                if key in before:
+                    self.skip.append((before[key], node))
+                before[key] = node
+        for node, key in wait:  # to what has a label, so that other repeats don't weigh against it
+            self.free[node] = True
+            self.skip += [(owner, node) for owner in owners[key].values()]
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (shape, label), (label, next label) and (label, label of the repeat)."""
+    """Counts of (shape, label), (label, next label) and (label, label of the repeat), without nodes that have no label."""
     k = OTHER + 1
     unary, chain, skip = np.zeros((SHAPES, k), np.int64), np.zeros((k, k), np.int64), np.zeros((k, k), np.int64)
     for batch in batches:
         for text in batch.column("text").to_pylist():
             g = Graph(text, base_spans(text))
-            np.add.at(unary, (g.shapes, g.labels), 1)
+            seen = [i for i, free in enumerate(g.free) if not free]
+            np.add.at(unary, ([g.shapes[i] for i in seen], [g.labels[i] for i in seen]), 1)
             for edges, into in ((g.chain, chain), (g.skip, skip)):
                 for a, b in edges:
-                    into[g.labels[a], g.labels[b]] += 1
+                    if not (g.free[a] or g.free[b]):
+                        into[g.labels[a], g.labels[b]] += 1
     for part, table in enumerate((unary, chain, skip)):
         at = np.flatnonzero(table)
         yield pa.record_batch({"part": np.full(len(at), part), "at": at, "n": table.ravel()[at]})
@@ -168,8 +275,10 @@ class Field:
 
     def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray):
         smooth = unary + np.where(np.arange(unary.shape[1]) == OTHER, 2.0, 0.1)  # an unknown shape is no entity
-        self.unary = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-        self.chain, self.skip = self._pair(chain), self._pair(skip)
+        self.unary = np.log((1 - EVEN) * smooth / smooth.sum(axis=1, keepdims=True) + EVEN / unary.shape[1])
+        self.chain, self.skip = np.clip(self._pair(chain), -MOST_CHAIN, MOST_CHAIN), self._pair(skip)
+        others = np.where(np.eye(len(skip), dtype=bool), -np.inf, self.skip)
+        np.fill_diagonal(self.skip, np.maximum(np.diag(self.skip), others.max(axis=1) + ATTRACT))
 
     @staticmethod
     def _pair(counts: np.ndarray) -> np.ndarray:
@@ -194,26 +303,29 @@ def beliefs(g: Graph, field: Field) -> np.ndarray:
     """Each node's probabilities after loopy sum-product message passing."""
     n, k = len(g.spans), OTHER + 1
     labels = np.array(g.labels)
-    phi = np.exp(field.unary[g.shapes])
+    phi = field.unary[g.shapes]
     known = labels != OTHER
-    phi[known] = 1e-9
-    phi[known, labels[known]] = 1
+    phi[known] = -100.0
+    phi[known, labels[known]] = 0
     edges = np.array([*g.chain, *g.skip], np.int64).reshape(-1, 2)
     pair = np.concatenate([np.broadcast_to(np.exp(field.chain), (len(g.chain), k, k)), np.broadcast_to(np.exp(field.skip), (len(g.skip), k, k))])
     source, target = np.r_[edges[:, 0], edges[:, 1]], np.r_[edges[:, 1], edges[:, 0]]
     pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
     back = np.r_[np.arange(len(edges)) + len(edges), np.arange(len(edges))]
-    messages = np.full((len(source), k), 1 / k)
-    for _ in range(ROUNDS):
+    messages = np.full((len(source), k), -np.log(k))  # logs
+    for _ in range(MOST_ROUNDS if len(source) else 0):
         into = np.zeros((n, k))
-        np.add.at(into, target, np.log(messages))
-        out = np.log(phi)[source] + into[source] - np.log(messages[back])
+        np.add.at(into, target, messages)
+        out = phi[source] + into[source] - messages[back]
         out = np.exp(out - out.max(axis=1, keepdims=True))
         new = np.einsum("ei,eij->ej", out, pair)
-        messages = 0.5 * messages + 0.5 * new / new.sum(axis=1, keepdims=True)
+        change = 0.5 * (np.log(new / new.sum(axis=1, keepdims=True)) - messages)
+        messages += change
+        if np.abs(change).max() < STILL:
+            break
     into = np.zeros((n, k))
-    np.add.at(into, target, np.log(messages))
-    belief = np.log(phi) + into
+    np.add.at(into, target, messages)
+    belief = phi + into
     belief = np.exp(belief - belief.max(axis=1, keepdims=True))
     return belief / belief.sum(axis=1, keepdims=True)
 
@@ -229,9 +341,12 @@ def more_spans(text: str, base: list[Span], field: Field) -> list[Span]:
         best = int(p[i].argmax())
         if g.labels[i] != OTHER or best == OTHER or p[i, best] < CERTAIN:
             continue
+        if g.exact[i]:
+            out.append((KINDS[best], a, b))
+            continue
         token = text[a:b]
         a, b = a + len(token) - len(token.lstrip(_EDGE)), b - len(token) + len(token.rstrip(_EDGE))
-        if out and out[-1][0] == KINDS[best] and text[out[-1][2] : a].strip(" ") == "" and i and g.spans[i - 1][0] <= out[-1][1]:
+        if out and not g.free[i] and not g.free[i - 1] and out[-1][0] == KINDS[best] and text[out[-1][2] : a].strip(" ") == "" and i and g.spans[i - 1][0] <= out[-1][1]:
             out[-1] = (KINDS[best], out[-1][1], b)
         elif a < b:
             out.append((KINDS[best], a, b))

@@ -260,6 +260,26 @@ def test_skip_edges_carry_labels():
     assert np.allclose(p.sum(axis=1), 1)
 
 
+def test_pii_adds_every_repeat(spark):
+    """However often it occurs, in this document or others, a bare repeat of a telephone number is one."""
+    rows = [(i, f"call +1 (234) 555-{1000 + i} today or 234555{1000 + i} at night") for i in range(60)]
+    rows += [(100 + i, f"+44 20 7946 {1000 + i} and again {'; '.join(['020 7946 %d' % (1000 + i)] * 5)}; order 1234567890") for i in range(20)]
+    rows += [(200, "card 4539 1488 0343 6467, later 4539  1488.0343 6467 twice"), (201, "to jo.p@mail.example or jo.p@localhost"), (202, "+1 (234) 555-9000 is not 12.2345559000 nor x2345559000 nor 92345559000 nor 8885559000")]
+    rows += [(1000 + i, f"order {2000000000 + i} and {3000000000 + i}") for i in range(5000)]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+
+    def added(i):
+        return [(k, text[i][int(a) : int(b)]) for k, a, b in (x.split(":") for x in got[i].spans.split(",")) if (k, int(a), int(b)) not in pii.base_spans(text[i])]
+
+    for i in range(60):
+        assert added(i) == [("phone", f"234555{1000 + i}")] and got[i].n_added == 1
+    for i in range(20):
+        assert added(100 + i) == [("phone", f"020 7946 {1000 + i}")] * 5
+    assert added(200) == [("card", "4539  1488.0343 6467")] and added(201) == [("email", "jo.p@localhost")] and added(202) == []
+    assert all(got[1000 + i].n_added == 0 for i in range(5000))
+
+
 # ---- languages
 def test_forward_backward_against_enumeration():
     import itertools
