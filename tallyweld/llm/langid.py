@@ -6,13 +6,15 @@ forward-backward pass gives each word's probabilities, so code-switched texts ar
 word; a document's language is the one with the largest share.
 
 The model is fitted on the driver on a bounded sample of labelled rows (FIT_DOCS windows of
-FIT_CHARS characters, at places given by a hash) that are not held out. Half of the training
+FIT_CHARS characters, at places given by a hash, and more of each rare language until it has
+LEAST_DOCS or all its rows) that are not held out; every language of those rows is learned. Half of the training
 sequences join pieces of two documents, from which the transitions learn switches.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +27,8 @@ from .textkit import U64, Block, blocks, mix, ranges
 
 #: Bound of the fitting sample: documents, and characters of each.
 FIT_DOCS, FIT_CHARS = 3000, 800
+#: Documents of a language that the sample has at least, if there are as many: it holds FIT_DOCS + languages * LEAST_DOCS at most.
+LEAST_DOCS = 50
 #: Rows of the weight table (a power of two), rounds and step of the fit, words of a chain.
 TABLE, ROUNDS, STEP, CHAIN = 1 << 16, 6, 0.5, 64
 FOLDS = 5
@@ -201,13 +205,28 @@ def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     room = F.greatest(F.length(text_col) - FIT_CHARS, F.lit(0)) + 1
     at = F.pmod(F.xxhash64(F.lit("place"), id_col), room).cast("int") + 1
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~_held_out(id_col))
-    # a share of the hashes that holds about FIT_DOCS rows: no task sends more than its part to the driver
-    share = min(1.0, 1.2 * FIT_DOCS / max(1, rows.count()))
+    counts = {r["l"]: r["count"] for r in rows.groupBy(F.col(lang_col).alias("l")).count().collect()}
+    # a share of the hashes that holds about FIT_DOCS rows, and larger ones for rare languages: no task sends more than its part to the driver
+    share = min(1.0, 1.2 * FIT_DOCS / max(1, sum(counts.values())))
+    below = {x: int(min(1.0, 1.5 * LEAST_DOCS / n) * (1 << 32)) for x, n in counts.items() if 1.5 * LEAST_DOCS > share * n}
+    limit = F.lit(int(share * (1 << 32)))
+    if below:
+        limit = F.greatest(limit, F.coalesce(F.create_map(*(F.lit(v) for x in sorted(below.items()) for v in x))[F.col(lang_col)], limit))
     h = F.xxhash64(F.lit("pick"), id_col, text_col)
-    rows = rows.filter(F.pmod(h, F.lit(1 << 32)) < int(share * (1 << 32)))
-    rows = rows.select(F.substring(F.col(text_col), at, F.lit(FIT_CHARS)).alias("t"), F.col(lang_col).alias("l"), h.alias("h"))
-    picked = [(r.t, r.l) for r in sorted(rows.collect(), key=lambda r: (r.h, r.t, r.l))[:FIT_DOCS]]
-    return fit(picked, sorted({x for _, x in picked}))
+    rows = rows.select(F.substring(F.col(text_col), at, F.lit(FIT_CHARS)).alias("t"), F.col(lang_col).alias("l"), h.alias("h"), F.pmod(h, F.lit(1 << 32)).alias("r"), limit.alias("limit"))
+    found = sorted(rows.filter("r < limit").collect(), key=lambda r: (r.h, r.t, r.l))
+    common = [r.r < int(share * (1 << 32)) for r in found]
+    picked = [r for r, x in zip(found, common, strict=True) if x]
+    rest = picked[FIT_DOCS:] + [r for r, x in zip(found, common, strict=True) if not x]
+    picked = picked[:FIT_DOCS]
+    have = Counter(r.l for r in picked)
+    for r in rest:
+        if have[r.l] < LEAST_DOCS:
+            have[r.l] += 1
+            picked.append(r)
+    if missed := sorted(set(counts) - set(have)):  # equal rows share a hash
+        picked += sorted((r.one for r in rows.filter(F.col("l").isin(missed)).groupBy("l").agg(F.min(F.struct("h", "t", "l")).alias("one")).collect()), key=lambda r: r.l)
+    return fit([(r.t, r.l) for r in picked], sorted(counts))
 
 
 def _held_out(id_col: str):

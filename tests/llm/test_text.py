@@ -324,6 +324,19 @@ def test_langid(spark):
     assert langid.identify(df.limit(0)).count() == 0
 
 
+def test_langid_learns_rare_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FIT_DOCS", 100)
+    common = {"aa": "kolmip tarnkol miptarn", "bb": "zeuquif oixzeu quifoix"}
+    rows = [(i, common[["aa", "bb"][i % 2]], ["aa", "bb"][i % 2]) for i in range(3000)]
+    rows += [(5000 + i, "dvorgh ghyrdv yrghdvo", "cc") for i in range(4)] + [(6001, "ubbasu sussub abusba", "dd")] * 90
+    assert not langid.is_held_out(6001) and not all(langid.is_held_out(5000 + i) for i in range(4))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_on(df)
+    assert model.languages == ["aa", "bb", "cc", "dd"]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, model).collect()}
+    assert all(got[i] == x for i, _, x in rows)
+
+
 def test_block_of_long_words_and_cut_parts(monkeypatch):
     """Hashes don't depend on where a long document is cut."""
     from tallyweld.llm import textkit
