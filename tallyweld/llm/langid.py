@@ -105,7 +105,7 @@ def scores(words: Words, weights: np.ndarray) -> np.ndarray:
 
 
 def chains(words: Words) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Where each word stands: chain and position; chains end with their document or at CHAIN words."""
+    """Where each word stands: chain and position; chains end with their document or at CHAIN words (messages() joins them)."""
     n = len(words.doc)
     if not n:
         return words.doc, words.doc, 0, 0
@@ -116,25 +116,28 @@ def chains(words: Words) -> tuple[np.ndarray, np.ndarray, int, int]:
     return chain, pos, int(chain[-1]) + 1, int(pos.max()) + 1
 
 
-def forward_backward(emit: np.ndarray, mask: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forward_backward(emit: np.ndarray, mask: np.ndarray, moves: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities of each position (chains x positions x languages), and expected moves.
 
     emit are log scores; positions outside mask carry no evidence and come after a chain's words.
+    before and after are the messages that reach a chain's first and last word from outside.
     """
     n, t, k = emit.shape
     e = np.exp(emit - emit.max(axis=2, keepdims=True))
     m = np.exp(moves)
     alpha = np.empty_like(e)
-    alpha[:, 0] = e[:, 0] / e[:, 0].sum(axis=1, keepdims=True)
+    first = e[:, 0] if before is None else e[:, 0] * before
+    alpha[:, 0] = first / first.sum(axis=1, keepdims=True)
     for i in range(1, t):
         a = (alpha[:, i - 1] @ m) * e[:, i]
         alpha[:, i] = a / a.sum(axis=1, keepdims=True)
-    beta = np.ones((n, k))
+    beta = np.ones((n, k)) if after is None else after
     both, pairs = np.empty_like(e), np.zeros((k, k))
-    both[:, t - 1] = alpha[:, t - 1]
+    last = alpha[:, t - 1] * beta
+    both[:, t - 1] = last / last.sum(axis=1, keepdims=True)
     for i in range(t - 2, -1, -1):
         right = e[:, i + 1] * beta
-        back = np.where(mask[:, i + 1, None], right @ m.T, 1.0)
+        back = np.where(mask[:, i + 1, None], right @ m.T, beta)
         joint = alpha[:, i].T @ (right * (mask[:, i + 1] / np.maximum((alpha[:, i] * (right @ m.T)).sum(axis=1), 1e-300))[:, None])
         pairs += joint * m
         beta = back / back.sum(axis=1, keepdims=True)
@@ -143,8 +146,39 @@ def forward_backward(emit: np.ndarray, mask: np.ndarray, moves: np.ndarray) -> t
     return both, pairs
 
 
+def messages(emit: np.ndarray, mask: np.ndarray, moves: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What reaches each chain's first and last word from the other chains of its document.
+
+    doc tells each chain's document; a document's chains follow each other. A chain takes part by
+    the product of its factors, languages x languages, so all products are made side by side and
+    one walk over a document's chains joins them.
+    """
+    n, t, k = emit.shape
+    before, after = np.ones((n, k)), np.ones((n, k))
+    number = np.arange(n) - np.searchsorted(doc, doc)
+    some = np.flatnonzero(np.bincount(doc)[doc] > 1)
+    if not len(some):
+        return before, after
+    e, m = np.exp(emit[some] - emit[some].max(axis=2, keepdims=True)), np.exp(moves)
+    product = np.eye(k) * e[:, 0, None, :]
+    for i in range(1, t):
+        product = np.where(mask[some, i, None, None], (product @ m) * e[:, i, None, :], product)
+        product /= product.sum(axis=(1, 2), keepdims=True)
+    at = np.zeros(n, np.int64)
+    at[some] = np.arange(len(some))
+    for i in range(1, int(number.max()) + 1):
+        to = np.flatnonzero(number == i)
+        x = (before[to - 1, None, :] @ product[at[to - 1]])[:, 0] @ m
+        before[to] = x / x.sum(axis=1, keepdims=True)
+    for i in range(int(number.max()), 0, -1):
+        of = np.flatnonzero(number == i)
+        x = (product[at[of]] @ after[of, :, None])[:, :, 0] @ m.T
+        after[of - 1] = x / x.sum(axis=1, keepdims=True)
+    return before, after
+
+
 def _marginals(words: Words, model: Model) -> np.ndarray:
-    """Probabilities of each word by language."""
+    """Probabilities of each word by language, in the chain of all words of its document."""
     chain, pos, n, t = chains(words)
     k = len(model.languages)
     if not n:
@@ -152,7 +186,8 @@ def _marginals(words: Words, model: Model) -> np.ndarray:
     emit, mask = np.zeros((n, t, k)), np.zeros((n, t), bool)
     emit[chain, pos] = scores(words, model.weights)[words.kind]
     mask[chain, pos] = True
-    return forward_backward(emit, mask, model.moves)[0][chain, pos]
+    doc = words.doc[np.flatnonzero(pos == 0)]
+    return forward_backward(emit, mask, model.moves, *messages(emit, mask, model.moves, doc))[0][chain, pos]
 
 
 def fit(samples: list[tuple[str, str]], languages: list[str]) -> Model:

@@ -337,6 +337,24 @@ def test_langid_learns_rare_languages(spark, monkeypatch):
     assert all(got[i] == x for i, _, x in rows)
 
 
+def test_langid_chain_spans_whole_texts():
+    """Words are labelled as in one chain over the text, also next to the places where arrays are cut."""
+    r = np.random.default_rng(2)
+    k, sizes = 3, [1, 64, 65, 300, 0, 129, 1000]
+    texts = [" ".join(r.choice(["kol", "mip", "7", "zeu", "quif", "42"], n)) for n in sizes]
+    data = [t.encode() for t in texts]
+    b = langid.Block(slice(0, len(data)), np.frombuffer(b"".join(data), np.uint8), np.r_[0, np.cumsum([len(x) for x in data])])
+    model = langid.Model(["a", "b", "c"], r.normal(size=(langid.TABLE, k)).astype(np.float32), np.eye(k) * 4 + r.normal(size=(k, k)))
+    words = langid.features(b)
+    got, emit = langid._marginals(words, model), langid.scores(words, model.weights)[words.kind]
+    assert len(got) == sum(sizes)
+    for d, n in enumerate(sizes):
+        if n:
+            own = words.doc == d
+            want = langid.forward_backward(emit[own][None].astype(float), np.ones((1, n), bool), model.moves)[0][0]
+            assert np.allclose(got[own], want, atol=1e-6), n
+
+
 def test_block_of_long_words_and_cut_parts(monkeypatch):
     """Hashes don't depend on where a long document is cut."""
     from tallyweld.llm import textkit
