@@ -115,29 +115,66 @@ def test_targets(spark):
 
 def test_mix(docs, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_ROWS", 3)
+    monkeypatch.setattr(mixing, "RANGES", 2)
     monkeypatch.setattr(mixing, "LEAST_BLOCK", 50)
     sized = docs.select("doc_id", "source", mixing._size().alias("size"))
-    got = mixing.mix(sized).collect()
-    assert len(got) == docs.count() and sorted(map(str, got)) == sorted(map(str, mixing.mix(sized.repartition(2)).collect()))
-    by = {}
+    got = mixing.mix(sized).drop("row").collect()
+    assert len(got) == docs.count() and sorted(map(str, got)) == sorted(map(str, mixing.mix(sized.repartition(2)).drop("row").collect()))
+    texts = {(d.doc_id, d.source): len(split(d.text)) for d in docs.collect()}
+    by, owners = {}, {}
     for r in got:
-        assert r.size == len(split(next(d.text for d in docs.collect() if d.doc_id == r.doc_id and d.source == r.source)))
+        assert r.size == texts[r.doc_id, r.source]
         assert 0 <= r.taken <= 2 * r.size and r.taken == sum(x.words for x in r.draws)
-        by.setdefault(r.source, [r.target, 0, set()])[1] += r.taken
-        by[r.source][2] |= {(x.block, x.shard) for x in r.draws}
-    for target, taken, _ in by.values():
-        assert taken == int(target)
-    for _, _, placed in by.values():
-        assert len({b for b, _ in placed}) == len(placed)  # a block lies in one shard
+        by.setdefault(r.source, [r.target, 0])[1] += r.taken
+        for x in r.draws:
+            assert owners.setdefault((r.source, x.block), x.shard) == x.shard  # a block lies in one shard
+    assert all(taken == int(target) for target, taken in by.values())
+    assert len(set(owners.values())) == 2**mixing.LEAST_LEVELS
+
+
+def test_mix_comes_from_the_tree(docs, monkeypatch):
+    """With a tree that gives one shard half of the blocks, the mix takes just those."""
+    monkeypatch.setattr(mixing, "LEAST_BLOCK", 50)
+    sized = docs.select("doc_id", "source", mixing._size().alias("size"))
+    mixing_all = mixing.mix(sized).collect()
+    whole = {str(r.asDict()) for r in mixing_all}
+
+    def one(quotas, seed, levels, sources):
+        return quotas.select(F.lit(5).cast("long").alias("shard"), F.transform("counts", lambda c: F.floor(c / 2)).alias("counts"), F.transform("counts", lambda c: F.lit(0).cast("long")).alias("starts"))
+
+    monkeypatch.setattr(mixing, "splitting_tree", one)
+    half = mixing.mix(sized).collect()
+    assert {x.shard for r in half for x in r.draws} == {5} and whole != {str(r.asDict()) for r in half}
+    assert sum(len(r.draws) for r in half) < 0.75 * sum(len(r.draws) for r in mixing_all)
 
 
 def test_splitting_tree(spark):
-    counts = [1000, 3, 0, 500, 1, 77]
-    got = mixing.splitting_tree(spark.createDataFrame([(counts,)], "counts array<bigint>"), 3).collect()
-    assert len(got) == 2**mixing.LEVELS and [sum(r.counts[i] for r in got) for i in range(6)] == counts
+    counts, levels = [1000, 3, 0, 500, 1, 77], 4
+    got = mixing.splitting_tree(spark.createDataFrame([(counts,)], "counts array<bigint>"), 3, levels, 6).collect()
+    assert len(got) == 2**levels and [sum(r.counts[i] for r in got) for i in range(6)] == counts
     totals = [sum(r.counts) for r in got]
-    assert max(totals) - min(totals) <= mixing.LEVELS
+    assert max(totals) - min(totals) <= levels
     assert max(r.counts[0] for r in got) < 90  # near 1000 / 16
+    for i in range(6):  # ranges follow each other
+        at = 0
+        for r in sorted(got, key=lambda r: r.shard):
+            assert r.starts[i] == at
+            at += r.counts[i]
+
+
+def test_splitting_tree_follows_the_law(spark):
+    """Over many nodes, the left half's counts of three sources have the multivariate law."""
+    from collections import Counter
+    from math import comb
+
+    seen = Counter()
+    nodes = spark.range(600).select(F.col("id").alias("shard"), F.expr("array(4L, 3L, 3L, 0L)").alias("counts"), F.expr("array_repeat(0L, 4)").alias("starts"))
+    for r in mixing._split(nodes, 1, 0, 2).collect():
+        seen[tuple(r.left[:3])] += 1
+    for (a, b, c), n in seen.items():
+        assert a + b + c == 5
+        want = 600 * comb(4, a) * comb(3, b) * comb(3, c) / comb(10, 5)
+        assert abs(n - want) < 5 * want**0.5 + 3
 
 
 def test_hypergeometric_law(spark):
@@ -149,13 +186,32 @@ def test_hypergeometric_law(spark):
         assert r["count"] / 20_000 == pytest.approx(comb(12, r.k) * comb(18, 10 - r.k) / comb(30, 10), abs=1e-3)
 
 
-def test_take(docs, none):
+def test_large_draws(spark):
+    """Draws out of millions stay within the law's spread and cost no walk over all of it."""
+    u = spark.range(200).select(((F.col("id") + 0.5) / 200).alias("u"))
+    k = [r.k for r in u.select(F.expr(mixing._draw("4000000L", "1000000L", "2000000L", "u")).alias("k")).collect()]
+    sd = (2e6 * 0.25 * 0.75 * 0.5) ** 0.5
+    assert k == sorted(k) and abs(np.mean(k) - 500_000) < 5 and 0.9 * sd < np.std(k) < 1.1 * sd
+
+
+def test_take(spark, docs, none, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAST_BLOCK", 50)
+    docs = docs.withColumn("d", F.lit(1)).withColumn("draw", F.lit(2)).withColumn("shard", F.lit("s"))
     out = mixing.take(docs)
     assert out.columns == docs.columns
-    sized = docs.select("doc_id", "source", mixing._size().alias("size"))
-    want = sum(r.taken for r in mixing.mix(sized).collect())
-    assert sum(len(split(r.text)) for r in out.collect()) == want
+    rows = out.withColumn("__p", F.spark_partition_id()).collect()
+    drawn = mixing.mix(docs.select("doc_id", "source", mixing._size().alias("size"))).collect()
+    assert sorted((str(r.doc_id), r.source, len(split(r.text))) for r in rows) == sorted((str(r.doc_id), r.source, x.words) for r in drawn for x in r.draws)
+    texts = {(d.doc_id, d.source): split(d.text) for d in docs.collect()}
+    assert all(split(r.text) == texts[r.doc_id, r.source][: len(split(r.text))] for r in rows)
+    once = {(r.doc_id, r.source): (r.draws[0].shard, r.draws[0].place) for r in drawn if len(r.draws) == 1}
+    for p in {r["__p"] for r in rows}:  # each task's rows lie by shard and place
+        at = [once[r.doc_id, r.source] for r in rows if r["__p"] == p and (r.doc_id, r.source) in once]
+        assert at == sorted(at)
+    assert len({x[0] for x in once.values()}) > 1
     assert mixing.take(none).count() == 0
+    nulls = spark.createDataFrame([(None, None, None), (None, "a b c", None), (None, "a b c", None), (1, "", "s")], "doc_id long, text string, source string")
+    assert sorted(r.text for r in mixing.take(nulls).collect()) == ["a b c"] * 3  # a share of 150 % is reached by the one source that has words
 
 
 # ---- packing
