@@ -1,194 +1,266 @@
 """Substring dedup by prefix-partitioned suffix trees.
 
 Every word position starts a suffix. A window of `window` words is removed where the same word
-sequence also starts in a document with a smaller id, so trees are needed down to that depth
-only: below it a path's label is replaced by its 64-bit fingerprint.
-
-1. `_suffixes` (per Arrow batch) fingerprints each suffix's first `window` words. Within a batch,
-   of each path only the smallest document goes on; the others are already known to repeat it.
-   A passage that a third of all documents share thus sends one entry per batch, not per document.
-2. Suffixes are dealt by a variable-length prefix: words are added until it has PREFIX_CHARS
-   characters, so that frequent short words make longer prefixes. A group holds whole subtrees
-   and its size follows from the number of groups, which follows the input's size.
-3. `_subtrees` sorts a group's suffixes by path. The deep internal nodes are the paths with two
-   or more documents; their suffixes in all but the smallest document are repeats.
+sequence also starts in a document with a smaller id, so trees are built down to that depth and
+their deep internal nodes are those of depth `window` with suffixes of two or more documents.
+
+1. `_count` counts words. Frequent ones get codes of one or two bytes, all others stand for
+   themselves, so a coded suffix is short and two are equal just when their words are.
+2. `_deal` cuts each suffix to `window` words and deals it by a prefix of variable length: words are
+   added until, by their counts, fewer than PREFIX_SUFFIXES suffixes are expected to share it. A
+   group holds the subtrees of some prefixes, about GROUP_SUFFIXES suffixes. A stretch of documents
+   that a task has gathered sends, of each path, its smallest document's suffixes; the others are
+   known to repeat it, so a passage that a third of all documents share sends one entry a stretch.
+3. `_subtree` sorts a group's suffixes. Neighbours that agree in all words hang below one deep
+   node; all of them but those of its smallest document are repeats. A group that grows beyond
+   MOST_SUFFIXES is sorted in parts, between which only the smallest document of each path stays.
 4. Marked positions go back to their documents (`_merge`), where runs of them are the maximal repeats.
 
-Fingerprints of unequal windows collide with a chance of about n*n/2**65 for n suffixes that
-share a group's prefix hash, besides the prefix hash itself.
+Groups are dealt in ROUNDS rounds, each of which reads the texts and ends in a written table of
+marks, so the coded suffixes of one round only are on disk at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from .grouped import by_group, partitions
 from .store import bounded_batches, materialize, total_bytes
-from .textkit import _SPACE, U64, blocks, gram_hashes, mix, ranges
+from .textkit import _SPACE, U64, Block, blocks, gram_hashes, mix, ranges
+
+#: Words with one byte, and with two bytes, of their own; the first byte 255 starts any other word.
+ONE, TWO = 192, 63 * 256
+#: Longest word, in bytes, with a code of its own, and the share of a task's words from which on it is counted.
+CODED_BYTES, COUNTED_SHARE = 64, 2.0**-17
+#: Suffixes that one prefix is expected to have at most, suffixes of a group on average, and those that are sorted at a time.
+PREFIX_SUFFIXES, GROUP_SUFFIXES, MOST_SUFFIXES = 1 << 14, 1 << 18, 1 << 21
+#: Suffixes that a task gathers before it deals them out.
+FLUSH_SUFFIXES = 400_000
+ROUNDS = 3
+#: Units of one bit of a word's logarithmic share: whole numbers add up alike wherever a suffix stands.
+BIT = 256
+
+_DEALT = "grp long, heads binary, pos binary, sizes binary, paths binary"
+_MARKED = "doc_id long, fp long, marks binary"
 
-#: Characters after which a suffix's prefix is long enough to tell groups apart.
-PREFIX_CHARS = 24
-#: Bytes of text whose suffixes make one group on average.
-GROUP_BYTES = 8 << 20
-#: Words that a task gathers before it deals them out.
-FLUSH_WORDS = 600_000
 
-_DEALT = "grp long, heads binary, entries binary"
-_MARKED = "doc_id long, fp long, marks binary"
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers as two planes of 16 bits: the upper one is mostly zeros, which shuffles compress."""
+    return (x & 0xFFFF).astype(np.uint16).tobytes() + (x >> 16).astype(np.uint16).tobytes()
+
+
+def _from_planes(blob: bytes) -> np.ndarray:
+    n = len(blob) // 4
+    return np.frombuffer(blob, np.uint16, n).astype(np.int64) | np.frombuffer(blob, np.uint16, n, 2 * n).astype(np.int64) << 16
 
 
-def _pack(path: np.ndarray, pos: np.ndarray) -> bytes:
-    """Positions as two planes of 16 bits: the upper one is mostly zeros, which shuffles compress."""
-    return path.tobytes() + (pos & 0xFFFF).astype(np.uint16).tobytes() + (pos >> 16).astype(np.uint16).tobytes()
+def _rows(grp: list, heads: list, pos: list, sizes: list | None = None, paths: list | None = None) -> Iterator[pa.RecordBatch]:
+    nothing = [None] * len(grp)
+    columns = [pa.array(grp, pa.int64()), *(pa.array(nothing if x is None else x, pa.binary()) for x in (heads, pos, sizes, paths))]
+    if grp:
+        yield pa.record_batch(columns, names=["grp", "heads", "pos", "sizes", "paths"])
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(blob) // 12
-    return np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.uint16, n, 8 * n).astype(np.uint32) | np.frombuffer(blob, np.uint16, n, 10 * n).astype(np.uint32) << np.uint32(16)
+def _cuts(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values of x begin, and its length."""
+    return np.r_[0, np.flatnonzero(x[1:] != x[:-1]) + 1, len(x)] if len(x) else np.zeros(1, np.int64)
 
 
-def _table(grp, heads, entries) -> pa.Table:
-    return pa.table({"grp": pa.array(grp, pa.int64()), "heads": pa.array(heads, pa.binary()), "entries": pa.array(entries, pa.binary())})
+def _head(docs: np.ndarray, fps: np.ndarray, which: np.ndarray) -> bytes:
+    """Runs of equal `which`: document, its text's fingerprint, length."""
+    cuts = _cuts(which)
+    own = which[cuts[:-1]]
+    return np.stack([docs[own], fps[own], np.diff(cuts)]).tobytes()
 
 
-def _by_document(docs: np.ndarray, fps: np.ndarray, which: np.ndarray, pos: np.ndarray, groups: int) -> tuple[list, list, list]:
-    """Marked positions (sorted by document) dealt to groups of documents, one row for each group."""
+def _marks(docs: np.ndarray, fps: np.ndarray, which: np.ndarray, pos: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
+    """Marked positions, one row (with a negative number) for each group of documents."""
     group = (mix(docs[which].view(np.uint64)) % U64(groups)).astype(np.int64)
-    order = np.argsort(group, kind="stable")
+    order = np.lexsort((pos, which, group))
     group, which, pos = group[order], which[order], pos[order]
-    cuts = np.r_[0, np.flatnonzero(np.diff(group)) + 1, len(group)] if len(group) else np.zeros(1, np.int64)
-    heads, entries = [], []
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        runs = np.r_[0, np.flatnonzero(np.diff(which[a:b])) + 1]
-        at = which[a + runs]
-        heads.append(np.stack([docs[at], fps[at], np.diff(np.r_[runs, b - a])]).tobytes())
-        entries.append(pos[a:b].astype(np.uint32).tobytes())
-    return list(group[cuts[:-1]]), heads, entries
-
-
-def _suffixes(window: int, groups: int):
-    def deal(docs, fps, which, pos, path, prefix) -> Iterator[pa.RecordBatch]:
+    cuts = _cuts(group)
+    at = list(zip(cuts[:-1], cuts[1:], strict=True))
+    yield from _rows([-1 - int(group[a]) for a, _ in at], [_head(docs, fps, which[a:b]) for a, b in at], [_planes(pos[a:b]) for a, b in at])
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.LargeBinaryArray:
+    """An Arrow array of byte strings that lie back to back."""
+    offsets = np.r_[np.int64(0), np.cumsum(sizes, dtype=np.int64)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _words(block: Block, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    return _binary(block.data[~_SPACE[block.data]], ends - starts)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) of a task's frequent words; the null word counts all."""
+    parts, total = [], 0
+
+    def summed(parts):
+        return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    for batch in batches:
+        for block in blocks(batch):
+            starts, ends, _ = block.words()
+            total += len(starts)
+            found = pc.value_counts(_words(block, starts, ends))
+            parts.append(pa.table({"word": found.field(0), "n": found.field(1)}))
+            if len(parts) >= 16:
+                parts = [summed(parts)]
+    yield pa.record_batch({"word": pa.array([None], pa.binary()), "n": pa.array([total])})
+    if parts:
+        found = summed(parts)
+        found = found.filter(pc.and_(pc.less_equal(pc.binary_length(found["word"]), CODED_BYTES), pc.greater_equal(found["n"], total * COUNTED_SHARE)))
+        yield from pa.table({"word": found["word"].cast(pa.binary()), "n": found["n"]}).to_batches()
+
+
+class Code:
+    """Codes of words by frequency, and how many bits each word adds to a prefix."""
+
+    def __init__(self, counted: list[tuple[bytes, int]], total: int):
+        counted = sorted(counted, key=lambda x: (-x[1], x[0]))[: ONE + TWO]
+        self.words = [w for w, _ in counted]
+        share = np.array([n for _, n in counted] + [max(1.0, counted[-1][1] / 2) if counted else 1.0]) / max(1, total)
+        self.bits = np.maximum(1, np.rint(-np.log2(np.minimum(share, 1.0)) * BIT)).astype(np.int64)
+        self.needed = int(np.ceil(np.log2(max(1.0, total / PREFIX_SUFFIXES)) * BIT))
+
+    def encode(self, block: Block, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Coded words back to back, where each begins (and the end), and the bits of each."""
+        words = _words(block, starts, ends)
+        n = len(self.words)
+        code = pc.index_in(words, value_set=pa.array(self.words, pa.large_binary())).fill_null(n).to_numpy() if n else np.zeros(len(starts), np.int32)
+        rare, two = code == n, (code >= ONE) & (code < n)
+        length = ends - starts
+        size = np.where(rare, length + 2, np.where(two, 2, 1))
+        at = np.r_[np.int64(0), np.cumsum(size)]
+        out = np.empty(at[-1], np.uint8)
+        begin = at[:-1]
+        out[begin] = np.where(rare, 255, np.where(two, ONE + (code - ONE) // 256, code))
+        out[begin[two] + 1] = (code[two] - ONE) % 256
+        out[ranges(begin[rare] + 1, length[rare])] = block.data[ranges(starts[rare], length[rare])]
+        out[at[1:][rare] - 1] = 32  # no word holds a space
+        return out, at, self.bits[code]
+
+
+def _deal(code: Code, window: int, groups: int, turn: int, rounds: int, flush: int):
+    def deal(docs, fps, which, pos, sizes, data, prefix) -> Iterator[pa.RecordBatch]:
         """One gathered stretch of documents: docs, fps by document; the rest by suffix."""
+        path = _binary(data, sizes).dictionary_encode().indices.to_numpy()
         ids = docs[which]
         order = np.lexsort((ids, path))
-        sorted_path, sorted_ids = path[order], ids[order]
-        new = np.r_[True, sorted_path[1:] != sorted_path[:-1]]
-        least = sorted_ids[np.flatnonzero(new)][np.cumsum(new) - 1]
-        covered = np.zeros(len(path), bool)
-        covered[order] = sorted_ids != least
-        take = np.flatnonzero(covered)
-        known, heads, entries = _by_document(docs, fps, which[take], pos[take], groups)
-        yield from _table([-1 - g for g in known], heads, entries).to_batches()
-        take = np.flatnonzero(~covered)
-        g = (prefix[take] % U64(groups)).astype(np.int64)
-        take = take[np.argsort(g, kind="stable")]
-        g.sort()
-        cuts = np.r_[0, np.flatnonzero(np.diff(g)) + 1, len(take)]
-        heads, entries = [], []
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            part = take[a:b]
-            runs = np.r_[0, np.flatnonzero(np.diff(which[part])) + 1]
-            at = which[part[runs]]
-            heads.append(np.stack([docs[at], fps[at], np.diff(np.r_[runs, len(part)])]).tobytes())
-            entries.append(_pack(path[part], pos[part]))
-        yield from _table(g[cuts[:-1]], heads, entries).to_batches()
+        cuts = _cuts(path[order])
+        least = np.empty(len(path), np.int64)
+        least[order] = np.repeat(ids[order][cuts[:-1]], np.diff(cuts))
+        covered = np.flatnonzero(ids != least)
+        yield from _marks(docs, fps, which[covered], pos[covered], groups)
+        take = np.flatnonzero(ids == least)
+        group = (prefix[take] % U64(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        take, group = take[order], group[order]
+        begin = np.r_[np.int64(0), np.cumsum(sizes)][take]
+        cuts = _cuts(group)
+        paths = data[ranges(begin, sizes[take])].tobytes()
+        ends = np.r_[np.int64(0), np.cumsum(sizes[take])][cuts]
+        at = list(zip(cuts[:-1], cuts[1:], strict=True))
+        yield from _rows([int(group[a]) for a, _ in at], [_head(docs, fps, which[take[a:b]]) for a, b in at], [_planes(pos[take[a:b]]) for a, b in at], [_planes(sizes[take[a:b]]) for a, b in at], [paths[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, n_docs = [], 0, 0
-
-        def flush():
-            parts = [np.concatenate(x) for x in zip(*held, strict=True)]
-            held.clear()
-            return deal(*parts)
-
         for batch in batches:
             all_ids, all_fps = batch.column("doc_id").to_numpy(), batch.column("fp").to_numpy()
             for block in blocks(batch):
                 starts, ends, first = block.words()
-                last = np.maximum(first[1:] - window + 1, first[:-1])
-                counts = np.where(first[1:] - first[:-1] >= window, last - first[:-1], 0)
+                counts = np.maximum(np.diff(first) - window + 1, 0)
                 at = ranges(first[:-1], counts)
                 if not len(at):
                     continue
-                hashes = block.word_hashes(starts, ends)
-                which = np.repeat(np.arange(len(counts)), counts)
-                size_so_far = np.r_[0, np.cumsum(ends - starts)]
-                stop = np.searchsorted(size_so_far, size_so_far[at] + PREFIX_CHARS)
-                stop = np.minimum(np.maximum(stop, at + 1), at + window)
-                held.append((all_ids[block.rows], all_fps[block.rows], which + n_docs, at - first[:-1][which], gram_hashes(hashes, at, at + window), gram_hashes(hashes, at, stop)))
+                coded, begin, bits = code.encode(block, starts, ends)
+                so_far = np.r_[np.int64(0), np.cumsum(bits)]
+                stop = np.searchsorted(so_far, so_far[at] + code.needed)
+                stop = np.clip(stop, at + 1, at + window)
+                prefix = gram_hashes(block.word_hashes(starts, ends), at, stop)
+                own = np.flatnonzero((prefix >> U64(32)) % U64(rounds) == U64(turn))
+                which, at = np.repeat(np.arange(len(counts)), counts)[own], at[own]
+                sizes = begin[at + window] - begin[at]
+                held.append((all_ids[block.rows], all_fps[block.rows], which + n_docs, at - first[:-1][which], sizes, coded[ranges(begin[at], sizes)], prefix[own]))
                 n_docs += len(counts)
                 size += len(at)
-                if size >= FLUSH_WORDS:
-                    yield from flush()
-                    size = n_docs = 0
-            # documents of blocks without suffixes were not counted, so numbers stay dense
+                if size >= flush:
+                    yield from deal(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                    held, size, n_docs = [], 0, 0
         if held:
-            yield from flush()
+            yield from deal(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     return run
 
 
-def _heads(column: pa.ChunkedArray) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, np.int64).reshape(3, -1) for x in column.to_pylist()], axis=1)
-
-
-def _whole(f):
-    """f over all rows of a partition at once; a partition is one group."""
+def _subtree(groups: int, most: int):
+    """The repeats of one group's suffixes, by group of documents; what was known before passes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if held:
-            yield from f(pa.Table.from_batches(held)).to_batches()
-
-    return run
-
-
-def _subtrees(groups: int):
-    def run(table: pa.Table) -> pa.Table:
-        """The repeats of one group of suffixes, and what batches already knew, by group of documents."""
-        known = pc.less(table.column("grp"), 0)
-        passed = table.filter(known)
-        passed = passed.set_column(0, "grp", pc.subtract(-1, passed.column("grp")))
-        table = table.filter(pc.invert(known))
-        if not table.num_rows:
-            return passed
-        docs, fps, counts = _heads(table.column("heads"))
-        parts = [_unpack(x) for x in table.column("entries").to_pylist()]
-        path, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-        del parts, table
-        suffix_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-        order = np.argsort(path, kind="stable")
-        path = path[order]
-        same = path[1:] == path[:-1]
-        inner = np.r_[same, False] | np.r_[False, same]  # leaves go; the rest hangs below a deep node
-        order, path = order[inner], path[inner]
-        if not len(order):
-            return passed
-        ids = docs[suffix_of[order]]
-        node = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
-        least = np.repeat(np.minimum.reduceat(ids, node), np.diff(np.r_[node, len(path)]))
-        hit = order[ids != least]
-        hit.sort()
-        return pa.concat_tables([passed, _table(*_by_document(docs, fps, suffix_of[hit], pos[hit], groups))])
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                doc, fp, n = np.frombuffer(r["heads"], np.int64).reshape(3, -1)
+                yield np.repeat(doc, n), np.repeat(fp, n), _from_planes(r["pos"]), _from_planes(r["sizes"]), np.frombuffer(r["paths"], np.uint8)
+
+    def nodes(ids, fps, pos, sizes, data) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """Places of suffixes below a deep node but of its smallest document, and all others."""
+        paths = _binary(data, sizes)
+        order = pc.array_sort_indices(paths).to_numpy()
+        ordered = paths.take(pa.array(order))
+        deep = pc.equal(ordered.slice(1), ordered.slice(0, len(ordered) - 1)).to_numpy(zero_copy_only=False)  # neighbours with a common prefix of all words
+        node = np.r_[0, np.flatnonzero(~deep) + 1]
+        least = np.repeat(np.minimum.reduceat(ids[order], node), np.diff(np.r_[node, len(order)]))
+        again = ids[order] != least
+        return order[again], order[~again]
+
+    def run(group: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if group < 0:
+            yield from batches
+            return
+        held, size = [], 0
+
+        def settle():
+            ids, fps, pos, sizes, data = (np.concatenate(x) for x in zip(*held, strict=True))
+            again, left = nodes(ids, fps, pos, sizes, data)
+            left.sort()
+            begin = np.r_[np.int64(0), np.cumsum(sizes)]
+            held[:] = [(ids[left], fps[left], pos[left], sizes[left], data[ranges(begin[left], sizes[left])])]
+            order = again[np.lexsort((fps[again], ids[again]))]
+            i, f = ids[order], fps[order]
+            new = np.r_[True, (i[1:] != i[:-1]) | (f[1:] != f[:-1])] if len(i) else np.zeros(0, bool)
+            yield from _marks(i[new], f[new], np.cumsum(new) - 1, pos[order], groups)
+
+        for part in parts(batches):
+            held.append(part)
+            size += len(part[0])
+            if size >= most:
+                yield from settle()
+                size = len(held[0][0]) // 2  # distinct paths count half, or every further row would sort them all
+        yield from settle()
 
     return run
 
 
-def _merge(table: pa.Table) -> pa.Table:
+def _merge(group: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All marks of each document of a group, sorted."""
-    docs, fps, counts = _heads(table.column("heads"))
-    pos = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("entries").to_pylist()])
+    table = pa.Table.from_batches(list(batches))
+    docs, fps, counts = np.concatenate([np.frombuffer(x, np.int64).reshape(3, -1) for x in table["heads"].to_pylist()], axis=1)
+    pos = np.concatenate([_from_planes(x) for x in table["pos"].to_pylist()]).astype(np.uint32)
     order = np.lexsort((pos, np.repeat(fps, counts), np.repeat(docs, counts)))
     own = np.repeat(np.arange(len(docs)), counts)[order]
     docs, fps, pos = docs[own], fps[own], pos[order]
     cuts = np.r_[0, np.flatnonzero((docs[1:] != docs[:-1]) | (fps[1:] != fps[:-1])) + 1, len(pos)]
     marks = [np.unique(pos[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return pa.table({"doc_id": docs[cuts[:-1]], "fp": fps[cuts[:-1]], "marks": pa.array(marks, pa.binary())})
+    yield pa.record_batch({"doc_id": docs[cuts[:-1]], "fp": fps[cuts[:-1]], "marks": pa.array(marks, pa.binary())})
 
 
 def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
@@ -240,19 +312,22 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
 
     Returns doc_id, n_words, n_removed, kept_text (kept words joined by a space), kept_sha256
     and repeats (maximal removed runs, in words). A null text counts as empty: no words, the
-    digest of nothing. A null id counts as the smallest possible one. Rows of equal id never
-    remove each other's words. Texts shorter than the window stay whole. Other columns are not
-    read. No rows in, no rows out.
+    digest of nothing. A null id counts as the smallest possible one, -2**63, and a real id of that
+    value comes back as null. Rows of equal id never remove each other's words. Texts shorter than
+    the window stay whole; very long ones are read whole, one at a time. Other columns are not read.
+    No rows in, no rows out.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = base.withColumn("fp", F.xxhash64("text"))
-    groups = max(4, total_bytes(base, "text") // GROUP_BYTES)
-    dealt = base.mapInArrow(_suffixes(window, groups), _DEALT)
-    # one group a task: groups are of like size, and hashing them to fewer partitions would not be even
-    own = F.when(F.col("grp") < 0, -1 - F.col("grp")).otherwise(F.col("grp")).cast("int")
-    marks = dealt.repartitionById(groups, own).mapInArrow(_whole(_subtrees(groups)), _DEALT)
-    marks = materialize(marks.repartitionById(groups, F.col("grp").cast("int")).mapInArrow(_whole(_merge), _MARKED), "repeats")
+    counted = materialize(base.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = counted.filter("word is null").agg(F.sum("n")).first()[0] or 0
+    code = Code([(bytes(r.word), r.n) for r in counted.filter("word is not null").orderBy(F.desc("n"), "word").limit(ONE + TWO).collect()], total)
+    groups = max(4, total // GROUP_SUFFIXES)
+    tasks = partitions(spark, groups, total_bytes(base, "text"))
+    marks = [materialize(by_group(base.mapInArrow(_deal(code, window, groups, turn, ROUNDS, FLUSH_SUFFIXES), _DEALT), _subtree(groups, MOST_SUFFIXES), _DEALT, tasks), "repeats") for turn in range(ROUNDS)]
+    marks = materialize(by_group(reduce(DataFrame.union, marks).select("grp", "heads", "pos"), _merge, _MARKED, tasks), "marks")
     both = base.join(marks, ["doc_id", "fp"], "left").select("doc_id", "text", "marks")
     out = both.mapInArrow(_clean(window), _OUT)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(2**63), F.col("doc_id")))

@@ -22,11 +22,50 @@ def test_substring(docs):
         assert sum(x["words"] for x in r.repeats) == r.n_removed and len(split(r.kept_text)) == r.n_words - r.n_removed
 
 
-def test_substring_splits_and_small_batches(docs, monkeypatch):
-    monkeypatch.setattr(su, "GROUP_BYTES", 5000)
+def small(monkeypatch):
+    """Many groups, long prefixes, tiny stretches, and groups that are sorted in parts."""
+    for name, value in (("GROUP_SUFFIXES", 50), ("PREFIX_SUFFIXES", 4), ("MOST_SUFFIXES", 40), ("FLUSH_SUFFIXES", 100)):
+        monkeypatch.setattr(su, name, value)
+
+
+def test_substring_splits_and_small_stretches(docs, monkeypatch):
+    small(monkeypatch)
     assert sorted((key(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in su.remove_repeats(docs).collect()) == sorted(substring(pairs(docs)))
 
 
+@pytest.mark.parametrize("tiny", [False, True])
+def test_substring_one_prefix_in_half_of_all_suffixes(spark, monkeypatch, tiny):
+    if tiny:
+        small(monkeypatch)
+    r = np.random.default_rng(6)
+    rows = []
+    for i in range(60):
+        w = [x for k in r.integers(0, 40, 80) for x in ("the", f"v{k}")]
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, " ".join(rows[i][1].split(" ")[20:60]) + " tail") for i in range(0, 60, 7)]
+    rows += [(200, " ".join(["the"] * 3000)), (201, " ".join(["the"] * 40)), (202, None), (203, "the \t\n the")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = substring(rows)
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in su.remove_repeats(df).collect()) == sorted(want)
+    assert sum(x[2] for x in want) > 300
+
+
+def test_substring_code_is_exact():
+    """Coded sequences of words are equal just when the words are, and prefixes grow with the words' frequency."""
+    from tallyweld.llm.textkit import Block
+
+    words = [f"w{i}" for i in range(700)] + ["é" * 40, "x" * 300, "w", "1"]
+    code = su.Code([(w.encode(), 100_000 - i) for i, w in enumerate(words[:600])], 30_000_000)
+    text = " ".join(words).encode()
+    block = Block(slice(0, 1), np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    starts, ends, _ = block.words()
+    data, at, bits = code.encode(block, starts, ends)
+    coded = [data[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+    assert len(set(coded)) == len(words) and [len(x) for x in coded[:200]] == [1] * su.ONE + [2] * (200 - su.ONE)
+    assert not any(x != y and y.startswith(x) for x in coded for y in coded)  # no code begins another
+    assert (np.diff(bits[:600]) >= 0).all() and code.needed == int(np.ceil(np.log2(30_000_000 / su.PREFIX_SUFFIXES) * su.BIT))
+
+
 def test_substring_other_window(docs):
     assert sorted((key(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in su.remove_repeats(docs, window=4).collect()) == sorted(substring(pairs(docs), 4))
 
