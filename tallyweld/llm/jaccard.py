@@ -1,26 +1,31 @@
 """N-gram Jaccard join as a blocked sparse matrix product.
 
-Documents are rows and word n-grams columns of a 0/1 incidence matrix; the product with its
+Documents are rows and word n-grams columns of a 0/1 incidence matrix; its product with its
 transpose holds the overlap of every pair. Most of it need not be computed:
 
 1. `_incidence` makes the rows (sets of 64-bit n-gram fingerprints). Documents of equal sets share
-   a class key and only one row per class is multiplied.
+   a class and only one row per class is multiplied.
 2. `_columns` takes one block of columns and leaves the n-grams that two or more classes hold,
-   with their frequencies. An n-gram that a batch of documents already holds many times sends a
-   count instead of its classes and gets its frequency by an answer to the batch (`_answers`).
+   with their frequencies. An n-gram that a gathered stretch of documents holds many times is split
+   by stretch: it sends a count instead of its classes and gets its frequency by an answer to the
+   stretch (`_answers`). How many is many follows the number of stretches, so no column's entries
+   outgrow COLUMN_ENTRIES.
 3. `_rows` takes one block of rows. A class with n n-grams links only to classes that share at
    least ceil(n * similarity) of them: fewer shared ones, and it goes. Of the others the
    n - ceil(n * similarity) + 1 rarest n-grams are its prefix; two classes that link share an
-   n-gram of both prefixes.
-4. Pairs of classes that share a prefix n-gram and whose sizes, of the sets and of their shared
-   parts, allow a link get their overlap from the product of their two rows. Not all pairs of a
-   group are made: two rounds compare each class with one leader of its prefix n-grams, the one
-   with the fewest n-grams of its own, and join what links; then every pair that is still in
-   different components, and whose sketches are near enough for a link, is compared, so no link
-   between components is lost.
-
-Fingerprints of different n-grams, and keys of different sets, are equal with a chance of about
-n*n/2**65 for n of them.
+   n-gram of both prefixes, so the product of the prefix columns says which pairs are wanted.
+4. `_product` multiplies blocks of rows: a tile is a pair of row blocks with the wanted pairs in
+   it, and holds each of its rows once. It goes through the blocks of columns, adds each wanted
+   pair's overlap in the block to its count, and drops pairs whose count can't reach the bound that
+   follows from their sizes even if all their remaining n-grams are shared.
+5. Not all pairs of a group are wanted: two rounds compare each class with one leader of its prefix
+   n-grams, the one with the fewest n-grams of its own, and join what links; then every pair that
+   is still in different components, and whose sizes and sketches are near enough for a link, is
+   wanted, so no link between components is lost.
+
+Two classes are never taken for one: their keys of 64 bits are checked by as many other bits, and if
+any two differ there all is done again with other keys. Fingerprints of n-grams count within a pair
+only: an overlap of two documents with n and k n-grams is wrong with a chance of about n*k/2**64.
 """
 
 from __future__ import annotations
@@ -29,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
+from .grouped import by_group, partitions
 from .store import bounded_batches, materialize, total_bytes
 from .textkit import U64, blocks, gram_hashes, mix, ranges
 
@@ -40,8 +45,12 @@ from .textkit import U64, blocks, gram_hashes, mix, ranges
 GROUP_BYTES = 8 << 20
 #: N-grams that a task gathers before it deals them out.
 FLUSH_GRAMS = 400_000
-#: Classes of one n-gram in a gathered stretch from which on it sends a count only.
-HOT = 256
+#: Most entries of a column that go to one block, and the range of the number of classes in a
+#: stretch from which on a column is split by stretch.
+COLUMN_ENTRIES, LEAST_HOT, MOST_HOT = 1 << 21, 2, 256
+#: N-grams of a block of rows on average, bits of a fingerprint that tell a block of columns, and
+#: products of n-grams that a tile makes at a time.
+TILE_GRAMS, COLUMN_BITS, TILE_STEP = 1 << 20, 3, 1 << 21
 #: Bits of a class's sketch: bit i says whether an odd number of its shared n-grams fall on it. The
 #: bits in which two sketches differ are at most the n-grams in which the two sets differ.
 SKETCH = 512
@@ -67,38 +76,38 @@ def _cuts(x: np.ndarray) -> np.ndarray:
     return np.r_[0, np.flatnonzero(x[1:] != x[:-1]) + 1, len(x)] if len(x) else np.zeros(1, np.int64)
 
 
-def _sets(which: np.ndarray, grams: np.ndarray, n_docs: int) -> tuple[np.ndarray, ...]:
-    """Distinct n-grams by document, their number and the class key (0 for none)."""
+def _sets(which: np.ndarray, grams: np.ndarray, n_docs: int, salt: int) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams by document, their number, the class key (0 for none) and its check."""
     order = np.lexsort((grams, which))
     which, grams = which[order], grams[order]
     new = np.r_[True, (which[1:] != which[:-1]) | (grams[1:] != grams[:-1])] if len(which) else np.zeros(0, bool)
     which, grams = which[new], grams[new]
     sizes = np.bincount(which, minlength=n_docs)
-    keys = np.zeros(n_docs, np.uint64)
+    keys, checks = np.zeros(n_docs, np.uint64), np.zeros(n_docs, np.uint64)
     some = np.flatnonzero(sizes)
     if len(some):
         at = np.r_[0, np.cumsum(sizes[some])[:-1]]
         with np.errstate(over="ignore"):
-            one = np.add.reduceat(mix(grams ^ U64(0x5851F42D4C957F2D)), at)
-            two = np.add.reduceat(mix(grams + U64(0x14057B7EF767814F)), at)
+            one, two, three, four = (np.add.reduceat(mix(mix(grams + U64(4 * salt + i)) ^ U64(0x5851F42D4C957F2D)), at) for i in range(4))
             keys[some] = mix(one + mix(two + sizes[some].astype(np.uint64))) | U64(1)
-    return which, grams, sizes, keys.view(np.int64)
+            checks[some] = mix(three + mix(four))
+    return which, grams, sizes, keys.view(np.int64), checks.view(np.int64)
 
 
-def _incidence(n: int, groups: int):
+def _incidence(n: int, groups: int, hot_from: int, salt: int):
     def deal(ids, which, grams) -> Iterator[pa.RecordBatch]:
-        which, grams, sizes, keys = _sets(which, grams, len(ids))
-        rows = [_row(_DOCS, -1 - int(keys[0] % groups), np.stack([ids, sizes, keys]), grams[:0], grams[:0])]
+        which, grams, sizes, keys, checks = _sets(which, grams, len(ids), salt)
+        rows = [_row(_DOCS, -1 - int(keys[0] % groups), np.stack([ids, sizes, keys, checks]), grams[:0], grams[:0])]
         _, first = np.unique(keys, return_index=True)
         take = np.isin(which, first)
         which, grams = which[take], grams[take]
         order = np.lexsort((which, grams))
         cuts = _cuts(grams[order])
         counts = np.diff(cuts)
-        hot = np.repeat(counts >= HOT, counts)
+        hot = np.repeat(counts >= hot_from, counts)
         stretch = int(np.add.reduce(keys[first])) if hot.any() else 0  # the same whenever this stretch is gathered again
         block = lambda g: (g % U64(groups)).astype(np.int64)
-        for park in np.split(order[hot], np.cumsum(counts[counts >= HOT])[:-1]) if hot.any() else []:
+        for park in np.split(order[hot], np.cumsum(counts[counts >= hot_from])[:-1]) if hot.any() else []:
             gram = grams[park[:1]]
             rows.append(_row(_PARKED, -1 - stretch % groups, np.stack([keys[which[park]], sizes[which[park]]]), gram, np.array([stretch])))
             rows.append(_row(_COUNTS, int(block(gram)[0]), np.array([len(park)]), gram, np.array([stretch])))
@@ -150,30 +159,12 @@ def _shared(keys, sizes, grams, freq, groups: int) -> list[tuple]:
     return out
 
 
-def _whole(f):
-    """f over all rows of a partition at once; a partition is one block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if held:
-            yield from f(pa.Table.from_batches(held)).to_batches()
-
-    return run
-
-
-def _blocks(df: DataFrame, groups: int) -> DataFrame:
-    """One block a partition: blocks are of like size, and hashing them to fewer partitions would not be even."""
-    return df.repartitionById(groups, F.when(F.col("grp") < 0, -1 - F.col("grp")).otherwise(F.col("grp")).cast("int"))
-
-
 def _columns(groups: int):
-    def run(table: pa.Table) -> pa.Table:
-        known = pc.less(table.column("grp"), 0)
-        passed, table = table.filter(known), table.filter(pc.invert(known))
-        rows = table.to_pylist()
-        del table
-        if not rows:
-            return passed
+    def run(group: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if group < 0:  # for others
+            yield from batches
+            return
+        rows = pa.Table.from_batches(list(batches)).to_pylist()
         posted = [r for r in rows if r["kind"] == _POSTINGS]
         counted = [r for r in rows if r["kind"] == _COUNTS]
         heads = np.concatenate([np.frombuffer(r["head"], np.int64).reshape(3, -1) for r in posted] or [np.zeros((3, 0), np.int64)], axis=1)
@@ -207,7 +198,7 @@ def _columns(groups: int):
         for r, i in zip(counted, at if counted else [], strict=True):
             stretch = int(np.frombuffer(r["more"], np.int64)[0])
             out.append((_ANSWER, -1 - stretch % groups, np.array([total[i]]).tobytes(), r["grams"], r["more"]))
-        return pa.concat_tables([passed, _batch(out)])
+        yield from _batch(out).to_batches()
 
     return run
 
@@ -228,8 +219,8 @@ def _answers(groups: int):
 
 
 def _rows(percent: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
+    def run(group: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches)).to_pylist()
         heads = np.concatenate([np.frombuffer(r["head"], np.int64).reshape(3, -1) for r in rows], axis=1)
         grams = np.concatenate([np.frombuffer(r["grams"], np.uint64) for r in rows])
         freq = np.concatenate([np.frombuffer(r["more"], np.uint32) for r in rows])
@@ -251,7 +242,7 @@ def _rows(percent: int):
         sketch = np.packbits((np.bincount(place, minlength=int(good.sum()) * SKETCH) % 2).astype(bool)).view(np.int64).reshape(-1, SKETCH // 64)
         rare = grams[np.lexsort((grams, freq, key))].view(np.int64)
         prefix = [rare[b - s : b - m + 1] for b, s, m in zip(end, shared[good], least[good], strict=True)]
-        return pa.table({
+        yield pa.record_batch({
             "key": keys[good], "n": sizes[good], "m": shared[good],
             "grams": pa.array([grams[b - s : b].tobytes() for b, s in zip(end, shared[good], strict=True)], pa.binary()),
             "prefix": pa.array(prefix, pa.list_(pa.int64())), "sketch": pa.array(list(sketch), pa.list_(pa.int64())),
@@ -263,27 +254,67 @@ def _rows(percent: int):
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for head in batch.column("head").to_pylist():
-            ids, sizes, keys = np.frombuffer(head, np.int64).reshape(3, -1)
-            yield pa.record_batch({"doc_id": ids, "n": sizes, "key": pa.array(keys, mask=sizes == 0)})
-
+            ids, sizes, keys, checks = np.frombuffer(head, np.int64).reshape(4, -1)
+            yield pa.record_batch({"doc_id": ids, "n": sizes, "key": pa.array(keys, mask=sizes == 0), "check": checks})
+
+
+_TILE = "grp long, side int, key long, n long, grams binary, b long"
+_ROW_A, _ROW_B, _PAIR = range(3)
+
+
+def _tile(percent: int):
+    """The linked ones of a tile's wanted pairs."""
+
+    def run(group: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        side, key = table["side"].to_numpy(), table["key"].to_numpy()
+        wanted = np.flatnonzero(side == _PAIR)
+        sides = []
+        for kind, asked in ((_ROW_A, key[wanted]), (_ROW_B, table["b"].to_numpy()[wanted])):
+            at = np.flatnonzero(side == kind)
+            at = at[np.argsort(key[at])]
+            blobs = table["grams"].take(pa.array(at)).to_pylist()
+            size = np.array([len(x) // 8 for x in blobs])
+            grams = np.frombuffer(b"".join(blobs), np.uint64)
+            row = np.repeat(np.arange(len(at)), size)
+            sides.append((grams, row, np.searchsorted(key[at], asked), table["n"].to_numpy()[at], size))
+        (grams_a, row_a, of_a, n_a, left_a), (grams_b, row_b, of_b, n_b, left_b) = sides
+        need = -(-percent * (n_a[of_a] + n_b[of_b]) // (100 + percent))
+        count = np.zeros(len(wanted), np.int64)
+        alive = np.flatnonzero(np.minimum(left_a[of_a], left_b[of_b]) >= need)
+        block_a, block_b = grams_a >> U64(64 - COLUMN_BITS), grams_b >> U64(64 - COLUMN_BITS)
+        for column in range(1 << COLUMN_BITS):
+            if not len(alive):
+                break
+            in_a, in_b = block_a == U64(column), block_b == U64(column)
+            names, ids = np.unique(np.r_[grams_a[in_a], grams_b[in_b]], return_inverse=True)
+            a, b = ids[: in_a.sum()], ids[in_a.sum() :]
+            cells = row_b[in_b] * len(names) + b  # rows in order, and the n-grams of each: sorted
+            size_a, size_b = np.bincount(row_a[in_a], minlength=len(n_a)), np.bincount(row_b[in_b], minlength=len(n_b))
+            begin = np.r_[0, np.cumsum(size_a)]
+            step = np.cumsum(size_a[of_a[alive]]) // TILE_STEP
+            for part in np.split(alive, np.flatnonzero(np.diff(step)) + 1):
+                own = of_a[part]
+                product = np.repeat(of_b[part], size_a[own]) * len(names) + a[ranges(begin[own], size_a[own])]
+                place = np.minimum(np.searchsorted(cells, product), max(len(cells) - 1, 0))
+                hit = cells[place] == product if len(cells) else np.zeros(len(product), bool)
+                count[part] += np.bincount(np.repeat(np.arange(len(part)), size_a[own]), hit, len(part)).astype(np.int64)
+            left_a, left_b = left_a - size_a, left_b - size_b
+            alive = alive[count[alive] + np.minimum(left_a[of_a[alive]], left_b[of_b[alive]]) >= need[alive]]
+        linked = alive[count[alive] >= need[alive]]
+        yield pa.record_batch({"a": key[wanted][linked], "b": table["b"].to_numpy()[wanted][linked]})
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        both = []
-        for x, y in zip(batch.column("grams_a"), batch.column("grams_b"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            both.append(int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()))
-        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "n_a": batch.column("n_a"), "n_b": batch.column("n_b"), "overlap": pa.array(both, pa.int64())})
+    return run
 
 
-def _links(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Those pairs of classes (a, b) whose sets are similar enough."""
-    side = lambda x: rows.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("grams").alias(f"grams_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    found = both.select("a", "b", "n_a", "n_b", "grams_a", "grams_b").mapInArrow(_overlaps, "a long, b long, n_a long, n_b long, overlap long")
-    return found.filter(f"100 * overlap >= {percent} * (n_a + n_b - overlap)").select("a", "b")
+def _product(pairs: DataFrame, rows: DataFrame, percent: int, row_blocks: int, tasks: int) -> DataFrame:
+    """Those wanted pairs of classes (a, b) whose sets are similar enough."""
+    of = lambda c: F.pmod(F.xxhash64(c), F.lit(row_blocks))
+    tiled = materialize(pairs.select("a", "b", (of("a") * row_blocks + of("b")).alias("grp")), "pairs")
+    asked = tiled.select("grp", F.lit(_ROW_A).alias("side"), F.col("a").alias("key")).union(tiled.select("grp", F.lit(_ROW_B), "b")).distinct()
+    given = asked.join(rows.select("key", "n", "grams"), "key").select("grp", "side", "key", "n", "grams", F.lit(0).cast("long").alias("b"))
+    wanted = tiled.select("grp", F.lit(_PAIR).alias("side"), F.col("a").alias("key"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("binary").alias("grams"), "b")
+    return by_group(given.union(wanted), _tile(percent), "a long, b long", tasks)
 
 
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -297,27 +328,45 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(labels.join(found, labels["comp"] == found["v"], "left").select("key", F.coalesce("label", "comp").alias("comp")), "comps")
 
 
+def _matrix(base: DataFrame, n: int, groups: int, tasks: int, hot_from: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The blocks of columns, all documents (doc_id, n, key) and the classes (key, least: their smallest doc_id)."""
+    for salt in range(8):
+        matrix = materialize(by_group(base.mapInArrow(_incidence(n, groups, hot_from, salt), _KIND), _columns(groups), _KIND, tasks), "matrix")
+        listed = materialize(matrix.filter(F.col("kind") == _DOCS).select("head").mapInArrow(_documents, "doc_id long, n long, key long, check long"), "listed")
+        classes = materialize(listed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), (F.min("check") < F.max("check")).alias("mixed")), "classes")
+        if classes.filter("mixed").isEmpty():
+            return matrix, listed, classes.drop("mixed")
+    raise RuntimeError("different sets share a key under each of eight salts")
+
+
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (smallest id reachable by links).
 
     Two documents link when 100 * |A and B| >= percent * |A or B| of their sets of n-word
     shingles (A-Z folded). Texts with fewer words are one shingle. A null or wordless text has no
     shingle and links with nothing, so its component is its own id. A null id counts as the
-    smallest long. Rows of equal id each count; their component is the least they reach together
-    by text. Other columns are not read. No rows in, no rows out.
+    smallest long, -2**63, and a real id of that value comes back as null. Rows of equal id each
+    count; their component is the least they reach together by text. Very long texts are read
+    whole, one at a time. Other columns are not read. No rows in, no rows out.
     """
     spark = docs.sparkSession
-    bounded_batches(docs.sparkSession)
+    bounded_batches(spark)
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    groups = max(4, total_bytes(base, "text") // GROUP_BYTES)
-    matrix = materialize(_blocks(base.mapInArrow(_incidence(n, groups), _KIND), groups).mapInArrow(_whole(_columns(groups)), _KIND), "matrix")
+    total = total_bytes(base, "text")
+    groups = max(4, total // GROUP_BYTES)
+    tasks = partitions(spark, groups, total)
+    stretches = 1 + total // (6 * FLUSH_GRAMS)  # a word and its space take six bytes, about
+    hot_from = min(MOST_HOT, max(LEAST_HOT, COLUMN_ENTRIES // stretches))
+    matrix, listed, classes = _matrix(base, n, groups, tasks, hot_from)
     kept = matrix.filter(F.col("kind") == _SHARED)
     if not matrix.filter(F.col("kind") == _PARKED).isEmpty():
         kept = kept.union(matrix.filter(F.col("kind").isin(_PARKED, _ANSWER)).groupBy("more").applyInArrow(_answers(groups), _KIND))
-    rows = materialize(_blocks(kept, groups).mapInArrow(_whole(_rows(percent)), "key long, n long, m long, grams binary, prefix array<long>, sketch array<long>"), "rows")
+    rows = materialize(by_group(kept, _rows(percent), "key long, n long, m long, grams binary, prefix array<long>, sketch array<long>", tasks), "rows")
+    row_blocks = 1 + (rows.agg(F.sum("m")).first()[0] or 0) // TILE_GRAMS
 
     post = materialize(rows.select("key", "n", "m", F.explode("prefix").alias("gram")), "prefixes")
-    labels = rows.select("key", F.col("key").alias("comp"))
+    # a component is known by its class with the smallest doc_id; keys tell classes of one id apart
+    labels = materialize(rows.select("key").join(classes, "key").select("key", F.struct("least", "key").alias("comp")), "comps")
     # an overlap is at most the smaller set, and at most what either set shares with any other
     most = "least(n_a, n_b, m_a, m_b)"
     fits = f"100 * {most} >= {percent} * (n_a + n_b - {most})"
@@ -336,12 +385,9 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str =
             apart = " + ".join(["n_a - m_a + n_b - m_b", *(f"bit_count(bits{i} ^ bits{i}_b)" for i in range(SKETCH // 64))])
             near = f"{100 + percent} * ({apart}) <= {100 - percent} * (n_a + n_b)"
             pairs = left.join(other, "gram").filter("comp_a < comp_b").filter(fits).filter(near).select("a", "b").distinct()
-        labels = _merge(labels, _links(pairs, rows, percent))
+        labels = _merge(labels, _product(pairs, rows, percent, row_blocks, tasks))
 
-    listed = matrix.filter(F.col("kind") == _DOCS).select("head").mapInArrow(_documents, "doc_id long, n long, key long")
-    classes = listed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")).join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    least = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    found = classes.select("key", "comp").join(least, "comp").select("key", "component_id")
+    found = classes.join(labels, "key", "left").select("key", F.coalesce("comp.least", "least").alias("component_id"))
     out = listed.join(found, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     null = lambda c: F.when(F.col(c) != -(2**63), F.col(c)).alias(c)
     return out.select(null("doc_id"), "n_shingles", null("component_id"))
