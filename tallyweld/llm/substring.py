@@ -4,27 +4,27 @@ Every word position starts a suffix. A window of `window` words is removed where
 sequence also starts in a document with a smaller id, so trees are built down to that depth and
 their deep internal nodes are those of depth `window` with suffixes of two or more documents.
 
-1. `_count` counts words. Frequent ones get codes of one or two bytes, all others stand for
-   themselves, so a coded suffix is short and two are equal just when their words are.
-2. `_deal` cuts each suffix to `window` words and deals it by a prefix of variable length: words are
-   added until, by their counts, fewer than PREFIX_SUFFIXES suffixes are expected to share it. A
-   group holds the subtrees of some prefixes, about GROUP_SUFFIXES suffixes. A stretch of documents
-   that a task has gathered sends, of each path, its smallest document's suffixes; the others are
-   known to repeat it, so a passage that a third of all documents share sends one entry a stretch.
-3. `_subtree` sorts a group's suffixes. Neighbours that agree in all words hang below one deep
-   node; all of them but those of its smallest document are repeats. A group that grows beyond
-   MOST_SUFFIXES is sorted in parts, between which only the smallest document of each path stays.
-4. Marked positions go back to their documents (`_merge`), where runs of them are the maximal repeats.
-
-Groups are dealt in ROUNDS rounds, each of which reads the texts and ends in a written table of
-marks, so the coded suffixes of one round only are on disk at a time.
+1. `_anchors` finds the prefix that deals a suffix to a group. A prefix has as many words as it
+   takes to PREFIX_CHARS characters, so frequent words, which are short, make longer ones. Of the
+   prefixes that lie in a suffix's window it is the one with the least hash, so neighbours mostly
+   have it in common and travel as one fragment of text instead of `window` words each.
+2. `_crowds` counts prefixes. Those of more than MOST_SUFFIXES suffixes are lengthened to the whole
+   window, so groups fit a task's memory.
+3. `_deal` gathers stretches of documents and sends each group its fragments, compressed. Of equal fragments of
+   a stretch only the smallest document's is sent; the others are known to repeat it, so a passage
+   that a third of all documents share sends one fragment a stretch.
+4. `_subtree` cuts a group's fragments into suffixes and sorts those that are not alone with their
+   fingerprint. Neighbours that agree in all words hang below one deep node; all of them but those
+   of its smallest document are repeats.
+5. Marked positions go back to their documents (`_merge`), where runs of them are the maximal repeats.
+
+A group holds about GROUP_SUFFIXES suffixes and is worked on alone; groups are many to a task.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +33,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from .grouped import by_group, partitions
 from .store import bounded_batches, materialize, total_bytes
-from .textkit import _SPACE, U64, Block, blocks, gram_hashes, mix, ranges
-
-#: Words with one byte, and with two bytes, of their own; the first byte 255 starts any other word.
-ONE, TWO = 192, 63 * 256
-#: Longest word, in bytes, with a code of its own, and the share of a task's words from which on it is counted.
-CODED_BYTES, COUNTED_SHARE = 64, 2.0**-17
-#: Suffixes that one prefix is expected to have at most, suffixes of a group on average, and those that are sorted at a time.
-PREFIX_SUFFIXES, GROUP_SUFFIXES, MOST_SUFFIXES = 1 << 14, 1 << 18, 1 << 21
-#: Suffixes that a task gathers before it deals them out.
-FLUSH_SUFFIXES = 400_000
-ROUNDS = 3
-#: Units of one bit of a word's logarithmic share: whole numbers add up alike wherever a suffix stands.
-BIT = 256
-
-_DEALT = "grp long, heads binary, pos binary, sizes binary, paths binary"
+from .textkit import _SPACE, U64, Block, blocks, gram_hashes, mix, ranges, slice_hashes
+
+#: Characters after which a prefix is long enough to tell groups apart.
+PREFIX_CHARS = 10
+#: Suffixes of a group on average, those that a prefix may have, and prefixes that are lengthened at most (8 bytes
+#: each go to every task; beyond, the least crowded stay as they are).
+GROUP_SUFFIXES, MOST_SUFFIXES, MOST_HEAVY = 1 << 18, 1 << 19, 1 << 20
+#: Suffixes that a task gathers before it deals them out, and bytes of fragments that are cut into suffixes at a time.
+FLUSH_SUFFIXES, CUT_BYTES = 400_000, 1 << 20
+_NONE = U64(2**64 - 1)
+
+_DEALT = "grp long, heads binary, pos binary, counts binary, sizes binary, words binary"
 _MARKED = "doc_id long, fp long, marks binary"
 
 
@@ -61,11 +58,11 @@ def _from_planes(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, np.uint16, n).astype(np.int64) | np.frombuffer(blob, np.uint16, n, 2 * n).astype(np.int64) << 16
 
 
-def _rows(grp: list, heads: list, pos: list, sizes: list | None = None, paths: list | None = None) -> Iterator[pa.RecordBatch]:
+def _rows(grp: list, heads: list, pos: list, counts: list | None = None, sizes: list | None = None, words: list | None = None) -> Iterator[pa.RecordBatch]:
     nothing = [None] * len(grp)
-    columns = [pa.array(grp, pa.int64()), *(pa.array(nothing if x is None else x, pa.binary()) for x in (heads, pos, sizes, paths))]
+    columns = [pa.array(grp, pa.int64()), *(pa.array(nothing if x is None else x, pa.binary()) for x in (heads, pos, counts, sizes, words))]
     if grp:
-        yield pa.record_batch(columns, names=["grp", "heads", "pos", "sizes", "paths"])
+        yield pa.record_batch(columns, names=["grp", "heads", "pos", "counts", "sizes", "words"])
 
 
 def _cuts(x: np.ndarray) -> np.ndarray:
@@ -90,87 +87,107 @@ def _marks(docs: np.ndarray, fps: np.ndarray, which: np.ndarray, pos: np.ndarray
     yield from _rows([-1 - int(group[a]) for a, _ in at], [_head(docs, fps, which[a:b]) for a, b in at], [_planes(pos[a:b]) for a, b in at])
 
 
+def _steps(begin: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of things that lie at begin[i]:begin[i + 1], each of `most` bytes or one thing."""
+    at, n = 0, len(begin) - 1
+    while at < n:
+        to = min(n, max(at + 1, int(np.searchsorted(begin, begin[at] + most, "right")) - 1))
+        yield at, to
+        at = to
+
+
 def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.LargeBinaryArray:
     """An Arrow array of byte strings that lie back to back."""
     offsets = np.r_[np.int64(0), np.cumsum(sizes, dtype=np.int64)]
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def _words(block: Block, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
-    return _binary(block.data[~_SPACE[block.data]], ends - starts)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n) of a task's frequent words; the null word counts all."""
-    parts, total = [], 0
-
-    def summed(parts):
-        return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
-
-    for batch in batches:
-        for block in blocks(batch):
-            starts, ends, _ = block.words()
-            total += len(starts)
-            found = pc.value_counts(_words(block, starts, ends))
-            parts.append(pa.table({"word": found.field(0), "n": found.field(1)}))
-            if len(parts) >= 16:
-                parts = [summed(parts)]
-    yield pa.record_batch({"word": pa.array([None], pa.binary()), "n": pa.array([total])})
-    if parts:
-        found = summed(parts)
-        found = found.filter(pc.and_(pc.less_equal(pc.binary_length(found["word"]), CODED_BYTES), pc.greater_equal(found["n"], total * COUNTED_SHARE)))
-        yield from pa.table({"word": found["word"].cast(pa.binary()), "n": found["n"]}).to_batches()
-
-
-class Code:
-    """Codes of words by frequency, and how many bits each word adds to a prefix."""
-
-    def __init__(self, counted: list[tuple[bytes, int]], total: int):
-        counted = sorted(counted, key=lambda x: (-x[1], x[0]))[: ONE + TWO]
-        self.words = [w for w, _ in counted]
-        share = np.array([n for _, n in counted] + [max(1.0, counted[-1][1] / 2) if counted else 1.0]) / max(1, total)
-        self.bits = np.maximum(1, np.rint(-np.log2(np.minimum(share, 1.0)) * BIT)).astype(np.int64)
-        self.needed = int(np.ceil(np.log2(max(1.0, total / PREFIX_SUFFIXES)) * BIT))
-
-    def encode(self, block: Block, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Coded words back to back, where each begins (and the end), and the bits of each."""
-        words = _words(block, starts, ends)
-        n = len(self.words)
-        code = pc.index_in(words, value_set=pa.array(self.words, pa.large_binary())).fill_null(n).to_numpy() if n else np.zeros(len(starts), np.int32)
-        rare, two = code == n, (code >= ONE) & (code < n)
-        length = ends - starts
-        size = np.where(rare, length + 2, np.where(two, 2, 1))
-        at = np.r_[np.int64(0), np.cumsum(size)]
-        out = np.empty(at[-1], np.uint8)
-        begin = at[:-1]
-        out[begin] = np.where(rare, 255, np.where(two, ONE + (code - ONE) // 256, code))
-        out[begin[two] + 1] = (code[two] - ONE) % 256
-        out[ranges(begin[rare] + 1, length[rare])] = block.data[ranges(starts[rare], length[rare])]
-        out[at[1:][rare] - 1] = 32  # no word holds a space
-        return out, at, self.bits[code]
-
-
-def _deal(code: Code, window: int, groups: int, turn: int, rounds: int, flush: int):
-    def deal(docs, fps, which, pos, sizes, data, prefix) -> Iterator[pa.RecordBatch]:
-        """One gathered stretch of documents: docs, fps by document; the rest by suffix."""
-        path = _binary(data, sizes).dictionary_encode().indices.to_numpy()
+def _spaced(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The block's text with one space between a document's words, and where each word begins in it."""
+    space = _SPACE[block.data]
+    keep = ~space
+    keep[1:] |= ~space[:-1]  # the separator that ends a word
+    data = np.where(space, np.uint8(32), block.data)[keep]
+    return data, (np.cumsum(keep) - 1)[starts]
+
+
+def _anchors(heavy: np.ndarray, window: int, block: Block, starts, ends, first) -> tuple[np.ndarray, ...]:
+    """Of all suffixes of a block: number of the document, position, prefix (its hash) and where that begins."""
+    n = len(starts)
+    counts = np.maximum(np.diff(first) - window + 1, 0)
+    at = ranges(first[:-1], counts)
+    so_far = np.r_[np.int64(0), np.cumsum(ends - starts)]
+    everywhere = np.arange(n)
+    stop = np.searchsorted(so_far, so_far[:-1] + PREFIX_CHARS)
+    hashes = block.word_hashes(starts, ends)
+    # the place in the window takes a hash's low bits, so the least one says it, and the first of equals
+    low = U64((1 << window.bit_length()) - 1)
+    prefix = gram_hashes(hashes, everywhere, np.minimum(stop, n)) & ~low
+    long = (stop - everywhere).clip(max=window + 1).astype(np.int16)
+    long[stop > n] = window + 1
+    m = max(n - window + 1, 0)  # windows that cross into the next document are left out below
+    key = np.full(m, _NONE)
+    for i in range(window):
+        own = prefix[i : i + m] + U64(i)
+        own[long[i : i + m] > window - i] = _NONE
+        np.minimum(key, own, out=key)
+    key = key[at]
+    alone = key == _NONE
+    anchor = at + (key & low).astype(np.int64)
+    key &= ~low
+    if len(heavy):
+        alone |= heavy[np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)] == key
+    alone = np.flatnonzero(alone)
+    key[alone], anchor[alone] = gram_hashes(hashes, at[alone], at[alone] + window), at[alone]
+    return np.repeat(np.arange(len(counts)), counts), at, key, anchor
+
+
+def _crowds(window: int, least: int):
+    """(prefix, n): prefixes that a stretch of suffixes has `least` times or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def counted():
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.record_batch({"prefix": key[n >= least].view(np.int64), "n": n[n >= least]})
+
+        for batch in batches:
+            for block in blocks(batch):
+                starts, ends, first = block.words()
+                if len(starts):
+                    held.append(_anchors(np.zeros(0, np.uint64), window, block, starts, ends, first)[2])
+                    size += len(held[-1])
+                if size >= FLUSH_SUFFIXES:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    return run
+
+
+def _deal(heavy: np.ndarray, window: int, groups: int, flush: int):
+    def deal(docs, fps, which, pos, count, size, data, prefix) -> Iterator[pa.RecordBatch]:
+        """One gathered stretch of documents: docs, fps by document; the rest by fragment."""
+        same = _binary(data, size).dictionary_encode().indices.to_numpy()
         ids = docs[which]
-        order = np.lexsort((ids, path))
-        cuts = _cuts(path[order])
-        least = np.empty(len(path), np.int64)
+        order = np.lexsort((ids, same))
+        cuts = _cuts(same[order])
+        least = np.empty(len(same), np.int64)
         least[order] = np.repeat(ids[order][cuts[:-1]], np.diff(cuts))
         covered = np.flatnonzero(ids != least)
-        yield from _marks(docs, fps, which[covered], pos[covered], groups)
+        yield from _marks(docs, fps, np.repeat(which[covered], count[covered]), ranges(pos[covered], count[covered]), groups)
         take = np.flatnonzero(ids == least)
         group = (prefix[take] % U64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         take, group = take[order], group[order]
-        begin = np.r_[np.int64(0), np.cumsum(sizes)][take]
+        begin = np.r_[np.int64(0), np.cumsum(size)][take]
         cuts = _cuts(group)
-        paths = data[ranges(begin, sizes[take])].tobytes()
-        ends = np.r_[np.int64(0), np.cumsum(sizes[take])][cuts]
-        at = list(zip(cuts[:-1], cuts[1:], strict=True))
-        yield from _rows([int(group[a]) for a, _ in at], [_head(docs, fps, which[take[a:b]]) for a, b in at], [_planes(pos[take[a:b]]) for a, b in at], [_planes(sizes[take[a:b]]) for a, b in at], [paths[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)])
+        words = data[ranges(begin, size[take])].tobytes()
+        ends = np.r_[np.int64(0), np.cumsum(size[take])][cuts]
+        at = [take[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        yield from _rows([int(g) for g in group[cuts[:-1]]], [_head(docs, fps, which[x]) for x in at], [_planes(pos[x]) for x in at], [count[x].astype(np.uint16).tobytes() for x in at], [_planes(size[x]) for x in at], [pa.compress(words[x:y], codec="zstd", asbytes=True) for x, y in zip(ends[:-1], ends[1:], strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, n_docs = [], 0, 0
@@ -178,21 +195,18 @@ def _deal(code: Code, window: int, groups: int, turn: int, rounds: int, flush: i
             all_ids, all_fps = batch.column("doc_id").to_numpy(), batch.column("fp").to_numpy()
             for block in blocks(batch):
                 starts, ends, first = block.words()
-                counts = np.maximum(np.diff(first) - window + 1, 0)
-                at = ranges(first[:-1], counts)
-                if not len(at):
+                if not (np.diff(first) >= window).any():
                     continue
-                coded, begin, bits = code.encode(block, starts, ends)
-                so_far = np.r_[np.int64(0), np.cumsum(bits)]
-                stop = np.searchsorted(so_far, so_far[at] + code.needed)
-                stop = np.clip(stop, at + 1, at + window)
-                prefix = gram_hashes(block.word_hashes(starts, ends), at, stop)
-                own = np.flatnonzero((prefix >> U64(32)) % U64(rounds) == U64(turn))
-                which, at = np.repeat(np.arange(len(counts)), counts)[own], at[own]
-                sizes = begin[at + window] - begin[at]
-                held.append((all_ids[block.rows], all_fps[block.rows], which + n_docs, at - first[:-1][which], sizes, coded[ranges(begin[at], sizes)], prefix[own]))
-                n_docs += len(counts)
-                size += len(at)
+                which, at, prefix, anchor = _anchors(heavy, window, block, starts, ends, first)
+                data, begin = _spaced(block, starts)
+                cuts = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (prefix[1:] != prefix[:-1]) | (which[1:] != which[:-1])])
+                count = np.diff(np.r_[cuts, len(at)])
+                which, at, prefix = which[cuts], at[cuts], prefix[cuts]
+                last = at + count + window - 2
+                bytes_ = begin[last] + ends[last] - starts[last] - begin[at]
+                held.append((all_ids[block.rows], all_fps[block.rows], which + n_docs, at - first[:-1][which], count, bytes_, data[ranges(begin[at], bytes_)], prefix))
+                n_docs += len(first) - 1
+                size += int(count.sum())
                 if size >= flush:
                     yield from deal(*(np.concatenate(x) for x in zip(*held, strict=True)))
                     held, size, n_docs = [], 0, 0
@@ -202,50 +216,58 @@ def _deal(code: Code, window: int, groups: int, turn: int, rounds: int, flush: i
     return run
 
 
-def _subtree(groups: int, most: int):
+def _subtree(groups: int, window: int):
     """The repeats of one group's suffixes, by group of documents; what was known before passes."""
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for r in batch.to_pylist():
                 doc, fp, n = np.frombuffer(r["heads"], np.int64).reshape(3, -1)
-                yield np.repeat(doc, n), np.repeat(fp, n), _from_planes(r["pos"]), _from_planes(r["sizes"]), np.frombuffer(r["paths"], np.uint8)
-
-    def nodes(ids, fps, pos, sizes, data) -> tuple[np.ndarray, np.ndarray, tuple]:
-        """Places of suffixes below a deep node but of its smallest document, and all others."""
-        paths = _binary(data, sizes)
-        order = pc.array_sort_indices(paths).to_numpy()
-        ordered = paths.take(pa.array(order))
-        deep = pc.equal(ordered.slice(1), ordered.slice(0, len(ordered) - 1)).to_numpy(zero_copy_only=False)  # neighbours with a common prefix of all words
-        node = np.r_[0, np.flatnonzero(~deep) + 1]
-        least = np.repeat(np.minimum.reduceat(ids[order], node), np.diff(np.r_[node, len(order)]))
-        again = ids[order] != least
-        return order[again], order[~again]
+                sizes = _from_planes(r["sizes"])
+                words = pa.decompress(r["words"], int(sizes.sum()), codec="zstd")
+                yield np.repeat(doc, n), np.repeat(fp, n), _from_planes(r["pos"]), np.frombuffer(r["counts"], np.uint16).astype(np.int64), sizes, np.frombuffer(words, np.uint8)
+
+    def cut(data: np.ndarray, size: np.ndarray, count: np.ndarray, number: int, offset: int) -> tuple[np.ndarray, ...]:
+        """The suffixes of some fragments: number of the fragment, start, length and fingerprint."""
+        ends = np.cumsum(size)
+        mark = data == 32
+        starts = np.zeros(len(data) + 1, bool)
+        starts[1:] = mark
+        starts[0] = True
+        starts[ends[:-1]] = True  # fragments follow each other without a space
+        word = np.flatnonzero(starts[:-1])
+        stop = np.r_[word[1:], len(data)] - np.r_[mark[word[1:] - 1], False]
+        first = np.r_[np.int64(0), np.cumsum(count + window - 1)[:-1]]
+        at = ranges(first, count)
+        a, b = word[at], stop[at + window - 1]
+        return np.repeat(np.arange(number, number + len(count)), count), a + offset, b - a, slice_hashes(data, a, b)
 
     def run(group: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if group < 0:
             yield from batches
             return
-        held, size = [], 0
-
-        def settle():
-            ids, fps, pos, sizes, data = (np.concatenate(x) for x in zip(*held, strict=True))
-            again, left = nodes(ids, fps, pos, sizes, data)
-            left.sort()
-            begin = np.r_[np.int64(0), np.cumsum(sizes)]
-            held[:] = [(ids[left], fps[left], pos[left], sizes[left], data[ranges(begin[left], sizes[left])])]
-            order = again[np.lexsort((fps[again], ids[again]))]
-            i, f = ids[order], fps[order]
-            new = np.r_[True, (i[1:] != i[:-1]) | (f[1:] != f[:-1])] if len(i) else np.zeros(0, bool)
-            yield from _marks(i[new], f[new], np.cumsum(new) - 1, pos[order], groups)
-
-        for part in parts(batches):
-            held.append(part)
-            size += len(part[0])
-            if size >= most:
-                yield from settle()
-                size = len(held[0][0]) // 2  # distinct paths count half, or every further row would sort them all
-        yield from settle()
+        docs, fps, pos, count, size, data = (np.concatenate(x) for x in zip(*parts(batches), strict=True))
+        begin = np.r_[np.int64(0), np.cumsum(size)]
+        found = [cut(data[begin[a] : begin[b]], size[a:b], count[a:b], a, begin[a]) for a, b in _steps(begin, CUT_BYTES)]
+        fragment, start, length, print_ = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(print_, kind="stable")
+        ordered = print_[order]
+        twice = ordered[1:] == ordered[:-1]
+        some = np.sort(order[np.r_[twice, False] | np.r_[False, twice]])
+        if not len(some):
+            return
+        suffixes = _binary(data[ranges(start[some], length[some])], length[some])
+        order = pc.array_sort_indices(suffixes).to_numpy()
+        ordered = suffixes.take(pa.array(order))
+        deep = pc.equal(ordered.slice(1), ordered.slice(0, len(ordered) - 1)).to_numpy(zero_copy_only=False)  # neighbours with a common prefix of all words
+        node = np.r_[0, np.flatnonzero(~deep) + 1]
+        some = some[order]
+        ids = docs[fragment[some]]
+        least = np.repeat(np.minimum.reduceat(ids, node), np.diff(np.r_[node, len(some)]))
+        again = np.sort(some[ids != least])
+        own = fragment[again]
+        place = pos[own] + again - np.r_[np.int64(0), np.cumsum(count)][own]
+        yield from _marks(docs, fps, own, place, groups)
 
     return run
 
@@ -321,13 +343,18 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     bounded_batches(spark)
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = base.withColumn("fp", F.xxhash64("text"))
-    counted = materialize(base.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = counted.filter("word is null").agg(F.sum("n")).first()[0] or 0
-    code = Code([(bytes(r.word), r.n) for r in counted.filter("word is not null").orderBy(F.desc("n"), "word").limit(ONE + TWO).collect()], total)
+    total_text = total_bytes(base, "text")
+    total = total_text // 6  # a word and its space take six bytes, about
     groups = max(4, total // GROUP_SUFFIXES)
-    tasks = partitions(spark, groups, total_bytes(base, "text"))
-    marks = [materialize(by_group(base.mapInArrow(_deal(code, window, groups, turn, ROUNDS, FLUSH_SUFFIXES), _DEALT), _subtree(groups, MOST_SUFFIXES), _DEALT, tasks), "repeats") for turn in range(ROUNDS)]
-    marks = materialize(by_group(reduce(DataFrame.union, marks).select("grp", "heads", "pos"), _merge, _MARKED, tasks), "marks")
+    tasks = partitions(spark, groups, total_text)
+    heavy = np.zeros(0, np.uint64)
+    if total_text > MOST_SUFFIXES:  # a prefix that is missed has its suffixes spread so thin that they are at most twice as many
+        least = max(1, MOST_SUFFIXES // (1 + total // FLUSH_SUFFIXES))
+        crowds = base.select("text").mapInArrow(_crowds(window, least), "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
+        crowds = crowds.filter(F.col("n") > MOST_SUFFIXES // 2).orderBy(F.desc("n"), "prefix").limit(MOST_HEAVY)
+        heavy = np.sort(np.array([r.prefix for r in crowds.collect()], np.int64).view(np.uint64))
+    marks = by_group(base.mapInArrow(_deal(heavy, window, groups, FLUSH_SUFFIXES), _DEALT), _subtree(groups, window), _DEALT, tasks)
+    marks = materialize(by_group(materialize(marks.select("grp", "heads", "pos"), "repeats"), _merge, _MARKED, tasks), "marks")
     both = base.join(marks, ["doc_id", "fp"], "left").select("doc_id", "text", "marks")
     out = both.mapInArrow(_clean(window), _OUT)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(2**63), F.col("doc_id")))

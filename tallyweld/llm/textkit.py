@@ -15,7 +15,7 @@ import pyarrow as pa
 #: Separators of words, as a character class body; Java and RE2 read it alike.
 SEPARATORS = r"\x20\x09-\x0D"
 #: Bytes of text that one numpy pass handles (more only for a longer single document).
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def words_sql(text: str) -> str:
@@ -109,6 +109,15 @@ class Block:
         return out
 
 
+def slice_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Fingerprints of data[start:stop] for each of the given slices."""
+    with np.errstate(over="ignore"):
+        up, down = _BYTES.get(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_TABLE[data] * up[: len(data)], out=sums[1:])
+        return mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
+
+
 def gram_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Fingerprints of the word runs words[begin:end], of any lengths."""
     with np.errstate(over="ignore"):
