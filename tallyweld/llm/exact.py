@@ -6,6 +6,11 @@ has its bit, and its slot is the rank of that bit. Slots hold the full digest, t
 winner and the number of rows. A lookup compares all 32 bytes, so keys that are not in the
 history never match; those group separately by digest.
 
+A table without a history is its own: `exact_groups` takes the rows with the larger half of the ids
+for the history, as of equal texts the row with the largest id stays. Lookups of all other rows say
+which of them repeat it; those that don't group among themselves. The numbers of rows on both sides
+are then added up and looked up by the rows of the history and their repeats.
+
 A shard that very many rows look up (one text may be a third of all rows) is dealt out in parts,
 each with its own copy of the shard's table, whose size is bounded by SHARD_KEYS.
 """
@@ -14,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .store import bounded_batches, materialize
 
@@ -103,45 +108,83 @@ def _id(c: str):
     return F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
 
 
+def _number(c):
+    return F.coalesce(c.cast("long"), F.lit(NO_ID))
+
+
+def _digest(text_col: str):
+    return F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256))
+
+
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id (NO_ID for null), row (a number of its own for each row) and the SHA-256 of the text, written once."""
-    return materialize(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest")), "digests")
-
+    return materialize(docs.select(_number(F.col(f"`{id_col}`")).alias("doc_id"), F.monotonically_increasing_id().alias("row"), _digest(text_col).alias("digest")), "digests")
 
-def exact_groups(rows: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """One row per row of digests(): doc_id, row, digest, keep_id, group_size, kept.
 
-    Without history the rows are their own history: of equal texts the row with the largest
-    doc_id stays (of rows of equal id, one). With history (another digests()), rows whose text it
-    holds are repeats of the history's winner and none of them stays; group_size counts the
-    history's rows. All others group among themselves. A null text counts as empty; a null id as
-    the smallest. No rows in, no rows out.
-    """
+def look_up(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """rows (doc_id, row, digest) with keep_id, keep_row and group_size of `known`, null where it lacks the digest."""
     bounded_batches(rows.sparkSession)
-    known = materialize(_groups(history if history is not None else rows), "distinct")
     shards = max(1, -(-known.count() // SHARD_KEYS))
     of = F.pmod(F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10).cast("long"), F.lit(shards)).alias("shard")
     index = known.select("*", of).groupBy("shard").applyInArrow(_build, _INDEX)
-    asked = rows.select("*", of)
+    asked = rows.select("doc_id", "row", "digest", of)
     copies = asked.groupBy("shard").agg(F.ceil(F.count("*") / LOOKUP_ROWS).alias("copies"))
     asked = asked.join(copies, "shard").select("doc_id", "row", "digest", "shard", F.pmod(F.xxhash64("row"), F.col("copies")).alias("part"))
     index = index.join(copies.withColumnRenamed("copies", "made"), "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("made") - 1))).drop("made")
-    found = asked.groupBy("shard", "part").cogroup(index.groupBy("shard", "part")).applyInArrow(_look_up, _FOUND)
-    if history is None:
-        return found.select(_id("doc_id"), "row", "digest", _id("keep_id"), "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
-    found = materialize(found, "found")
+    return asked.groupBy("shard", "part").cogroup(index.groupBy("shard", "part")).applyInArrow(_look_up, _FOUND)
+
+
+def _among_themselves(found: DataFrame) -> DataFrame:
+    """What lookups didn't find, grouped by digest."""
     new = found.filter("group_size is null").select("doc_id", "row", "digest")
-    new = new.join(_groups(new), "digest").select(_id("doc_id"), "row", "digest", _id("keep_id"), "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
-    return found.filter("group_size is not null").select(_id("doc_id"), "row", "digest", _id("keep_id"), "group_size", F.lit(False).alias("kept")).union(new)
+    firsts = materialize(_groups(new), "firsts")  # written, so that the join of a frequent digest can be split
+    return new.join(firsts, "digest").select("doc_id", "row", "digest", "keep_id", "keep_row", "group_size")
+
+
+def _verdict(found: DataFrame, stays) -> DataFrame:
+    return found.select(_id("doc_id"), "row", "digest", _id("keep_id"), "group_size", stays.alias("kept"))
+
+
+def against_history(rows: DataFrame, history: DataFrame) -> DataFrame:
+    """One row per row of rows, as exact_groups; both sides are digests().
+
+    Rows whose text the history holds are repeats of its winner and none of them stays; group_size
+    counts the history's rows. All others group among themselves, and one of them stays.
+    """
+    found = materialize(look_up(rows, materialize(_groups(history), "history")), "found")
+    first = F.col("row") == F.col("keep_row")
+    return _verdict(found.filter("group_size is not null"), F.lit(False)).union(_verdict(_among_themselves(found), first))
+
+
+def exact_groups(rows: DataFrame) -> DataFrame:
+    """One row per row of digests(): doc_id, row, digest, keep_id, group_size, kept.
+
+    Of equal texts the row with the largest doc_id stays (of rows of equal id, one). A null text
+    counts as empty; a null id as the smallest, -2**63, and a real id of that value comes back as
+    null. Very long texts are digests like others. No rows in, no rows out.
+    """
+    low, high = rows.filter(F.col("doc_id") != NO_ID).agg(F.min("doc_id"), F.max("doc_id")).first()
+    older = F.col("doc_id") >= ((low or 0) + (high or 0)) // 2
+    history, rest = rows.filter(older), rows.filter(~older)
+    known = materialize(_groups(history), "history")
+    found = materialize(look_up(rest, known), "found")
+    repeats = found.filter("group_size is not null").select("doc_id", "row", "digest")
+    more = repeats.groupBy("digest").agg(F.count("*").alias("more"))
+    # the history's ids are larger, so its winner stays the winner
+    whole = materialize(known.join(more, "digest", "left").select("digest", "keep_id", "keep_row", (F.col("group_size") + F.coalesce("more", F.lit(0))).alias("group_size")), "whole")
+    members = look_up(history.select("doc_id", "row", "digest").union(repeats), whole)
+    return _verdict(members.union(_among_themselves(found)), F.col("row") == F.col("keep_row"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without copies of equal texts: the row with the largest id stays, with all its columns."""
-    kept = exact_groups(digests(docs, id_col, text_col)).filter("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    rows = docs.withColumn("__digest", F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
-    rows = rows.join(kept.alias("k"), (rows["__digest"] == F.col("k.__digest")) & rows[id_col].eqNullSafe(F.col("k.__id")), "left_semi")
-    one = W.partitionBy("__digest", id_col).orderBy(F.lit(0))
-    return rows.withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*docs.columns)
+    """docs without copies of equal texts: the row with the largest id stays, with all its columns.
+
+    Null texts equal empty ones, a null id is the smallest; of rows of equal text and id one stays.
+    Columns can have any names. Empty in, empty out.
+    """
+    held = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), _digest(text_col).alias("digest")), "held")
+    kept = exact_groups(held.select(_number(F.col(f"doc.`{id_col}`")).alias("doc_id"), "row", "digest")).filter("kept").select("row")
+    return held.join(kept, "row", "left_semi").select(*(F.col(f"doc.`{c}`") for c in docs.columns))
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """License scans by sentence rules, in DataFrame and SQL functions only.
 
-Texts are cut into sentences, which are normalised (letters and digits, A-Z folded) and mapped to
-identifiers of known licence sentences. The sequence of identifiers of a text is then matched
-against ordered rules: a licence is found where all sentences of one of its rules follow each
-other in order, with anything between them.
+Texts are cut into paragraphs and these into sentences, which are normalised (letters and digits, A-Z
+folded) and mapped to identifiers of known licence sentences. The sequence of identifiers of a text
+is then matched against rules in their order: a licence is found where all sentences of one of its
+rules follow each other, with anything between them. What a rule has matched is taken out before the
+next one is tried, and rules with more sentences come first, so a licence that another one contains
+is found only where it stands by itself.
 """
 
 from __future__ import annotations
@@ -33,39 +35,89 @@ SENTENCES = {
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
     "bsd-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "isc-grant-or": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-asis": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "bsd-asis": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    "apache-title": "Apache License",
+    "apache-version": "Version 2.0, January 2004",
+    "apache-terms": "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "gpl-title": "GNU GENERAL PUBLIC LICENSE",
+    "lgpl-title": "GNU LESSER GENERAL PUBLIC LICENSE",
+    "agpl-title": "GNU AFFERO GENERAL PUBLIC LICENSE",
+    "gpl3-version": "Version 3, 29 June 2007",
+    "gpl2-version": "Version 2, June 1991",
+    "lgpl21-version": "Version 2.1, February 1999",
+    "agpl3-version": "Version 3, 19 November 2007",
+    "gnu-verbatim": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed",
+    "lgpl-free": "This library is free software",
+    "lgpl21-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "lgpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl-useful": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
+    "agpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "epl2-title": "Eclipse Public License - v 2.0",
+    "epl2-accompanying": "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE (\"AGREEMENT\")",
+    "epl2-made": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "unlicense-free": "This is free and unencumbered software released into the public domain",
+    "unlicense-anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    "zlib-asis": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "zlib-origin": "The origin of this software must not be misrepresented; you must not claim that you wrote the original software",
+    "mpl-title": "Mozilla Public License Version 2.0",
     "mpl-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "cc-by-nc-4": "Licensed under CC BY-NC 4.0",
     "cc-by-4": "Licensed under CC BY 4.0",
     "cc-by-sa-4": "Licensed under CC BY-SA 4.0",
+    "cc-by-nd-4": "Licensed under CC BY-ND 4.0",
+    "cc-by-nc-sa-4": "Licensed under CC BY-NC-SA 4.0",
+    "cc-by-4-deed": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc0-1": "Licensed under CC0 1.0",
     "rights-reserved": "All rights reserved",
 }
 #: Fixed values: (licence, ordered sentence identifiers).
 RULES = [
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("MIT", ["mit-grant", "mit-notice", "asis-software"]),
-    ("MIT", ["mit-release"]),
-    ("MIT", ["mit-licensed"]),
     ("Apache-2.0", ["apache-header", "apache-comply", "apache-copy"]),
-    ("Apache-2.0", ["apache-licensed"]),
+    ("Apache-2.0", ["apache-title", "apache-version", "apache-terms"]),
+    ("AGPL-3.0", ["agpl-title", "agpl3-version", "gnu-verbatim"]),
+    ("LGPL-3.0", ["lgpl-title", "gpl3-version", "gnu-verbatim"]),
+    ("LGPL-2.1", ["lgpl-title", "lgpl21-version", "gnu-verbatim"]),
+    ("GPL-3.0", ["gpl-title", "gpl3-version", "gnu-verbatim"]),
+    ("GPL-2.0", ["gpl-title", "gpl2-version", "gnu-verbatim"]),
+    ("AGPL-3.0", ["gpl-free", "agpl3-redistribute", "gpl-useful"]),
+    ("LGPL-2.1", ["lgpl-free", "lgpl21-redistribute", "lgpl-useful"]),
+    ("LGPL-3.0", ["gpl-free", "lgpl3-redistribute", "gpl-useful"]),
     ("GPL-3.0", ["gpl-free", "gpl3-redistribute", "gpl-useful"]),
-    ("GPL-3.0", ["gpl3-work"]),
     ("GPL-2.0", ["gpl-free", "gpl2-redistribute", "gpl-useful"]),
-    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
-    ("ISC", ["isc-grant", "asis-software"]),
+    ("Zlib", ["zlib-asis", "zlib-grant", "zlib-origin"]),
+    ("ISC", ["isc-grant", "isc-asis"]),
+    ("ISC", ["isc-grant-or", "isc-asis"]),
+    ("EPL-2.0", ["epl2-title", "epl2-accompanying"]),
+    ("Unlicense", ["unlicense-free", "unlicense-anyone"]),
+    ("MIT", ["mit-release"]),
+    ("MIT", ["mit-licensed"]),
+    ("Apache-2.0", ["apache-licensed"]),
+    ("GPL-3.0", ["gpl3-work"]),
+    ("EPL-2.0", ["epl2-made"]),
+    ("MPL-2.0", ["mpl-title"]),
     ("MPL-2.0", ["mpl-form"]),
+    ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-4"]),
-    ("CC-BY-4.0", ["cc-by-4"]),
+    ("CC-BY-ND-4.0", ["cc-by-nd-4"]),
     ("CC-BY-SA-4.0", ["cc-by-sa-4"]),
+    ("CC-BY-4.0", ["cc-by-4"]),
+    ("CC-BY-4.0", ["cc-by-4-deed"]),
     ("CC0-1.0", ["cc0-1"]),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Ends of sentences: a mark and white space, or the end of a line. The second form reads lines
-#: that do not end in a mark as going on, as in wrapped texts.
-BREAKS = (r"[.;:!?][ \t\r]+|[.;:!?]?[ \t\r]*\n", r"[.;:!?]\s+|\n[ \t\r]*\n")
-#: Every known sentence holds one of these (checked at import): texts without any are skipped.
-TRIGGERS = ("licen", "permission", "copyright", "redistribut", "software", "warranty", "rights reserved")
+#: What parts paragraphs, and ends of sentences within one: a mark and white space, or the end of a
+#: line. The second form reads lines that do not end in a mark as going on, as in wrapped texts.
+PARAGRAPHS = r"\n[ \t\r]*\n"
+BREAKS = (r"[.;:!?][ \t\r]+|[.;:!?]?[ \t\r]*\n", r"[.;:!?][ \t\r\n]+")
+#: Every rule asks for one of these words (checked at import): texts without any are not read.
+TRIGGERS = ("licen", "permission", "copyright", "redistribut", "software", "warranty", "unencumbered")
 
 
 def normal(sentence: str) -> str:
@@ -76,38 +128,52 @@ KNOWN: dict[str, str] = {}
 for _id, _text in SENTENCES.items():  # a sentence with a break inside is known by the pieces' sequence
     _pieces = [p for p in (normal(x) for x in re.split(BREAKS[1], _text)) if p]
     for _k, _piece in enumerate(_pieces):
-        KNOWN[_piece] = _id if _k == len(_pieces) - 1 else f"{_id}.{_k}"
-if not all(any(t in normal(x) for t in TRIGGERS) for x in SENTENCES.values()):
-    raise ValueError("a known sentence holds no trigger")
+        KNOWN.setdefault(_piece, _id if _k == len(_pieces) - 1 else f"{_id}.{_k}")
+#: Pieces that lead to a sentence; rules don't ask for them, so others may share them.
+if missing := [x for _, ids in RULES for x in ids if x not in KNOWN.values()]:
+    raise ValueError(f"another sentence ends like these: {missing}")
+if not all(any(t in normal(SENTENCES[x]) for x in ids for t in TRIGGERS) for _, ids in RULES):
+    raise ValueError("a rule asks for no trigger")
 
 
 def _pattern(ids: list[str]) -> str:
-    return " " + " (.* )?".join(x.replace(".", r"\.") for x in ids) + " "
+    """A rule over identifiers in angle brackets; groups hold what lies between them."""
+    return "((?:<[^>]*>)*?)".join(f"<{x}>" for x in ids)
 
 
-def _ids(folded: str, breaks: str) -> str:
+def _between(ids: list[str], group: str) -> str:
+    return "".join(f"{group}{k}" for k in range(1, len(ids)))
+
+
+def _ids() -> str:
     listed = ", ".join(f"'{k}'" for k in KNOWN)
     pairs = ", ".join(f"'{k}', '{v}'" for k, v in KNOWN.items())
-    pattern = breaks.replace("\\", "\\\\")
-    return f"transform(filter(transform(split({folded}, '{pattern}'), s -> trim(regexp_replace(s, '[^a-z0-9]+', ' '))), s -> s IN ({listed})), s -> element_at(map({pairs}), s))"
+    slash = lambda x: x.replace("\\", "\\\\")
+    read = lambda b: f"transform(filter(transform(split(p, '{slash(b)}'), s -> trim(regexp_replace(s, '[^a-z0-9]+', ' '))), s -> s IN ({listed})), s -> element_at(map({pairs}), s))"
+    better = f"transform(array({read(BREAKS[0])}), x -> transform(array({read(BREAKS[1])}), y -> CASE WHEN size(y) > size(x) THEN y ELSE x END)[0])[0]"
+    return f"flatten(transform(split(folded, '{slash(PARAGRAPHS)}'), p -> {better}))"
+
+
+def _licenses() -> str:
+    rules = ", ".join(f"struct('{_pattern(ids)}' AS p, '{_between(ids, '$')}' AS kept, '{name}' AS name)" for name, ids in RULES)
+    step = "CASE WHEN s.line RLIKE r.p THEN struct(regexp_replace(s.line, r.p, r.kept) AS line, concat(s.found, array(r.name)) AS found) ELSE s END"
+    return f"aggregate(array({rules}), struct(concat('<', array_join(ids, '><'), '>') AS line, cast(array() AS array<string>) AS found), (s, r) -> {step}, s -> array_join(array_sort(array_distinct(s.found)), ','))"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_sentences (known ones), sentence_ids, licenses.
 
-    sentence_ids lists the identifiers in the order of the text, licenses the licences found in
-    the order of the rules, both joined by commas and empty if there are none. Of the two
-    readings of line ends the one that knows more sentences counts, the first on a tie. A null
-    text has no sentences. Repeated rows give repeated results; no rows in, no rows out.
+    sentence_ids lists the identifiers in the order of the text, licenses the licences found by name,
+    both joined by commas and empty if there are none. In each paragraph, of the two readings of line
+    ends the one that knows more sentences counts, the first on a tie. A null text has no sentences;
+    a very long one is read whole. Repeated rows give repeated results; other columns are not read,
+    whatever their names. No rows in, no rows out.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER).alias("folded"))
-    asks = F.col("folded").rlike("|".join(TRIGGERS))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), UPPER, LOWER).alias("folded"))
     none = F.array().cast("array<string>")
-    rows = rows.select("doc_id", F.when(asks, F.expr(_ids("folded", BREAKS[0]))).otherwise(none).alias("by_line"), F.when(asks, F.expr(_ids("folded", BREAKS[1]))).otherwise(none).alias("by_text"))
-    rows = rows.select("doc_id", F.when(F.size("by_text") > F.size("by_line"), F.col("by_text")).otherwise(F.col("by_line")).alias("ids"))
-    line = F.concat(F.lit(" "), F.array_join("ids", " "), F.lit(" "))
-    found = F.array(*(F.when(line.rlike(_pattern(ids)), F.lit(name)) for name, ids in RULES))
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", ",").alias("sentence_ids"), F.array_join(F.array_distinct(F.filter(found, lambda x: x.isNotNull())), ",").alias("licenses"))
+    rows = rows.select("doc_id", F.when(F.col("folded").rlike("|".join(TRIGGERS)), F.expr(_ids())).otherwise(none).alias("ids"))
+    found = F.when(F.size("ids") > 0, F.expr(_licenses())).otherwise("")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", ",").alias("sentence_ids"), found.alias("licenses"))
 
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
@@ -118,13 +184,16 @@ def op1_license_scan(spark, sf_dir: str) -> DataFrame:
 def duckdb_sql() -> str:
     listed = ", ".join(f"'{k}'" for k in KNOWN)
     names = ", ".join(f"'{v}'" for v in KNOWN.values())
-    ids = lambda b: f"list_transform(list_filter(list_transform(regexp_split_to_array(folded, '{b}'), lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), lambda s: s IN ({listed})), lambda s: list_extract([{names}], list_position([{listed}], s)))"
-    found = ", ".join(f"CASE WHEN regexp_matches(line, '{_pattern(i)}') THEN '{n}' END" for n, i in RULES)
+    ids = lambda b: f"list_transform(list_filter(list_transform(regexp_split_to_array(p, '{b}'), lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), lambda s: s IN ({listed})), lambda s: list_extract([{names}], list_position([{listed}], s)))"
+    steps = ["r0 AS (SELECT doc_id, ids, list_aggregate(list_transform(ids, lambda x: '<' || x || '>'), 'string_agg', '') AS line, []::VARCHAR[] AS found FROM i WHERE len(ids) > 0)"]
+    for k, (name, own) in enumerate(RULES):
+        hit = f"regexp_matches(line, '{_pattern(own)}')"
+        kept = _between(own, "\\")
+        steps.append(f"r{k + 1} AS (SELECT doc_id, ids, regexp_replace(line, '{_pattern(own)}', '{kept}', 'g') AS line, CASE WHEN {hit} THEN list_append(found, '{name}') ELSE found END AS found FROM r{k})")
     return f"""
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS folded FROM documents),
-b AS (SELECT doc_id, {ids(BREAKS[0])} AS by_line, {ids(BREAKS[1])} AS by_text FROM t),
-i AS (SELECT doc_id, CASE WHEN len(by_text) > len(by_line) THEN by_text ELSE by_line END AS ids FROM b),
-l AS (SELECT doc_id, ids, ' ' || array_to_string(ids, ' ') || ' ' AS line FROM i),
-f AS (SELECT doc_id, ids, list_filter([{found}], lambda x: x IS NOT NULL) AS found FROM l)
-SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
- array_to_string(list_filter(found, lambda x, i: list_position(found, x) = i), ',') AS licenses FROM f"""
+b AS (SELECT doc_id, k, {ids(BREAKS[0])} AS by_line, {ids(BREAKS[1])} AS by_text FROM (SELECT doc_id, unnest(parts) AS p, unnest(range(len(parts))) AS k FROM (SELECT doc_id, regexp_split_to_array(folded, '{PARAGRAPHS}') AS parts FROM t WHERE regexp_matches(folded, '{'|'.join(TRIGGERS)}')))),
+i AS (SELECT doc_id, flatten(list(CASE WHEN len(by_text) > len(by_line) THEN by_text ELSE by_line END ORDER BY k)) AS ids FROM b GROUP BY doc_id),
+{', '.join(steps)}
+SELECT t.doc_id, coalesce(len(ids), 0)::BIGINT AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(list_sort(list_distinct(found)), ','), '') AS licenses
+FROM t LEFT JOIN r{len(RULES)} r ON r.doc_id = t.doc_id"""

@@ -9,6 +9,7 @@ come first, and a bin is opened only for a piece that no open bin can take (figu
 from __future__ import annotations
 
 import base64
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -43,21 +44,25 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 def encoder(path: str):
     """text -> ids, as Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids gives.
 
-    Special tokens' strings count as ordinary text. Where the same vocabulary lies beside the
-    file as ranks, tiktoken reads it: the ids are the same, for a quarter of the time.
+    A special token's string inside a text is that token's one id. Where the same vocabulary lies
+    beside the file as ranks, tiktoken reads it: the ids are the same, for a quarter of the time.
     """
+    with open(path, "rb") as f:
+        added = json.load(f).get("added_tokens") or []
+    plain = all(t.get("special") and not any(t.get(k) for k in ("lstrip", "rstrip", "single_word", "normalized")) for t in added)
     ranks = path.removesuffix(".json") + ".tiktoken"
-    if os.path.exists(ranks):
+    if plain and os.path.exists(ranks):
         import public_tokenizers
         import tiktoken
 
         with open(ranks, "rb") as f:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}).encode_ordinary
+        special = {t["content"]: t["id"] for t in added}
+        encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens=special)
+        return lambda text: encoding.encode(text, allowed_special="all") if any(x in text for x in special) else encoding.encode_ordinary(text)
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -124,8 +129,9 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document's ids end in END_ID, so a null or empty text is one piece of one token. Longer
-    documents than the capacity are cut; the first piece may be shorter. Rows of equal id are
-    packed each on its own. The same rows give the same sequences. No rows in, no rows out.
+    documents than the capacity are cut, whatever their length; the first piece may be shorter. Rows
+    of equal id, null ids too, are packed each on its own. The same rows give the same sequences;
+    pieces of equal length go by id. Other columns are not read. No rows in, no rows out.
     """
     bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -3,7 +3,8 @@
 Each rule votes good (1), bad (-1) or abstains (0). Expectation-maximisation over the counts of
 vote patterns (at most 3**len(RULES), whatever the input) estimates how often each rule is right
 on good and on bad documents; a document is kept when its posterior of being good is at least
-one half and it passes the fixed base rules.
+one half and it passes the fixed base rules. Nothing holds the estimates but one imagined vote of
+either kind for each; which class is the good one follows from where they start.
 """
 
 from __future__ import annotations
@@ -18,26 +19,23 @@ SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Frequent function words of the four languages.
 FUNCTION_WORDS = ["the", "of", "and", "to", "in", "is", "that", "for", "le", "la", "de", "et", "les", "des", "que", "un", "der", "die", "das", "und", "zu", "den", "ein", "mit", "el", "los", "en", "que", "y", "se", "por", "una"]
-#: name -> (condition of a good vote, condition of a bad vote, least share of good documents on
-#: which the rule is taken to be right). The last one ties the unlabelled classes to the rules'
-#: meaning: a strong rule hardly ever votes bad on a good document.
+#: name -> (condition of a good vote, condition of a bad vote). Bad votes take the thresholds of
+#: published web-text filters (50 words, a symbol for ten words, 30 % repeated lines, 18 % of words
+#: in repeated runs, words of 3 to 10 characters, no function word, mostly capitals); good votes ask
+#: for half of what is tolerated. No labels were looked at for them.
 RULES = {
-    "length": ("n_words >= 100", "n_words < 50", 0.9),
-    "symbols": ("100 * n_symbols <= word_chars", "100 * n_symbols > 6 * word_chars", 0.999),
-    "lines": ("10 * n_dup_lines <= n_lines", "2 * n_dup_lines > n_lines", 0.95),
-    "repeats": ("100 * n_repeat_words <= 8 * n_words", "100 * n_repeat_words > 30 * n_words", 0.999),
-    "word_length": ("word_chars >= 3 * n_words AND word_chars <= 9 * n_words", "2 * word_chars < 5 * n_words OR word_chars > 12 * n_words", 0.95),
-    "capitals": ("10 * n_capitals <= 2 * word_chars", "10 * n_capitals > 4 * word_chars", 0.998),
-    "function_words": ("n_function_words >= 3 OR n_function_words >= 1 AND n_words < 100", "n_function_words = 0", 0.9),
+    "length": ("n_words >= 100", "n_words < 50"),
+    "symbols": ("20 * n_symbols <= n_words", "10 * n_symbols > n_words"),
+    "lines": ("100 * n_dup_lines <= 15 * n_lines", "100 * n_dup_lines > 30 * n_lines"),
+    "repeats": ("100 * n_repeat_words <= 9 * n_words", "100 * n_repeat_words > 18 * n_words"),
+    "word_length": ("word_chars >= 3 * n_words AND word_chars <= 10 * n_words", "word_chars < 3 * n_words OR word_chars > 10 * n_words"),
+    "capitals": ("4 * n_capitals <= word_chars", "2 * n_capitals > word_chars"),
+    "function_words": ("n_function_words >= 2", "n_function_words = 0"),
 }
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 ROUNDS = 12
-#: Estimates stay in these bounds, so that a bad vote always speaks for bad and a good one for good;
-#: BAD_RIGHT is the least share of bad documents on which a rule is taken to be right.
-PRIOR, BAD_RIGHT, MOST_RIGHT = (0.05, 0.8), 0.4, 0.9995
+#: Where estimation starts: share of good documents, and how often a rule is right on good and on bad ones.
 START = (0.8, 0.9, 0.6)
-#: Words up to which a window's fingerprint and place fit one long (49 bits of fingerprint at least).
-PACKED_WORDS = 1 << 15
 
 _SIGNALS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "n_function_words")
 
@@ -47,18 +45,25 @@ def _covered(places: str) -> str:
     return f"""aggregate({places}, struct(-3L AS last, 0L AS n), (s, p) -> struct(p AS last, s.n + least(3L, p - s.last) AS n), s -> s.n)"""
 
 
-def _repeat_words() -> Column:
-    """Words in three-word windows that occur twice or more; needs columns words and n_words."""
+def _repeat_words(bits: str = "~mask") -> Column:
+    """Words in three-word windows that occur twice or more; needs columns words, n_words and mask.
+
+    Windows are sorted by a long that holds part of a fingerprint and the window's place (mask). Where
+    all neighbours of equal fingerprints are equal word by word, they are the repeats; where any two
+    are not, the windows themselves are sorted instead. bits are those of the fingerprint that are
+    used (tests take fewer).
+    """
+    let = lambda name, value, then: f"transform(array({value}), {name} -> {then})[0]"  # noqa: E731 (each inner array is made once per document)
     hashes = "transform(words, w -> xxhash64(w))"
-    # let-bindings by one-element arrays: each inner array is made once per document
-    windows = f"transform(array({hashes}), h -> transform(sequence(0, n_words - 3), i -> xxhash64(get(h, i), get(h, i + 1), get(h, i + 2))))"
-    packed = f"""transform({windows}, g -> sort_array(transform(g, (x, i) -> x & ~mask | i)))"""
-    places = f"""transform({packed}, s -> sort_array(transform(
-        filter(s, (v, k) -> coalesce(v & ~mask = get(s, k + 1) & ~mask, false) OR coalesce(v & ~mask = get(s, k - 1) & ~mask, false)), v -> v & mask)))[0]"""
-    wide = f"transform({windows}, g -> sort_array(transform(g, (x, i) -> struct(x AS x, cast(i AS bigint) AS i))))"
-    wide_places = f"""transform({wide}, s -> sort_array(transform(
-        filter(s, (v, k) -> coalesce(v.x = get(s, k + 1).x, false) OR coalesce(v.x = get(s, k - 1).x, false)), v -> v.i)))[0]"""
-    return F.expr(f"""CASE WHEN n_words < 4 THEN 0L WHEN n_words <= {PACKED_WORDS} THEN {_covered(places)} ELSE {_covered(wide_places)} END""")
+    packed = let("h", hashes, f"sort_array(transform(sequence(0, n_words - 3), i -> xxhash64(get(h, i), get(h, i + 1), get(h, i + 2)) & {bits} | i))")
+    twins = "filter(s, (v, k) -> v & ~mask = get(s, k + 1) & ~mask OR v & ~mask = get(s, k - 1) & ~mask)".replace("get(s, k + 1) & ~mask", "coalesce(get(s, k + 1) & ~mask, ~(v & ~mask))").replace("get(s, k - 1) & ~mask", "coalesce(get(s, k - 1) & ~mask, ~(v & ~mask))")
+    word = lambda v, i: f"get(words, cast({v} & mask AS int) + {i})"
+    unequal = "exists(sequence(1, size(t) - 1), k -> t[k] & ~mask = t[k - 1] & ~mask AND NOT (" + " AND ".join(f"{word('t[k]', i)} = {word('t[k - 1]', i)}" for i in range(3)) + "))"
+    exact = "sort_array(transform(sequence(0, n_words - 3), i -> struct(get(words, i) AS a, get(words, i + 1) AS b, get(words, i + 2) AS c, cast(i AS bigint) AS i)))"
+    same = lambda x: " AND ".join(f"v.{c} = get(s, {x}).{c}" for c in "abc")
+    exact_places = let("s", exact, f"sort_array(transform(filter(s, (v, k) -> coalesce({same('k + 1')}, false) OR coalesce({same('k - 1')}, false)), v -> v.i))")
+    places = let("s", packed, let("t", twins, f"CASE WHEN size(t) < 2 THEN cast(array() AS array<bigint>) WHEN {unequal} THEN {exact_places} ELSE sort_array(transform(t, v -> v & mask)) END"))
+    return F.expr(f"CASE WHEN n_words < 4 THEN 0L ELSE {_covered(places)} END")
 
 
 def signals(docs: DataFrame, text_col: str = "text", into: str = "signals") -> DataFrame:
@@ -81,33 +86,33 @@ def signals(docs: DataFrame, text_col: str = "text", into: str = "signals") -> D
 def votes(of: str = "signals") -> Column:
     """The rules' votes as an array of ints."""
     said = []
-    for good, bad, _ in RULES.values():
+    for good, bad in RULES.values():
         for name in _SIGNALS:
             good, bad = (x.replace(f" {name} ", f" {of}.{name} ") for x in (f" {good} ", f" {bad} "))
         said.append(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END")
     return F.expr(f"array({', '.join(said)})")
 
 
-def _clamp(x: str, bounds: tuple[float, float]) -> str:
-    return f"least(greatest(coalesce({x}, 0.5D), {bounds[0]}D), {bounds[1]}D)"
-
-
 def posteriors(voted: DataFrame) -> DataFrame:
     """(votes, posterior) for each vote pattern in a DataFrame with a column votes."""
+    model = _fitted(voted)
+    return model.select(F.explode(F.expr(_RATED)).alias("x")).select("x.votes", F.col("x.p").alias("posterior"))
+
+
+_SAID = f"aggregate(sequence(0, {len(RULES) - 1}), ln(m.prior / (1 - m.prior)), (s, j) -> s + CASE x.votes[j] WHEN 1 THEN ln(m.good[j] / (1 - m.bad[j])) WHEN -1 THEN ln((1 - m.good[j]) / m.bad[j]) ELSE 0D END)"
+_RATED = f"transform(patterns, x -> struct(x.votes AS votes, x.n AS n, 1 / (1 + exp(-{_SAID})) AS p))"
+
+
+def _fitted(voted: DataFrame) -> DataFrame:
+    """One row: patterns (votes, n) and the model m (prior, good, bad) after ROUNDS of estimation."""
     n = len(RULES)
-    floors = ", ".join(f"{x[2]}D" for x in RULES.values())
-    said = f"aggregate(sequence(0, {n - 1}), ln(m.prior / (1 - m.prior)), (s, j) -> s + CASE x.votes[j] WHEN 1 THEN ln(m.good[j] / (1 - m.bad[j])) WHEN -1 THEN ln((1 - m.good[j]) / m.bad[j]) ELSE 0D END)"
-    rated = f"transform(patterns, x -> struct(x.votes AS votes, x.n AS n, 1 / (1 + exp(-{said})) AS p))"
     add = lambda what, when: f"aggregate(r, 0D, (s, x) -> s + CASE WHEN {when} THEN {what} ELSE 0D END)"
-    share = lambda what, vote: f"transform(sequence(0, {n - 1}), j -> {{}})".format(f"try_divide({add(what, f'x.votes[j] = {vote}')}, {add(what, 'x.votes[j] <> 0')})")
-    better = f"""transform(array({rated}), r -> struct({_clamp(f"try_divide({add('x.n * x.p', 'true')}, {add('x.n', 'true')})", PRIOR)} AS prior,
-        transform({share('x.n * x.p', 1)}, (v, j) -> least(greatest(coalesce(v, 0.5D), array({floors})[j]), {MOST_RIGHT}D)) AS good,
-        transform({share('x.n * (1 - x.p)', -1)}, v -> {_clamp('v', (BAD_RIGHT, MOST_RIGHT))}) AS bad))[0]"""
+    share = lambda what, vote: f"transform(sequence(0, {n - 1}), j -> ({add(what, f'x.votes[j] = {vote}')} + 1) / ({add(what, 'x.votes[j] <> 0')} + 2))"
+    better = f"""transform(array({_RATED}), r -> struct(({add('x.n * x.p', 'true')} + 1) / ({add('x.n', 'true')} + 2) AS prior, {share('x.n * x.p', 1)} AS good, {share('x.n * (1 - x.p)', -1)} AS bad))[0]"""
     start = f"struct({START[0]}D AS prior, array_repeat({START[1]}D, {n}) AS good, array_repeat({START[2]}D, {n}) AS bad)"
     patterns = voted.groupBy("votes").agg(F.count("*").cast("double").alias("n"))
-    model = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("patterns"))
-    model = model.select("patterns", F.expr(f"aggregate(sequence(1, {ROUNDS}), {start}, (m, t) -> {better})").alias("m"))
-    return model.select(F.explode(F.expr(rated)).alias("x")).select("x.votes", F.col("x.p").alias("posterior"))
+    model = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("patterns"))  # at most 3**7
+    return model.select("patterns", F.expr(f"aggregate(sequence(1, {ROUNDS}), {start}, (m, t) -> {better})").alias("m"))
 
 
 def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -115,32 +120,32 @@ def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Signals and votes are written once (with the columns of docs); the model is fitted on all of
     them. Null texts count as empty and fail the base rules, as does any text under 50 words.
-    Repeated rows and ties each get the same verdict. No rows in, no rows out. Columns of any
-    name are kept but for one that is called `quality`, which is replaced.
+    Repeated rows and ties each get the same verdict; a posterior of just one half keeps. Very long
+    texts are judged whole. No rows in, no rows out. Columns of any name are kept but for one that
+    is called `quality`, which is replaced.
     """
     docs = docs.drop("quality")
-    rated = signals(docs, text_col, "quality")
-    rated = materialize(rated.select(*docs.columns, "quality", votes("quality").alias("__votes")), "signals")
-    return _verdicts(rated, docs.columns)
+    rated = signals(docs.select(F.struct("*").alias("held"), F.col(f"`{text_col}`").alias("text")), "text", "quality")
+    return _verdicts(rated, "held").select(*(F.col(f"held.`{c}`") for c in docs.columns), "quality")
 
 
 def judge_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As judge, but only ids and verdicts: the texts are read and not written."""
-    rated = signals(docs.select(id_col, text_col), text_col, "quality")
-    rated = materialize(rated.select(id_col, "quality", votes("quality").alias("__votes")), "signals")
-    return _verdicts(rated, [id_col])
+    rated = signals(docs.select(F.col(f"`{id_col}`").alias("held"), F.col(f"`{text_col}`").alias("text")), "text", "quality")
+    return _verdicts(rated, "held").withColumnRenamed("held", id_col)
 
 
-def _verdicts(rated: DataFrame, columns: list[str]) -> DataFrame:
-    model = posteriors(rated.select(F.col("__votes").alias("votes"))).withColumnRenamed("votes", "__votes")
-    out = rated.join(F.broadcast(model), "__votes", "left")  # at most 3**7 rows
+def _verdicts(rated: DataFrame, held: str) -> DataFrame:
+    """(held, quality) from a column that is handed on and the signals in quality."""
+    rated = materialize(rated.select(held, "quality", votes("quality").alias("votes")), "signals")
+    model = posteriors(rated.select("votes"))
+    out = rated.join(F.broadcast(model), "votes", "left")  # at most 3**7 rows
     failed = BASE_FAILED
     for name in _SIGNALS:
         failed = failed.replace(name, f"quality.{name}")
-    kept = F.expr(f"NOT ({failed}) AND __post >= 0.5")
-    out = out.withColumnRenamed("posterior", "__post")
+    kept = F.expr(f"NOT ({failed}) AND posterior >= 0.5")
     fields = [F.col(f"quality.{c}").alias(c) for c in _SIGNALS]
-    return out.select(*columns, F.struct(*fields, F.col("__votes").alias("votes"), F.col("__post").alias("posterior"), F.expr(failed).alias("base_failed"), kept.alias("kept")).alias("quality"))
+    return out.select(held, F.struct(*fields, "votes", "posterior", F.expr(failed).alias("base_failed"), kept.alias("kept")).alias("quality"))
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -151,21 +156,19 @@ def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def _duck_rules() -> str:
-    return ", ".join(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS v{j}" for j, (good, bad, _) in enumerate(RULES.values()))
+    return ", ".join(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS v{j}" for j, (good, bad) in enumerate(RULES.values()))
 
 
 def duckdb_sql() -> str:
-    n, floors = len(RULES), [x[2] for x in RULES.values()]
+    n = len(RULES)
     names = ", ".join(f"v{j}" for j in range(n))
     logit = " + ".join(["ln(m.prior / (1 - m.prior))", *(f"CASE v{j} WHEN 1 THEN ln(m.g{j} / (1 - m.b{j})) WHEN -1 THEN ln((1 - m.g{j}) / m.b{j}) ELSE 0 END" for j in range(n))])
-    clamp = lambda x, b: f"least(greatest(coalesce({x}, 0.5), {b[0]}), {b[1]})"
-    share = lambda w, j, v: f"sum({w}) FILTER (v{j} = {v}) / nullif(sum({w}) FILTER (v{j} <> 0), 0)"
-    zero = lambda w, j, v: f"CASE WHEN sum({w}) FILTER (v{j} <> 0) > 0 THEN coalesce({share(w, j, v)}, 0) END"
-    cells = ", ".join(f"{clamp(zero('n * p', j, 1), (floors[j], MOST_RIGHT))} AS g{j}, {clamp(zero('n * (1 - p)', j, -1), (BAD_RIGHT, MOST_RIGHT))} AS b{j}" for j in range(n))
+    share = lambda w, j, v: f"(coalesce(sum({w}) FILTER (v{j} = {v}), 0) + 1) / (coalesce(sum({w}) FILTER (v{j} <> 0), 0) + 2)"
+    cells = ", ".join(f"{share('n * p', j, 1)} AS g{j}, {share('n * (1 - p)', j, -1)} AS b{j}" for j in range(n))
     rounds = [f"m0 AS (SELECT {START[0]}::DOUBLE AS prior, {', '.join(f'{START[1]}::DOUBLE AS g{j}, {START[2]}::DOUBLE AS b{j}' for j in range(n))})"]
     for t in range(ROUNDS):
         rounds.append(f"r{t} AS MATERIALIZED (SELECT pat.*, 1 / (1 + exp(-({logit}))) AS p FROM pat, m{t} m)")
-        rounds.append(f"m{t + 1} AS MATERIALIZED (SELECT {clamp('sum(n * p) / sum(n)', PRIOR)} AS prior, {cells} FROM r{t})")
+        rounds.append(f"m{t + 1} AS MATERIALIZED (SELECT (coalesce(sum(n * p), 0) + 1) / (coalesce(sum(n), 0) + 2) AS prior, {cells} FROM r{t})")
     listed = ", ".join(f"'{w}'" for w in dict.fromkeys(FUNCTION_WORDS))
     word = r"[^\x20\x09-\x0D]"
     return rf"""

@@ -1,38 +1,14 @@
-"""Tables that cut lineage, in the folder that driver and executors share."""
+"""Written tables (of the library), sizes, and the session's Arrow batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import materialize, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a folder of our own only where none is set (tests)."""
-    sc = spark.sparkContext
-    where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not where:
-        where = tempfile.mkdtemp(prefix="tallyweld-")
-        sc.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
-#: Spark's own setting: a query's shuffle files go when it has ended.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
+__all__ = ["bounded_batches", "materialize", "shared_dir", "total_bytes"]
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df once and read it back: later readers neither recompute it nor need its shuffles."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tallyweld/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def total_bytes(df: DataFrame, column: str) -> int:
@@ -41,5 +17,6 @@ def total_bytes(df: DataFrame, column: str) -> int:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of some MB whatever the length of the texts (session setting; one row may exceed it)."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    """Arrow batches of some MB whatever the length of the texts (one row may exceed it), where the session sets no size itself."""
+    if not spark.sparkContext.getConf().contains(_BATCH):
+        spark.conf.set(_BATCH, str(4 << 20))

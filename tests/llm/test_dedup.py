@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from brute import exact, jaccard, split, substring
@@ -23,8 +25,8 @@ def test_substring(docs):
 
 
 def small(monkeypatch):
-    """Many groups, long prefixes, tiny stretches, and groups that are sorted in parts."""
-    for name, value in (("GROUP_SUFFIXES", 50), ("PREFIX_SUFFIXES", 4), ("MOST_SUFFIXES", 40), ("FLUSH_SUFFIXES", 100)):
+    """Many groups, long prefixes, tiny stretches, and prefixes that are lengthened."""
+    for name, value in (("GROUP_SUFFIXES", 50), ("MOST_SUFFIXES", 40), ("FLUSH_SUFFIXES", 100)):
         monkeypatch.setattr(su, name, value)
 
 
@@ -50,22 +52,6 @@ def test_substring_one_prefix_in_half_of_all_suffixes(spark, monkeypatch, tiny):
     assert sum(x[2] for x in want) > 300
 
 
-def test_substring_code_is_exact():
-    """Coded sequences of words are equal just when the words are, and prefixes grow with the words' frequency."""
-    from tallyweld.llm.textkit import Block
-
-    words = [f"w{i}" for i in range(700)] + ["é" * 40, "x" * 300, "w", "1"]
-    code = su.Code([(w.encode(), 100_000 - i) for i, w in enumerate(words[:600])], 30_000_000)
-    text = " ".join(words).encode()
-    block = Block(slice(0, 1), np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    starts, ends, _ = block.words()
-    data, at, bits = code.encode(block, starts, ends)
-    coded = [data[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-    assert len(set(coded)) == len(words) and [len(x) for x in coded[:200]] == [1] * su.ONE + [2] * (200 - su.ONE)
-    assert not any(x != y and y.startswith(x) for x in coded for y in coded)  # no code begins another
-    assert (np.diff(bits[:600]) >= 0).all() and code.needed == int(np.ceil(np.log2(30_000_000 / su.PREFIX_SUFFIXES) * su.BIT))
-
-
 def test_substring_other_window(docs):
     assert sorted((key(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in su.remove_repeats(docs, window=4).collect()) == sorted(substring(pairs(docs), 4))
 
@@ -88,6 +74,57 @@ def test_jaccard_lower_bound_and_words(docs):
     assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == sorted(want)
 
 
+def test_jaccard_splits(docs, monkeypatch):
+    """Many blocks of columns and rows, small stretches, columns that are split by stretch, tiles in steps."""
+    for name, value in (("GROUP_BYTES", 5000), ("FLUSH_GRAMS", 300), ("COLUMN_ENTRIES", 40), ("TILE_GRAMS", 200), ("TILE_STEP", 50)):
+        monkeypatch.setattr(ja, name, value)
+    got = ja.similar_groups(docs).collect()
+    assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == sorted(jaccard(pairs(docs)))
+
+
+def test_jaccard_tile_is_the_masked_product():
+    """Of the wanted pairs just those with enough in common, whatever the blocks of columns."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(3)
+    pool = np.unique(r.integers(0, 2**63, 300).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+    base = [set(r.choice(pool, 60, replace=False)) for _ in range(4)]
+    sets = [{g for g in b if r.random() < keep} for b in base for keep in (1, 0.95, 0.9, 0.8, 0.7, 0.5)]
+    side = lambda kind, keys: [(0, kind, k, len(sets[k]), np.sort(np.array(list(sets[k]), np.uint64)).tobytes(), 0) for k in keys]
+    wanted = [(a, b) for a in range(len(sets)) for b in range(a) if r.random() < 0.8]
+    rows = side(0, sorted({a for a, _ in wanted})) + side(1, sorted({b for _, b in wanted})) + [(0, 2, a, 0, None, b) for a, b in wanted]
+    r.shuffle(rows)
+    names, kinds = ["grp", "side", "key", "n", "grams", "b"], [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    columns = [pa.array([None if x is None else x if isinstance(x, bytes) else int(x) for x in c], k) for c, k in zip(zip(*rows), kinds)]
+    got = [x for out in ja._tile(75)(0, iter([pa.record_batch(columns, names=names)])) for x in zip(out["a"].to_pylist(), out["b"].to_pylist())]
+    assert sorted(got) == sorted((a, b) for a, b in wanted if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])) and len(got) > 5
+
+
+def test_jaccard_equal_keys_are_noticed(docs, monkeypatch):
+    """Where different sets get one key, all is done again with another salt."""
+    real, salts = ja._sets, []
+
+    def sets(which, grams, n_docs, salt):
+        which, grams, sizes, keys, checks = real(which, grams, n_docs, salt)
+        return which, grams, sizes, keys if salt else np.where(sizes > 0, keys % 8 + 9, 0), checks
+
+    monkeypatch.setattr(ja, "_sets", sets)
+    incidence = ja._incidence
+    monkeypatch.setattr(ja, "_incidence", lambda n, groups, hot, salt: salts.append(salt) or incidence(n, groups, hot, salt))
+    got = ja.similar_groups(docs).collect()
+    assert salts == [0, 1]
+    assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == sorted(jaccard(pairs(docs)))
+
+
+def test_jaccard_one_id_two_texts(spark):
+    """Texts of one id are no link between their groups."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (5, b), (7, a + " more"), (8, b + " more"), (3, b + " other"), (9, c), (None, c + " x"), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in ja.similar_groups(df).collect())
+    assert got == sorted(jaccard([(key(i), t) for i, t in rows]))
+
+
 def test_jaccard_hot_ngrams_are_counted(spark):
     """A passage in more documents of a batch than HOT goes by counts; its near copies still link."""
     r = np.random.default_rng(0)
@@ -117,10 +154,39 @@ def test_exact_many_shards_and_copies(docs, monkeypatch):
 def test_exact_against_history(spark):
     old = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
     new = spark.createDataFrame([(10, "a"), (11, "c"), (12, "c"), (13, None), (14, "")], "doc_id long, text string")
-    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in ex.exact_groups(ex.digests(new), ex.digests(old)).collect()}
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in ex.against_history(ex.digests(new), ex.digests(old)).collect()}
     assert got == {10: (2, 2, False), 11: (12, 2, False), 12: (12, 2, True), 13: (14, 2, False), 14: (14, 2, True)}
 
 
+def test_exact_comes_from_lookups(spark, monkeypatch):
+    """Without lookups that find anything, no row of the smaller ids joins a group of the larger ones."""
+    real = ex.look_up
+    calls = []
+
+    def blind(rows, known):
+        calls.append(1)
+        return real(rows, known.filter("false")) if len(calls) == 1 else real(rows, known)
+
+    df = spark.createDataFrame([(0, "a"), (1, "b"), (9, "a"), (10, "b"), (10, "c")], "doc_id long, text string")
+    whole = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in ex.exact_groups(ex.digests(df)).collect()}
+    monkeypatch.setattr(ex, "look_up", blind)
+    got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in ex.exact_groups(ex.digests(df)).collect()}
+    assert whole == {(0, 9, 2, False), (9, 9, 2, True), (1, 10, 2, False), (10, 10, 2, True), (10, 10, 1, True)}
+    assert got == {(0, 0, 1, True), (9, 9, 1, True), (1, 1, 1, True), (10, 10, 1, True)}
+
+
+def test_exact_halves(spark):
+    """Repeats on either side of the cut, on one side only, null ids and equal ids."""
+    rows = [(0, "a"), (9, "a"), (10, "a"), (1, "b"), (2, "b"), (8, "c"), (9, "c"), (None, "a"), (None, "d"), (None, "d"), (3, "e"), (3, "e"), (10, "f"), (10, "f"), (5, None), (6, "")]
+    df = spark.createDataFrame([(*x, "r", 1) for x in rows], "doc_id long, text string, row string, digest int")
+    got = ex.exact_groups(ex.digests(df)).collect()
+    want = exact([(key(i), t) for i, t in rows])
+    assert sorted((key(r.doc_id), key(r.keep_id), r.group_size, bytes(r.digest).hex()) for r in got) == sorted(want)
+    assert sum(r.kept for r in got) == 7
+    out = ex.drop_copies(df)
+    assert out.columns == df.columns and sorted((key(r.doc_id), r.text or "") for r in out.collect()) == sorted({(k, next(t or "" for i, t in rows if hashlib.sha256((t or "").encode()).hexdigest() == h)) for _, k, _, h in want})
+
+
 def test_drop_copies(docs):
     kept = ex.drop_copies(docs)
     assert kept.columns == docs.columns

@@ -48,3 +48,29 @@ def test_stages_against_plain_python(spark, docs, tmp_path):
 
 def test_stage_list():
     assert [f.__name__ for _, f in cp.STAGES] == ["quality_rules", "exact_dedup", "near_duplicates", "mixing", "packing"]
+
+
+def test_empty_table(spark, none, tmp_path):
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_nulls_and_repeated_rows(spark, docs, tmp_path):
+    """Null ids, null texts and repeated rows go through all stages; what stays are the texts that plain Python keeps."""
+    docs = docs.unionByName(docs.filter("doc_id IS NULL OR doc_id % 7 = 0"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [r for r in docs.collect() if r.doc_id is not None or r.text]
+    low = lambda i: -(2**63) if i is None else i
+    judged = qu.judge(spark.createDataFrame(rows, docs.schema)).filter("quality.kept").select("doc_id", "text").collect()
+    stay = {k: t for t, k in {r.text: max(low(x.doc_id) for x in judged if x.text == r.text) for r in judged}.items()}
+    groups = jaccard(list(stay.items()))
+    ids = {c for _, _, c in groups}
+    got = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in cp.STAGES[:3]:
+        got = stage(spark, got, str(tmp_path))
+        got.write.parquet(f"{tmp_path}/{stage.__name__}")
+        got = spark.read.parquet(f"{tmp_path}/{stage.__name__}")
+    assert sorted(low(r.doc_id) for r in got.collect()) == sorted(ids)
+    mixed = cp.mixing(spark, got, str(tmp_path))
+    assert {low(r.doc_id) for r in mixed.select("doc_id").distinct().collect()} <= ids
+    assert cp.run(spark, str(tmp_path)).select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
