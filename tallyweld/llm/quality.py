@@ -3,8 +3,9 @@
 Each rule votes good (1), bad (-1) or abstains (0). Expectation-maximisation over the counts of
 vote patterns (at most 3**len(RULES), whatever the input) estimates how often each rule is right
 on good and on bad documents; a document is kept when its posterior of being good is at least
-one half and it passes the fixed base rules. Nothing holds the estimates but one imagined vote of
-either kind for each; which class is the good one follows from where they start.
+one half and it passes the fixed base rules. Documents that fail those need no estimate and have no
+part in it. Nothing holds the estimates but one imagined vote of either kind for each; which class
+is the good one follows from where they start.
 """
 
 from __future__ import annotations
@@ -94,7 +95,7 @@ def votes(of: str = "signals") -> Column:
 
 
 def posteriors(voted: DataFrame) -> DataFrame:
-    """(votes, posterior) for each vote pattern in a DataFrame with a column votes."""
+    """(votes, posterior) for each vote pattern in a DataFrame with votes and counts (whether a row has a part in the estimate)."""
     model = _fitted(voted)
     return model.select(F.explode(F.expr(_RATED)).alias("x")).select("x.votes", F.col("x.p").alias("posterior"))
 
@@ -110,7 +111,7 @@ def _fitted(voted: DataFrame) -> DataFrame:
     share = lambda what, vote: f"transform(sequence(0, {n - 1}), j -> ({add(what, f'x.votes[j] = {vote}')} + 1) / ({add(what, 'x.votes[j] <> 0')} + 2))"
     better = f"""transform(array({_RATED}), r -> struct(({add('x.n * x.p', 'true')} + 1) / ({add('x.n', 'true')} + 2) AS prior, {share('x.n * x.p', 1)} AS good, {share('x.n * (1 - x.p)', -1)} AS bad))[0]"""
     start = f"struct({START[0]}D AS prior, array_repeat({START[1]}D, {n}) AS good, array_repeat({START[2]}D, {n}) AS bad)"
-    patterns = voted.groupBy("votes").agg(F.count("*").cast("double").alias("n"))
+    patterns = voted.groupBy("votes").agg(F.count_if("counts").cast("double").alias("n"))
     model = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("patterns"))  # at most 3**7
     return model.select("patterns", F.expr(f"aggregate(sequence(1, {ROUNDS}), {start}, (m, t) -> {better})").alias("m"))
 
@@ -138,11 +139,11 @@ def judge_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def _verdicts(rated: DataFrame, held: str) -> DataFrame:
     """(held, quality) from a column that is handed on and the signals in quality."""
     rated = materialize(rated.select(held, "quality", votes("quality").alias("votes")), "signals")
-    model = posteriors(rated.select("votes"))
-    out = rated.join(F.broadcast(model), "votes", "left")  # at most 3**7 rows
     failed = BASE_FAILED
     for name in _SIGNALS:
         failed = failed.replace(name, f"quality.{name}")
+    model = posteriors(rated.select("votes", F.expr(f"NOT ({failed})").alias("counts")))
+    out = rated.join(F.broadcast(model), "votes", "left")  # at most 3**7 rows
     kept = F.expr(f"NOT ({failed}) AND posterior >= 0.5")
     fields = [F.col(f"quality.{c}").alias(c) for c in _SIGNALS]
     return out.select(held, F.struct(*fields, "votes", "posterior", F.expr(failed).alias("base_failed"), kept.alias("kept")).alias("quality"))
@@ -181,7 +182,7 @@ s AS (SELECT b.doc_id, len(words) AS n_words, coalesce(length(array_to_string(wo
  length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals, len(list_intersect(list_distinct(words), [{listed}])) AS n_function_words
  FROM b LEFT JOIN rep ON rep.doc_id = b.doc_id),
 v AS (SELECT *, {_duck_rules()} FROM s),
-pat AS MATERIALIZED (SELECT {names}, count(*)::DOUBLE AS n FROM v GROUP BY ALL),
+pat AS MATERIALIZED (SELECT {names}, (count(*) FILTER (NOT ({BASE_FAILED})))::DOUBLE AS n FROM v GROUP BY ALL),
 {', '.join(rounds)},
 post AS (SELECT pat.*, 1 / (1 + exp(-({logit}))) AS p FROM pat, m{ROUNDS} m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,

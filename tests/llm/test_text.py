@@ -54,7 +54,8 @@ def test_quality_model(spark):
     n = len(qu.RULES)
     r = np.random.default_rng(1)
     votes = np.where(r.random((400, 1)) < 0.2, r.choice([-1, 0, 1], (400, n), p=[0.6, 0.2, 0.2]), r.choice([-1, 0, 1], (400, n), p=[0.02, 0.1, 0.88]))
-    df = spark.createDataFrame([([int(x) for x in v],) for v in votes], "votes array<int>")
+    out = [[-1] * n] * 50 + [[1] * n] * 30  # rows that have no part in it
+    df = spark.createDataFrame([([int(x) for x in v], True) for v in votes] + [(v, False) for v in out], "votes array<int>, counts boolean")
     got = {tuple(x.votes): x.posterior for x in qu.posteriors(df).collect()}
     prior, a, b = qu.START[0], np.full(n, qu.START[1]), np.full(n, qu.START[2])
 
