@@ -17,28 +17,42 @@ from tallyweld.llm.store import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null, empty and short texts fail; long ones are judged whole; repeated rows get one verdict, and a
+    null id or source changes nothing.
+    """
     return judge(docs).filter("quality.kept").select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest doc_id."""
+    """Of equal texts, the document with the largest doc_id; of rows with equal text and id, one.
+
+    Null and empty texts are equal; a null id is the smallest.
+    """
     return drop_copies(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked at 0.75 on five-word shingles, the one with the smallest doc_id."""
+    """Of each group of documents linked at 0.75 on five-word shingles, the one with the smallest doc_id.
+
+    Null and wordless texts are linked with nothing and stay; a null id is the smallest. Of repeated ids
+    all rows with the kept id stay.
+    """
     first = similar_groups(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first"))
     return docs.join(first, docs["doc_id"].eqNullSafe(first["__first"]), "left_semi")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as the mix draws them: some twice, some not, the last of a source in part."""
+    """The documents as the mix's shards draw them, by shard and place: some twice, some not, the last of a source in part.
+
+    Null and wordless texts are not drawn; a null source is a source; each of several equal rows is drawn for itself.
+    """
     return take(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens."""
+    """Sequences of at most 1024 tokens. Null and empty texts are one token; long ones are cut; null and repeated ids are kept apart by row."""
     return pack(docs)
 
 
@@ -48,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents, each written before the next one reads it."""
+    """All stages on documents, each written before the next one reads it. An empty table gives no rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from .plans import registry as reg
 from .plans.unified import RunConfig, run_matching, run_unified
+from .operators.bm25 import english_stop_words
 from .operators.matching import arbitrate
 from .sources.clients import arbiter, cleaner
 from .sources.readers import load_suppliers
@@ -36,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     init.add_argument("--registry", default="registry")
     init.add_argument("--sample-one-in", type=int)
     init.add_argument("--stemmer", choices=["porter"])
+    init.add_argument("--stop-words", choices=["english"])
     init.add_argument("--force", action="store_true")
     for name in ("sequential", "parallel", "parallel-optimized"):  # Spark runs them alike; the last cleans by batched model calls
         run = sub.add_parser(name, help="match suppliers")
@@ -58,7 +60,7 @@ def parser() -> argparse.ArgumentParser:
     uni.add_argument("--search-threads", type=int, default=10)
     uni.add_argument("--search-delay", type=float, default=0.0)
     uni.add_argument("--limit-rows", type=int)
-    for flag in ("--skip-search", "--skip-match", "--no-filter-inactive", "--clean-output"):
+    for flag in ("--skip-preprocess", "--skip-search", "--skip-match", "--no-filter-inactive", "--clean-output"):
         uni.add_argument(flag, action="store_true")
     return top
 
@@ -68,12 +70,12 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=args.log_level)
     spark = SparkSession.builder.appName("tallyweld").config("spark.sql.adaptive.enabled", "true").getOrCreate()
     if args.command == "init-db":
-        reg.build(spark, args.ul_parquet, args.etab_parquet, args.registry, sample_one_in=args.sample_one_in, force=args.force, stemmer=args.stemmer)
+        reg.build(spark, args.ul_parquet, args.etab_parquet, args.registry, sample_one_in=args.sample_one_in, force=args.force, stemmer=args.stemmer, stop_words=english_stop_words() if args.stop_words else ())
         return 0
     registry = reg.load(spark, args.registry)
     model = _client(args.cleaner, "TALLYWELD_CLEANER")
     if args.command == "unified":
-        run_unified(spark, args.input, registry, args.output_dir, client=_client(args.search_client, "TALLYWELD_SEARCH"), cleaner=cleaner(model) if model else None, limit=args.limit_rows, filter_inactive=not args.no_filter_inactive, skip_match=args.skip_match, skip_search=args.skip_search, clean_output=args.clean_output, threads=args.search_threads, delay=args.search_delay)
+        run_unified(spark, args.input, registry, args.output_dir, client=_client(args.search_client, "TALLYWELD_SEARCH"), cleaner=cleaner(model) if model else None, limit=args.limit_rows, filter_inactive=not args.no_filter_inactive, skip_preprocess=args.skip_preprocess, skip_match=args.skip_match, skip_search=args.skip_search, clean_output=args.clean_output, threads=args.search_threads, delay=args.search_delay)
         return 0
     per_call = args.api_batch_size if args.command == "parallel-optimized" else 1
     cfg = RunConfig(args.checkpoint, args.output_csv, args.batch_size, args.limit_rows, args.retry_errors, args.direction)

@@ -37,7 +37,7 @@ SELECT 'S' || lpad(CAST(o.o_orderkey AS STRING),8,'0') AS "Auxiliaire",
  CASE WHEN o.o_orderkey % 5 = 0 THEN 'FR 12 ' || lpad(CAST(o.o_custkey AS STRING),9,'0') ELSE NULL END AS "Code NIF",
  CASE o.o_orderkey % 7 WHEN 0 THEN 'FRA' WHEN 1 THEN 'DE' WHEN 2 THEN ' France ' WHEN 3 THEN 'BE' ELSE NULL END AS "Pays",
  CASE WHEN o.o_orderkey % 12 = 5 THEN NULL WHEN o.o_orderkey % 12 = 6 THEN ' nan ' ELSE CAST(CAST(o.o_orderdate AS DATE) AS STRING) END AS "Date dern. Mouvt"
- FROM orders o JOIN part p ON p.p_partkey = o.o_custkey WHERE (o.o_orderkey * 31) % 50 < 3"""
+ FROM orders o JOIN part p ON p.p_partkey = o.o_custkey"""
 
 
 def table(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -1,18 +1,23 @@
 """Full-text search over company names with Okapi BM25, as postings tables.
 
 Postings are per term and company; a query joins its distinct tokens, so each token is scored once
-however many suppliers ask for it, and the rank filter lets Spark keep only the best rows of each
-token before the shuffle.
+however many suppliers ask for it. The first HEAD companies of each term are ranked when the index is
+built: a token of one term, as nearly all are, takes them from there, however frequent the term is.
+For other tokens the rank filter lets Spark keep only the best rows of each before the shuffle.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 K1, B = 1.2, 0.75
+#: Companies of a term, from the best and from the lowest on, that an index holds ready.
+HEAD = 20
 _ACCENTED = [chr(c) for c in range(0xC0, 0x180) if len(unicodedata.normalize("NFD", chr(c))) > 1]
 _BASE = "".join(unicodedata.normalize("NFD", c)[0] for c in _ACCENTED)
 
@@ -23,11 +28,16 @@ def terms(c: Column) -> Column:
     return F.filter(F.split(plain, "[^a-z]+"), lambda t: t != "")
 
 
+_terms = terms
+
+
 @dataclass
 class Index:
     postings: DataFrame  # siren, term, tf, dl, weight
     vocabulary: DataFrame  # term, df, idf
     stats: DataFrame  # one row: n, avgdl
+    heads: DataFrame  # term, siren, score, direction, rank
+    stemmer: str | None = None
 
 
 def stem_porter(words: DataFrame, column: str = "term") -> DataFrame:
@@ -44,7 +54,19 @@ def stem_porter(words: DataFrame, column: str = "term") -> DataFrame:
     return distinct.mapInPandas(run, f"{column} string, stem string")
 
 
-def build(legal: DataFrame, key: str = "siren", field: str = "denominationUniteLegale", stemmer: str | None = None) -> Index:
+def english_stop_words() -> list[str]:
+    """Spark's own English list."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    return sorted({t for w in StopWordsRemover.loadDefaultStopWords("english") for t in re.split("[^a-z]+", w.lower()) if t})
+
+
+def build(legal: DataFrame, key: str = "siren", field: str = "denominationUniteLegale", stemmer: str | None = None, stop_words: Sequence[str] = ()) -> Index:
+    """The index of one field. Stop words are in no posting and in no length; a query's are then in no vocabulary either."""
+
+    def terms(c: Column) -> Column:
+        return F.filter(_terms(c), lambda t: ~t.isin(list(stop_words))) if stop_words else _terms(c)
+
     words = legal.select(key, F.explode(terms(F.col(field))).alias("term"))
     if stemmer == "porter":
         words = words.join(stem_porter(words), "term").select(key, F.col("stem").alias("term"))
@@ -56,14 +78,42 @@ def build(legal: DataFrame, key: str = "siren", field: str = "denominationUniteL
     spark = legal.sparkSession
     weighted = spark.sql(f"SELECT *, tf * {K1 + 1}D / (tf + {K1}D * ({1 - B}D + {B}D * dl / (SELECT avgdl FROM {{stats}}))) AS weight FROM {{p}}", p=postings.join(length, key), stats=stats)
     rare = spark.sql("SELECT *, ln(1 + ((SELECT n FROM {stats}) - df + 0.5D) / (df + 0.5D)) AS idf FROM {v}", v=postings.groupBy("term").agg(F.count("*").alias("df")), stats=stats)
-    return Index(weighted, rare, stats)
+    return Index(weighted, rare, stats, heads(weighted, rare, key), stemmer)
+
+
+def heads(postings: DataFrame, vocabulary: DataFrame, key: str = "siren") -> DataFrame:
+    """The first HEAD postings of each term in either direction, as top() ranks them."""
+    scored = postings.join(vocabulary, "term").select("term", key, (F.col("idf") * F.col("weight")).alias("score"))
+    return top(scored, HEAD, "desc", "term", key).withColumn("direction", F.lit("desc")).union(top(scored, HEAD, "asc", "term", key).withColumn("direction", F.lit("asc")))
+
+
+def asked_terms(index: Index, queries: DataFrame, token: str = "search_token") -> DataFrame:
+    """(token, terms) of the distinct tokens, as the index has its terms."""
+    asked = queries.select(token).distinct().withColumn("terms", F.array_distinct(terms(F.col(token))))
+    if index.stemmer != "porter":
+        return asked
+    words = asked.select(token, F.explode("terms").alias("term"))
+    return words.join(stem_porter(words), "term").groupBy(token).agg(F.collect_set("stem").alias("terms"))
+
+
+def candidates(index: Index, queries: DataFrame, limit: int = HEAD, direction: str = "desc", token: str = "search_token", key: str = "siren") -> DataFrame:
+    """(token, siren, score, rank): as top(score(...)), with what the index holds ready."""
+    if limit > HEAD:
+        return top(score(index, queries, token, key), limit, direction, token, key)
+    asked = asked_terms(index, queries, token)
+    one = asked.filter(F.size("terms") == 1).select(token, F.col("terms")[0].alias("term"))
+    ready = index.heads.filter((F.col("direction") == direction) & (F.col("rank") <= limit))
+    found = one.join(ready, "term").select(token, key, "score", "rank")
+    return found.unionByName(top(_score(index, asked.filter(F.size("terms") > 1), token, key), limit, direction, token, key))
 
 
 def score(index: Index, queries: DataFrame, token: str = "search_token", key: str = "siren") -> DataFrame:
     """(token, siren, score) of all companies that hold a term of the query."""
-    asked = queries.select(token).distinct()
-    asked = asked.select(token, F.explode(F.array_distinct(terms(F.col(token)))).alias("term"))
-    hits = asked.join(index.vocabulary, "term").join(index.postings, "term")
+    return _score(index, asked_terms(index, queries, token), token, key)
+
+
+def _score(index: Index, asked: DataFrame, token: str, key: str) -> DataFrame:
+    hits = asked.select(token, F.explode("terms").alias("term")).join(index.vocabulary, "term").join(index.postings, "term")
     return hits.groupBy(token, key).agg(F.sum(F.col("idf") * F.col("weight")).alias("score"))
 
 

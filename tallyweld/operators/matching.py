@@ -1,6 +1,7 @@
-"""The matching cascade as set operations keyed by input_id.
+"""The matching cascade as set operations keyed by supplier row.
 
-Each stage works on what earlier stages left: exact establishment number, one company of nearly
+Ids repeat in supplier lists, so match() numbers the rows and every stage is keyed by that number;
+stages that are called alone take another `key`. Each stage works on what earlier stages left: exact establishment number, one company of nearly
 the same name under the same postal code, full-text candidates scored by rules. No stage runs a
 query per supplier. Joins on company numbers and postal codes leave the choice of sides to Spark.
 """
@@ -13,6 +14,7 @@ from ..functions import similarity as sim, text as tx
 from ..plans.registry import Registry
 from ..sources.tables import materialize
 from . import bm25
+from .suppliers import ROW
 
 STRICT_EDITS, CITY_EDITS, ADDRESS_EDITS = 3, 3, 10
 NAME_POINTS, CITY_POINTS, ADDRESS_POINTS, SEAT_POINTS = 40, 30, 20, 10
@@ -21,43 +23,43 @@ SURE, WEAK, CLOSE = 80, 50, 2
 FTS_LIMIT, ALTERNATIVES = 20, 5
 
 
-def direct(cleaned: DataFrame, registry: Registry) -> DataFrame:
-    """Suppliers whose number is an active establishment: input_id, siret, official_name."""
+def direct(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> DataFrame:
+    """Suppliers whose number is an active establishment: key, siret, official_name."""
     names = registry.legal.select("siren", F.col("denominationUniteLegale").alias("official_name"))
-    hits = cleaned.filter(F.col("siret").isNotNull()).select("input_id", "siret").join(registry.active.select("siret", "siren"), "siret").join(names, "siren", "left")
-    return hits.groupBy("input_id", "siret").agg(F.min("official_name").alias("official_name"))
+    hits = cleaned.filter(F.col("siret").isNotNull()).select(key, "siret").join(registry.active.select("siret", "siren"), "siret").join(names, "siren", "left")
+    return hits.groupBy(key, "siret").agg(F.min("official_name").alias("official_name"))
 
 
-def strict_hits(cleaned: DataFrame, registry: Registry) -> DataFrame:
+def strict_hits(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> DataFrame:
     """Companies under the same postal code whose name is at most STRICT_EDITS bytes away."""
-    asked = cleaned.filter(F.col("clean_cp").isNotNull()).select("input_id", "clean_name", "clean_cp", F.substring("clean_cp", 1, 2).alias("dept"))
+    asked = cleaned.filter(F.col("clean_cp").isNotNull()).select(key, "clean_name", "clean_cp", F.substring("clean_cp", 1, 2).alias("dept"))
     near = asked.join(registry.parts, (asked["dept"] == registry.parts["dept"]) & (asked["clean_cp"] == registry.parts["codePostalEtablissement"])).drop("dept")
     named = near.join(registry.legal.select("siren", F.col("denominationUniteLegale").alias("official_name")), "siren")
-    return named.filter(sim.within(F.col("official_name"), F.col("clean_name"), STRICT_EDITS, sim.byte_levenshtein)).select("input_id", "siret", "official_name")
+    return named.filter(sim.within(F.col("official_name"), F.col("clean_name"), STRICT_EDITS, sim.byte_levenshtein)).select(key, "siret", "official_name")
 
 
-def strict_local(cleaned: DataFrame, registry: Registry) -> DataFrame:
+def strict_local(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> DataFrame:
     """Of those, suppliers with exactly one."""
-    one = strict_hits(cleaned, registry).groupBy("input_id").agg(F.count("*").alias("n"), F.min("siret").alias("siret"), F.min("official_name").alias("official_name"))
+    one = strict_hits(cleaned, registry, key).groupBy(key).agg(F.count("*").alias("n"), F.min("siret").alias("siret"), F.min("official_name").alias("official_name"))
     return one.filter("n = 1").drop("n")
 
 
 def fts_candidates(cleaned: DataFrame, registry: Registry, direction: str = "desc", limit: int = FTS_LIMIT) -> DataFrame:
     """(search_token, siren, score, rank)."""
-    return bm25.top(bm25.score(registry.index, cleaned), limit, direction)
+    return bm25.candidates(registry.index, cleaned, limit, direction)
 
 
 def _establishments(df: DataFrame) -> DataFrame:
     return df.select("siret", "siren", F.col("libelleCommuneEtablissement").alias("city"), "address", F.coalesce("is_siege", F.lit(False)).alias("is_siege"), *(["dept"] if "dept" in df.columns else []))
 
 
-_COMPARED = ("input_id", "clean_name", "supplier_city", "supplier_address")
+_COMPARED = ("clean_name", "supplier_city", "supplier_address")
 
 
-def fetch(cleaned: DataFrame, registry: Registry, candidates: DataFrame) -> DataFrame:
+def fetch(cleaned: DataFrame, registry: Registry, candidates: DataFrame, key: str = "input_id") -> DataFrame:
     """Establishments of the candidates, with the supplier's columns to compare: of the supplier's
     department, or of all France without a postal code."""
-    asked = cleaned.join(candidates.select("search_token", "siren"), "search_token").select(*_COMPARED, "siren", F.substring("clean_cp", 1, 2).alias("dept"))
+    asked = cleaned.join(candidates.select("search_token", "siren"), "search_token").select(key, *_COMPARED, "siren", F.substring("clean_cp", 1, 2).alias("dept"))
     local = asked.filter(F.col("dept").isNotNull()).join(_establishments(registry.parts), ["siren", "dept"]).drop("dept")
     wide = asked.filter(F.col("dept").isNull()).drop("dept").join(_establishments(registry.active), "siren")
     names = registry.legal.select("siren", F.col("denominationUniteLegale").alias("official_name"))
@@ -79,9 +81,9 @@ def points() -> Column:
     return given(name, NAME_POINTS) + given(city, CITY_POINTS) + given(address, ADDRESS_POINTS) + given(F.col("is_siege"), SEAT_POINTS)
 
 
-def scored(near: DataFrame) -> DataFrame:
+def scored(near: DataFrame, key: str = "input_id") -> DataFrame:
     """Candidates with score and rank; equal scores by establishment number."""
-    order = W.partitionBy("input_id").orderBy(F.col("score").desc(), "siret")
+    order = W.partitionBy(key).orderBy(F.col("score").desc(), "siret")
     return near.withColumn("score", points()).withColumn("rank", F.row_number().over(order))
 
 
@@ -94,11 +96,11 @@ def arbitrate(address: Column, a: Column, b: Column) -> Column:
     return F.when(a["is_siege"] != b["is_siege"], seat).when(hits(b) > hits(a), "B").otherwise("A")
 
 
-def decide(ranked: DataFrame, arbiter=arbitrate) -> DataFrame:
-    """One row per input_id with candidates: the result and the step that made it."""
+def decide(ranked: DataFrame, arbiter=arbitrate, key: str = "input_id") -> DataFrame:
+    """One row per key with candidates: the result and the step that made it."""
     kept = ranked.filter(F.col("rank") <= ALTERNATIVES + 1)
     one = F.struct("rank", "siret", "official_name", "score", "is_siege", "address")
-    best = kept.groupBy("input_id", "supplier_address").agg(F.sort_array(F.collect_list(one)).alias("c"))
+    best = kept.groupBy(key, "supplier_address").agg(F.sort_array(F.collect_list(one)).alias("c"))
     a, b = F.get("c", F.lit(0)), F.get("c", F.lit(1))
     tie = b.isNotNull() & (a["score"] - b["score"] <= CLOSE)
     step = F.when(a["score"] > SURE, "CALCULATED").when(a["score"] < WEAK, "LOW_SCORE").when(tie, "ARBITER").otherwise("CALCULATED_FALLBACK")
@@ -110,40 +112,44 @@ def decide(ranked: DataFrame, arbiter=arbitrate) -> DataFrame:
     hit = F.col("step") != "LOW_SCORE"
     method = F.when(~hit, "NOT_FOUND").when(F.col("step") == "ARBITER", "GEMINI_ARBITER").otherwise("CALCULATED")
     return best.select(
-        "input_id", F.when(hit, F.col("pick.siret")).alias("resolved_siret"), F.when(hit, F.col("pick.official_name")).alias("official_name"),
+        key, F.when(hit, F.col("pick.siret")).alias("resolved_siret"), F.when(hit, F.col("pick.official_name")).alias("official_name"),
         F.when(hit, F.least(F.lit(1.0), F.col("pick.score") / 100.0)).otherwise(0.0).alias("confidence_score"), method.alias("match_method"),
         F.transform(F.slice("c", 2, ALTERNATIVES), lambda x: x["siret"]).alias("alternatives"), "step",
     )
 
 
 def match(suppliers: DataFrame, registry: Registry, *, direction: str = "desc", arbiter=arbitrate, cleaner=None) -> DataFrame:
-    """One result per supplier row with an input_id: input_id, resolved_siret, official_name,
-    confidence_score, match_method, alternatives (array), step.
+    """One result per supplier row: input_id, resolved_siret, official_name, confidence_score,
+    match_method, alternatives (array), step. Rows of equal id are judged each on its own.
 
-    cleaner maps (input_id rows) to other values of clean_name, search_token, clean_cp and
-    clean_city; rows that the exact number resolved are not cleaned. The suppliers with what the
-    first two stages found are written once each (columns of the supplier side only), so that the
-    many reads of later stages don't run the earlier ones again.
+    cleaner maps (rows, suppliers), both with the column ROW, to other values of clean_name,
+    search_token, clean_cp and clean_city; rows that the exact number resolved are not cleaned. The
+    suppliers with what the first two stages found are written once each (columns of the supplier
+    side only), so that the many reads of later stages don't run the earlier ones again.
     """
-    side = lambda df, tag: df.select("input_id", F.struct(*(c for c in df.columns if c != "input_id")).alias(tag))
-    base = cleaned_rows(suppliers)
-    first = materialize(base.join(side(direct(base, registry), "e"), "input_id", "left"), "suppliers")
+    from .suppliers import cleaned, with_input_id
+
+    side = lambda df, tag: df.select(ROW, F.struct(*(c for c in df.columns if c != ROW)).alias(tag))
+    held = materialize(with_input_id(suppliers).withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    base = cleaned(held)
+    first = materialize(base.join(side(direct(base, registry, ROW), "e"), ROW, "left"), "suppliers")
     rest = first.filter("e IS NULL").drop("e")
     if cleaner is not None:
-        rest = materialize(cleaner(rest, suppliers), "cleaned")
-    second = materialize(rest.join(side(strict_local(rest, registry), "l"), "input_id", "left"), "local")
+        rest = materialize(cleaner(rest, held), "cleaned")
+    second = materialize(rest.join(side(strict_local(rest, registry, ROW), "l"), ROW, "left"), "local")
     placed = F.col("clean_cp").isNotNull() | (F.col("supplier_city") != "")
     asked = second.filter(F.col("l").isNull() & placed).drop("l")
-    decided = decide(scored(near_enough(fetch(asked, registry, fts_candidates(asked, registry, direction)))), arbiter)
+    found = near_enough(fetch(asked, registry, fts_candidates(asked, registry, direction), ROW))
+    decided = decide(scored(found, ROW), arbiter, ROW)
 
     exact = _result(first.filter("e IS NOT NULL").select("input_id", "e.*"), "DIRECT_ID", 1.0)
     local = _result(second.filter("l IS NOT NULL").select("input_id", "l.*"), "STRICT_LOCAL", 0.95)
-    searched = second.filter("l IS NULL").select("input_id", placed.alias("placed")).join(side(decided, "d"), "input_id", "left")
-    found = searched.select(
+    searched = second.filter("l IS NULL").select("input_id", ROW, placed.alias("placed")).join(side(decided, "d"), ROW, "left")
+    rated = searched.select(
         "input_id", "d.resolved_siret", "d.official_name", F.coalesce("d.confidence_score", F.lit(0.0)).alias("confidence_score"), F.coalesce("d.match_method", F.lit("NOT_FOUND")).alias("match_method"),
         F.coalesce("d.alternatives", F.array().cast("array<string>")).alias("alternatives"), F.coalesce("d.step", F.when(F.col("placed"), "NOT_FOUND").otherwise("NO_LOCATION")).alias("step"),
     )
-    return exact.unionByName(local).unionByName(found)
+    return exact.unionByName(local).unionByName(rated)
 
 
 def _result(df: DataFrame, method: str, confidence: float) -> DataFrame:
@@ -156,16 +162,16 @@ def cleaned_rows(suppliers: DataFrame) -> DataFrame:
     return cleaned(with_input_id(suppliers))
 
 
-def diagnostics(cleaned: DataFrame, registry: Registry, direction: str = "desc") -> DataFrame:
+def diagnostics(cleaned: DataFrame, registry: Registry, direction: str = "desc", key: str = "input_id") -> DataFrame:
     """Counts behind each decision: strict hits, text candidates, establishments, those near enough, top scores, scope."""
-    n = lambda df, name: df.groupBy("input_id").agg(F.count("*").alias(name))
+    n = lambda df, name: df.groupBy(key).agg(F.count("*").alias(name))
     candidates = fts_candidates(cleaned, registry, direction)
-    found = fetch(cleaned, registry, candidates)
-    ranked = scored(near_enough(found))
-    tops = ranked.filter("rank <= 5").groupBy("input_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "score"))), lambda x: x["score"]).alias("top_scores"))
+    found = fetch(cleaned, registry, candidates, key)
+    ranked = scored(near_enough(found), key)
+    tops = ranked.filter("rank <= 5").groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "score"))), lambda x: x["score"]).alias("top_scores"))
     per_token = candidates.groupBy("search_token").agg(F.count("*").alias("fts_n"))
-    out = cleaned.select("input_id", "search_token", "siren_from_vat", F.when(F.col("clean_cp").isNotNull(), F.concat(F.lit("department_"), F.substring("clean_cp", 1, 2))).otherwise("nationwide").alias("search_scope"))
+    out = cleaned.select(key, "search_token", "siren_from_vat", F.when(F.col("clean_cp").isNotNull(), F.concat(F.lit("department_"), F.substring("clean_cp", 1, 2))).otherwise("nationwide").alias("search_scope"))
     out = out.join(per_token, "search_token", "left").drop("search_token")
-    for df, name in ((strict_hits(cleaned, registry), "strict_hits_n"), (found, "estabs_n"), (ranked, "filtered_n")):
-        out = out.join(n(df, name), "input_id", "left")
-    return out.join(tops, "input_id", "left").na.fill(0, ["strict_hits_n", "fts_n", "estabs_n", "filtered_n"])
+    for df, name in ((strict_hits(cleaned, registry, key), "strict_hits_n"), (found, "estabs_n"), (ranked, "filtered_n")):
+        out = out.join(n(df, name), key, "left")
+    return out.join(tops, key, "left").na.fill(0, ["strict_hits_n", "fts_n", "estabs_n", "filtered_n"])

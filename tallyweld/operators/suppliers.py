@@ -10,6 +10,8 @@ from ..functions import country as geo, text as tx
 from ..functions.vocab import COLUMN_ALIASES
 
 REQUIRED = ("Nom", "Postal", "Ville")
+#: Number of a supplier row: ids repeat, and each row is judged alone.
+ROW = "__row"
 
 
 def identify_columns(columns: list[str]) -> dict[str, str]:
@@ -39,15 +41,24 @@ def with_input_id(df: DataFrame) -> DataFrame:
     return df.withColumn("input_id", tx.first_filled(*ids, F.concat(F.lit("row-"), row)))
 
 
+def by_given_id(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """with_input_id() in two parts: rows that hold an id, which is read without their other columns, and rows that don't."""
+    given = tx.first_filled(*optional(df, "Auxiliaire", "input_id", "Code tiers", "index"))
+    return df.filter(given != "").withColumn("input_id", given), with_input_id(df.filter(given == ""))
+
+
 def cleaned(df: DataFrame) -> DataFrame:
-    """The heuristic cleaner's columns and the location columns the matcher compares with."""
+    """The heuristic cleaner's columns and the location columns the matcher compares with.
+
+    A column ROW, which tells supplier rows apart, is kept.
+    """
     name, siret, vat, a1, a2, a3, postal, city = optional(df, "Nom", "Code SIRET", "Code NIF", "Adresse 1", "Adresse 2", "Adresse 3", "Postal", "Ville")
     kinds = dict(df.dtypes)
     numeric = lambda c: kinds.get(c, "string") in ("int", "bigint", "double", "float", "smallint")
     cp = tx.clean_cp_number(postal) if numeric("Postal") else tx.clean_cp(postal, a1)
     clean = tx.clean_name(name)
     number = F.col("`Code SIRET`").cast("decimal(20,0)").cast("string") if numeric("Code SIRET") else siret
-    out = df.select("input_id", (F.when(F.length(tx.padded(number, 14)) == 14, tx.padded(number, 14)) if numeric("Code SIRET") else tx.extract_siret(siret)).alias("siret"), tx.siren_from_vat(vat).alias("siren_from_vat"), clean.alias("clean_name"), cp.alias("clean_cp"), tx.clean_city(city).alias("clean_city"), tx.normalize_city(city).alias("city_norm"), tx.normalize_addr(a1, a2, a3).alias("supplier_address"))
+    out = df.select("input_id", *(c for c in (ROW,) if c in df.columns), (F.when(F.length(tx.padded(number, 14)) == 14, tx.padded(number, 14)) if numeric("Code SIRET") else tx.extract_siret(siret)).alias("siret"), tx.siren_from_vat(vat).alias("siren_from_vat"), clean.alias("clean_name"), cp.alias("clean_cp"), tx.clean_city(city).alias("clean_city"), tx.normalize_city(city).alias("city_norm"), tx.normalize_addr(a1, a2, a3).alias("supplier_address"))
     return out.select("*", tx.search_token(F.col("clean_name")).alias("search_token"), F.coalesce("clean_city", "city_norm").alias("supplier_city")).drop("city_norm")
 
 

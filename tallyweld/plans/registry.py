@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,16 +56,16 @@ class Registry:
     index: bm25.Index
 
 
-def in_memory(units: DataFrame, establishments: DataFrame, stemmer: str | None = None) -> Registry:
+def in_memory(units: DataFrame, establishments: DataFrame, stemmer: str | None = None, stop_words: Sequence[str] = ()) -> Registry:
     """A registry as plans only; nothing is written."""
     legal = active_legal_units(units)
-    return Registry(legal, active_establishments(establishments), partitioned_establishments(establishments), bm25.build(legal, stemmer=stemmer))
+    return Registry(legal, active_establishments(establishments), partitioned_establishments(establishments), bm25.build(legal, stemmer=stemmer, stop_words=stop_words))
 
 
-_TABLES = ("legal", "active", "postings", "vocabulary", "stats")
+_TABLES = ("legal", "active", "postings", "vocabulary", "stats", "heads")
 
 
-def build(spark: SparkSession, units_path: str, establishments_path: str, out: str, *, sample_one_in: int | None = None, force: bool = False, stemmer: str | None = None) -> Registry:
+def build(spark: SparkSession, units_path: str, establishments_path: str, out: str, *, sample_one_in: int | None = None, force: bool = False, stemmer: str | None = None, stop_words: Sequence[str] = ()) -> Registry:
     """Write the registry below `out`. Samples and partitions are reused unless forced; the rest is always rebuilt."""
     units, establishments = read_parquet(spark, units_path), read_parquet(spark, establishments_path).select(*ESTABLISHMENT_COLUMNS)
     mode = "overwrite" if force else "ignore"
@@ -73,7 +74,7 @@ def build(spark: SparkSession, units_path: str, establishments_path: str, out: s
         establishments = spark.read.parquet(f"{out}/sample_establishments")
         aligned_sample(units, establishments).write.mode(mode).option("compression", "zstd").parquet(f"{out}/sample_units")
         units = spark.read.parquet(f"{out}/sample_units")
-    made = in_memory(units, establishments, stemmer)
+    made = in_memory(units, establishments, stemmer, stop_words)
     write = lambda df, name, how="overwrite": df.write.mode(how).option("compression", "zstd").parquet(f"{out}/{name}")
     # sorted by key, so that row groups' statistics prune point lookups
     write(made.legal.repartition("siren").sortWithinPartitions("siren"), "legal")
@@ -81,18 +82,19 @@ def build(spark: SparkSession, units_path: str, establishments_path: str, out: s
     # the key beside the department spreads a large department over several tasks
     spread = made.parts.repartition("dept", F.pmod(F.xxhash64("codePostalEtablissement"), F.lit(8))).sortWithinPartitions("dept", "codePostalEtablissement")
     spread.write.mode(mode).option("compression", "zstd").partitionBy("dept").parquet(f"{out}/parts")
-    index = bm25.build(spark.read.parquet(f"{out}/legal"), stemmer=stemmer)
+    index = bm25.build(spark.read.parquet(f"{out}/legal"), stemmer=stemmer, stop_words=stop_words)
     write(index.postings.repartition("term").sortWithinPartitions("term"), "postings")
     write(index.vocabulary, "vocabulary")
     write(index.stats, "stats")
-    write_json_meta(spark, f"{out}/meta", {"ul_parquet": units_path, "etab_parquet": establishments_path, "partitions_root": f"{out}/parts", "stemmer": stemmer or ""})
+    write(bm25.heads(spark.read.parquet(f"{out}/postings"), spark.read.parquet(f"{out}/vocabulary")).repartition("term").sortWithinPartitions("term"), "heads")
+    write_json_meta(spark, f"{out}/meta", {"ul_parquet": units_path, "etab_parquet": establishments_path, "partitions_root": f"{out}/parts", "stemmer": stemmer or "", "stop_words": list(stop_words)})
     return load(spark, out)
 
 
 def load(spark: SparkSession, out: str) -> Registry:
     t = {n: spark.read.parquet(f"{out}/{n}") for n in _TABLES}
     parts = spark.read.schema(ESTABLISHMENT_PART).parquet(f"{out}/parts")  # departments stay strings
-    return Registry(t["legal"], t["active"], parts, bm25.Index(t["postings"], t["vocabulary"], t["stats"]))
+    return Registry(t["legal"], t["active"], parts, bm25.Index(t["postings"], t["vocabulary"], t["stats"], t["heads"], paths(spark, out)["stemmer"] or None))
 
 
 def paths(spark: SparkSession, out: str) -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from . import fixtures as fx
 from .functions import country as geo, similarity as sim, text as tx
@@ -13,8 +13,9 @@ from .operators import bm25, matching as m
 from .operators.state import latest, pending
 from .operators.suppliers import preprocess, with_input_id
 from .plans import registry as reg
-from .sources import clients
-from .sources.writers import union_results, unified
+from .sources import clients, readers
+from .sources.tables import new_path
+from .sources.writers import union_results, unified, write_csv
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 O: dict[str, str] = {}
@@ -30,8 +31,20 @@ def query(sql: str | None = None):
     return register
 
 
-def _registry(spark: SparkSession, d: str, stemmer: str | None = None) -> reg.Registry:
-    return reg.in_memory(fx.legal_unit(spark, d), fx.establishment(spark, d), stemmer)
+_built: dict[tuple, reg.Registry] = {}
+_places: dict[tuple, str] = {}
+
+
+def _registry(spark: SparkSession, d: str, stemmer: str | None = None, stop_words: tuple[str, ...] = ()) -> reg.Registry:
+    """The registry as `init-db` writes it; once for each session, input and index."""
+    key = (spark.sparkContext.applicationId, d, stemmer, stop_words)
+    if key not in _built:
+        at = new_path(spark, "registry")
+        fx.legal_unit(spark, d).write.parquet(f"{at}/units")
+        fx.establishment(spark, d).write.parquet(f"{at}/establishments")
+        _places[key] = f"{at}/built"
+        _built[key] = reg.build(spark, f"{at}/units", f"{at}/establishments", _places[key], stemmer=stemmer, stop_words=stop_words)
+    return _built[key]
 
 
 def _suppliers(spark: SparkSession, d: str) -> DataFrame:
@@ -119,7 +132,28 @@ def sample_aligned_lu(spark, d):
 
 @query(f"WITH {EST} SELECT dept, count(*) AS n FROM prt GROUP BY dept")
 def dept_counts(spark, d):
-    return reg.partitioned_establishments(fx.establishment(spark, d)).groupBy("dept").agg(F.count("*").alias("n"))
+    """Of the partitioned copy, read back; only folders are looked at."""
+    return _registry(spark, d).parts.groupBy("dept").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {EST} SELECT siret, siren, city AS \"libelleCommuneEtablissement\", upper(cp) AS \"codePostalEtablissement\", address, is_siege, dept FROM prt WHERE dept = '06'")
+def one_department(spark, d):
+    """One folder of the partitioned copy."""
+    return _registry(spark, d).parts.filter("dept = '06'")
+
+
+@query(f"WITH {EST} SELECT siret, siren, city AS \"libelleCommuneEtablissement\", cp AS \"codePostalEtablissement\", address, is_siege FROM est")
+def registry_readback(spark, d):
+    """The nationwide table of a written registry."""
+    return _registry(spark, d).active
+
+
+@query("SELECT * FROM (VALUES ('etab_parquet', 'establishments'), ('partitions_root', 'parts'), ('ul_parquet', 'units')) t(name, folder)")
+def registry_meta(spark, d):
+    """The paths that a written registry names."""
+    _registry(spark, d)
+    named = reg.paths(spark, _places[spark.sparkContext.applicationId, d, None, ()])
+    return spark.createDataFrame([(k, v.rsplit("/", 1)[1]) for k, v in sorted(named.items()) if "/" in str(v)], "name string, folder string")
 
 
 # ---- cleaning ---------------------------------------------------------------------------------
@@ -279,15 +313,27 @@ def bm25_top20_asc(spark, d):
     return _top(spark, d, "asc")
 
 
-@query()
+#: Stems by Porter's published rules of the names' words that differ from their stems.
+STEMS = {"large": "larg", "platee": "plate", "largee": "large"}
+_stem = lambda t: f"CASE {t} {' '.join(f'WHEN {_quoted([w])} THEN {_quoted([x])}' for w, x in STEMS.items())} ELSE {t} END"
+_stemmed = lambda sql: sql.replace(_terms("name"), f"list_transform({_terms('name')}, lambda t: {_stem('t')})").replace(_terms("search_token"), f"list_transform({_terms('search_token')}, lambda t: {_stem('t')})")
+
+
+@query(f"WITH {LU}, {SUP}, {_stemmed(POST)}, {_stemmed(_bm25('c', 'DESC'))} SELECT search_token, siren, round(score, 6) AS score, rank FROM fts")
 def bm25_porter(spark, d):
     """Names and tokens stemmed; the stemmer is tested against published pairs."""
-    index = _registry(spark, d, "porter").index
-    tokens = _cleaned(spark, d).select("search_token").distinct()
-    words = tokens.select("search_token", F.explode(bm25.terms(F.col("search_token"))).alias("term"))
-    stems = words.join(bm25.stem_porter(words), "term").groupBy("search_token").agg(F.concat_ws(" ", F.sort_array(F.collect_set("stem"))).alias("stems"))
-    scored = bm25.score(index, stems, "stems").join(stems, "stems").drop("stems")
-    return bm25.top(scored).select("search_token", "siren", F.round("score", 6).alias("score"), "rank")
+    return _top(spark, d, "desc", "porter")
+
+
+STOP_WORDS = ("new", "old", "brand")
+_stopped = lambda sql: sql.replace(_terms("name"), f"list_filter({_terms('name')}, lambda t: t NOT IN ({_quoted(STOP_WORDS)}))")
+
+
+@query(f"WITH {LU}, {SUP}, {_stopped(POST)}, {_bm25('c', 'DESC')} SELECT search_token, siren, round(score, 6) AS score, rank FROM fts")
+def bm25_stop_words(spark, d):
+    """An index without some words; a token that is one of them finds nothing."""
+    found = m.fts_candidates(_cleaned(spark, d), _registry(spark, d, stop_words=STOP_WORDS))
+    return found.select("search_token", "siren", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 # ---- candidates and decisions -----------------------------------------------------------------
@@ -352,16 +398,37 @@ def match_cascade(spark, d):
     return _matched(spark, d, "desc")
 
 
+_OTHER = "(SELECT min(siret) FROM establishment WHERE \"etatAdministratifEtablissement\" = 'A')"
+# each copy under an id of its own, which loses its mark in the end
+_COPIES = f"""supplier_raw AS (WITH once AS ({fx.SUPPLIER_RAW}) SELECT * REPLACE ('a' || "Auxiliaire" AS "Auxiliaire") FROM once UNION ALL SELECT * REPLACE ('b' || "Auxiliaire" AS "Auxiliaire") FROM once
+ UNION ALL SELECT * REPLACE ('c' || "Auxiliaire" AS "Auxiliaire", CASE WHEN "Code SIRET" IS NULL THEN NULL ELSE {_OTHER} END AS "Code SIRET") FROM once)"""
+
+
+def _repeated(spark, d) -> DataFrame:
+    """All suppliers, all of them again, and all with a second number where they have one."""
+    once = fx.supplier_raw(spark, d)
+    other = fx.establishment(spark, d).filter("etatAdministratifEtablissement = 'A'").agg(F.min("siret")).first()[0]
+    return once.unionByName(once).unionByName(once.withColumn("Code SIRET", F.when(F.col("Code SIRET").isNotNull(), F.lit(other))))
+
+
+@query(f"{_cascade('DESC').replace(_RAW, _COPIES)} {_SELECT.replace('SELECT input_id', 'SELECT substr(input_id, 2) AS input_id')}")
+def match_repeated(spark, d):
+    """Suppliers that repeat, with equal and with other rows: each row is judged as if it were alone."""
+    got = m.match(with_input_id(_repeated(spark, d)), _registry(spark, d))
+    return got.withColumn("alternatives", tx.json_list(F.col("alternatives")))
+
+
 @query(f"{_cascade('ASC')} {_SELECT}")
 def match_cascade_asc(spark, d):
     return _matched(spark, d, "asc")
 
 
-@query(f"""{_BASE}, {_bm25('c', 'DESC')}, {_FETCH.format(c='c')}, {_NEAR.format(c='c')}, {_HITS.format(c='c')}
-SELECT input_id, CASE WHEN clean_cp IS NULL THEN 'nationwide' ELSE 'department_' || substr(clean_cp, 1, 2) END AS search_scope, coalesce(f.n, 0) AS fts_n, coalesce(h.n, 0) AS strict_hits_n, coalesce(e.n, 0) AS estabs_n, coalesce(k.n, 0) AS filtered_n
-FROM c LEFT JOIN (SELECT search_token, count(*) AS n FROM fts GROUP BY 1) f USING (search_token) LEFT JOIN (SELECT input_id, count(*) AS n FROM hits GROUP BY 1) h USING (input_id) LEFT JOIN (SELECT input_id, count(*) AS n FROM found GROUP BY 1) e USING (input_id) LEFT JOIN (SELECT input_id, count(*) AS n FROM near GROUP BY 1) k USING (input_id)""")
+@query(f"""{_BASE}, {_bm25('c', 'DESC')}, {_FETCH.format(c='c')}, {_NEAR.format(c='c')}, {_HITS.format(c='c')}, {_SCORED}
+SELECT input_id, CASE WHEN clean_cp IS NULL THEN 'nationwide' ELSE 'department_' || substr(clean_cp, 1, 2) END AS search_scope, coalesce(f.n, 0) AS fts_n, coalesce(h.n, 0) AS strict_hits_n, coalesce(e.n, 0) AS estabs_n, coalesce(k.n, 0) AS filtered_n, coalesce(tops, '') AS top_scores
+FROM c LEFT JOIN (SELECT search_token, count(*) AS n FROM fts GROUP BY 1) f USING (search_token) LEFT JOIN (SELECT input_id, count(*) AS n FROM hits GROUP BY 1) h USING (input_id) LEFT JOIN (SELECT input_id, count(*) AS n FROM found GROUP BY 1) e USING (input_id) LEFT JOIN (SELECT input_id, count(*) AS n FROM near GROUP BY 1) k USING (input_id)
+ LEFT JOIN (SELECT input_id, string_agg(score::VARCHAR, ',' ORDER BY rank) AS tops FROM scored WHERE rank <= 5 GROUP BY 1) t USING (input_id)""")
 def match_diagnostics(spark, d):
-    return m.diagnostics(_cleaned(spark, d), _registry(spark, d)).select("input_id", "search_scope", "fts_n", "strict_hits_n", "estabs_n", "filtered_n")
+    return m.diagnostics(_cleaned(spark, d), _registry(spark, d)).select("input_id", "search_scope", "fts_n", "strict_hits_n", "estabs_n", "filtered_n", F.coalesce(F.array_join(F.col("top_scores").cast("array<string>"), ","), F.lit("")).alias("top_scores"))
 
 
 # ---- state ------------------------------------------------------------------------------------
@@ -444,3 +511,34 @@ def unified_union(spark, d):
 def match_summary(spark, d):
     got = m.match(_suppliers(spark, d), _registry(spark, d))
     return got.groupBy("match_method").agg(F.count("*").alias("n"), F.sum("confidence_score").alias("confidence"))
+
+
+# ---- files ------------------------------------------------------------------------------------
+def _written(spark, d) -> str:
+    path = new_path(spark, "suppliers") + ".csv"
+    fx.supplier_raw(spark, d).write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+_CSV = ("Auxiliaire", "Nom", "Adresse 1", "Postal", "Ville", "Code SIRET", "Code NIF", "Pays", "Date dern. Mouvt")
+_CELL = lambda c: f"""CASE WHEN trim("{c}") NOT IN ({_quoted(readers.NULL_TOKENS)}) THEN "{c}" END"""
+
+
+_plain = lambda c: c.replace(" ", "_").replace(".", "")
+
+
+@query("WITH " + _RAW + " SELECT " + ", ".join(f'{_CELL(c)} AS "{_plain(c)}"' for c in _CSV) + " FROM supplier_raw")
+def csv_readback(spark, d):
+    """Suppliers written as CSV and loaded by the file's suffix, spellings of missing values as nulls."""
+    rows = readers.load_suppliers(spark, _written(spark, d))
+    return rows.select(*(F.col(f"`{c}`").alias(_plain(c)) for c in _CSV))
+
+
+@query(f"{_cascade('DESC')} SELECT row_number() OVER (ORDER BY input_id) AS line, input_id, coalesce(resolved_siret, '') AS resolved_siret, match_method, {_JSON} AS alternatives FROM res")
+def csv_export(spark, d):
+    """Results as an ordered CSV export, read back line by line in the order of its files."""
+    path = new_path(spark, "export")
+    write_csv(unified(m.match(_suppliers(spark, d), _registry(spark, d))), path)
+    rows = spark.read.option("header", True).option("escape", '"').csv(path).withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return rows.select(F.row_number().over(W.orderBy("file", "at")).cast("long").alias("line"), "input_id", text("resolved_siret"), "match_method", "alternatives")

@@ -17,6 +17,6 @@ SUPPLIER_COLUMNS = ("Auxiliaire", "Nom", "Adresse 1", "Adresse 2", "Adresse 3",
 #: The 15 columns of every result file.
 UNIFIED_COLUMNS = ("input_id", "resolved_siret", "official_name", "confidence_score", "match_method", "alternatives", "found_website", "found_address", "found_phone", "found_email", "country", "city", "postal_code", "search_method", "error")
 UNIFIED = T.StructType([T.StructField(n, T.DoubleType() if n == "confidence_score" else T.StringType()) for n in UNIFIED_COLUMNS])
-CHECKPOINT = T.StructType([*strings("input_id", "resolved_siret", "official_name"), T.StructField("confidence_score", T.DoubleType()), *strings("match_method", "alternatives_json", "error"), T.StructField("updated_at_epoch", T.LongType()), T.StructField("seq", T.LongType())])
+CHECKPOINT = T.StructType([*strings("input_id", "resolved_siret", "official_name"), T.StructField("confidence_score", T.DoubleType()), *strings("match_method", "alternatives_json", "error"), T.StructField("updated_at_epoch", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("run", T.StringType())])
 CLEANED = strings("clean_name", "search_token", "clean_cp", "clean_city")
 FOUND = T.StructType([*strings("website", "address", "phone", "email"), T.StructField("confidence", T.DoubleType())])

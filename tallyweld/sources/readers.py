@@ -23,13 +23,21 @@ def null_tokens(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """All columns as text. A file that is not UTF-8 (its text then holds U+FFFD) is read as Latin-1."""
-    reader = lambda enc: spark.read.option("header", True).option("inferSchema", False).option("sep", sep).option("multiLine", True).option("escape", '"').option("encoding", enc).csv(path)
-    df = reader("UTF-8")
-    bad = F.lit(False)
-    for c in df.columns:
-        bad = bad | F.coalesce(F.contains(F.col(f"`{c}`"), F.lit("�")), F.lit(False)) | F.lit("�" in c)
-    return null_tokens(df if df.filter(bad).isEmpty() else reader("ISO-8859-1"))
+    """All columns as text, in one pass: a row that is no UTF-8 is read as Latin-1, and so is a heading."""
+    # Latin-1 keeps every byte, and what separates cells is the same byte in both
+    raw = spark.read.option("header", True).option("inferSchema", False).option("sep", sep).option("multiLine", True).option("escape", '"').option("encoding", "ISO-8859-1").csv(path)
+    cells = {c: F.encode(F.col(f"`{c}`"), "ISO-8859-1").cast("string") for c in raw.columns}
+    good = F.lit(True)
+    for x in cells.values():
+        good = good & F.coalesce(F.is_valid_utf8(x), F.lit(True))
+    return null_tokens(raw.select(*(F.when(good, x).otherwise(F.col(f"`{c}`")).alias(_heading(c)) for c, x in cells.items())))
+
+
+def _heading(name: str) -> str:
+    try:
+        return name.encode("latin-1").decode("utf-8").removeprefix("\ufeff")
+    except UnicodeError:
+        return name
 
 
 def read_excel(spark: SparkSession, path: str) -> DataFrame:

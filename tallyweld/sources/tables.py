@@ -2,24 +2,44 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own setting: a query's shuffle files go when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of our own only where none is set."""
+    """spark.checkpoint.dir. Where it is unset, one JVM gets a folder of its own; a cluster is refused."""
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="tallyweld-")
         sc.setCheckpointDir(where)
     return where.rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder, which goes when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/tallyweld/{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df once and read it back: what follows does not run its plan again."""
-    path = f"{shared_dir(df.sparkSession)}/tallyweld/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df once and read it back: later readers neither recompute it nor need its shuffles."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -200,6 +200,8 @@ def test_readers(spark, tmp_path):
     p.write_bytes("Nom,Postal,Ville\nÉté,01000,NULL\n\"a,b\",, x \n".encode("latin1"))
     got = [tuple(r) for r in readers.load_suppliers(spark, str(p)).collect()]
     assert got == [("Été", "01000", None), ("a,b", None, " x ")] or got == [("Été", "01000", None), ("a,b", None, "x")]
+    (tmp_path / "c.csv").write_text("Société,x\n\"É\ufffd, ü\",1\n")  # a UTF-8 file that holds U+FFFD
+    assert [tuple(r) for r in readers.load_suppliers(spark, f"{tmp_path}/c.csv").collect()] == [("É\ufffd, ü", "1")] and readers.load_suppliers(spark, f"{tmp_path}/c.csv").columns == ["Société", "x"]
     (tmp_path / "b.csv").write_text("Nom,Code SIRET\nÉ,00012\n")
     assert readers.load_suppliers(spark, f"{tmp_path}/b.csv", 1).first()["Code SIRET"] == "00012"
 
@@ -220,9 +222,74 @@ def test_unified_and_build(spark, tmp_path, registry, suppliers):
     both = run_unified(spark, f"{tmp_path}/in.parquet", again, f"{tmp_path}/out", client=Finder())
     rows = {r.input_id: r for r in both.collect()}
     assert rows["low"].search_method == "GEMINI_WEB_SEARCH" and rows["direct"].resolved_siret == "10000000100011" and tuple(both.columns) == UNIFIED_COLUMNS
-    with pytest.raises(Exception):
-        run_unified(spark, f"{tmp_path}/in.parquet", again, f"{tmp_path}/out", client=Finder())  # stale outputs are refused
-    run_unified(spark, f"{tmp_path}/in.parquet", again, f"{tmp_path}/out", client=Finder(), clean_output=True, skip_match=True)
+    before = StateStore(spark, f"{tmp_path}/out/state").next_seq()
+    again_rows = {r.input_id: r for r in run_unified(spark, f"{tmp_path}/in.parquet", again, f"{tmp_path}/out", client=Finder()).collect()}
+    assert again_rows == rows and StateStore(spark, f"{tmp_path}/out/state").next_seq() == before  # a second run goes on where the first ended
+    # another input: what only the first one held stays out, with and without earlier results
+    raw.filter("Auxiliaire IN ('direct', 'low')").unionByName(raw.filter("Auxiliaire = 'strict'").withColumn("Auxiliaire", F.lit("new"))).write.parquet(f"{tmp_path}/next.parquet")
+    for clean in (False, True):
+        got = {r.input_id: r for r in run_unified(spark, f"{tmp_path}/next.parquet", again, f"{tmp_path}/out", client=Finder(), clean_output=clean).collect()}
+        assert set(got) == {"direct", "low", "new"} and got["new"].match_method == "STRICT_LOCAL"
+        assert {r.input_id for r in spark.read.option("header", True).csv(f"{tmp_path}/out/results_combined").collect()} == set(got)
+    assert StateStore(spark, f"{tmp_path}/out/state").attempts().count() == 2
+    got = run_unified(spark, "no such file", again, f"{tmp_path}/out", client=Finder(), clean_output=True, skip_match=True, skip_preprocess=True)
+    assert [r.input_id for r in got.collect()] == ["low"]
+    with pytest.raises(FileNotFoundError):
+        run_unified(spark, "no such file", again, f"{tmp_path}/nothing", skip_preprocess=True)
+
+
+def test_repeated_rows(spark, registry, suppliers, results):
+    """Rows of one id, equal or not, are judged each on its own."""
+    other = suppliers.withColumn("Code SIRET", F.lit("10000000700017"))
+    got = m.match(suppliers.unionByName(suppliers).unionByName(other), registry[0]).collect()
+    assert len(got) == 3 * len(SUPPLIERS)
+    for i in results:
+        own = [r for r in got if r.input_id == i]
+        assert [r == results[i] for r in own].count(True) >= 2
+        assert [r.resolved_siret for r in own if r != results[i]] == ["10000000700017"]
+
+
+def test_bad_rows_fail_alone(spark, tmp_path, suppliers, registry, results):
+    """A row that raises while it is read becomes an error row; all others get their results."""
+    bad = suppliers.withColumn("Nom", F.when(F.col("Auxiliaire").isin("digits", "low"), F.raise_error(F.concat(F.lit("bad row "), "Auxiliaire")).cast("string")).otherwise(F.col("Nom")))
+    for batch in (None, 4):
+        state = {r.input_id: r for r in run_matching(bad, registry[0], RunConfig(f"{tmp_path}/state{batch}", batch_rows=batch)).collect()}
+        assert state.keys() == results.keys()
+        for k, r in state.items():
+            assert (r.error is not None) == (k in ("digits", "low")) and r.resolved_siret == (None if r.error else results[k].resolved_siret)
+        assert "bad row" in state["low"].error
+    state = {r.input_id: r for r in run_matching(suppliers, registry[0], RunConfig(f"{tmp_path}/state4", retry_errors=True)).collect()}
+    assert all(r.error is None for r in state.values()) and {k: r.resolved_siret for k, r in state.items()} == {k: r.resolved_siret for k, r in results.items()}
+    few = run_matching(bad, registry[0], RunConfig(f"{tmp_path}/few", most_failures=0))
+    assert few.filter("error is not null").count() == len(SUPPLIERS)
+
+
+def test_appends_at_the_same_time(spark, tmp_path, monkeypatch):
+    store = StateStore(spark, f"{tmp_path}/state")
+    monkeypatch.setattr(StateStore, "next_seq", lambda self: 1)
+    for siret in ("1", "2", "3"):
+        store.upsert_results(spark.createDataFrame([("a", siret, siret)], "input_id string, resolved_siret string, official_name string"))
+    assert store.attempts().count() == 3 and {r.resolved_siret for r in store.attempts().collect()} == {"1", "2", "3"}
+    last = max(store.attempts().collect(), key=lambda r: r.run)
+    got = store.read().first()
+    assert (got.resolved_siret, got.official_name) == (last.resolved_siret, last.resolved_siret)
+    (tmp_path / "state" / "_aside" / "x").mkdir(parents=True)  # what a writer that died left is not read
+    (tmp_path / "state" / "_aside" / "x" / "part-0.parquet").write_bytes(b"half")
+    assert store.attempts().count() == 3
+    store.clear()
+    assert store.attempts().count() == 0
+
+
+def test_shared_folder_is_asked_for(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tallyweld.sources import tables
+
+    context = lambda master: SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: {}, getCheckpointDir=lambda: None, setCheckpointDir=lambda x: None))
+    assert tables.shared_dir(context("local[4]")) and tables.shared_dir(context("local"))
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://x:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            tables.shared_dir(context(master))
 
 
 def test_sample(spark, registry):
@@ -250,6 +317,24 @@ def test_writers(spark, tmp_path):
         writers.write_csv(a, f"{tmp_path}/o", overwrite=False)
 
 
+def test_excel(spark, tmp_path):
+    pytest.importorskip("openpyxl")
+    df = spark.createDataFrame([("é", "00012"), (None, "x")], "Nom string, `Code SIRET` string")
+    writers.write_excel(df, f"{tmp_path}/a.xlsx")
+    assert [tuple(r) for r in readers.load_suppliers(spark, f"{tmp_path}/a.xlsx").collect()] == [("é", "00012"), (None, "x")]
+
+
+def test_stop_words(spark, registry):
+    from tallyweld.operators import bm25
+
+    words = bm25.english_stop_words()
+    assert "the" in words and len(words) > 100
+    legal = spark.createDataFrame([("1", "THE BAKERY OF PARIS"), ("2", "PARIS"), ("3", "THE OF")], "siren string, denominationUniteLegale string")
+    index = bm25.build(legal, stop_words=words)
+    assert {(r.siren, r.term, r.dl) for r in index.postings.collect()} == {("1", "bakery", 2), ("1", "paris", 2), ("2", "paris", 1)}
+    assert (index.stats.first().n, index.stats.first().avgdl) == (3.0, 1.0)
+
+
 def test_cli_parser():
     args = cli.parser().parse_args(["parallel-optimized", "--suppliers", "s.csv", "--api-batch-size", "5"])
     assert args.command == "parallel-optimized" and args.api_batch_size == 5
@@ -259,7 +344,7 @@ def test_cli_parser():
 
 def test_fixture_counts(spark):
     d = "/root/testdata/sf0.001"
-    assert fx.legal_unit(spark, d).count() == 200 and fx.establishment(spark, d).count() == 1500 and fx.supplier_raw(spark, d).count() == 90
+    assert fx.legal_unit(spark, d).count() == 200 and fx.establishment(spark, d).count() == 1500 and fx.supplier_raw(spark, d).count() == 1500
 
 
 def test_latest_is_order_free(spark):
