@@ -516,7 +516,7 @@ def match_summary(spark, d):
 # ---- files ------------------------------------------------------------------------------------
 def _written(spark, d) -> str:
     path = new_path(spark, "suppliers") + ".csv"
-    fx.supplier_raw(spark, d).write.option("header", True).option("escape", '"').csv(path)
+    fx.supplier_raw(spark, d).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 

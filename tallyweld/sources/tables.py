@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Spark's own setting: a query's shuffle files go when it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -24,14 +25,54 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Paths that this process has made and not deleted.
+_MADE: list[str] = []
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder, which goes when the session's JVM ends."""
     path = f"{shared_dir(spark)}/tallyweld/{name}-{uuid.uuid4().hex}"
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    fs, p = _hadoop(spark, path)
+    fs.deleteOnExit(p)
+    _MADE.append(path)
     return path
 
 
+def distilled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """make()'s rows, written once; the tables that it had written on the way are deleted."""
+    before = len(_MADE)
+    rows = make()
+    between = _MADE[before:]
+    out = materialize(rows, name)
+    for path in between:
+        fs, p = _hadoop(spark, path)
+        fs.delete(p, True)
+        _MADE.remove(path)
+    return out
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """(row, doc): a number of its own for each row, the same each time it is read, and the row as a struct.
+
+    A plain scan of files gives its rows in the same order each time; anything else is written first.
+    """
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        files = node.nodeName() == "LogicalRelation" and node.relation().getClass().getSimpleName() == "HadoopFsRelation"
+        if not files and not (node.nodeName() == "Project" and node.deterministic()):
+            return materialize(rows, "numbered")
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return rows
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once and read it back: later readers neither recompute it nor need its shuffles."""
     spark = df.sparkSession

@@ -280,6 +280,32 @@ def test_appends_at_the_same_time(spark, tmp_path, monkeypatch):
     assert store.attempts().count() == 0
 
 
+def test_numbered_and_distilled(spark, tmp_path):
+    import os
+
+    from tallyweld.sources import tables
+
+    spark.range(100).withColumn("x", F.col("id") % 7).repartition(3).write.parquet(f"{tmp_path}/a")
+    scan = spark.read.parquet(f"{tmp_path}/a").withColumn("y", F.col("x") + 1)
+    made = len(tables._MADE)
+    rows = tables.numbered(scan)
+    assert len(tables._MADE) == made and rows.select("row").distinct().count() == 100
+    ids = {r.row: r.id for r in rows.select("row", "doc.id").collect()}
+    assert all(ids[r.row] == r.doc.id and r.doc.y == r.doc.x + 1 for r in rows.collect())
+    for df in (scan.repartition(2), scan.filter("x > 2").orderBy("x"), scan.distinct(), scan.withColumn("r", F.rand())):
+        assert tables.numbered(df).select("row").distinct().count() == df.count()
+    assert len(tables._MADE) == made + 4
+    between = []
+
+    def make():
+        between.append(tables.materialize(scan, "between").inputFiles()[0])
+        return tables.materialize(scan.filter("x = 1"), "between").select("id")
+
+    out = tables.distilled(spark, make, "out")
+    assert len(tables._MADE) == made + 5 and out.count() == scan.filter("x = 1").count()
+    assert not os.path.exists(between[0].removeprefix("file://"))
+
+
 def test_shared_folder_is_asked_for(spark, monkeypatch):
     from types import SimpleNamespace
 
