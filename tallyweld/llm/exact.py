@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .store import bounded_batches, materialize
+from .store import bounded_batches, materialize, numbered
 
 #: Digests of one shard on average.
 SHARD_KEYS = 1 << 15
@@ -112,13 +112,13 @@ def _number(c):
     return F.coalesce(c.cast("long"), F.lit(NO_ID))
 
 
-def _digest(text_col: str):
-    return F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256))
+def _digest(text):
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id (NO_ID for null), row (a number of its own for each row) and the SHA-256 of the text, written once."""
-    return materialize(docs.select(_number(F.col(f"`{id_col}`")).alias("doc_id"), F.monotonically_increasing_id().alias("row"), _digest(text_col).alias("digest")), "digests")
+    return materialize(docs.select(_number(F.col(f"`{id_col}`")).alias("doc_id"), F.monotonically_increasing_id().alias("row"), _digest(F.col(f"`{text_col}`")).alias("digest")), "digests")
 
 
 def look_up(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -135,10 +135,9 @@ def look_up(rows: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _among_themselves(found: DataFrame) -> DataFrame:
-    """What lookups didn't find, grouped by digest."""
+    """What lookups didn't find, grouped by digest; rows then look their group up, as a frequent digest can't be joined evenly."""
     new = found.filter("group_size is null").select("doc_id", "row", "digest")
-    firsts = materialize(_groups(new), "firsts")  # written, so that the join of a frequent digest can be split
-    return new.join(firsts, "digest").select("doc_id", "row", "digest", "keep_id", "keep_row", "group_size")
+    return look_up(new, materialize(_groups(new), "firsts"))
 
 
 def _verdict(found: DataFrame, stays) -> DataFrame:
@@ -182,8 +181,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Null texts equal empty ones, a null id is the smallest; of rows of equal text and id one stays.
     Columns can have any names. Empty in, empty out.
     """
-    held = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), _digest(text_col).alias("digest")), "held")
-    kept = exact_groups(held.select(_number(F.col(f"doc.`{id_col}`")).alias("doc_id"), "row", "digest")).filter("kept").select("row")
+    held = numbered(docs)
+    rows = held.select(_number(F.col(f"doc.`{id_col}`")).alias("doc_id"), "row", _digest(F.col(f"doc.`{text_col}`")).alias("digest"))
+    kept = exact_groups(materialize(rows, "digests")).filter("kept").select("row")
     return held.join(kept, "row", "left_semi").select(*(F.col(f"doc.`{c}`") for c in docs.columns))
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .store import materialize
+from .store import materialize, numbered
 from .textkit import count_words_sql, words_sql
 
 #: Weights of the sources in code point order, repeating; null last.
@@ -172,9 +172,10 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     columns of any name are kept apart by a row number; null and wordless texts are never drawn.
     Very long texts are drawn like others, whole but for the last of a source. Empty in, empty out.
     """
-    held = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), _size(text_col).alias("size")), "held")
-    drawn = mix(held.select("row", F.col(f"doc.`{id_col}`").alias("doc_id"), F.col(f"doc.`{source_col}`").alias("source"), "size"), seed, levels)
-    drawn = drawn.filter("taken > 0").select("row", F.explode("draws").alias("draw"))
+    held = numbered(docs)
+    size = F.expr(count_words_sql(f"doc.`{text_col}`")).cast("long")
+    drawn = mix(held.select("row", F.col(f"doc.`{id_col}`").alias("doc_id"), F.col(f"doc.`{source_col}`").alias("source"), size.alias("size")), seed, levels)
+    drawn = drawn.filter("taken > 0").select("row", "size", F.explode("draws").alias("draw"))
     both = held.join(drawn, "row")
     both = both.repartition(F.col("draw.shard"), F.substring("draw.place", 1, 1)).sortWithinPartitions("draw.shard", "draw.place")
     part = F.expr(f"array_join(slice({words_sql(f'doc.`{text_col}`')}, 1, cast(draw.words AS int)), ' ')")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import materialize, shared_dir
+from ..sources.tables import materialize, numbered, shared_dir
 
-__all__ = ["bounded_batches", "materialize", "shared_dir", "total_bytes"]
+__all__ = ["bounded_batches", "materialize", "numbered", "shared_dir", "total_bytes"]
 
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
