@@ -228,7 +228,7 @@ bw AS (SELECT greatest({LEAST_BLOCK}, (sum(floor(target)::BIGINT) + {(SHARD_BLOC
 q AS MATERIALIZED (SELECT *, floor(target)::BIGINT AS quota, (floor(target)::BIGINT + block_words - 1) // block_words AS blocks FROM t, bw),
 {', '.join(tree)},
 p AS (SELECT s.*, q.source_size, target, number, quota, block_words, sum(size) OVER (PARTITION BY s.source ORDER BY md5(concat_ws(':', '{seed}', doc_id, s.source)), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS pos FROM s JOIN q ON s.source IS NOT DISTINCT FROM q.source),
-y AS (SELECT p.*, pos + turn * source_size AS first_word, least(size, quota - (pos + turn * source_size)) AS words FROM p, range({MOST}) r(turn)),
+y AS (SELECT p.*, turn, pos + turn * source_size AS first_word, least(size, quota - (pos + turn * source_size)) AS words FROM p, range({MOST}) r(turn)),
 k AS (SELECT number, block, row_number() OVER (PARTITION BY number ORDER BY md5(concat_ws(':', '{seed}', 'block', number, block)), block) - 1 AS slot FROM q, unnest(range(blocks)) r(block)),
 z AS (SELECT y.*, slot FROM y JOIN k ON k.number = y.number AND block = first_word // block_words WHERE words > 0),
 o AS (SELECT z.doc_id, c.shard, z.words, md5(concat_ws(':', '{seed}', 'place', turn, z.doc_id)) AS place FROM z JOIN c{levels} c ON c.number = z.number AND z.slot >= c.start AND z.slot < c.start + c.n),
