@@ -42,7 +42,7 @@ from .store import bounded_batches, materialize, total_bytes
 from .textkit import U64, blocks, gram_hashes, mix, ranges
 
 #: Bytes of text whose n-grams make one block of columns, or rows, on average.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 16 << 20
 #: N-grams that a task gathers before it deals them out.
 FLUSH_GRAMS = 400_000
 #: Most entries of a column that go to one block, and the range of the number of classes in a
@@ -61,8 +61,23 @@ _POSTINGS, _COUNTS, _DOCS, _PARKED, _SHARED, _ANSWER = range(6)
 _KIND = "kind int, grp long, head binary, grams binary, more binary"
 
 
-def _row(kind: int, grp: int, head: np.ndarray, grams: np.ndarray, more: np.ndarray) -> tuple:
-    return kind, grp, head.tobytes(), grams.tobytes(), more.tobytes()
+def _row(kind: int, grp: int, head: np.ndarray | bytes, grams: np.ndarray, more: np.ndarray) -> tuple:
+    return kind, grp, head if isinstance(head, bytes) else head.tobytes(), grams.tobytes(), more.tobytes()
+
+
+def _runs(keys: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Runs of entries, 16 bytes each: class, size of its set, entries. Numbers go as planes of 16 bits, of which the upper ones are mostly zeros."""
+    return keys.tobytes() + b"".join(((x >> shift) & 0xFFFF).astype(np.uint16).tobytes() for x in (sizes, counts) for shift in (0, 16))
+
+
+def _from_runs(blobs: list[bytes]) -> np.ndarray:
+    """Keys, sizes and counts of all runs."""
+    out = []
+    for x in blobs:
+        n = len(x) // 16
+        planes = np.frombuffer(x, np.uint16, 4 * n, 8 * n).reshape(4, n).astype(np.int64)
+        out.append(np.stack([np.frombuffer(x, np.int64, n), planes[0] | planes[1] << 16, planes[2] | planes[3] << 16]))
+    return np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
 
 
 def _batch(rows: list[tuple]) -> pa.Table:
@@ -120,7 +135,7 @@ def _incidence(n: int, groups: int, hot_from: int, salt: int):
             part = order[a:b]
             runs = _cuts(which[part])
             own = which[part[runs[:-1]]]
-            rows.append(_row(_POSTINGS, int(col[a]), np.stack([keys[own], sizes[own], np.diff(runs)]), grams[part], grams[:0]))
+            rows.append(_row(_POSTINGS, int(col[a]), _runs(keys[own], sizes[own], np.diff(runs)), grams[part], grams[:0]))
         yield from _batch(rows).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +170,7 @@ def _shared(keys, sizes, grams, freq, groups: int) -> list[tuple]:
     for a, b in zip(at[:-1], at[1:], strict=True):
         runs = _cuts(keys[a:b])
         own = a + runs[:-1]
-        out.append(_row(_SHARED, int(block[a]), np.stack([keys[own], sizes[own], np.diff(runs)]), grams[a:b], freq[a:b].astype(np.uint32)))
+        out.append(_row(_SHARED, int(block[a]), _runs(keys[own], sizes[own], np.diff(runs)), grams[a:b], freq[a:b].astype(np.uint32)))
     return out
 
 
@@ -167,9 +182,9 @@ def _columns(groups: int):
         rows = pa.Table.from_batches(list(batches)).to_pylist()
         posted = [r for r in rows if r["kind"] == _POSTINGS]
         counted = [r for r in rows if r["kind"] == _COUNTS]
-        heads = np.concatenate([np.frombuffer(r["head"], np.int64).reshape(3, -1) for r in posted] or [np.zeros((3, 0), np.int64)], axis=1)
+        heads = _from_runs([r["head"] for r in posted])
         grams = np.concatenate([np.frombuffer(r["grams"], np.uint64) for r in posted] or [np.zeros(0, np.uint64)])
-        del rows
+        del rows, posted
         _, first = np.unique(heads[0], return_index=True)  # equal sets send equal runs
         keep = np.zeros(heads.shape[1], bool)
         keep[first] = True
@@ -221,7 +236,7 @@ def _answers(groups: int):
 def _rows(percent: int):
     def run(group: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches)).to_pylist()
-        heads = np.concatenate([np.frombuffer(r["head"], np.int64).reshape(3, -1) for r in rows], axis=1)
+        heads = _from_runs([r["head"] for r in rows])
         grams = np.concatenate([np.frombuffer(r["grams"], np.uint64) for r in rows])
         freq = np.concatenate([np.frombuffer(r["more"], np.uint32) for r in rows])
         del rows
@@ -364,26 +379,33 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str =
     rows = materialize(by_group(kept, _rows(percent), "key long, n long, m long, grams binary, prefix array<long>, sketch array<long>", tasks), "rows")
     row_blocks = 1 + (rows.agg(F.sum("m")).first()[0] or 0) // TILE_GRAMS
 
-    post = materialize(rows.select("key", "n", "m", F.explode("prefix").alias("gram")), "prefixes")
+    post = rows.select("key", "n", "m", F.explode("prefix").alias("gram"))
     # a component is known by its class with the smallest doc_id; keys tell classes of one id apart
     labels = materialize(rows.select("key").join(classes, "key").select("key", F.struct("least", "key").alias("comp")), "comps")
     # an overlap is at most the smaller set, and at most what either set shares with any other
     most = "least(n_a, n_b, m_a, m_b)"
     fits = f"100 * {most} >= {percent} * (n_a + n_b - {most})"
+    # the hints make small inputs run as large ones do, whose sides are no broadcasts
     for turn in range(STAR_ROUNDS + 1):
-        own = post.join(labels, "key")
-        mixed = own.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by(F.struct(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("comp").alias("comp_b")), F.struct(F.col("n") - F.col("m"), F.xxhash64("key", F.lit(turn)))).alias("leader"))
-        mixed = mixed.filter("low < high").select("gram", "leader.*")
-        mine = own.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("m").alias("m_a"), F.col("comp").alias("comp_a"), "gram")
+        own = materialize(post.join(labels.hint("merge"), "key").select("gram", "key", "n", "m", F.col("comp.key").alias("comp")), "prefixes")
+        leader = F.min(F.struct(F.col("n") - F.col("m"), F.xxhash64("key", F.lit(turn)), F.col("key").alias("b")))
+        mixed = own.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), leader.alias("leader")).filter("low < high")
+        # all classes of any other n-gram are joined already
+        mine = materialize(own.join(mixed.select("gram", "leader.b").hint("merge"), "gram"), "mixed")
+        post = mine.select("key", "n", "m", "gram")
+        side = lambda x: (F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}"), F.col("comp").alias(f"comp_{x}"))
         if turn < STAR_ROUNDS:
-            near = mine.join(mixed, "gram").filter("comp_a <> comp_b").filter(fits).groupBy("a", "b").count()
+            near = mine.filter("key <> b").select(*side("a"), "b").groupBy("a", "n_a", "m_a", "comp_a", "b").count()
+            about = rows.select("key", "n", "m").join(labels.select("key", F.col("comp.key").alias("comp")), "key").select(*side("b"))
+            near = near.join(about, "b").filter("comp_a <> comp_b").filter(fits)
             pairs = near.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
         else:
-            bits = rows.select(F.col("key").alias("a"), *(F.col("sketch")[i].alias(f"bits{i}") for i in range(SKETCH // 64)))
-            left = materialize(mine.join(mixed.select("gram"), "gram").join(bits, "a"), "left")
-            other = left.select("gram", *(F.col(c).alias(c.replace("_a", "_b") if "_" in c else f"{c}_b") for c in left.columns if c not in ("gram", "a")), F.col("a").alias("b"))
-            apart = " + ".join(["n_a - m_a + n_b - m_b", *(f"bit_count(bits{i} ^ bits{i}_b)" for i in range(SKETCH // 64))])
+            bits = rows.select("key", *(F.col("sketch")[i].alias(f"bits{i}") for i in range(SKETCH // 64)))
+            left = materialize(mine.drop("b").join(bits, "key"), "left")
+            other = left.select("gram", *side("b"), *(F.col(f"bits{i}").alias(f"others{i}") for i in range(SKETCH // 64)))
+            apart = " + ".join(["n_a - m_a + n_b - m_b", *(f"bit_count(bits{i} ^ others{i})" for i in range(SKETCH // 64))])
             near = f"{100 + percent} * ({apart}) <= {100 - percent} * (n_a + n_b)"
+            left = left.select("gram", *side("a"), *(f"bits{i}" for i in range(SKETCH // 64)))
             pairs = left.join(other, "gram").filter("comp_a < comp_b").filter(fits).filter(near).select("a", "b").distinct()
         labels = _merge(labels, _product(pairs, rows, percent, row_blocks, tasks))
 
