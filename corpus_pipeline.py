@@ -14,6 +14,7 @@ from tallyweld.llm.mixing import take
 from tallyweld.llm.packing import pack
 from tallyweld.llm.quality import judge
 from tallyweld.llm.store import materialize
+from tallyweld.sources.tables import distilled
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +40,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null and wordless texts are linked with nothing and stay; a null id is the smallest. Of repeated ids
     all rows with the kept id stay.
     """
-    first = similar_groups(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first"))
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["__first"]), "left_semi")
+    first = distilled(spark, lambda: similar_groups(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first")), "first")
+    # as many ids as documents stay: no broadcast, whatever the size
+    return docs.join(first.hint("merge"), docs["doc_id"].eqNullSafe(first["__first"]), "left_semi")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
