@@ -390,8 +390,9 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str =
         own = materialize(post.join(labels.hint("merge"), "key").select("gram", "key", "n", "m", F.col("comp.key").alias("comp")), "prefixes")
         leader = F.min(F.struct(F.col("n") - F.col("m"), F.xxhash64("key", F.lit(turn)), F.col("key").alias("b")))
         mixed = own.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), leader.alias("leader")).filter("low < high")
-        # all classes of any other n-gram are joined already
-        mine = materialize(own.join(mixed.select("gram", "leader.b").hint("merge"), "gram"), "mixed")
+        # all classes of any other n-gram are joined already; written, so that the join of a frequent n-gram can be split
+        mixed = materialize(mixed.select("gram", "leader.b"), "leaders")
+        mine = materialize(own.join(mixed.hint("merge"), "gram"), "mixed")
         post = mine.select("key", "n", "m", "gram")
         side = lambda x: (F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}"), F.col("comp").alias(f"comp_{x}"))
         if turn < STAR_ROUNDS:
