@@ -397,7 +397,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str =
         side = lambda x: (F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}"), F.col("comp").alias(f"comp_{x}"))
         if turn < STAR_ROUNDS:
             near = mine.filter("key <> b").select(*side("a"), "b").groupBy("a", "n_a", "m_a", "comp_a", "b").count()
-            about = rows.select("key", "n", "m").join(labels.select("key", F.col("comp.key").alias("comp")), "key").select(*side("b"))
+            about = materialize(rows.select("key", "n", "m").join(labels.select("key", F.col("comp.key").alias("comp")), "key").select(*side("b")), "about")
             near = near.join(about, "b").filter("comp_a <> comp_b").filter(fits)
             pairs = near.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
         else:
