@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, license, mixing, quality
+from . import chat, infill, license, mixing, quality
 from .chat import op2_chat_formatting
 from .exact import op8_exact_dedup
+from .infill import op12_fill_in_middle
 from .jaccard import op10_ngram_jaccard_join
 from .langid import op7_language_id
 from .license import op1_license_scan
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
@@ -37,6 +39,7 @@ ORACLE_SQL = {
 SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size, doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))""",
     "op9_quality_rules": quality.duckdb_sql(),
+    "op12_fill_in_middle": infill.duckdb_sql(),
     "op10_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents),
 s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 3, least(len(words), 1) + 1)), lambda i: list_slice(words, i, i + 4))) AS grams FROM w),
