@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import chat, infill, license, mixing, quality
 from .chat import op2_chat_formatting
 from .exact import op8_exact_dedup
+from .ffd import op13_packing
 from .infill import op12_fill_in_middle
 from .jaccard import op10_ngram_jaccard_join
 from .langid import op7_language_id
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_packing": op13_packing,
 }
 
 WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
