@@ -9,6 +9,7 @@ from .ffd import op13_packing
 from .infill import op12_fill_in_middle
 from .jaccard import op10_ngram_jaccard_join
 from .langid import op7_language_id
+from .late import op11_late_overwrite
 from .license import op1_license_scan
 from .mixing import op5_mixing
 from .packing import op4_best_fit_packing
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_late_overwrite": op11_late_overwrite,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_packing": op13_packing,
 }
