@@ -18,3 +18,18 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture
+def other_splits(spark):
+    """Lets a test change how scans are split, as executors do that come and go."""
+    keys = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+
+    def split(n):
+        spark.conf.set("spark.sql.files.openCostInBytes", "64")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", n)
+
+    yield split
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -280,30 +280,67 @@ def test_appends_at_the_same_time(spark, tmp_path, monkeypatch):
     assert store.attempts().count() == 0
 
 
-def test_numbered_and_distilled(spark, tmp_path):
-    import os
-
+def test_numbers_outlast_other_splits(spark, tmp_path, other_splits):
+    """A row keeps its number whatever the number of tasks that read it: planned with some, read with others."""
     from tallyweld.sources import tables
 
-    spark.range(100).withColumn("x", F.col("id") % 7).repartition(3).write.parquet(f"{tmp_path}/a")
+    spark.range(4000).selectExpr("id", "id % 7 AS x", "id AS path", "id AS `a.b`").repartition(8).write.parquet(f"{tmp_path}/a")
     scan = spark.read.parquet(f"{tmp_path}/a").withColumn("y", F.col("x") + 1)
-    made = len(tables._MADE)
+    other_splits(2)
     rows = tables.numbered(scan)
-    assert len(tables._MADE) == made and rows.select("row").distinct().count() == 100
     ids = {r.row: r.id for r in rows.select("row", "doc.id").collect()}
-    assert all(ids[r.row] == r.doc.id and r.doc.y == r.doc.x + 1 for r in rows.collect())
-    for df in (scan.repartition(2), scan.filter("x > 2").orderBy("x"), scan.distinct(), scan.withColumn("r", F.rand())):
-        assert tables.numbered(df).select("row").distinct().count() == df.count()
-    assert len(tables._MADE) == made + 4
-    between = []
+    assert len(ids) == 4000
+    tasks = rows.rdd.getNumPartitions()
+    other_splits(32)
+    again = rows.filter("row >= 0")
+    assert again.rdd.getNumPartitions() != tasks
+    assert {r.row: r.id for r in again.select("row", "doc.id").collect()} == ids
+    assert all(r.doc.y == r.doc.x + 1 and r.doc["a.b"] == r.doc.id for r in again.collect())
+
+
+def test_numbered_otherwise(spark, tmp_path, monkeypatch):
+    from tallyweld.sources import tables
+
+    spark.range(100).selectExpr("id", "id % 7 AS x").repartition(3).write.parquet(f"{tmp_path}/a")
+    scan = spark.read.parquet(f"{tmp_path}/a")
+    for df in (scan.repartition(2), scan.filter("x > 2").orderBy("x"), scan.distinct(), scan.withColumn("r", F.rand()), scan.union(scan), spark.range(9).selectExpr("id", "id AS x")):
+        rows = tables.numbered(df)
+        assert rows.select("row").distinct().count() == df.count() and sorted(rows.select("doc.id", "row").collect()) == sorted(rows.select("doc.id", "row").collect())
+    monkeypatch.setattr(tables, "MOST_FILES", 2)
+    assert tables.numbered(scan).select("row").distinct().count() == 100
+
+
+def test_distilled_keeps_the_tables_of_others(spark, tmp_path):
+    """What another thread writes meanwhile stays, and the session's setting is as it was."""
+    import os
+    import threading
+
+    from tallyweld.sources import tables
+
+    scan, before = spark.range(100).selectExpr("id", "id % 7 AS x"), spark.conf.get(tables._CLEANUP)
+    inside, outside = threading.Event(), threading.Event()
+    between, theirs = [], []
 
     def make():
         between.append(tables.materialize(scan, "between").inputFiles()[0])
-        return tables.materialize(scan.filter("x = 1"), "between").select("id")
-
+        inside.set()
+        assert outside.wait(60)
+        nested = tables.distilled(spark, lambda: tables.materialize(scan, "inner"), "outer")
+        between.append(nested.inputFiles()[0])
+        return nested.filter("x = 1").select("id")
+
+    def other():
+        inside.wait(60)
+        theirs.append(tables.materialize(scan, "theirs"))
+        outside.set()
+
+    t = threading.Thread(target=other)
+    t.start()
     out = tables.distilled(spark, make, "out")
-    assert len(tables._MADE) == made + 5 and out.count() == scan.filter("x = 1").count()
-    assert not os.path.exists(between[0].removeprefix("file://"))
+    t.join()
+    assert out.count() == scan.filter("x = 1").count() and theirs[0].count() == 100
+    assert not any(os.path.exists(x.removeprefix("file://")) for x in between)
+    assert spark.conf.get(tables._CLEANUP) == before
 
 
 def test_shared_folder_is_asked_for(spark, monkeypatch):

@@ -48,10 +48,12 @@ def test_without_llm(tmp_path):
     shutil.copytree(f"{root}/tallyweld", f"{tmp_path}/tallyweld", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copytree(f"{root}/tests", f"{tmp_path}/tests", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(entry.__file__, tmp_path)
-    env = {**os.environ, "PYTHONPATH": str(tmp_path)}
+    env = {**os.environ, "PYTHONPATH": os.pathsep.join([str(tmp_path), *filter(None, [os.environ.get("PYTHONPATH")])])}
+    (tmp_path / "tallyweld" / "llm").mkdir()  # an empty folder that was left over
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), 'match_cascade' in e.oracle_sql(), any(k.startswith('op') or k == 'pipeline' for k in e.queries()))"], cwd=tmp_path, capture_output=True, text=True, env=env)
     assert out.stdout.split()[1:] == ["True", "False"] and int(out.stdout.split()[0]) >= 35, out.stderr
-    out = subprocess.run([sys.executable, "-m", "pytest", "-q", "-x", "tests", "-k", "test_functions or lu_active or test_decide_ties"], cwd=tmp_path, capture_output=True, text=True, env=env)
+    # all of the remaining tests, and of the queries against their SQL one that writes and reads the registry
+    out = subprocess.run([sys.executable, "-m", "pytest", "-q", "-x", "tests", "-k", "not test_without_llm and not errors_inside and (not test_query_equals_sql or direct_id)"], cwd=tmp_path, capture_output=True, text=True, env=env)
     assert out.returncode == 0, out.stdout[-2000:]
 
 
@@ -68,5 +70,5 @@ def test_errors_inside_llm_are_not_swallowed(tmp_path):
     (tmp_path / "tallyweld" / "llm").mkdir()
     (tmp_path / "tallyweld" / "llm" / "__init__.py").write_text("")
     (tmp_path / "tallyweld" / "llm" / "queries.py").write_text("import no_such_module")
-    out = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": os.pathsep.join([str(tmp_path), *filter(None, [os.environ.get("PYTHONPATH")])])})
     assert "no_such_module" in out.stderr and out.returncode != 0
