@@ -103,13 +103,74 @@ def token_set_ratio(a: Column, b: Column) -> Column:
     return _let(parts, score)
 
 
+#: Characters fall into so many classes by their code, and a class counts up to so many of them.
+CLASSES, LEVELS = 32, 4
+
+
+def signature(c: Column) -> Column:
+    """(lo, hi): how often each class of characters occurs, as one bit more for each time, in two longs."""
+    one, full = F.lit(1).cast("long"), F.lit((1 << LEVELS) - 1).cast("long")
+    half = CLASSES // 2
+
+    def step(at: Column, ch: Column) -> Column:
+        kind = F.pmod(F.ascii(ch), F.lit(CLASSES))
+        shift = (kind % half) * LEVELS
+        more = lambda x: x.bitwiseOR(F.call_function("shiftleft", x, F.lit(1)).bitwiseOR(F.call_function("shiftleft", one, shift)).bitwiseAND(F.call_function("shiftleft", full, shift)))
+        return F.struct(F.when(kind < half, more(at["lo"])).otherwise(at["lo"]).alias("lo"), F.when(kind < half, at["hi"]).otherwise(more(at["hi"])).alias("hi"))
+
+    none = F.lit(0).cast("long")
+    return F.aggregate(_chars(text(c)), F.struct(none.alias("lo"), none.alias("hi")), step)
+
+
+def unmatched(a: Column, b: Column) -> Column:
+    """Of two signatures: at least so many characters of a's string have no equal one in b's."""
+    return F.bit_count(a["lo"].bitwiseAND(F.bitwise_not(b["lo"]))) + F.bit_count(a["hi"].bitwiseAND(F.bitwise_not(b["hi"])))
+
+
+def may_reach(percent: float, length_a: Column, sig_a: Column, length_b: Column, sig_b: Column) -> Column:
+    """Whether strings of these lengths and signatures can have a ratio above percent."""
+    most = F.least(length_a - unmatched(sig_a, sig_b), length_b - unmatched(sig_b, sig_a))
+    return 200.0 * most > percent * (length_a + length_b)
+
+
+def sorted_ratio_above(percent: float, a: Column, b: Column, sig_a: Column, sig_b: Column) -> Column:
+    """token_sort_ratio > percent of strings whose tokens are sorted; the subsequence is sought only where the signatures allow it."""
+    possible = may_reach(percent, F.length(a), sig_a, F.length(b), sig_b)
+    return F.when(a == b, F.lit(100.0 > percent)).when(possible, ratio(a, b) > percent).otherwise(False)
+
+
+def token_set_above(percent: float, a: Column, b: Column) -> Column:
+    """token_set_ratio > percent; what needs no subsequence is tried first, then bounds, then the subsequence."""
+    x, y = F.array_distinct(tokens(a)), F.array_distinct(tokens(b))
+    joined = lambda t: F.array_join(F.sort_array(t), " ")
+    parts = F.struct(joined(F.array_intersect(x, y)).alias("both"), joined(F.array_except(x, y)).alias("left"), joined(F.array_except(y, x)).alias("right"), F.least(F.size(x), F.size(y)).alias("n"))
+
+    def score(p: Column) -> Column:
+        both, left, right = F.length(p["both"]), F.length(p["left"]), F.length(p["right"])
+        gap = (both > 0).cast("int")
+        l1, l2 = both + gap + left, both + gap + right
+        share = lambda d, n: 100.0 * (1 - d / n) > percent
+        own = (both > 0) & ((left == 0) | (right == 0) | share(gap + left, both + l1) | share(gap + right, both + l2))
+        rest = lambda common: share(left + right - 2 * common, l1 + l2)
+        sides = F.struct(signature(p["left"]).alias("l"), signature(p["right"]).alias("r"))
+        bound = _let(sides, lambda s: rest(F.least(left - unmatched(s["l"], s["r"]), right - unmatched(s["r"], s["l"]))))
+        exact = rest(lcs(p["left"], p["right"]))
+        return F.when(p["n"] == 0, False).when(own, True).when(l1 + l2 == 0, True).when(~rest(F.least(left, right)), False).when(~bound, False).otherwise(exact)
+
+    return _let(parts, score)
+
+
+def as_bytes(c: Column) -> Column:
+    """The UTF-8 bytes of a string, as one character each."""
+    return F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
+
+
 def byte_levenshtein(a: Column, b: Column) -> Column:
     """Edit distance over UTF-8 bytes: an accented letter against its base letter counts two."""
-    as_bytes = lambda c: F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
     return F.levenshtein(as_bytes(a), as_bytes(b))
 
 
 def within(a: Column, b: Column, most: int, distance=F.levenshtein) -> Column:
-    """distance <= most, after the length test that is cheap and implied."""
-    lengths = (lambda c: F.octet_length(c)) if distance is byte_levenshtein else F.length
-    return (F.abs(lengths(a) - lengths(b)) <= most) & (distance(a, b) <= most)
+    """distance <= most, after the length test that is cheap and implied; only a band of the table is filled."""
+    lengths, of = (F.octet_length, as_bytes) if distance is byte_levenshtein else (F.length, lambda c: c)
+    return (F.abs(lengths(a) - lengths(b)) <= most) & (F.levenshtein(of(a), of(b), most) >= 0)

@@ -3,7 +3,12 @@
 Postings are per term and company; a query joins its distinct tokens, so each token is scored once
 however many suppliers ask for it. The first HEAD companies of each term are ranked when the index is
 built: a token of one term, as nearly all are, takes them from there, however frequent the term is.
-For other tokens the rank filter lets Spark keep only the best rows of each before the shuffle.
+
+Tokens of several terms read postings only as far as bounds ask for. Postings lie in levels of weight,
+and the largest weight of each level is known. The ready heads give a score that enough companies
+reach at least. Terms that together stay below it can't bring a company in by themselves: they are only
+looked up for companies that other terms bring. Of those, levels are read that can still reach that score
+with the best that all other terms may add.
 """
 
 from __future__ import annotations
@@ -15,9 +20,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..sources.tables import materialize
+
 K1, B = 1.2, 0.75
 #: Companies of a term, from the best and from the lowest on, that an index holds ready.
 HEAD = 20
+#: Levels of weight for each unit; weights lie below K1 + 1.
+LEVELS = 32
+#: Scores are compared after nine decimals, so bounds give way by more than these.
+_SLACK = 1e-8
 _ACCENTED = [chr(c) for c in range(0xC0, 0x180) if len(unicodedata.normalize("NFD", chr(c))) > 1]
 _BASE = "".join(unicodedata.normalize("NFD", c)[0] for c in _ACCENTED)
 
@@ -33,10 +44,11 @@ _terms = terms
 
 @dataclass
 class Index:
-    postings: DataFrame  # siren, term, tf, dl, weight
+    postings: DataFrame  # siren, term, tf, dl, weight, level
     vocabulary: DataFrame  # term, df, idf
     stats: DataFrame  # one row: n, avgdl
     heads: DataFrame  # term, siren, score, direction, rank
+    levels: DataFrame  # term, level, top (the largest weight of the level), n
     stemmer: str | None = None
 
 
@@ -78,7 +90,13 @@ def build(legal: DataFrame, key: str = "siren", field: str = "denominationUniteL
     spark = legal.sparkSession
     weighted = spark.sql(f"SELECT *, tf * {K1 + 1}D / (tf + {K1}D * ({1 - B}D + {B}D * dl / (SELECT avgdl FROM {{stats}}))) AS weight FROM {{p}}", p=postings.join(length, key), stats=stats)
     rare = spark.sql("SELECT *, ln(1 + ((SELECT n FROM {stats}) - df + 0.5D) / (df + 0.5D)) AS idf FROM {v}", v=postings.groupBy("term").agg(F.count("*").alias("df")), stats=stats)
-    return Index(weighted, rare, stats, heads(weighted, rare, key), stemmer)
+    weighted = weighted.withColumn("level", F.floor(F.col("weight") * LEVELS).cast("int"))
+    return Index(weighted, rare, stats, heads(weighted, rare, key), levels(weighted), stemmer)
+
+
+def levels(postings: DataFrame) -> DataFrame:
+    """For each term and level of weight the largest weight and the number of postings, combined before the shuffle."""
+    return postings.groupBy("term", "level").agg(F.max("weight").alias("top"), F.count("*").alias("n"))
 
 
 def heads(postings: DataFrame, vocabulary: DataFrame, key: str = "siren") -> DataFrame:
@@ -100,11 +118,48 @@ def candidates(index: Index, queries: DataFrame, limit: int = HEAD, direction: s
     """(token, siren, score, rank): as top(score(...)), with what the index holds ready."""
     if limit > HEAD:
         return top(score(index, queries, token, key), limit, direction, token, key)
-    asked = asked_terms(index, queries, token)
+    asked = materialize(asked_terms(index, queries, token), "tokens")
     one = asked.filter(F.size("terms") == 1).select(token, F.col("terms")[0].alias("term"))
     ready = index.heads.filter((F.col("direction") == direction) & (F.col("rank") <= limit))
     found = one.join(ready, "term").select(token, key, "score", "rank")
-    return found.unionByName(top(_score(index, asked.filter(F.size("terms") > 1), token, key), limit, direction, token, key))
+    more = asked.filter(F.size("terms") > 1)
+    if more.isEmpty():
+        return found
+    # bounds tell which companies can be among the best, not which among the lowest
+    scored = best_scores(index, more, limit, token, key) if direction == "desc" else _score(index, more, token, key)
+    return found.unionByName(top(scored, limit, direction, token, key).select(token, key, "score", "rank"))
+
+
+def _bounds(index: Index, asked: DataFrame, limit: int, token: str, key: str) -> DataFrame:
+    """(token, term, idf, most, others, sought): for each term of a token the most it gives, what all others give at
+    most, and whether it has to be read; floor: a score that `limit` companies reach at least (0: fewer are known)."""
+    words = asked.select(token, F.explode("terms").alias("term")).join(index.vocabulary, "term")
+    most = index.levels.groupBy("term").agg(F.max("top").alias("top"))
+    words = words.join(most, "term").select(token, "term", "idf", (F.col("idf") * F.col("top")).alias("most"))
+    ready = words.select(token, "term").join(index.heads.filter("direction = 'desc'").select("term", key, "score"), "term")
+    known = ready.groupBy(token, key).agg(F.sum("score").alias("least"))
+    best = known.withColumn("r", F.row_number().over(W.partitionBy(token).orderBy(F.col("least").desc()))).filter(F.col("r") == limit)
+    words = words.join(best.select(token, F.col("least").alias("floor")), token, "left").na.fill(0.0, ["floor"])
+    rising = W.partitionBy(token).orderBy("most", "term")
+    return words.select("*", (F.sum("most").over(W.partitionBy(token)) - F.col("most")).alias("others"), (F.sum("most").over(rising.rowsBetween(W.unboundedPreceding, 0)) + _SLACK >= F.col("floor")).alias("sought"))
+
+
+def read_postings(index: Index, bounds: DataFrame, token: str = "search_token", key: str = "siren") -> DataFrame:
+    """(token, siren, floor, rest, part): the postings of the terms that have to be read, in the levels that can reach the floor."""
+    worth = bounds.filter("sought").join(index.levels, "term").filter(F.col("idf") * F.col("top") + F.col("others") + _SLACK >= F.col("floor"))
+    hits = worth.select(token, "term", "level", "idf", "floor").join(index.postings.select("term", "level", key, "weight"), ["term", "level"])
+    return hits.select(token, "term", key, "floor", (F.col("idf") * F.col("weight")).alias("part"))
+
+
+def best_scores(index: Index, asked: DataFrame, limit: int = HEAD, token: str = "search_token", key: str = "siren") -> DataFrame:
+    """(token, siren, score) of companies among which the best `limit` of each token are, with their whole scores."""
+    bounds = materialize(_bounds(index, asked, limit, token, key), "bounds")
+    rest = bounds.filter("NOT sought").groupBy(token).agg(F.sum("most").alias("rest"), F.collect_list(F.struct("term", "idf")).alias("unread"))
+    found = read_postings(index, bounds, token, key).groupBy(token, key).agg(F.sum("part").alias("part"), F.first("floor").alias("floor"))
+    found = found.join(rest, token, "left").na.fill(0.0, ["rest"]).filter(F.col("part") + F.col("rest") + _SLACK >= F.col("floor"))
+    found = materialize(found.select(token, key, "part", "unread"), "found")
+    looked = found.select(token, key, F.inline("unread")).join(index.postings.select("term", key, "weight"), ["term", key]).select(token, key, (F.col("idf") * F.col("weight")).alias("part"))
+    return found.select(token, key, "part").unionByName(looked).groupBy(token, key).agg(F.sum("part").alias("score"))
 
 
 def score(index: Index, queries: DataFrame, token: str = "search_token", key: str = "siren") -> DataFrame:

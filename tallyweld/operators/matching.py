@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import similarity as sim, text as tx
-from ..plans.registry import Registry
+from ..plans.registry import CITY_EDITS, STRICT_EDITS, Registry
 from ..sources.tables import materialize
-from . import bm25
+from . import bm25, nearby
 from .suppliers import ROW
 
-STRICT_EDITS, CITY_EDITS, ADDRESS_EDITS = 3, 3, 10
+#: An address may differ by so many characters.
+ADDRESS_EDITS = 9
 NAME_POINTS, CITY_POINTS, ADDRESS_POINTS, SEAT_POINTS = 40, 30, 20, 10
 NAME_LEAST, ADDRESS_LEAST = 90.0, 80.0
 SURE, WEAK, CLOSE = 80, 50, 2
@@ -30,18 +31,28 @@ def direct(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> Dat
     return hits.groupBy(key, "siret").agg(F.min("official_name").alias("official_name"))
 
 
+def near_names(cleaned: DataFrame, registry: Registry) -> DataFrame:
+    """(clean_name, clean_cp, official_name, times, siret): names under the postal code at most STRICT_EDITS bytes away.
+
+    Distinct names meet distinct names, whatever the number of suppliers and establishments that bear them.
+    """
+    asked = cleaned.filter(F.col("clean_cp").isNotNull()).select("clean_name", "clean_cp").distinct().withColumn("clean_bytes", sim.as_bytes(F.col("clean_name")))
+    found = nearby.pairs(asked, registry.plain, registry.pieced, registry.crowds, ["clean_cp"], "clean_bytes", "name_bytes", STRICT_EDITS)
+    return nearby.near(found, "clean_bytes", "name_bytes", STRICT_EDITS).drop("clean_bytes", "name_bytes")
+
+
 def strict_hits(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> DataFrame:
-    """Companies under the same postal code whose name is at most STRICT_EDITS bytes away."""
-    asked = cleaned.filter(F.col("clean_cp").isNotNull()).select(key, "clean_name", "clean_cp", F.substring("clean_cp", 1, 2).alias("dept"))
-    near = asked.join(registry.parts, (asked["dept"] == registry.parts["dept"]) & (asked["clean_cp"] == registry.parts["codePostalEtablissement"])).drop("dept")
-    named = near.join(registry.legal.select("siren", F.col("denominationUniteLegale").alias("official_name")), "siren")
-    return named.filter(sim.within(F.col("official_name"), F.col("clean_name"), STRICT_EDITS, sim.byte_levenshtein)).select(key, "siret", "official_name")
+    """Establishments under the same postal code whose company's name is at most STRICT_EDITS bytes away."""
+    names = registry.legal.select("siren", F.col("denominationUniteLegale").alias("official_name"))
+    places = registry.parts.select("siren", "siret", F.col("codePostalEtablissement").alias("clean_cp")).join(names, "siren").drop("siren")
+    found = near_names(cleaned, registry).select("clean_name", "clean_cp", "official_name").join(places, ["clean_cp", "official_name"])
+    return cleaned.select(key, "clean_name", "clean_cp").join(found, ["clean_name", "clean_cp"]).select(key, "siret", "official_name")
 
 
 def strict_local(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> DataFrame:
     """Of those, suppliers with exactly one."""
-    one = strict_hits(cleaned, registry, key).groupBy(key).agg(F.count("*").alias("n"), F.min("siret").alias("siret"), F.min("official_name").alias("official_name"))
-    return one.filter("n = 1").drop("n")
+    one = near_names(cleaned, registry).groupBy("clean_name", "clean_cp").agg(F.sum("times").alias("n"), F.min("siret").alias("siret"), F.min("official_name").alias("official_name"))
+    return cleaned.select(key, "clean_name", "clean_cp").join(one.filter("n = 1").drop("n"), ["clean_name", "clean_cp"]).select(key, "siret", "official_name")
 
 
 def fts_candidates(cleaned: DataFrame, registry: Registry, direction: str = "desc", limit: int = FTS_LIMIT) -> DataFrame:
@@ -66,17 +77,58 @@ def fetch(cleaned: DataFrame, registry: Registry, candidates: DataFrame, key: st
     return local.unionByName(wide).join(names, "siren")
 
 
+def _near_city(city_norm: Column) -> Column:
+    return (F.col("supplier_city") == "") | sim.within(city_norm, F.col("supplier_city"), CITY_EDITS)
+
+
+def _near_address(address_norm: Column) -> Column:
+    return (F.col("supplier_address") == "") | sim.within(address_norm, F.col("supplier_address"), ADDRESS_EDITS)
+
+
 def near_enough(found: DataFrame) -> DataFrame:
     """Drop establishments whose city or address is too far; an unknown side is no reason."""
-    near = lambda a, b, n: (F.abs(F.length(a) - F.length(b)) < n) & (F.levenshtein(a, b) < n)
-    city = (F.col("supplier_city") == "") | near(tx.normalize_city(F.col("city")), F.col("supplier_city"), CITY_EDITS)
-    return found.filter(city).filter((F.col("supplier_address") == "") | near(tx.normalize_city(F.col("address")), F.col("supplier_address"), ADDRESS_EDITS))
+    return found.filter(_near_city(tx.normalize_city(F.col("city")))).filter(_near_address(tx.normalize_city(F.col("address"))))
+
+
+def rated_names(cleaned: DataFrame, registry: Registry, candidates: DataFrame) -> DataFrame:
+    """(clean_name, search_token, siren, official_name, crowded, name_hit): each name against each of its candidates, once."""
+    asked = cleaned.select("clean_name", "search_token").distinct().withColumn("clean_sorted", sim.sorted_tokens(F.col("clean_name")))
+    asked = asked.withColumn("clean_signature", sim.signature(F.col("clean_sorted")))
+    met = asked.join(candidates.select("search_token", "siren"), "search_token").join(registry.names, "siren")
+    hit = sim.sorted_ratio_above(NAME_LEAST, F.col("clean_sorted"), F.col("official_sorted"), F.col("clean_signature"), F.col("official_signature"))
+    return met.select("clean_name", "search_token", "siren", "official_name", "crowded", hit.alias("name_hit"))
+
 
+def near_cities(asked: DataFrame, registry: Registry) -> DataFrame:
+    """(supplier_city, city_norm): the cities of crowded companies at most CITY_EDITS characters away, each pair found once."""
+    own = asked.select("supplier_city").filter("supplier_city <> ''").distinct()
+    return nearby.near(nearby.pairs_by_pieces(own, registry.cities, [], "supplier_city", CITY_EDITS), "supplier_city", "city_norm", CITY_EDITS)
 
-def points() -> Column:
-    name = sim.token_sort_ratio(F.col("clean_name"), F.col("official_name")) > NAME_LEAST
+
+def fetch_near(cleaned: DataFrame, registry: Registry, candidates: DataFrame, key: str = "input_id") -> DataFrame:
+    """near_enough(fetch()), with name_hit: what is too far is left out by the join with the establishments.
+
+    A company with a crowd of establishments is met by its number and the cities that are near the
+    supplier's; any other by its number, with the city tested inside the join.
+    """
+    rated = rated_names(cleaned, registry, candidates)
+    asked = cleaned.select(key, *_COMPARED, "search_token", F.substring("clean_cp", 1, 2).alias("dept")).join(rated, ["clean_name", "search_token"]).drop("search_token")
+    few, many = asked.filter("NOT crowded OR supplier_city = ''").drop("crowded"), asked.filter("crowded AND supplier_city <> ''").drop("crowded")
+    many = many.join(near_cities(many, registry), "supplier_city")
+    out = None
+    for places, here, on in ((registry.parts, "dept IS NOT NULL", ["siren", "dept"]), (registry.active, "dept IS NULL", ["siren"])):
+        there = _establishments(places).withColumn("city_norm", tx.normalize_city(F.col("city"))).withColumn("address_norm", tx.normalize_city(F.col("address")))
+        own = lambda df: df.filter(here) if "dept" in on else df.filter(here).drop("dept")  # noqa: B023, E731
+        met = own(few).join(there, on).filter(_near_city(F.col("city_norm"))).unionByName(own(many).join(there, [*on, "city_norm"])).filter(_near_address(F.col("address_norm")))
+        met = met.select(key, *_COMPARED, "siren", "siret", "city", "address", "is_siege", "official_name", "name_hit")
+        out = met if out is None else out.unionByName(met)
+    return out
+
+
+def points(name_hit: Column | None = None) -> Column:
+    name = sim.token_sort_ratio(F.col("clean_name"), F.col("official_name")) > NAME_LEAST if name_hit is None else name_hit
     city = F.col("supplier_city") == F.upper(tx.text(F.col("city")))
-    address = sim.token_set_ratio(F.col("supplier_address"), F.col("address")) > ADDRESS_LEAST
+    address = sim.token_set_above(ADDRESS_LEAST, F.col("supplier_address"), F.col("address"))
     given = lambda c, n: F.when(c, n).otherwise(0)
     return given(name, NAME_POINTS) + given(city, CITY_POINTS) + given(address, ADDRESS_POINTS) + given(F.col("is_siege"), SEAT_POINTS)
 
@@ -84,7 +136,8 @@ def points() -> Column:
 def scored(near: DataFrame, key: str = "input_id") -> DataFrame:
     """Candidates with score and rank; equal scores by establishment number."""
     order = W.partitionBy(key).orderBy(F.col("score").desc(), "siret")
-    return near.withColumn("score", points()).withColumn("rank", F.row_number().over(order))
+    rated = near.withColumn("score", points(F.col("name_hit") if "name_hit" in near.columns else None))
+    return rated.withColumn("rank", F.row_number().over(order))
 
 
 def arbitrate(address: Column, a: Column, b: Column) -> Column:
@@ -139,7 +192,7 @@ def match(suppliers: DataFrame, registry: Registry, *, direction: str = "desc",
     second = materialize(rest.join(side(strict_local(rest, registry, ROW), "l"), ROW, "left"), "local")
     placed = F.col("clean_cp").isNotNull() | (F.col("supplier_city") != "")
     asked = second.filter(F.col("l").isNull() & placed).drop("l")
-    found = near_enough(fetch(asked, registry, fts_candidates(asked, registry, direction), ROW))
+    found = fetch_near(asked, registry, fts_candidates(asked, registry, direction), ROW)
     decided = decide(scored(found, ROW), arbiter, ROW)
 
     exact = _result(first.filter("e IS NOT NULL").select("input_id", "e.*"), "DIRECT_ID", 1.0)
@@ -165,13 +218,15 @@ def cleaned_rows(suppliers: DataFrame) -> DataFrame:
 def diagnostics(cleaned: DataFrame, registry: Registry, direction: str = "desc", key: str = "input_id") -> DataFrame:
     """Counts behind each decision: strict hits, text candidates, establishments, those near enough, top scores, scope."""
     n = lambda df, name: df.groupBy(key).agg(F.count("*").alias(name))
-    candidates = fts_candidates(cleaned, registry, direction)
-    found = fetch(cleaned, registry, candidates, key)
-    ranked = scored(near_enough(found), key)
+    candidates = materialize(fts_candidates(cleaned, registry, direction), "candidates")
+    # what is found is planned once and read three times
+    found = materialize(fetch(cleaned, registry, candidates, key), "found")
+    ranked = materialize(scored(near_enough(found), key).select(key, "rank", "score"), "ranked")
     tops = ranked.filter("rank <= 5").groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "score"))), lambda x: x["score"]).alias("top_scores"))
     per_token = candidates.groupBy("search_token").agg(F.count("*").alias("fts_n"))
-    out = cleaned.select(key, "search_token", "siren_from_vat", F.when(F.col("clean_cp").isNotNull(), F.concat(F.lit("department_"), F.substring("clean_cp", 1, 2))).otherwise("nationwide").alias("search_scope"))
-    out = out.join(per_token, "search_token", "left").drop("search_token")
-    for df, name in ((strict_hits(cleaned, registry, key), "strict_hits_n"), (found, "estabs_n"), (ranked, "filtered_n")):
+    strict = near_names(cleaned, registry).groupBy("clean_name", "clean_cp").agg(F.sum("times").alias("strict_hits_n"))
+    out = cleaned.select(key, "clean_name", "clean_cp", "search_token", "siren_from_vat", F.when(F.col("clean_cp").isNotNull(), F.concat(F.lit("department_"), F.substring("clean_cp", 1, 2))).otherwise("nationwide").alias("search_scope"))
+    out = out.join(per_token, "search_token", "left").join(strict, ["clean_name", "clean_cp"], "left").drop("search_token", "clean_name", "clean_cp")
+    for df, name in ((found, "estabs_n"), (ranked, "filtered_n")):
         out = out.join(n(df, name), key, "left")
     return out.join(tops, key, "left").na.fill(0, ["strict_hits_n", "fts_n", "estabs_n", "filtered_n"])

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.text import registry_address, text
-from ..operators import bm25
+from ..functions import similarity as sim
+from ..functions.text import normalize_city, registry_address, text
+from ..operators import bm25, nearby
 from ..schemas import ADDRESS_PARTS, ESTABLISHMENT_COLUMNS, ESTABLISHMENT_PART
 from ..sources.readers import read_json_meta, read_parquet, write_json_meta
 
@@ -48,21 +49,56 @@ def sample_by_key(establishments: DataFrame, one_in: int) -> DataFrame:
     return establishments.filter(F.pmod(F.xxhash64("siret"), F.lit(one_in)) == 0)
 
 
+#: Bytes by which a company's name may differ under one postal code, and characters of a city's.
+STRICT_EDITS, CITY_EDITS = 3, 2
+
+
 @dataclass
 class Registry:
     legal: DataFrame
     active: DataFrame
     parts: DataFrame
     index: bm25.Index
+    names: DataFrame  # siren, official_name, official_sorted, official_signature, crowded: what candidates are compared by
+    plain: DataFrame  # clean_cp, official_name, name_bytes, times, siret: the names of each postal code
+    pieced: DataFrame  # the same for crowded postal codes, a row for each piece of a name
+    crowds: DataFrame  # clean_cp: the crowded ones
+    cities: DataFrame  # city_norm of companies with crowds of establishments, a row for each piece
+
+
+def compared_names(legal: DataFrame, active: DataFrame) -> DataFrame:
+    """Names as candidates are compared: tokens sorted, with their signature; and whether a company has a crowd of establishments."""
+    name = F.col("denominationUniteLegale")
+    own = legal.select("siren", name.alias("official_name"), sim.sorted_tokens(name).alias("official_sorted"))
+    own = own.withColumn("official_signature", sim.signature(F.col("official_sorted")))
+    return own.join(nearby.crowded(active, ["siren"]).select("siren", F.lit(True).alias("crowded")), "siren", "left").na.fill(False, ["crowded"])
+
+
+def names_by_code(legal: DataFrame, parts: DataFrame) -> DataFrame:
+    """The distinct names under each postal code, how many establishments bear them, and the first of these."""
+    own = parts.select("siren", "siret", F.col("codePostalEtablissement").alias("clean_cp")).join(legal.select("siren", F.col("denominationUniteLegale").alias("official_name")), "siren")
+    return own.groupBy("clean_cp", "official_name").agg(F.count("*").alias("times"), F.min("siret").alias("siret")).withColumn("name_bytes", sim.as_bytes(F.col("official_name")))
+
+
+def crowded_cities(active: DataFrame, names: DataFrame) -> DataFrame:
+    large = names.filter("crowded").select("siren")
+    own = active.join(large, "siren", "left_semi").select(normalize_city(F.col("libelleCommuneEtablissement")).alias("city_norm")).distinct()
+    return nearby.known_pieces(own, "city_norm", CITY_EDITS)
+
+
+def _named(named: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    crowds = nearby.crowded(named, ["clean_cp"])
+    return named.join(crowds, "clean_cp", "left_anti"), nearby.known_pieces(named.join(crowds, "clean_cp", "left_semi"), "name_bytes", STRICT_EDITS), crowds
 
 
 def in_memory(units: DataFrame, establishments: DataFrame, stemmer: str | None = None, stop_words: Sequence[str] = ()) -> Registry:
     """A registry as plans only; nothing is written."""
-    legal = active_legal_units(units)
-    return Registry(legal, active_establishments(establishments), partitioned_establishments(establishments), bm25.build(legal, stemmer=stemmer, stop_words=stop_words))
+    legal, active, parts = active_legal_units(units), active_establishments(establishments), partitioned_establishments(establishments)
+    names = compared_names(legal, active)
+    return Registry(legal, active, parts, bm25.build(legal, stemmer=stemmer, stop_words=stop_words), names, *_named(names_by_code(legal, parts)), crowded_cities(active, names))
 
 
-_TABLES = ("legal", "active", "postings", "vocabulary", "stats", "heads")
+_TABLES = ("legal", "active", "postings", "vocabulary", "stats", "heads", "levels", "names", "plain", "pieced", "crowds", "cities")
 
 
 def build(spark: SparkSession, units_path: str, establishments_path: str, out: str, *, sample_one_in: int | None = None, force: bool = False, stemmer: str | None = None, stop_words: Sequence[str] = ()) -> Registry:
@@ -83,10 +119,20 @@ def build(spark: SparkSession, units_path: str, establishments_path: str, out: s
     spread = made.parts.repartition("dept", F.pmod(F.xxhash64("codePostalEtablissement"), F.lit(8))).sortWithinPartitions("dept", "codePostalEtablissement")
     spread.write.mode(mode).option("compression", "zstd").partitionBy("dept").parquet(f"{out}/parts")
     index = bm25.build(spark.read.parquet(f"{out}/legal"), stemmer=stemmer, stop_words=stop_words)
-    write(index.postings.repartition("term").sortWithinPartitions("term"), "postings")
+    # by term and level, so that a frequent term lies in several tasks' files and a level's rows together
+    write(index.postings.repartition("term", "level").sortWithinPartitions("term", "level"), "postings")
+    write(bm25.levels(spark.read.parquet(f"{out}/postings")), "levels")
     write(index.vocabulary, "vocabulary")
     write(index.stats, "stats")
     write(bm25.heads(spark.read.parquet(f"{out}/postings"), spark.read.parquet(f"{out}/vocabulary")).repartition("term").sortWithinPartitions("term"), "heads")
+    read = lambda name: spark.read.parquet(f"{out}/{name}")
+    write(compared_names(read("legal"), read("active")).repartition("siren").sortWithinPartitions("siren"), "names")
+    write(names_by_code(read("legal"), spark.read.schema(ESTABLISHMENT_PART).parquet(f"{out}/parts")), "names_by_code")
+    plain, pieced, crowds = _named(read("names_by_code"))
+    write(crowds, "crowds")
+    write(plain.repartition("clean_cp").sortWithinPartitions("clean_cp"), "plain")
+    write(pieced, "pieced")
+    write(crowded_cities(read("active"), read("names")), "cities")
     write_json_meta(spark, f"{out}/meta", {"ul_parquet": units_path, "etab_parquet": establishments_path, "partitions_root": f"{out}/parts", "stemmer": stemmer or "", "stop_words": list(stop_words)})
     return load(spark, out)
 
@@ -94,7 +140,8 @@ def build(spark: SparkSession, units_path: str, establishments_path: str, out: s
 def load(spark: SparkSession, out: str) -> Registry:
     t = {n: spark.read.parquet(f"{out}/{n}") for n in _TABLES}
     parts = spark.read.schema(ESTABLISHMENT_PART).parquet(f"{out}/parts")  # departments stay strings
-    return Registry(t["legal"], t["active"], parts, bm25.Index(t["postings"], t["vocabulary"], t["stats"], t["heads"], paths(spark, out)["stemmer"] or None))
+    index = bm25.Index(t["postings"], t["vocabulary"], t["stats"], t["heads"], t["levels"], paths(spark, out)["stemmer"] or None)
+    return Registry(t["legal"], t["active"], parts, index, t["names"], t["plain"], t["pieced"], t["crowds"], t["cities"])
 
 
 def paths(spark: SparkSession, out: str) -> dict[str, str]:

@@ -313,6 +313,13 @@ def bm25_top20_asc(spark, d):
     return _top(spark, d, "asc")
 
 
+@query(f"WITH {LU}, {SUP}, {POST}, cn AS (SELECT clean_name AS search_token FROM c), {_bm25('cn', 'DESC')} SELECT search_token, siren, round(score, 6) AS score, rank FROM fts")
+def bm25_phrases(spark, d):
+    """Whole names as tokens: several terms each, read as far as bounds ask for."""
+    names = _cleaned(spark, d).select(F.col("clean_name").alias("search_token"))
+    return m.fts_candidates(names, _registry(spark, d)).select("search_token", "siren", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
 #: Stems by Porter's published rules of the names' words that differ from their stems.
 STEMS = {"large": "larg", "platee": "plate", "largee": "large"}
 _stem = lambda t: f"CASE {t} {' '.join(f'WHEN {_quoted([w])} THEN {_quoted([x])}' for w, x in STEMS.items())} ELSE {t} END"
@@ -357,10 +364,17 @@ def fetch_nationwide(spark, d):
     return found.join(c.filter("clean_cp IS NULL").select("input_id"), "input_id", "left_semi").select("input_id", "siret", "siren", "city", "address", "is_siege", "official_name")
 
 
+@query(f"{_BASE}, {_bm25('c', 'DESC')}, {_FETCH.format(c='c')}, {_NEAR.format(c='c')} SELECT input_id, siret, siren, city, address, is_siege, official_name FROM near")
+def fetch_near(spark, d):
+    """Establishments of the candidates in cities and at addresses that are near enough."""
+    c, r = _cleaned(spark, d), _registry(spark, d)
+    return m.fetch_near(c, r, m.fts_candidates(c, r)).select("input_id", "siret", "siren", "city", "address", "is_siege", "official_name")
+
+
 @query(f"{_BASE}, {_bm25('c', 'DESC')}, {_FETCH.format(c='c')}, {_NEAR.format(c='c')}, {_SCORED} SELECT input_id, siret, score::BIGINT AS score, rank FROM scored")
 def score_candidates(spark, d):
-    _, found = _found(spark, d)
-    return m.scored(m.near_enough(found)).select("input_id", "siret", F.col("score").cast("long").alias("score"), F.col("rank").cast("long").alias("rank"))
+    c, r = _cleaned(spark, d), _registry(spark, d)
+    return m.scored(m.fetch_near(c, r, m.fts_candidates(c, r))).select("input_id", "siret", F.col("score").cast("long").alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 _ASKED = "regexp_extract_all(upper('Which address best matches ''' || supplier_address || '''?'), '[A-Z0-9]+')"
