@@ -31,28 +31,24 @@ def direct(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> Dat
     return hits.groupBy(key, "siret").agg(F.min("official_name").alias("official_name"))
 
 
-def near_names(cleaned: DataFrame, registry: Registry) -> DataFrame:
-    """(clean_name, clean_cp, official_name, times, siret): names under the postal code at most STRICT_EDITS bytes away.
-
-    Distinct names meet distinct names, whatever the number of suppliers and establishments that bear them.
-    """
-    asked = cleaned.filter(F.col("clean_cp").isNotNull()).select("clean_name", "clean_cp").distinct().withColumn("clean_bytes", sim.as_bytes(F.col("clean_name")))
+def near_names(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> DataFrame:
+    """(key, clean_cp, official_name, times, siret): names under the postal code at most STRICT_EDITS bytes away, whatever the number of establishments that bear them."""
+    asked = cleaned.filter(F.col("clean_cp").isNotNull()).select(key, "clean_cp", sim.as_bytes(F.col("clean_name")).alias("clean_bytes"))
     found = nearby.pairs(asked, registry.plain, registry.pieced, registry.crowds, ["clean_cp"], "clean_bytes", "name_bytes", STRICT_EDITS)
-    return nearby.near(found, "clean_bytes", "name_bytes", STRICT_EDITS).drop("clean_bytes", "name_bytes")
+    return nearby.near(found, "clean_bytes", "name_bytes", STRICT_EDITS, once=registry.pieced is not None).drop("clean_bytes", "name_bytes")
 
 
 def strict_hits(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> DataFrame:
     """Establishments under the same postal code whose company's name is at most STRICT_EDITS bytes away."""
     names = registry.legal.select("siren", F.col("denominationUniteLegale").alias("official_name"))
     places = registry.parts.select("siren", "siret", F.col("codePostalEtablissement").alias("clean_cp")).join(names, "siren").drop("siren")
-    found = near_names(cleaned, registry).select("clean_name", "clean_cp", "official_name").join(places, ["clean_cp", "official_name"])
-    return cleaned.select(key, "clean_name", "clean_cp").join(found, ["clean_name", "clean_cp"]).select(key, "siret", "official_name")
+    return near_names(cleaned, registry, key).join(places, ["clean_cp", "official_name"]).select(key, places["siret"], "official_name")
 
 
 def strict_local(cleaned: DataFrame, registry: Registry, key: str = "input_id") -> DataFrame:
     """Of those, suppliers with exactly one."""
-    one = near_names(cleaned, registry).groupBy("clean_name", "clean_cp").agg(F.sum("times").alias("n"), F.min("siret").alias("siret"), F.min("official_name").alias("official_name"))
-    return cleaned.select(key, "clean_name", "clean_cp").join(one.filter("n = 1").drop("n"), ["clean_name", "clean_cp"]).select(key, "siret", "official_name")
+    one = near_names(cleaned, registry, key).groupBy(key).agg(F.sum("times").alias("n"), F.min("siret").alias("siret"), F.min("official_name").alias("official_name"))
+    return one.filter("n = 1").drop("n")
 
 
 def fts_candidates(cleaned: DataFrame, registry: Registry, direction: str = "desc", limit: int = FTS_LIMIT) -> DataFrame:
@@ -113,13 +109,18 @@ def fetch_near(cleaned: DataFrame, registry: Registry, candidates: DataFrame, ke
     """
     rated = rated_names(cleaned, registry, candidates)
     asked = cleaned.select(key, *_COMPARED, "search_token", F.substring("clean_cp", 1, 2).alias("dept")).join(rated, ["clean_name", "search_token"]).drop("search_token")
-    few, many = asked.filter("NOT crowded OR supplier_city = ''").drop("crowded"), asked.filter("crowded AND supplier_city <> ''").drop("crowded")
-    many = many.join(near_cities(many, registry), "supplier_city")
+    few, many = asked.drop("crowded"), None
+    if registry.cities is not None:
+        few, many = asked.filter("NOT crowded OR supplier_city = ''").drop("crowded"), asked.filter("crowded AND supplier_city <> ''").drop("crowded")
+        many = many.join(near_cities(many, registry), "supplier_city")
     out = None
     for places, here, on in ((registry.parts, "dept IS NOT NULL", ["siren", "dept"]), (registry.active, "dept IS NULL", ["siren"])):
         there = _establishments(places).withColumn("city_norm", tx.normalize_city(F.col("city"))).withColumn("address_norm", tx.normalize_city(F.col("address")))
         own = lambda df: df.filter(here) if "dept" in on else df.filter(here).drop("dept")  # noqa: B023, E731
-        met = own(few).join(there, on).filter(_near_city(F.col("city_norm"))).unionByName(own(many).join(there, [*on, "city_norm"])).filter(_near_address(F.col("address_norm")))
+        met = own(few).join(there, on).filter(_near_city(F.col("city_norm")))
+        if many is not None:
+            met = met.unionByName(own(many).join(there, [*on, "city_norm"]))
+        met = met.filter(_near_address(F.col("address_norm")))
         met = met.select(key, *_COMPARED, "siren", "siret", "city", "address", "is_siege", "official_name", "name_hit")
         out = met if out is None else out.unionByName(met)
     return out
@@ -224,9 +225,9 @@ def diagnostics(cleaned: DataFrame, registry: Registry, direction: str = "desc",
     ranked = materialize(scored(near_enough(found), key).select(key, "rank", "score"), "ranked")
     tops = ranked.filter("rank <= 5").groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "score"))), lambda x: x["score"]).alias("top_scores"))
     per_token = candidates.groupBy("search_token").agg(F.count("*").alias("fts_n"))
-    strict = near_names(cleaned, registry).groupBy("clean_name", "clean_cp").agg(F.sum("times").alias("strict_hits_n"))
-    out = cleaned.select(key, "clean_name", "clean_cp", "search_token", "siren_from_vat", F.when(F.col("clean_cp").isNotNull(), F.concat(F.lit("department_"), F.substring("clean_cp", 1, 2))).otherwise("nationwide").alias("search_scope"))
-    out = out.join(per_token, "search_token", "left").join(strict, ["clean_name", "clean_cp"], "left").drop("search_token", "clean_name", "clean_cp")
+    strict = near_names(cleaned, registry, key).groupBy(key).agg(F.sum("times").alias("strict_hits_n"))
+    out = cleaned.select(key, "search_token", "siren_from_vat", F.when(F.col("clean_cp").isNotNull(), F.concat(F.lit("department_"), F.substring("clean_cp", 1, 2))).otherwise("nationwide").alias("search_scope"))
+    out = out.join(per_token, "search_token", "left").join(strict, key, "left").drop("search_token")
     for df, name in ((found, "estabs_n"), (ranked, "filtered_n")):
         out = out.join(n(df, name), key, "left")
     return out.join(tops, key, "left").na.fill(0, ["strict_hits_n", "fts_n", "estabs_n", "filtered_n"])

@@ -68,16 +68,19 @@ def pairs_by_pieces(asked: DataFrame, pieced: DataFrame, on: Sequence[str], a: s
     return sought.join(pieced, [*on, "n", "i", "piece"]).drop("n", "i", "piece")
 
 
-def pairs(asked: DataFrame, plain: DataFrame, pieced: DataFrame, crowds: DataFrame, on: Sequence[str], a: str, b: str, most: int) -> DataFrame:
+def pairs(asked: DataFrame, plain: DataFrame, pieced: DataFrame | None, crowds: DataFrame | None, on: Sequence[str], a: str, b: str, most: int) -> DataFrame:
     """Pairs of asked[a] and known[b] beneath equal keys that lengths or pieces leave; some of them more than once.
 
-    plain holds the strings of uncrowded keys, pieced those of the crowded ones.
+    plain holds the strings of uncrowded keys, pieced those of the crowded ones (None: no key is crowded).
     """
     one = asked.join(plain, list(on)).filter(F.abs(F.length(a) - F.length(b)) <= most)
+    if pieced is None:
+        return one
     many = pairs_by_pieces(asked.join(crowds, list(on), "left_semi"), pieced, on, a, most)
     return one.unionByName(many.select(*one.columns))
 
 
-def near(found: DataFrame, a: str, b: str, most: int) -> DataFrame:
-    """Those of the pairs that are at most `most` edits apart, each once; rows of either side are distinct."""
-    return found.filter(F.levenshtein(F.col(a), F.col(b), most) >= 0).dropDuplicates()
+def near(found: DataFrame, a: str, b: str, most: int, once: bool = True) -> DataFrame:
+    """Those of the pairs that are at most `most` edits apart; each once, where rows of either side are distinct."""
+    kept = found.filter(F.levenshtein(F.col(a), F.col(b), most) >= 0)
+    return kept.dropDuplicates() if once else kept

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -61,9 +62,9 @@ class Registry:
     index: bm25.Index
     names: DataFrame  # siren, official_name, official_sorted, official_signature, crowded: what candidates are compared by
     plain: DataFrame  # clean_cp, official_name, name_bytes, times, siret: the names of each postal code
-    pieced: DataFrame  # the same for crowded postal codes, a row for each piece of a name
-    crowds: DataFrame  # clean_cp: the crowded ones
-    cities: DataFrame  # city_norm of companies with crowds of establishments, a row for each piece
+    pieced: DataFrame | None  # the same for crowded postal codes, a row for each piece of a name; None if none is crowded
+    crowds: DataFrame | None  # clean_cp: the crowded ones
+    cities: DataFrame | None  # city_norm of companies with crowds of establishments, a row for each piece; None if there is none
 
 
 def compared_names(legal: DataFrame, active: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def in_memory(units: DataFrame, establishments: DataFrame, stemmer: str | None =
     return Registry(legal, active, parts, bm25.build(legal, stemmer=stemmer, stop_words=stop_words), names, *_named(names_by_code(legal, parts)), crowded_cities(active, names))
 
 
-_TABLES = ("legal", "active", "postings", "vocabulary", "stats", "heads", "levels", "names", "plain", "pieced", "crowds", "cities")
+_TABLES = ("legal", "active", "postings", "vocabulary", "stats", "heads", "levels", "names")
 
 
 def build(spark: SparkSession, units_path: str, establishments_path: str, out: str, *, sample_one_in: int | None = None, force: bool = False, stemmer: str | None = None, stop_words: Sequence[str] = ()) -> Registry:
@@ -112,37 +113,58 @@ def build(spark: SparkSession, units_path: str, establishments_path: str, out: s
         units = spark.read.parquet(f"{out}/sample_units")
     made = in_memory(units, establishments, stemmer, stop_words)
     write = lambda df, name, how="overwrite": df.write.mode(how).option("compression", "zstd").parquet(f"{out}/{name}")
-    # sorted by key, so that row groups' statistics prune point lookups
-    write(made.legal.repartition("siren").sortWithinPartitions("siren"), "legal")
-    write(made.active.repartition("siret").sortWithinPartitions("siret"), "active")
-    # the key beside the department spreads a large department over several tasks
-    spread = made.parts.repartition("dept", F.pmod(F.xxhash64("codePostalEtablissement"), F.lit(8))).sortWithinPartitions("dept", "codePostalEtablissement")
-    spread.write.mode(mode).option("compression", "zstd").partitionBy("dept").parquet(f"{out}/parts")
-    index = bm25.build(spark.read.parquet(f"{out}/legal"), stemmer=stemmer, stop_words=stop_words)
-    # by term and level, so that a frequent term lies in several tasks' files and a level's rows together
-    write(index.postings.repartition("term", "level").sortWithinPartitions("term", "level"), "postings")
-    write(bm25.levels(spark.read.parquet(f"{out}/postings")), "levels")
-    write(index.vocabulary, "vocabulary")
-    write(index.stats, "stats")
-    write(bm25.heads(spark.read.parquet(f"{out}/postings"), spark.read.parquet(f"{out}/vocabulary")).repartition("term").sortWithinPartitions("term"), "heads")
     read = lambda name: spark.read.parquet(f"{out}/{name}")
-    write(compared_names(read("legal"), read("active")).repartition("siren").sortWithinPartitions("siren"), "names")
-    write(names_by_code(read("legal"), spark.read.schema(ESTABLISHMENT_PART).parquet(f"{out}/parts")), "names_by_code")
-    plain, pieced, crowds = _named(read("names_by_code"))
-    write(crowds, "crowds")
-    write(plain.repartition("clean_cp").sortWithinPartitions("clean_cp"), "plain")
-    write(pieced, "pieced")
-    write(crowded_cities(read("active"), read("names")), "cities")
-    write_json_meta(spark, f"{out}/meta", {"ul_parquet": units_path, "etab_parquet": establishments_path, "partitions_root": f"{out}/parts", "stemmer": stemmer or "", "stop_words": list(stop_words)})
+    by = lambda df, *keys: df.repartition(*keys).sortWithinPartitions(*keys)
+
+    def write_parts() -> None:
+        # the key beside the department spreads a large department over several tasks
+        spread = made.parts.repartition("dept", F.pmod(F.xxhash64("codePostalEtablissement"), F.lit(8))).sortWithinPartitions("dept", "codePostalEtablissement")
+        spread.write.mode(mode).option("compression", "zstd").partitionBy("dept").parquet(f"{out}/parts")
+
+    def write_crowds() -> None:
+        named = read("names_by_code")
+        write(nearby.crowded(named, ["clean_cp"]), "crowds")
+        if not read("crowds").isEmpty():
+            plain, pieced, _ = _named(named)
+            write(by(plain, "clean_cp"), "plain")
+            write(pieced, "pieced")
+            crowded.append("codes")
+
+    def write_cities() -> None:
+        if not read("names").filter("crowded").isEmpty():
+            write(crowded_cities(read("active"), read("names")), "cities")
+            crowded.append("companies")
+
+    crowded: list[str] = []
+    with ThreadPoolExecutor(8) as pool:
+
+        def together(*steps: Callable[[], None]) -> None:
+            for done in [pool.submit(step) for step in steps]:
+                done.result()
+
+        # sorted by key, so that row groups' statistics prune point lookups
+        together(lambda: write(by(made.legal, "siren"), "legal"), lambda: write(by(made.active, "siret"), "active"), write_parts)
+        index = bm25.build(read("legal"), stemmer=stemmer, stop_words=stop_words)
+        parts = spark.read.schema(ESTABLISHMENT_PART).parquet(f"{out}/parts")
+        together(
+            # by term and level, so that a frequent term lies in several tasks' files and a level's rows together
+            lambda: write(by(index.postings, "term", "level"), "postings"), lambda: write(index.vocabulary, "vocabulary"), lambda: write(index.stats, "stats"),
+            lambda: write(by(compared_names(read("legal"), read("active")), "siren"), "names"), lambda: write(by(names_by_code(read("legal"), parts), "clean_cp"), "names_by_code"),
+        )
+        together(lambda: write(bm25.levels(read("postings")), "levels"), lambda: write(by(bm25.heads(read("postings"), read("vocabulary")), "term"), "heads"), write_crowds, write_cities)
+    write_json_meta(spark, f"{out}/meta", {"ul_parquet": units_path, "etab_parquet": establishments_path, "partitions_root": f"{out}/parts", "stemmer": stemmer or "", "stop_words": list(stop_words), "crowded": sorted(crowded)})
     return load(spark, out)
 
 
 def load(spark: SparkSession, out: str) -> Registry:
     t = {n: spark.read.parquet(f"{out}/{n}") for n in _TABLES}
     parts = spark.read.schema(ESTABLISHMENT_PART).parquet(f"{out}/parts")  # departments stay strings
-    index = bm25.Index(t["postings"], t["vocabulary"], t["stats"], t["heads"], t["levels"], paths(spark, out)["stemmer"] or None)
-    return Registry(t["legal"], t["active"], parts, index, t["names"], t["plain"], t["pieced"], t["crowds"], t["cities"])
+    about = paths(spark, out)
+    index = bm25.Index(t["postings"], t["vocabulary"], t["stats"], t["heads"], t["levels"], about["stemmer"] or None)
+    read = lambda name: spark.read.parquet(f"{out}/{name}")
+    codes, companies = ("codes" in about["crowded"], "companies" in about["crowded"])
+    return Registry(t["legal"], t["active"], parts, index, t["names"], *([read("plain"), read("pieced"), read("crowds")] if codes else [read("names_by_code"), None, None]), read("cities") if companies else None)
 
 
-def paths(spark: SparkSession, out: str) -> dict[str, str]:
+def paths(spark: SparkSession, out: str) -> dict:
     return json.loads(read_json_meta(spark, f"{out}/meta"))

@@ -63,7 +63,7 @@ def test_one_postal_code_in_half_of_all_rows(spark):
     assert {(x.input_id, int(x.siret[:9])) for x in m.strict_hits(cleaned, registry).collect()} == near
     once = {a for a, _ in near if sum(b == a for b, _ in near) == 1}
     assert {x.input_id for x in m.strict_local(cleaned, registry).collect()} == once
-    few = cleaned.filter("clean_cp IS NOT NULL").select("clean_name", "clean_cp").distinct().withColumn("clean_bytes", sim.as_bytes(F.col("clean_name")))
+    few = cleaned.filter("clean_cp IS NOT NULL").select("input_id", "clean_name", "clean_cp").withColumn("clean_bytes", sim.as_bytes(F.col("clean_name")))
     made = nearby.pairs(few, registry.plain, registry.pieced, registry.crowds, ["clean_cp"], "clean_bytes", "name_bytes", 3).count()
     all_pairs = sum(1 for _, _, c in asked if c for i in range(len(names)) if cp(i) == c)
     assert len(near) <= made < all_pairs / 50
