@@ -2,69 +2,69 @@
 
 Grammar of a formatted conversation (T is a text, R a role):
 
-    conversation := BOS ESCAPED? turn*
+    conversation := BOS turn*
     turn         := '[INST] ' T ' [/INST]'          user
                   | '<<SYS>>' R '\\n' T '<</SYS>>'  any other role
                   | T '</s>'                        assistant
 
-A first rendering writes texts as they are. The deterministic parser below reads it back; where
-the turns that it recovers differ from the source, the conversation is rendered with escapes: a
-backslash doubles, and one goes into each control string after its first character. No control
-string is left in such a text, and none arises where a text meets a marker, as no marker begins
-with a piece of its own end; so the second reading is identical, which is checked again.
+Texts are escaped by one rule, whatever turn they stand in: a backslash goes behind the first bracket
+of each control string, and one more where backslashes stand there already. So an escaped text
+holds no control string, for this parser or any other reader of the template, all else in it stays as it
+is, and taking one backslash out again gives the text back. The deterministic parser below reads each
+rendering and the turns that it recovers are compared with the source: `identical` says so row by row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BOS, ESCAPED = "<s>", "\\"
-#: All control strings: one bracket, then this.
-_CONTROL = r"(/?s>|/?INST\]|<SYS>>|</SYS>>)"
+BOS = "<s>"
+#: All control strings: one bracket, then this, behind any number of backslashes.
+_CONTROL = r"(\\*(?:/?s>|/?INST\]|<SYS>>|</SYS>>))"
 _TURN = r"(?s)\[INST\] (.*?) \[/INST\]|<<SYS>>([^\n]*)\n(.*?)<</SYS>>|(.*?)</s>"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), r"([<\[])" + _CONTROL, r"$1\\$2")
+    return F.regexp_replace(text, r"([<\[])" + _CONTROL, r"$1\\$2")
 
 
 def unescape(text: Column) -> Column:
-    return F.replace(F.regexp_replace(text, r"([<\[])\\" + _CONTROL, "$1$2"), F.lit("\\\\"), F.lit("\\"))
+    return F.regexp_replace(text, r"([<\[])\\" + _CONTROL, "$1$2")
 
 
-def _role(role: Column, back: bool) -> Column:
-    """Roles stand on a line of their own: a line break is an n after an odd number of backslashes."""
-    return F.regexp_replace(role, r"(?<!\\)((?:\\\\)*)\\n", "$1\n") if back else F.replace(role, F.lit("\n"), F.lit("\\n"))
+def _role(role: Column) -> Column:
+    """Roles stand on a line of their own: a backslash doubles, a line break is an n after one."""
+    return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
 
 
-def render(turns: Column, escaped: bool) -> Column:
+def _role_back(role: Column) -> Column:
+    # a line break is an n after an odd number of backslashes
+    return F.replace(F.regexp_replace(unescape(role), r"(?<!\\)((?:\\\\)*)\\n", "$1\n"), F.lit("\\\\"), F.lit("\\"))
+
+
+def render(turns: Column) -> Column:
     """One string from an array of (role, text) structs."""
-    e = escape if escaped else (lambda x: x)
 
     def one(t: Column) -> Column:
-        text = e(t["text"])
+        text = escape(t["text"])
         user = F.concat(F.lit("[INST] "), text, F.lit(" [/INST]"))
-        other = F.concat(F.lit("<<SYS>>"), _role(e(t["role"]), False), F.lit("\n"), text, F.lit("<</SYS>>"))
+        other = F.concat(F.lit("<<SYS>>"), _role(t["role"]), F.lit("\n"), text, F.lit("<</SYS>>"))
         return F.when(t["role"] == "user", user).when(t["role"] == "assistant", F.concat(text, F.lit("</s>"))).otherwise(other)
 
-    return F.concat(F.lit(BOS + ESCAPED * escaped), F.array_join(F.transform(turns, one), ""))
+    return F.concat(F.lit(BOS), F.array_join(F.transform(turns, one), ""))
 
 
 def parse(formatted: Column) -> Column:
     """The (role, text) structs of a formatted conversation."""
-    escaped = F.startswith(formatted, F.lit(BOS + ESCAPED))
-    body = F.substring(formatted, F.when(escaped, len(BOS + ESCAPED) + 1).otherwise(len(BOS) + 1), F.length(formatted))
+    body = F.substring(formatted, F.lit(len(BOS) + 1), F.length(formatted))
 
     def turn(x: Column) -> Column:
         system = F.regexp_extract(x, r"(?s)^<<SYS>>([^\n]*)\n", 1)
         is_user, is_system = F.startswith(x, F.lit("[INST] ")) & F.endswith(x, F.lit(" [/INST]")), F.startswith(x, F.lit("<<SYS>>")) & F.endswith(x, F.lit("<</SYS>>"))
-        role = F.when(is_user, "user").when(is_system, system).otherwise("assistant")
+        role = F.when(is_user, "user").when(is_system, _role_back(system)).otherwise("assistant")
         cut = lambda a, b: F.substring(x, a, F.length(x) - b)
         text = F.when(is_user, cut(F.lit(8), 15)).when(is_system, cut(F.length(system) + 9, F.length(system) + 16)).otherwise(cut(F.lit(1), 4))
-        raw = F.struct(role.alias("role"), text.alias("text"))
-        # a role is unescaped before its line breaks come back: those were written last
-        clean = F.when(is_system, _role(role, True)).otherwise(role)
-        return F.when(escaped, F.struct(unescape(_role(role, True)).alias("role"), unescape(text).alias("text"))).otherwise(F.struct(clean.alias("role"), raw["text"].alias("text")))
+        return F.struct(role.alias("role"), unescape(text).alias("text"))
 
     return F.transform(F.regexp_extract_all(body, F.lit(_TURN), 0), turn)
 
@@ -80,11 +80,9 @@ def format_chats(turns: DataFrame) -> DataFrame:
     line = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     source = F.transform(F.sort_array(F.collect_list(line)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     chats = turns.groupBy("conv_id").agg(source.alias("source"))
-    plain = chats.withColumn("plain", render(F.col("source"), False))
-    plain = plain.withColumn("escaped", ~parse(F.col("plain")).eqNullSafe(F.col("source")))
-    done = plain.withColumn("formatted", F.when(F.col("escaped"), render(F.col("source"), True)).otherwise(F.col("plain")))
-    done = done.withColumn("turns", parse(F.col("formatted")))
-    return done.select("conv_id", "formatted", "turns", "escaped", F.col("turns").eqNullSafe(F.col("source")).alias("identical"))
+    done = chats.withColumn("formatted", render(F.col("source"))).withColumn("turns", parse(F.col("formatted")))
+    escaped = F.exists("source", lambda t: (escape(t["text"]) != t["text"]) | (escape(t["role"]) != t["role"]))
+    return done.select("conv_id", "formatted", "turns", escaped.alias("escaped"), F.col("turns").eqNullSafe(F.col("source")).alias("identical"))
 
 
 def loss_text(turns: Column) -> Column:
@@ -107,14 +105,12 @@ def op2_chat_formatting(spark, sf_dir: str) -> DataFrame:
 
 def duckdb_sql() -> str:
     said = "</s>[INST] ok [/INST]"
-    control = r"([<\[])(/?s>|/?INST\]|<SYS>>|</SYS>>)"
-    esc = lambda x: rf"regexp_replace(replace({x}, '\', '\\'), '{control}', '\1\\\2', 'g')"
+    control = r"([<\[])(\\*(?:/?s>|/?INST\]|<SYS>>|</SYS>>))"
+    esc = lambda x: rf"regexp_replace({x}, '{control}', '\1\\\2', 'g')"
     one = lambda r, t: f"CASE {r} WHEN 'user' THEN '[INST] ' || {t} || ' [/INST]' WHEN 'assistant' THEN {t} || '</s>' ELSE '<<SYS>>' || {r} || chr(10) || {t} || '<</SYS>>' END"
     return rf"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
  UNION ALL VALUES (-1, 0, 'user', '{said}'), (-1, 1, 'assistant', '{said}')),
-f AS (SELECT conv_id, count(*) AS n, bool_or(regexp_matches(text, '{control}')) AS escaped,
- string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS lines, coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
- sum(length({one('role', 'text')})) AS plain_chars, sum(length({one('role', esc('text'))})) AS escaped_chars FROM c GROUP BY conv_id)
-SELECT conv_id, n::BIGINT AS n_turns, sha256(lines) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
- (CASE WHEN escaped THEN 4 + escaped_chars ELSE 3 + plain_chars END)::BIGINT AS formatted_chars, true AS identical FROM f"""
+f AS (SELECT conv_id, count(*) AS n, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS lines,
+ coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(length({one('role', esc('text'))})) AS chars FROM c GROUP BY conv_id)
+SELECT conv_id, n::BIGINT AS n_turns, sha256(lines) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, ({len(BOS)} + chars)::BIGINT AS formatted_chars, true AS identical FROM f"""

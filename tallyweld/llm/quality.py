@@ -130,6 +130,12 @@ def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return _verdicts(rated, "held").select(*(F.col(f"held.`{c}`") for c in docs.columns), "quality")
 
 
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of docs that judge() keeps, with all their columns, whatever their names."""
+    rated = signals(docs.select(F.struct("*").alias("held"), F.col(f"`{text_col}`").alias("text")), "text", "quality")
+    return _verdicts(rated, "held").filter("quality.kept").select(*(F.col(f"held.`{c}`").alias(c) for c in docs.columns))
+
+
 def judge_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As judge, but only ids and verdicts: the texts are read and not written."""
     rated = signals(docs.select(F.col(f"`{id_col}`").alias("held"), F.col(f"`{text_col}`").alias("text")), "text", "quality")

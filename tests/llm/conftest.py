@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, words string, signals string, key string, gram string, n long, row string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, words string, signals string, key string, gram string, n long, row string, quality long, `a.b` string"
 
 
 def words(n, seed, vocabulary=4000):
@@ -30,7 +30,7 @@ def rows():
     out += ["the of and " * 100, "SHOUT!! " * 120, "### $$$ word " * 80, "same line here\n" * 60]
     docs = [(i, t, [None, "en", "fr"][i % 3], [None, "a", "b", "c"][i % 4], None if t is None else len(t)) for i, t in enumerate(out)]
     docs += [docs[3], docs[3], (None, "a null id", None, None, 9)]
-    return [(*d, "x", "y", None, "g", 7, "z") for d in docs]
+    return [(*d, "x", "y", None, "g", 7, "z", 1, "dotted") for d in docs]
 
 
 @pytest.fixture(scope="session")

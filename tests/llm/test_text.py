@@ -101,6 +101,26 @@ def test_chat_round_trip(spark):
 
 
 # ---- mixing
+CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
+
+
+def test_chat_escapes_in_all_roles(spark):
+    """No text of any role leaves a control string in the output; backslashes of any number come back."""
+    texts = [f"a {c} b" for c in CONTROLS] + [f"{c[0]}{chr(92) * k}{c[1:]}" for c in CONTROLS for k in range(4)]
+    texts += ["".join(CONTROLS), "<<s>>", "[[INST]]", "<", "[", "\\", "\\\\", "<\\", "x\\n", "a\nb", "<<\\SYS>>", "</", ""]
+    roles = ["user", "assistant", "system", "tool", "", "a\nb", "x<s>\\n", "<</SYS>>"]
+    rows = [(100 * i + j, k, r, t) for i, r in enumerate(roles) for j, t in enumerate(texts) for k in range(2)]
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(got) == len(roles) * len(texts)
+    for g in got:
+        role, text = roles[g.conv_id // 100], texts[g.conv_id % 100]
+        assert g.identical and [tuple(t) for t in g.turns] == [(role, text)] * 2
+        own = {"user": ["[INST]", "[/INST]"], "assistant": ["</s>"]}.get(role, ["<<SYS>>", "<</SYS>>"])
+        for c in CONTROLS:
+            assert g.formatted.count(c) == 2 * (c in own) + (c == "<s>"), g.formatted
+        assert g.escaped == (any(c in text for c in CONTROLS) or any(c[0] + "\\" * k + c[1:] in x for x in (text, role) for c in CONTROLS for k in range(4)))
+
+
 def test_targets(spark):
     for sizes in ({"a": 100, "b": 1000, None: 50}, {"a": 10, "b": 10, "c": 10, "d": 10_000, "é": 7, "Z": 0}, {"a": 5}, {"a": 0}, {f"s{i}": (i * 37) % 101 for i in range(40)}):
         df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, size long")
