@@ -12,7 +12,7 @@ from tallyweld.llm.exact import drop_copies
 from tallyweld.llm.jaccard import similar_groups
 from tallyweld.llm.mixing import take
 from tallyweld.llm.packing import pack
-from tallyweld.llm.quality import judge
+from tallyweld.llm.quality import keep_good
 from tallyweld.llm.store import materialize
 from tallyweld.sources.tables import distilled
 
@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null, empty and short texts fail; long ones are judged whole; repeated rows get one verdict, and a
     null id or source changes nothing.
     """
-    return judge(docs).filter("quality.kept").select(*docs.columns)
+    return keep_good(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
