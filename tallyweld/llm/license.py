@@ -64,7 +64,7 @@ SENTENCES = {
     "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
     "zlib-origin": "The origin of this software must not be misrepresented; you must not claim that you wrote the original software",
     "mpl-title": "Mozilla Public License Version 2.0",
-    "mpl-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "mpl-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v",  # what follows is its number, 2.0
     "cc-by-nc-4": "Licensed under CC BY-NC 4.0",
     "cc-by-4": "Licensed under CC BY 4.0",
     "cc-by-sa-4": "Licensed under CC BY-SA 4.0",
@@ -72,10 +72,44 @@ SENTENCES = {
     "cc-by-nc-sa-4": "Licensed under CC BY-NC-SA 4.0",
     "cc-by-4-deed": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc0-1": "Licensed under CC0 1.0",
+    "bsd-advert": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "artistic2-title": "The Artistic License 2.0",
+    "cddl1-title": "COMMON DEVELOPMENT AND DISTRIBUTION LICENSE (CDDL) Version 1.0",
+    "cddl-header": "The contents of this file are subject to the terms of the Common Development and Distribution License (the \"License\")",
+    "bsl1-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "bsl1-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following",
+    "bsl1-header": "Distributed under the Boost Software License, Version 1.0",
+    "ofl11-title": "SIL OPEN FONT LICENSE Version 1.1 - 26 February 2007",
+    "ofl11-header": "This Font Software is licensed under the SIL Open Font License, Version 1.1",
+    "mspl-title": "Microsoft Public License (Ms-PL)",
+    "mspl-governs": "This license governs use of the accompanying software",
+    "postgresql-grant": "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies",
+    "python2-title": "PYTHON SOFTWARE FOUNDATION LICENSE VERSION 2",
+    "python2-between": "This LICENSE AGREEMENT is between the Python Software Foundation (\"PSF\"), and the Individual or Organization (\"Licensee\") accessing and otherwise using this software (\"Python\") in source or binary form and its associated documentation",
+    "cc0-title": "CC0 1.0 Universal",
+    "cc0-purpose": "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") of an original work of authorship and/or a database (each, a \"Work\")",
+    "gpl3-preamble": "The GNU General Public License is a free, copyleft license for software and other kinds of works",
+    "gpl2-applies": "This License applies to any program or other work which contains a notice placed by the copyright holder saying it may be distributed under the terms of this General Public License",
+    "wtfpl-title": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE",
+    "wtfpl-version": "Version 2, December 2004",
+    "ncsa-title": "University of Illinois/NCSA Open Source License",
+    "openssl-product": "This product includes software developed by the OpenSSL Project for use in the OpenSSL Toolkit (http://www.openssl.org/)",
+    "apache11-title": "The Apache Software License, Version 1.1",
+    "epl1-title": "Eclipse Public License - v 1.0",
+    "epl1-made": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0",
+    "mpl11-title": "MOZILLA PUBLIC LICENSE Version 1.1",
+    "mpl11-header": "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\")",
+    "0bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "mit0-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
+    "odbl1-title": "ODC Open Database License (ODbL)",
+    "eupl12-header": "Licensed under the EUPL, Version 1.2",
+    "cc-by-3": "This work is licensed under a Creative Commons Attribution 3.0 Unported License",
+    "cc-by-sa-3": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License",
     "rights-reserved": "All rights reserved",
 }
 #: Fixed values: (licence, ordered sentence identifiers).
 RULES = [
+    ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advert"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("MIT", ["mit-grant", "mit-notice", "asis-software"]),
     ("Apache-2.0", ["apache-header", "apache-comply", "apache-copy"]),
@@ -95,6 +129,14 @@ RULES = [
     ("ISC", ["isc-grant", "isc-asis"]),
     ("ISC", ["isc-grant-or", "isc-asis"]),
     ("EPL-2.0", ["epl2-title", "epl2-accompanying"]),
+    ("Artistic-2.0", ["artistic2-title", "gnu-verbatim"]),
+    ("BSL-1.0", ["bsl1-title", "bsl1-grant"]),
+    ("MS-PL", ["mspl-title", "mspl-governs"]),
+    ("Python-2.0", ["python2-title", "python2-between"]),
+    ("CC0-1.0", ["cc0-title", "cc0-purpose"]),
+    ("WTFPL", ["wtfpl-title", "wtfpl-version"]),
+    ("MIT-0", ["mit0-grant", "asis-software"]),
+    ("0BSD", ["0bsd-grant", "isc-asis"]),
     ("Unlicense", ["unlicense-free", "unlicense-anyone"]),
     ("MIT", ["mit-release"]),
     ("MIT", ["mit-licensed"]),
@@ -110,14 +152,31 @@ RULES = [
     ("CC-BY-4.0", ["cc-by-4"]),
     ("CC-BY-4.0", ["cc-by-4-deed"]),
     ("CC0-1.0", ["cc0-1"]),
+    ("CC-BY-3.0", ["cc-by-3"]),
+    ("CC-BY-SA-3.0", ["cc-by-sa-3"]),
+    ("CDDL-1.0", ["cddl1-title"]),
+    ("CDDL-1.0", ["cddl-header"]),
+    ("BSL-1.0", ["bsl1-header"]),
+    ("OFL-1.1", ["ofl11-title"]),
+    ("OFL-1.1", ["ofl11-header"]),
+    ("PostgreSQL", ["postgresql-grant"]),
+    ("GPL-3.0", ["gpl3-preamble"]),
+    ("GPL-2.0", ["gpl2-applies"]),
+    ("NCSA", ["ncsa-title"]),
+    ("OpenSSL", ["openssl-product"]),
+    ("Apache-1.1", ["apache11-title"]),
+    ("EPL-1.0", ["epl1-title"]),
+    ("EPL-1.0", ["epl1-made"]),
+    ("MPL-1.1", ["mpl11-title"]),
+    ("MPL-1.1", ["mpl11-header"]),
+    ("ODbL-1.0", ["odbl1-title"]),
+    ("EUPL-1.2", ["eupl12-header"]),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts paragraphs, and ends of sentences within one: a mark and white space, or the end of a
 #: line. The second form reads lines that do not end in a mark as going on, as in wrapped texts.
 PARAGRAPHS = r"\n[ \t\r]*\n"
 BREAKS = (r"[.;:!?][ \t\r]+|[.;:!?]?[ \t\r]*\n", r"[.;:!?][ \t\r\n]+")
-#: Every rule asks for one of these words (checked at import): texts without any are not read.
-TRIGGERS = ("licen", "permission", "copyright", "redistribut", "software", "warranty", "unencumbered")
 
 
 def normal(sentence: str) -> str:
@@ -129,11 +188,23 @@ for _id, _text in SENTENCES.items():  # a sentence with a break inside is known
     _pieces = [p for p in (normal(x) for x in re.split(BREAKS[1], _text)) if p]
     for _k, _piece in enumerate(_pieces):
         KNOWN.setdefault(_piece, _id if _k == len(_pieces) - 1 else f"{_id}.{_k}")
-#: Pieces that lead to a sentence; rules don't ask for them, so others may share them.
-if missing := [x for _, ids in RULES for x in ids if x not in KNOWN.values()]:
-    raise ValueError(f"another sentence ends like these: {missing}")
-if not all(any(t in normal(SENTENCES[x]) for x in ids for t in TRIGGERS) for _, ids in RULES):
-    raise ValueError("a rule asks for no trigger")
+#: Rules over the identifiers of pieces: a sentence with a break inside is found where all of its pieces are.
+PIECES = [(name, [KNOWN[p] for x in ids for p in (normal(y) for y in re.split(BREAKS[1], SENTENCES[x])) if p]) for name, ids in RULES]
+
+
+def _one_of_each(pieces: list[str]) -> list[str]:
+    """Few words such that each piece holds one of them: the one in most of the pieces left, long words first."""
+    out, left = [], [set(p.split()) for p in pieces]
+    while left:
+        words = {w for p in left for w in p}
+        best = max(sorted(words), key=lambda w: (len(w) > 6, len(w) > 4, sum(w in p for p in left), len(w)))
+        out.append(best)
+        left = [p for p in left if best not in p]
+    return out
+
+
+#: A text without any of these words holds no known piece, so it need not be cut into sentences.
+TRIGGERS = _one_of_each(list(KNOWN))
 
 
 def _pattern(ids: list[str]) -> str:
@@ -155,7 +226,7 @@ def _ids() -> str:
 
 
 def _licenses() -> str:
-    rules = ", ".join(f"struct('{_pattern(ids)}' AS p, '{_between(ids, '$')}' AS kept, '{name}' AS name)" for name, ids in RULES)
+    rules = ", ".join(f"struct('{_pattern(ids)}' AS p, '{_between(ids, '$')}' AS kept, '{name}' AS name)" for name, ids in PIECES)
     step = "CASE WHEN s.line RLIKE r.p THEN struct(regexp_replace(s.line, r.p, r.kept) AS line, concat(s.found, array(r.name)) AS found) ELSE s END"
     return f"aggregate(array({rules}), struct(concat('<', array_join(ids, '><'), '>') AS line, cast(array() AS array<string>) AS found), (s, r) -> {step}, s -> array_join(array_sort(array_distinct(s.found)), ','))"
 
@@ -186,13 +257,13 @@ def duckdb_sql() -> str:
     names = ", ".join(f"'{v}'" for v in KNOWN.values())
     ids = lambda b: f"list_transform(list_filter(list_transform(regexp_split_to_array(p, '{b}'), lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), lambda s: s IN ({listed})), lambda s: list_extract([{names}], list_position([{listed}], s)))"
     steps = ["r0 AS (SELECT doc_id, ids, list_aggregate(list_transform(ids, lambda x: '<' || x || '>'), 'string_agg', '') AS line, []::VARCHAR[] AS found FROM i WHERE len(ids) > 0)"]
-    for k, (name, own) in enumerate(RULES):
+    for k, (name, own) in enumerate(PIECES):
         hit = f"regexp_matches(line, '{_pattern(own)}')"
         kept = _between(own, "\\")
         steps.append(f"r{k + 1} AS (SELECT doc_id, ids, regexp_replace(line, '{_pattern(own)}', '{kept}', 'g') AS line, CASE WHEN {hit} THEN list_append(found, '{name}') ELSE found END AS found FROM r{k})")
     return f"""
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS folded FROM documents),
-b AS (SELECT doc_id, k, {ids(BREAKS[0])} AS by_line, {ids(BREAKS[1])} AS by_text FROM (SELECT doc_id, unnest(parts) AS p, unnest(range(len(parts))) AS k FROM (SELECT doc_id, regexp_split_to_array(folded, '{PARAGRAPHS}') AS parts FROM t WHERE regexp_matches(folded, '{'|'.join(TRIGGERS)}')))),
+b AS (SELECT doc_id, k, {ids(BREAKS[0])} AS by_line, {ids(BREAKS[1])} AS by_text FROM (SELECT doc_id, unnest(parts) AS p, unnest(range(len(parts))) AS k FROM (SELECT doc_id, regexp_split_to_array(folded, '{PARAGRAPHS}') AS parts FROM t))),
 i AS (SELECT doc_id, flatten(list(CASE WHEN len(by_text) > len(by_line) THEN by_text ELSE by_line END ORDER BY k)) AS ids FROM b GROUP BY doc_id),
 {', '.join(steps)}
 SELECT t.doc_id, coalesce(len(ids), 0)::BIGINT AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(list_sort(list_distinct(found)), ','), '') AS licenses
