@@ -260,8 +260,34 @@ def test_bad_rows_fail_alone(spark, tmp_path, suppliers, registry, results):
         assert "bad row" in state["low"].error
     state = {r.input_id: r for r in run_matching(suppliers, registry[0], RunConfig(f"{tmp_path}/state4", retry_errors=True)).collect()}
     assert all(r.error is None for r in state.values()) and {k: r.resolved_siret for k, r in state.items()} == {k: r.resolved_siret for k, r in results.items()}
-    few = run_matching(bad, registry[0], RunConfig(f"{tmp_path}/few", most_failures=0))
-    assert few.filter("error is not null").count() == len(SUPPLIERS)
+
+
+def test_many_bad_rows(spark, tmp_path, registry, monkeypatch):
+    """A tenth of all suppliers fail: these, and no others, become error rows."""
+    from tallyweld.plans import unified
+
+    monkeypatch.setattr(unified, "_LEFT_OUT", 15)  # several filters
+    rows = spark.range(0, 400, 1, 2).selectExpr("concat('s', id) AS Auxiliaire", "CASE WHEN id % 10 = 3 THEN cast(raise_error(concat('bad row ', id)) AS string) ELSE 'ALPHA BOULANGERIE' END AS Nom", "'75001' AS Postal", "'Paris' AS Ville", "'' AS `Adresse 1`")
+    state = run_matching(rows, registry[0], RunConfig(f"{tmp_path}/state")).select("input_id", "error", "resolved_siret").collect()
+    assert len(state) == 400
+    for r in state:
+        assert (f"bad row {r.input_id[1:]}" in (r.error or "")) == (int(r.input_id[1:]) % 10 == 3) and (r.resolved_siret == "10000000100011") == (r.error is None)
+
+
+def test_interrupt_ends_own_jobs_only(spark, tmp_path, registry, suppliers, monkeypatch):
+    from tallyweld.plans import unified
+
+    ended = []
+    monkeypatch.setattr(type(spark.sparkContext), "cancelAllJobs", lambda self: ended.append("all"))
+    monkeypatch.setattr(type(spark.sparkContext), "cancelJobsWithTag", lambda self, tag: ended.append(tag))
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(unified, "_isolate", stop)
+    with pytest.raises(KeyboardInterrupt):
+        run_matching(suppliers, registry[0], RunConfig(f"{tmp_path}/state"))
+    assert len(ended) == 1 and ended[0].startswith("tallyweld-") and not spark.sparkContext.getJobTags()
 
 
 def test_appends_at_the_same_time(spark, tmp_path, monkeypatch):
