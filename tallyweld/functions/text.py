@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from .vocab import LEGAL_FORMS
 
@@ -124,13 +124,26 @@ def search_query(name: Column, city: Column, country: Column) -> Column:
     return F.concat_ws(" ", name, blank_to_null(text(city)), known)
 
 
-def serializable(df, name: str) -> Column:
-    """A column as JSON can hold it: NaN and infinities null, dates and times as ISO text."""
-    kind, c = dict(df.dtypes)[name], F.col(f"`{name}`")
-    if kind in ("double", "float"):
-        return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c).alias(name)
-    if kind == "date":
-        return F.date_format(c, "yyyy-MM-dd").alias(name)
-    if kind.startswith("timestamp"):
-        return F.regexp_replace(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "").alias(name)
+def json_ready(c: Column, kind: T.DataType) -> Column:
+    """A value as JSON can hold it, at any depth: NaN and infinities null, dates and times as ISO text."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+    if isinstance(kind, T.DateType):
+        return F.date_format(c, "yyyy-MM-dd")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.regexp_replace(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*(json_ready(c[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: json_ready(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        # of keys only dates and times have another text in JSON
+        timed = isinstance(kind.keyType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+        named = F.transform_keys(c, lambda k, _: json_ready(k, kind.keyType)) if timed else c
+        return F.transform_values(named, lambda _, v: json_ready(v, kind.valueType))
     return c
+
+
+def serializable(df, name: str) -> Column:
+    """A column as JSON can hold it, nested values included; the projection follows the column's schema."""
+    return json_ready(F.col(f"`{name}`"), df.schema[name].dataType).alias(name)

@@ -14,7 +14,7 @@ from .operators.state import latest, pending
 from .operators.suppliers import preprocess, with_input_id
 from .plans import registry as reg
 from .sources import clients, readers
-from .sources.tables import new_path
+from .sources.tables import materialize, new_path
 from .sources.writers import union_results, unified, write_csv
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,12 +148,13 @@ def registry_readback(spark, d):
     return _registry(spark, d).active
 
 
-@query("SELECT * FROM (VALUES ('etab_parquet', 'establishments'), ('partitions_root', 'parts'), ('ul_parquet', 'units')) t(name, folder)")
+@query(f"WITH {EST} SELECT 'ul_parquet' AS name, count(*) AS n FROM part UNION ALL SELECT 'etab_parquet', count(*) FROM orders UNION ALL SELECT 'partitions_root', count(*) FROM prt")
 def registry_meta(spark, d):
-    """The paths that a written registry names."""
+    """The rows of each table that a written registry names by its path."""
     _registry(spark, d)
     named = reg.paths(spark, _places[spark.sparkContext.applicationId, d, None, ()])
-    return spark.createDataFrame([(k, v.rsplit("/", 1)[1]) for k, v in sorted(named.items()) if "/" in str(v)], "name string, folder string")
+    counts = [spark.read.parquet(named[k]).select(F.lit(k).alias("name")).groupBy("name").count().withColumnRenamed("count", "n") for k in ("ul_parquet", "etab_parquet", "partitions_root")]
+    return counts[0].union(counts[1]).union(counts[2])
 
 
 # ---- cleaning ---------------------------------------------------------------------------------
@@ -498,8 +499,8 @@ def search_stub(spark, d):
 
 @query(f"WITH {_RAW} SELECT coalesce(\"Nom\", '') || '|' || coalesce(\"Adresse 1\", '') || '|' || coalesce(\"Postal\", '') || '|' || coalesce(\"Ville\", '') AS key, count(*) AS n, min(\"Auxiliaire\") AS input_id FROM supplier_raw GROUP BY 1")
 def dedupe_cache(spark, d):
-    key = F.concat_ws("|", *(tx.text(F.col(f"`{c}`")) for c in ("Nom", "Adresse 1", "Postal", "Ville")))
-    return _suppliers(spark, d).groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.min("input_id").alias("input_id"))
+    rows = _suppliers(spark, d)
+    return rows.groupBy(clients.cache_key(rows).alias("key")).agg(F.count("*").alias("n"), F.min("input_id").alias("input_id"))
 
 
 def _answers(spark, d) -> DataFrame:
@@ -553,6 +554,35 @@ def csv_export(spark, d):
     """Results as an ordered CSV export, read back line by line in the order of its files."""
     path = new_path(spark, "export")
     write_csv(unified(m.match(_suppliers(spark, d), _registry(spark, d))), path)
-    rows = spark.read.option("header", True).option("escape", '"').csv(path).withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
+    rows = spark.read.option("header", True).option("escape", '"').csv(path)
+    where = rows.metadataColumn("_metadata")
+    rows = materialize(rows.select("*", where["file_path"].alias("file"), where["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at")), "lines")
+    # a line's number is its place in its file behind the lines of all files before; of a file there is one row to add up
+    before = rows.groupBy("file").count().select("file", (F.sum("count").over(W.orderBy("file")) - F.col("count")).alias("before"))
+    place = F.row_number().over(W.partitionBy("file").orderBy("block", "at"))
     text = lambda c: F.coalesce(c, F.lit("")).alias(c)
-    return rows.select(F.row_number().over(W.orderBy("file", "at")).cast("long").alias("line"), "input_id", text("resolved_siret"), "match_method", "alternatives")
+    numbered = rows.withColumn("place", place).join(before, "file")
+    return numbered.select((F.col("before") + F.col("place")).alias("line"), "input_id", text("resolved_siret"), "match_method", "alternatives")
+
+
+@query("WITH " + _RAW + " SELECT " + ", ".join(f'{_CELL(c)} AS "{_plain(c)}"' for c in _CSV) + " FROM supplier_raw")
+def csv_splits(spark, d):
+    """Suppliers written as CSV and read by several tasks a file, as large files are."""
+    rows = readers.read_csv(spark, _written(spark, d), split_bytes=0)
+    return rows.select(*(F.col(f"`{c}`").alias(_plain(c)) for c in _CSV))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice::DOUBLE END AS price, CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice::DOUBLE / 2 END AS half, strftime(o_orderdate::DATE, '%Y-%m-%d') AS day,
+ strftime(o_orderdate::DATE, '%Y-%m-%dT00:00:00') AS moment, CASE WHEN o_orderkey % 7 > 0 THEN 1.5::DOUBLE END AS rate FROM orders""")
+def nested_json(spark, d):
+    """NaN, infinities, dates and times inside structs, arrays and maps, as JSON can hold them."""
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    price, key, at = F.col("o_totalprice").cast("double"), F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    inner = F.struct(F.when(key % 5 > 0, price / 2).otherwise(F.lit(float("inf"))).alias("half"), at.cast("timestamp_ntz").alias("moment"))
+    nested = F.struct(F.array(F.when(key % 3 > 0, price).otherwise(F.lit(float("nan")))).alias("prices"), F.create_map(at, F.array(inner)).alias("by_day"), F.when(key % 7 > 0, F.lit(1.5)).otherwise(F.lit(float("-inf"))).alias("rate"))
+    made = orders.select("o_orderkey", nested.alias("x"))
+    ready = made.select("o_orderkey", tx.serializable(made, "x"))
+    day = F.map_keys("x.by_day")[0]
+    first = F.map_values("x.by_day")[0][0]
+    return ready.select("o_orderkey", F.col("x.prices")[0].alias("price"), first["half"].alias("half"), day.alias("day"), first["moment"].alias("moment"), F.col("x.rate").alias("rate"))
+

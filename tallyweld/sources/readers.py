@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import strip
+from .splits import read_csv_splits
 
 #: Spellings that mean a missing value in CSV files.
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
@@ -22,10 +23,23 @@ def null_tokens(df: DataFrame) -> DataFrame:
     return df.select(*(F.when(~strip(F.col(f"`{c}`")).isin(NULL_TOKENS), F.col(f"`{c}`")).alias(c) if kinds[c] == "string" else F.col(f"`{c}`") for c in df.columns))
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """All columns as text, in one pass: a row that is no UTF-8 is read as Latin-1, and so is a heading."""
+def _bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files that a path or pattern names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(fs.getContentSummary(x.getPath()).getLength() for x in fs.globStatus(p) or [])
+
+
+def read_csv(spark: SparkSession, path: str, sep: str = ",", split_bytes: int | None = None) -> DataFrame:
+    """All columns as text: a row that is no UTF-8 is read as Latin-1, and so is a heading.
+
+    Files of more than split_bytes (the session's maxPartitionBytes if unset) in all are read by several tasks each.
+    """
     # Latin-1 keeps every byte, and what separates cells is the same byte in both
     raw = spark.read.option("header", True).option("inferSchema", False).option("sep", sep).option("multiLine", True).option("escape", '"').option("encoding", "ISO-8859-1").csv(path)
+    most = split_bytes if split_bytes is not None else spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if len(sep) == 1 and _bytes(spark, path) > most:
+        raw = read_csv_splits(spark, path, raw.columns, sep)
     cells = {c: F.encode(F.col(f"`{c}`"), "ISO-8859-1").cast("string") for c in raw.columns}
     good = F.lit(True)
     for x in cells.values():

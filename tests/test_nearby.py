@@ -69,6 +69,37 @@ def test_one_postal_code_in_half_of_all_rows(spark):
     assert len(near) <= made < all_pairs / 50
 
 
+def test_a_company_with_a_crowd_of_establishments(spark):
+    """Crowded companies are met through near cities: the same rows as fetching all of their establishments, fewer of them joined."""
+    r = random.Random(3)
+    cities = [f"{a}{b}" for a in ("SAINT", "MONT", "BEAU", "VILLE") for b in ("LIEU", "FORT", "MARTIN", "BOURG", "AY")]
+    units = [("000000001", "GRANDE POSTE", "x", "A"), ("000000002", "PETITE POSTE", "x", "A"), ("000000003", "POSTE", "x", "A")]
+    places = []
+    for i in range(400):
+        siren = "000000001" if i % 4 else r.choice(["000000002", "000000003"])
+        city = r.choice(cities) if r.random() < 0.95 else None
+        places.append((f"{siren}{i:05d}", siren, r.choice(["75001", "69002", None]), city, str(i % 5), "RUE", "HAUTE", None, None, i % 7 == 0, "A"))
+    est = spark.createDataFrame(places, "siret string, siren string, codePostalEtablissement string, libelleCommuneEtablissement string, numeroVoieEtablissement string, typeVoieEtablissement string, libelleVoieEtablissement string, complementAdresseEtablissement string, distributionSpecialeEtablissement string, etablissementSiege boolean, etatAdministratifEtablissement string")
+    registry = reg.in_memory(spark.createDataFrame(units, "siren string, denominationUniteLegale string, activitePrincipaleUniteLegale string, etatAdministratifUniteLegale string"), est)
+    asked = []
+    for i in range(120):
+        city = edited(r, r.choice(cities), r.randrange(4), "AEX") if r.random() < 0.9 else ""
+        asked.append((f"s{i}", r.choice(["GRANDE POSTE", "POSTE LA", "POSTE"]), "POSTE", r.choice(["75009", "69001", None]), city, r.choice(["", "1 RUE HAUTE", "3 RUE HAUTES", "12 AVENUE TRES LONGUE"])))
+    cleaned = spark.createDataFrame(asked, "input_id string, clean_name string, search_token string, clean_cp string, supplier_city string, supplier_address string")
+    candidates = m.fts_candidates(cleaned, registry)
+    assert registry.names.filter("crowded").count() == 1
+    columns = ["input_id", "siret", "siren", "city", "address", "is_siege", "official_name"]
+    got = m.fetch_near(cleaned, registry, candidates).select(*columns, "name_hit").collect()
+    every = m.fetch(cleaned, registry, candidates)
+    want = m.near_enough(every)
+    assert sorted(map(str, (tuple(x[c] for c in columns) for x in got))) == sorted(map(str, map(tuple, want.select(*columns).collect()))) and len(got) > 200
+    names = {x.input_id: x.clean_name for x in cleaned.collect()}
+    hit = dict(want.select("clean_name", "official_name", (sim.token_sort_ratio(F.col("clean_name"), F.col("official_name")) > m.NAME_LEAST).alias("hit")).distinct().select(F.struct("clean_name", "official_name"), "hit").collect())
+    assert all(x.name_hit == hit[names[x.input_id], x.official_name] for x in got)
+    near = {(x.supplier_city, x.city_norm) for x in m.near_cities(cleaned, registry).collect()}
+    assert near == {(a, b) for a in {x[4] for x in asked if x[4]} for b in {(p[3] or "") for p in places if p[1] == "000000001"} if distance(a, b) <= 2}
+
+
 def test_signatures_bound(spark):
     """No bound is below the truth, and what passes bounds equals the plain ratio."""
     r = random.Random(4)
