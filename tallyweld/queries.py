@@ -329,7 +329,7 @@ _stemmed = lambda sql: sql.replace(_terms("name"), f"list_transform({_terms('nam
 
 @query(f"WITH {LU}, {SUP}, {_stemmed(POST)}, {_stemmed(_bm25('c', 'DESC'))} SELECT search_token, siren, round(score, 6) AS score, rank FROM fts")
 def bm25_porter(spark, d):
-    """Names and tokens stemmed; the stemmer is tested against published pairs."""
+    """Names and tokens stemmed. The SQL knows the stems of these tables' words only; tests hold the stemmer to published pairs."""
     return _top(spark, d, "desc", "porter")
 
 
