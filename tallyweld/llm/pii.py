@@ -383,7 +383,9 @@ def find(docs: DataFrame, field: Field | None = None, id_col: str = "doc_id", te
 
     spans lists kind:start:end (code points, end exclusive) of base and added spans by start, then
     kind. A null text counts as empty: no spans, the digest of nothing. Texts without a digit or
-    `@` have no candidates. Repeated rows get equal results. Other columns are not read.
+    `@` have no candidates. Repeated rows get equal results. Other columns are not read, whatever their
+    names. A very long text is one graph, whose cost grows with its candidates (some 10 s for 100,000 equal numbers);
+    messages that still move after MOST_ROUNDS rounds are taken as they are. No rows in, no rows out.
     """
     bounded_batches(docs.sparkSession)
     field = field or fit_on(docs, text_col)
