@@ -67,11 +67,13 @@ class Registry:
     cities: DataFrame | None  # city_norm of companies with crowds of establishments, a row for each piece; None if there is none
 
 
-def compared_names(legal: DataFrame, active: DataFrame) -> DataFrame:
-    """Names as candidates are compared: tokens sorted, with their signature; and whether a company has a crowd of establishments."""
+def compared_names(legal: DataFrame, active: DataFrame | None) -> DataFrame:
+    """Names as candidates are compared: tokens sorted, with their signature; and whether a company has a crowd of establishments (without these: no)."""
     name = F.col("denominationUniteLegale")
     own = legal.select("siren", name.alias("official_name"), sim.sorted_tokens(name).alias("official_sorted"))
     own = own.withColumn("official_signature", sim.signature(F.col("official_sorted")))
+    if active is None:
+        return own.withColumn("crowded", F.lit(False))
     return own.join(nearby.crowded(active, ["siren"]).select("siren", F.lit(True).alias("crowded")), "siren", "left").na.fill(False, ["crowded"])
 
 
@@ -92,11 +94,12 @@ def _named(named: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return named.join(crowds, "clean_cp", "left_anti"), nearby.known_pieces(named.join(crowds, "clean_cp", "left_semi"), "name_bytes", STRICT_EDITS), crowds
 
 
-def in_memory(units: DataFrame, establishments: DataFrame, stemmer: str | None = None, stop_words: Sequence[str] = ()) -> Registry:
-    """A registry as plans only; nothing is written."""
+def in_memory(units: DataFrame, establishments: DataFrame, stemmer: str | None = None, stop_words: Sequence[str] = (), crowds: bool = False) -> Registry:
+    """A registry as plans only; nothing is written. Crowds are sought only if asked for, since each use of the registry then seeks them."""
     legal, active, parts = active_legal_units(units), active_establishments(establishments), partitioned_establishments(establishments)
-    names = compared_names(legal, active)
-    return Registry(legal, active, parts, bm25.build(legal, stemmer=stemmer, stop_words=stop_words), names, *_named(names_by_code(legal, parts)), crowded_cities(active, names))
+    names, named = compared_names(legal, active if crowds else None), names_by_code(legal, parts)
+    paths = _named(named) if crowds else (named, None, None)
+    return Registry(legal, active, parts, bm25.build(legal, stemmer=stemmer, stop_words=stop_words), names, *paths, crowded_cities(active, names) if crowds else None)
 
 
 _TABLES = ("legal", "active", "postings", "vocabulary", "stats", "heads", "levels", "names")

@@ -52,7 +52,7 @@ def test_one_postal_code_in_half_of_all_rows(spark):
     cp = lambda i: "75001" if i % 2 else f"{10000 + i % 700:05d}"
     places = [(f"{i:09d}00001", f"{i:09d}", cp(i), "PARIS", *[None] * 5, True, "A") for i in range(len(names))]
     est = spark.createDataFrame(places, "siret string, siren string, codePostalEtablissement string, libelleCommuneEtablissement string, numeroVoieEtablissement string, typeVoieEtablissement string, libelleVoieEtablissement string, complementAdresseEtablissement string, distributionSpecialeEtablissement string, etablissementSiege boolean, etatAdministratifEtablissement string")
-    registry = reg.in_memory(spark.createDataFrame(units, "siren string, denominationUniteLegale string, activitePrincipaleUniteLegale string, etatAdministratifUniteLegale string"), est)
+    registry = reg.in_memory(spark.createDataFrame(units, "siren string, denominationUniteLegale string, activitePrincipaleUniteLegale string, etatAdministratifUniteLegale string"), est, crowds=True)
     asked = []
     for i in range(1500):
         k = r.randrange(len(names))
@@ -80,7 +80,7 @@ def test_a_company_with_a_crowd_of_establishments(spark):
         city = r.choice(cities) if r.random() < 0.95 else None
         places.append((f"{siren}{i:05d}", siren, r.choice(["75001", "69002", None]), city, str(i % 5), "RUE", "HAUTE", None, None, i % 7 == 0, "A"))
     est = spark.createDataFrame(places, "siret string, siren string, codePostalEtablissement string, libelleCommuneEtablissement string, numeroVoieEtablissement string, typeVoieEtablissement string, libelleVoieEtablissement string, complementAdresseEtablissement string, distributionSpecialeEtablissement string, etablissementSiege boolean, etatAdministratifEtablissement string")
-    registry = reg.in_memory(spark.createDataFrame(units, "siren string, denominationUniteLegale string, activitePrincipaleUniteLegale string, etatAdministratifUniteLegale string"), est)
+    registry = reg.in_memory(spark.createDataFrame(units, "siren string, denominationUniteLegale string, activitePrincipaleUniteLegale string, etatAdministratifUniteLegale string"), est, crowds=True)
     asked = []
     for i in range(120):
         city = edited(r, r.choice(cities), r.randrange(4), "AEX") if r.random() < 0.9 else ""
