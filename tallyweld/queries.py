@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
@@ -10,12 +11,14 @@ from . import fixtures as fx
 from .functions import country as geo, similarity as sim, text as tx
 from .functions.vocab import CITY_MARKERS, FOREIGN_CITIES, FRANCE_NAMES, FRENCH_CITIES, LEGAL_FORMS
 from .operators import bm25, matching as m
-from .operators.state import latest, pending
-from .operators.suppliers import preprocess, with_input_id
+from .operators.state import StateStore, latest, pending
+from .operators.suppliers import ROW, cleaned, preprocess, with_input_id
 from .plans import registry as reg
+from .plans.unified import RunConfig, run_matching, run_unified
 from .sources import clients, readers
 from .sources.tables import materialize, new_path
 from .sources.writers import union_results, unified, write_csv
+from .streaming.files import match_files
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 O: dict[str, str] = {}
@@ -479,6 +482,12 @@ def resume_retry_errors(spark, d):
     return pending(_customers(spark, d), latest(_attempts(spark, d)), retry_errors=True)
 
 
+@query(f"WITH {_STATE} SELECT c_custkey::VARCHAR AS input_id, c_name FROM customer WHERE c_custkey::VARCHAR NOT IN (SELECT input_id FROM state WHERE error IS NULL) ORDER BY c_custkey::VARCHAR LIMIT 100")
+def resume_limited(spark, d):
+    """The limit of a run counts new work: suppliers with a result are skipped first."""
+    return pending(_customers(spark, d), latest(_attempts(spark, d)), retry_errors=True, limit=100)
+
+
 # ---- clients and union ------------------------------------------------------------------------
 class EchoClient:
     """A search client without a network: answers from the prompt."""
@@ -516,7 +525,28 @@ def parse_llm_json(spark, d):
     return _answers(spark, d).select("event_id", clients.parse_object(F.col("text"), "clean_name string, clean_cp string").alias("o")).select("event_id", "o.clean_name", "o.clean_cp")
 
 
-@query(f"{_cascade('DESC')}, {_PLACE}, {_SEARCH[_SEARCH.index('o AS ('):]} SELECT * FROM srch UNION ALL SELECT input_id, coalesce(resolved_siret, ''), coalesce(official_name, ''), confidence_score, match_method, {_JSON}, '', '', '', '', '', '', '', '', '' FROM res WHERE input_id IN (SELECT input_id FROM final WHERE active AND country = 'FRANCE')")
+class Corrector:
+    """A cleaning model without a network: answers a batch of records in one fence, and has nothing to say of records without a city."""
+
+    def complete(self, prompt: str) -> str:
+        lines = (line.partition(". ")[2] for line in prompt.split("\n"))
+        records = [json.loads(x) for x in lines if x.startswith("{")]
+        said = [{"clean_name": r["Nom"].upper(), "search_token": r["Nom"].upper().split(" ")[0] if r.get("Postal") else None, "clean_cp": r.get("Postal")} if r.get("Ville") else {} for r in records]
+        return "```json\n" + json.dumps({"results": said}) + "\n```"
+
+
+@query(f"""WITH {SUP} SELECT input_id, CASE WHEN "Ville" IS NOT NULL THEN upper("Nom") ELSE clean_name END AS clean_name, CASE WHEN "Ville" IS NOT NULL AND "Postal" IS NOT NULL THEN upper(split_part("Nom", ' ', 1)) ELSE search_token END AS search_token,
+ CASE WHEN "Ville" IS NOT NULL THEN "Postal" ELSE clean_cp END AS clean_cp FROM c""")
+def batched_cleaning(spark, d):
+    """Values of a model that is asked for several records at a time, each key once; where it says nothing, those of the rules."""
+    held = materialize(_suppliers(spark, d).withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    return clients.cleaner(Corrector())(cleaned(held), held).select("input_id", "clean_name", "search_token", "clean_cp")
+
+
+_UNION = f"{_cascade('DESC')}, {_PLACE}, {_SEARCH[_SEARCH.index('o AS ('):]}, both_ AS (SELECT * FROM srch UNION ALL SELECT input_id, coalesce(resolved_siret, ''), coalesce(official_name, ''), confidence_score, match_method, {_JSON}, '', '', '', '', '', '', '', '', '' FROM res WHERE input_id IN (SELECT input_id FROM final WHERE active AND country = 'FRANCE'))"
+
+
+@query(f"{_UNION} SELECT * FROM both_")
 def unified_union(spark, d):
     split = preprocess(_suppliers(spark, d))
     return union_results(unified(m.match(split.french, _registry(spark, d))), clients.search(split.other, EchoClient()))
@@ -529,9 +559,9 @@ def match_summary(spark, d):
 
 
 # ---- files ------------------------------------------------------------------------------------
-def _written(spark, d) -> str:
+def _written(spark, d, where: str = "true") -> str:
     path = new_path(spark, "suppliers") + ".csv"
-    fx.supplier_raw(spark, d).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    fx.supplier_raw(spark, d).filter(where).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
@@ -586,3 +616,46 @@ def nested_json(spark, d):
     first = F.map_values("x.by_day")[0][0]
     return ready.select("o_orderkey", F.col("x.prices")[0].alias("price"), first["half"].alias("half"), day.alias("day"), first["moment"].alias("moment"), F.col("x.rate").alias("rate"))
 
+
+# ---- runs -------------------------------------------------------------------------------------
+@query(f"WITH {_RAW}, {_PLACE} SELECT input_id, country = 'FRANCE' AS french FROM final WHERE active")
+def other_headings(spark, d):
+    """The split by country of suppliers whose columns bear other known headings."""
+    heads = {"Nom": "supplier name", "Postal": "Zip Code", "Ville": "commune", "Pays": "Country", "Code SIRET": "Siret", "Date dern. Mouvt": "last movement"}
+    s = preprocess(_suppliers(spark, d).withColumnsRenamed(heads))
+    return s.french.select("input_id", F.lit(True).alias("french")).union(s.other.select("input_id", F.lit(False).alias("french")))
+
+
+_BROKEN = "CAST(substr({x}, 2) AS BIGINT) % 5003 = 7"
+
+
+@query(f"{_cascade('DESC')}, j AS (SELECT *, {_BROKEN.format(x='input_id')} AS failed FROM res) SELECT input_id, CASE WHEN NOT failed THEN resolved_siret END AS resolved_siret, CASE WHEN NOT failed THEN match_method END AS match_method, failed, true AS stamped FROM j")
+def errors_apart(spark, d):
+    """The state after a run over suppliers of which some can't be read: these are error rows, all others have their results."""
+    said = F.raise_error(F.concat(F.lit("can't read "), "Auxiliaire")).cast("string")
+    rows = fx.supplier_raw(spark, d).withColumn("Nom", F.when(F.expr(_BROKEN.format(x="Auxiliaire")), said).otherwise(F.col("Nom")))
+    state = run_matching(rows, _registry(spark, d), RunConfig(new_path(spark, "state")))
+    failed = F.coalesce(F.contains("error", F.concat(F.lit("can't read "), "input_id")), F.lit(False))
+    return state.select("input_id", "resolved_siret", "match_method", failed.alias("failed"), F.col("updated_at_epoch").between(1_600_000_000, F.unix_timestamp() + 60).alias("stamped"))
+
+
+@query(f"{_cascade('DESC')} SELECT input_id, resolved_siret, official_name, confidence_score, match_method, {_JSON} AS alternatives FROM res")
+def streamed_state(spark, d):
+    """The state after suppliers came as files in two deliveries, each read by a stream that goes on where the one before ended."""
+    at = new_path(spark, "stream")
+    rows = fx.supplier_raw(spark, d)
+    for delivery in ("`Ville` IS NOT NULL", "`Ville` IS NULL"):
+        rows.filter(delivery).write.mode("append").parquet(f"{at}/in")
+        run = match_files(spark, f"{at}/in", rows.schema, _registry(spark, d), f"{at}/state", f"{at}/checkpoint")
+        run.awaitTermination()
+        if run.exception():
+            raise run.exception()
+    return StateStore(spark, f"{at}/state").read().select("input_id", "resolved_siret", "official_name", "confidence_score", "match_method", F.col("alternatives_json").alias("alternatives"))
+
+
+@query(f"{_UNION} SELECT * FROM both_ WHERE input_id IN (SELECT \"Auxiliaire\" FROM supplier_raw WHERE \"Ville\" IS NOT NULL)")
+def unified_rerun(spark, d):
+    """A run over all suppliers, then one into the same folders over those with a city: nothing of the others is left."""
+    out = new_path(spark, "unified")
+    run_unified(spark, _written(spark, d), _registry(spark, d), out, client=EchoClient())
+    return run_unified(spark, _written(spark, d, "`Ville` IS NOT NULL"), _registry(spark, d), out, client=EchoClient())
