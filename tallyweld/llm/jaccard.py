@@ -30,11 +30,12 @@ only: an overlap of two documents with n and k n-grams is wrong with a chance of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
 from .grouped import by_group, partitions
@@ -332,6 +333,24 @@ def _product(pairs: DataFrame, rows: DataFrame, percent: int, row_blocks: int, t
     return by_group(given.union(wanted), _tile(percent), "a long, b long", tasks)
 
 
+def _band(n: str, percent: int) -> Column:
+    """Number of a range of sizes, so wide that sizes near enough for a link lie in one range or in two that follow each other."""
+    # a little wider than the ratio, so that rounding never puts two near sizes three ranges apart
+    width = math.log(100 / percent) * (1 + 1e-9)
+    return F.floor(F.log(F.col(n)) / width) if percent < 100 else F.col(n)
+
+
+def _banded(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs of rows of left (columns with _a and _b) that share an n-gram, are in different components and lie in one band or in two that follow each other.
+
+    Each row waits in its own band for rows of that band and of the next; a pair always comes in the same order.
+    """
+    named = lambda x: left.select("gram", _band("n", percent).alias(f"band_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in left.columns if c != "gram"))
+    waiting = named("a").withColumn("band", F.col("band_a"))
+    coming = named("b").withColumn("band", F.explode(F.array(F.col("band_b"), F.col("band_b") - 1)))
+    return waiting.join(coming, ["gram", "band"]).filter("comp_a < comp_b OR (band_a < band_b AND comp_a <> comp_b)")
+
+
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     """labels (key, comp) after links between keys."""
     links = materialize(links, "links")
@@ -403,11 +422,9 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str =
         else:
             bits = rows.select("key", *(F.col("sketch")[i].alias(f"bits{i}") for i in range(SKETCH // 64)))
             left = materialize(mine.drop("b").join(bits, "key"), "left")
-            other = left.select("gram", *side("b"), *(F.col(f"bits{i}").alias(f"others{i}") for i in range(SKETCH // 64)))
-            apart = " + ".join(["n_a - m_a + n_b - m_b", *(f"bit_count(bits{i} ^ others{i})" for i in range(SKETCH // 64))])
+            apart = " + ".join(["n_a - m_a + n_b - m_b", *(f"bit_count(bits{i}_a ^ bits{i}_b)" for i in range(SKETCH // 64))])
             near = f"{100 + percent} * ({apart}) <= {100 - percent} * (n_a + n_b)"
-            left = left.select("gram", *side("a"), *(f"bits{i}" for i in range(SKETCH // 64)))
-            pairs = left.join(other, "gram").filter("comp_a < comp_b").filter(fits).filter(near).select("a", "b").distinct()
+            pairs = _banded(left, percent).filter(fits).filter(near).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
         labels = _merge(labels, _product(pairs, rows, percent, row_blocks, tasks))
 
     found = classes.join(labels, "key", "left").select("key", F.coalesce("comp.least", "least").alias("component_id"))

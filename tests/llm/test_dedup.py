@@ -100,6 +100,18 @@ def test_jaccard_tile_is_the_masked_product():
     assert sorted(got) == sorted((a, b) for a, b in wanted if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])) and len(got) > 5
 
 
+@pytest.mark.parametrize("percent", [1, 50, 75, 80, 99, 100])
+def test_jaccard_bands_lose_no_near_sizes(spark, percent):
+    """Every pair of sizes that a link allows meets once, and rows of far sizes don't meet."""
+    sizes = sorted({*range(1, 60), *(2**i for i in range(6, 20)), *(-(-100 * 2**i // percent) for i in range(20)), *(100 * 2**i // percent for i in range(20))})
+    left = spark.createDataFrame([(1, k, n, k) for k, n in enumerate(sizes)], "gram long, key long, n long, comp long")
+    got = [(min(r.key_a, r.key_b), max(r.key_a, r.key_b)) for r in ja._banded(left, percent).select("key_a", "key_b").collect()]
+    assert len(got) == len(set(got))
+    near = {(i, j) for j in range(len(sizes)) for i in range(j) if 100 * sizes[i] >= percent * sizes[j]}
+    assert near <= set(got)
+    assert all(percent**2 * sizes[j] <= 100**2 * sizes[i] * 1.001 or sizes[j] - sizes[i] == 1 for i, j in got)
+
+
 def test_jaccard_equal_keys_are_noticed(docs, monkeypatch):
     """Where different sets get one key, all is done again with another salt."""
     real, salts = ja._sets, []
