@@ -7,8 +7,8 @@ word; a document's language is the one with the largest share.
 
 The model is fitted on the driver on a bounded sample of labelled rows (FIT_DOCS windows of
 FIT_CHARS characters, at places given by a hash, and more of each rare language until it has
-LEAST_DOCS or all its rows) that are not held out; every language of those rows is learned. Half of the training
-sequences join pieces of two documents, from which the transitions learn switches.
+LEAST_DOCS or all its rows) that are not held out; the MOST_LANGUAGES most frequent languages of those rows are
+learned, of equally frequent ones the first by code point. Half of the training sequences join pieces of two documents, from which the transitions learn switches.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ from .textkit import U64, Block, blocks, mix, ranges
 
 #: Bound of the fitting sample: documents, and characters of each.
 FIT_DOCS, FIT_CHARS = 3000, 800
-#: Documents of a language that the sample has at least, if there are as many: it holds FIT_DOCS + languages * LEAST_DOCS at most.
-LEAST_DOCS = 50
+#: Documents of a language that the sample has at least, if there are as many, and languages that it has at most: it
+#: holds FIT_DOCS + MOST_LANGUAGES * LEAST_DOCS documents at most, however dirty the column of languages is.
+LEAST_DOCS, MOST_LANGUAGES = 50, 200
 #: Rows of the weight table (a power of two), rounds and step of the fit, words of a chain.
 TABLE, ROUNDS, STEP, CHAIN = 1 << 16, 6, 0.5, 64
 FOLDS = 5
@@ -240,7 +241,8 @@ def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     room = F.greatest(F.length(text_col) - FIT_CHARS, F.lit(0)) + 1
     at = F.pmod(F.xxhash64(F.lit("place"), id_col), room).cast("int") + 1
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~_held_out(id_col))
-    counts = {r["l"]: r["count"] for r in rows.groupBy(F.col(lang_col).alias("l")).count().collect()}
+    counts = {r["l"]: r["count"] for r in rows.groupBy(F.col(lang_col).alias("l")).count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect()}
+    rows = rows.filter(F.col(lang_col).isin(list(counts)))
     # a share of the hashes that holds about FIT_DOCS rows, and larger ones for rare languages: no task sends more than its part to the driver
     share = min(1.0, 1.2 * FIT_DOCS / max(1, sum(counts.values())))
     below = {x: int(min(1.0, 1.5 * LEAST_DOCS / n) * (1 << 32)) for x, n in counts.items() if 1.5 * LEAST_DOCS > share * n}

@@ -484,6 +484,15 @@ def test_langid_features_by_hand():
         assert np.allclose(got[k], want, atol=1e-5), w
 
 
+def test_langid_bounds_the_languages(spark, monkeypatch):
+    """Of a column with as many languages as rows only the most frequent ones are learned."""
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    rows = [(i, f"wort{i} und noch etwas mehr", "de" if i % 2 else "nl" if i % 4 else f"x{i:04d}") for i in range(400)]
+    model = langid.fit_on(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    spare = min(x for i, _, x in rows if x.startswith("x") and not langid.is_held_out(i))
+    assert model.languages == ["de", "nl", spare]
+
+
 def test_langid_learns_rare_languages(spark, monkeypatch):
     monkeypatch.setattr(langid, "FIT_DOCS", 100)
     common = {"aa": "kolmip tarnkol miptarn", "bb": "zeuquif oixzeu quifoix"}
