@@ -117,12 +117,21 @@ def _digest(text):
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id (NO_ID for null), row (a number of its own for each row) and the SHA-256 of the text, written once."""
+    """doc_id (NO_ID for null), row (a number of its own for each row) and the SHA-256 of the text, written once.
+
+    A null text has the digest of an empty one; a very long text is read whole, and repeated rows get
+    numbers of their own. Other columns are not read, whatever their names. No rows in, no rows out.
+    """
     return materialize(docs.select(_number(F.col(f"`{id_col}`")).alias("doc_id"), F.monotonically_increasing_id().alias("row"), _digest(F.col(f"`{text_col}`")).alias("digest")), "digests")
 
 
 def look_up(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """rows (doc_id, row, digest) with keep_id, keep_row and group_size of `known`, null where it lacks the digest."""
+    """rows (doc_id, row, digest) with keep_id, keep_row and group_size of `known`, null where it lacks the digest.
+
+    Digests of `known` are distinct; rows may repeat one any number of times, as a frequent digest's
+    lookups are dealt to several tasks. Columns beyond these are not handed on. No rows in, no rows
+    out; with an empty `known` nothing is found.
+    """
     bounded_batches(rows.sparkSession)
     shards = max(1, -(-known.count() // SHARD_KEYS))
     of = F.pmod(F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10).cast("long"), F.lit(shards)).alias("shard")

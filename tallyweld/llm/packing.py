@@ -131,7 +131,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_
     A document's ids end in END_ID, so a null or empty text is one piece of one token. Longer
     documents than the capacity are cut, whatever their length; the first piece may be shorter. Rows
     of equal id, null ids too, are packed each on its own. The same rows give the same sequences;
-    pieces of equal length go by id. Other columns are not read. No rows in, no rows out.
+    pieces of equal length go by id, and rows that tie in length, id and checksum too are equal pieces,
+    which may change places with each other. Other columns are not read. No rows in, no rows out.
     """
     bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
