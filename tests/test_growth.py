@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallyweld.operators import bm25
 from tallyweld.operators.suppliers import ROW, cleaned
 from tallyweld.queries import Corrector
 from tallyweld.sources import clients
@@ -21,3 +22,23 @@ def test_model_cleaning_sends_no_rows_to_the_driver(spark):
     assert "Broadcast" not in plan(got)
     names = {r.input_id: r.clean_name for r in got.collect()}
     assert names == {i: (n.upper() if v else n.upper().removesuffix(" SARL")) for i, n, _, _, v in rows}
+
+
+def test_companies_of_equal_terms_are_scored_once(spark, tmp_path, monkeypatch):
+    """Names that repeat: the same rows as scoring every company, from the postings of one company a name."""
+    names = [f"{a} {b} brand {i % 7}" for i, (a, b) in enumerate((a, b) for a in ("hot", "cold", "hot hot") for b in ("ring", "rod"))] + ["brand", "", "ring hot brand"]
+    rows = [(f"{i:09d}", names[i * 7 % len(names)]) for i in range(600)]
+    spark.createDataFrame(rows, "siren string, name string").write.parquet(str(tmp_path / "names"))
+    index = bm25.build(spark.read.parquet(str(tmp_path / "names")), field="name")
+    asked = spark.createDataFrame([("hot ring brand 1",), ("brand ring hot",), ("rod cold",), ("hot brand",), ("nothing ring",), ("ring",)], "search_token string")
+    read = []
+    score, best_scores = bm25._score, bm25.best_scores
+    monkeypatch.setattr(bm25, "_score", lambda index, *a: read.append(index.postings.count()) or score(index, *a))
+    monkeypatch.setattr(bm25, "best_scores", lambda index, *a: read.append(index.postings.count()) or best_scores(index, *a))
+    row = lambda x: (x.search_token, x.rank, x.siren, round(x.score, 9))
+    for limit in (3, 20):
+        for direction in ("desc", "asc"):
+            got = sorted(map(row, bm25.candidates(index, asked, limit, direction).collect()))
+            every = score(index, bm25.asked_terms(index, asked), "search_token", "siren")
+            assert got == sorted(map(row, bm25.top(every, limit, direction).collect())) and len(got) > 5 * limit
+    assert len(read) == 4 and max(read) <= 3 * len(names)
