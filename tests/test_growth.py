@@ -1,7 +1,10 @@
 """Work and memory that stay in proportion when tables grow; results as before."""
 
+import random
+
 from pyspark.sql import functions as F
 
+from tallyweld.functions import similarity as sim, text as tx
 from tallyweld.operators import bm25
 from tallyweld.operators.suppliers import ROW, cleaned
 from tallyweld.queries import Corrector
@@ -42,3 +45,16 @@ def test_companies_of_equal_terms_are_scored_once(spark, tmp_path, monkeypatch):
             every = score(index, bm25.asked_terms(index, asked), "search_token", "siren")
             assert got == sorted(map(row, bm25.top(every, limit, direction).collect())) and len(got) > 5 * limit
     assert len(read) == 4 and max(read) <= 3 * len(names)
+
+
+def test_batches_of_pairs_equal_the_expressions(spark):
+    """Subsequences and ratios over Arrow batches: the same doubles as pair by pair, for empty, null, accented, repeated and long strings."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdeÉ9😀") for _ in range(r.randrange(0, 9)))
+    some = [" ".join(word() for _ in range(r.randrange(0, 5))) for _ in range(60)] + ["", None, "x" * 62, "xy" * 31, "xyz" * 30, "ab " * 130, "\0", "a\0"]
+    df = spark.createDataFrame([(r.choice(some), r.choice(some)) for _ in range(900)], "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    ready = df.withColumns({"x": sim.sorted_tokens(a), "y": sim.sorted_tokens(b), "s": sim.token_set(a), "t": sim.token_set(b), "u": tx.text(a), "v": tx.text(b)})
+    fast = ready.withColumns({"f1": sim.lcs_all(F.col("u"), F.col("v")), "f2": sim.ratio_all(F.col("x"), F.col("y")), "f3": sim.token_set_all(F.col("s"), F.col("t"))})
+    for g in fast.select("a", "b", "f1", "f2", "f3", sim.lcs(a, b).alias("p1"), sim.token_sort_ratio(a, b).alias("p2"), sim.token_set_ratio(a, b).alias("p3")).collect():
+        assert (g.f1, g.f2, g.f3) == (g.p1, g.p2, g.p3), g
