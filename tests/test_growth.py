@@ -1,17 +1,28 @@
 """Work and memory that stay in proportion when tables grow; results as before."""
 
 import random
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from tallyweld.functions import similarity as sim, text as tx
-from tallyweld.operators import bm25
+from tallyweld.operators import bm25, matching as m
 from tallyweld.operators.suppliers import ROW, cleaned
+from tallyweld.plans import registry as reg
 from tallyweld.queries import Corrector
 from tallyweld.sources import clients
 from tallyweld.sources.tables import materialize
 
 
+PLACE = "siret string, siren string, codePostalEtablissement string, libelleCommuneEtablissement string, numeroVoieEtablissement string, typeVoieEtablissement string, libelleVoieEtablissement string, complementAdresseEtablissement string, distributionSpecialeEtablissement string, etablissementSiege boolean, etatAdministratifEtablissement string"
+
+
+def small_registry(spark, units, code):
+    places = [(f"{i:014d}", siren, code(i), "PARIS", str(i % 5), "RUE", "HAUTE", None, None, i % 7 == 0, "A") for i, (siren, _) in enumerate(units)]
+    legal = spark.createDataFrame([(s, n, "x", "A") for s, n in units], "siren string, denominationUniteLegale string, activitePrincipaleUniteLegale string, etatAdministratifUniteLegale string")
+    return reg.in_memory(legal, spark.createDataFrame(places, PLACE))
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -58,3 +69,29 @@ def test_batches_of_pairs_equal_the_expressions(spark):
     fast = ready.withColumns({"f1": sim.lcs_all(F.col("u"), F.col("v")), "f2": sim.ratio_all(F.col("x"), F.col("y")), "f3": sim.token_set_all(F.col("s"), F.col("t"))})
     for g in fast.select("a", "b", "f1", "f2", "f3", sim.lcs(a, b).alias("p1"), sim.token_sort_ratio(a, b).alias("p2"), sim.token_set_ratio(a, b).alias("p3")).collect():
         assert (g.f1, g.f2, g.f3) == (g.p1, g.p2, g.p3), g
+
+
+def test_near_names_whatever_their_codes(spark, tmp_path):
+    """Names that repeat under many codes are compared once for all; the same rows as under each code."""
+    r = random.Random(8)
+    names = [f"{a} {b} BRAND {i}" for a in ("HOT", "ÉTÉ", "COLD") for b in ("RING", "ROD") for i in range(4)]
+    registry = small_registry(spark, [(f"{i:09d}", names[i % len(names)]) for i in range(300)], lambda i: f"{75000 + i % 9:05d}")
+    written = replace(registry, named=materialize(registry.plain, "named"), legal=materialize(registry.legal, "legal"))
+    asked = [(f"s{i}", r.choice(names).replace("O", "OO") if i % 3 else "FAR AWAY", f"{75000 + r.randrange(10):05d}" if i % 7 else None) for i in range(400)]
+    df = spark.createDataFrame(asked, "input_id string, clean_name string, clean_cp string")
+    assert m.near_by_name(df.select(sim.as_bytes(F.col("clean_name")).alias("clean_bytes")), written) is not None
+    row = lambda x: (x.input_id, x.clean_cp, x.official_name, x.times, x.siret)
+    want = sorted(map(row, m.near_names(df, registry).collect()))
+    assert sorted(map(row, m.near_names(df, written).collect())) == want and len(want) > 300
+
+
+def test_rows_are_not_copied_for_their_candidates(spark):
+    """The supplier's side meets places by token and department: no exchange of its rows by company."""
+    registry = small_registry(spark, [(f"{i:09d}", f"HOT RING {i % 3}") for i in range(60)], lambda i: f"{75000 + i % 2 * 1000:05d}")
+    df = spark.createDataFrame([(f"s{i}", "HOT RING", "RING", "75001" if i % 3 else None, "PARIS", "1 RUE HAUTE" if i % 2 else "") for i in range(90)], "input_id string, clean_name string, search_token string, clean_cp string, supplier_city string, supplier_address string")
+    candidates = m.fts_candidates(df, registry)
+    got = m.fetch_near(df, registry, candidates)
+    assert "siren" not in " ".join(x for x in plan(got).split("\n") if "Join" in x and "[siren" in x)
+    want = m.near_enough(m.fetch(df, registry, candidates)).withColumn("score", m.points())
+    key = lambda x: (x.input_id, x.siret, x.score)
+    assert sorted(map(key, m.scored(got).collect())) == sorted(map(key, want.collect())) and got.count() > 90
