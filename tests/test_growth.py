@@ -95,3 +95,17 @@ def test_rows_are_not_copied_for_their_candidates(spark):
     want = m.near_enough(m.fetch(df, registry, candidates)).withColumn("score", m.points())
     key = lambda x: (x.input_id, x.siret, x.score)
     assert sorted(map(key, m.scored(got).collect())) == sorted(map(key, want.collect())) and got.count() > 90
+
+
+def test_equal_questions_are_answered_once(spark, monkeypatch):
+    """Rows that are equal in all that is compared, missing cells included, are searched once; each gets its answer."""
+    registry = small_registry(spark, [(f"{i:09d}", f"ACIER {i} NORD") for i in range(30)], lambda i: f"{75001 + i % 3}")
+    once = [("ACIER 1 SUD", "1 rue haute", "75001", "Paris"), ("ACIER 2 SUD", "", None, "Paris"), (None, "", None, None), ("NORD", None, "75002", None)]
+    df = spark.createDataFrame([(f"S{i}", *once[i % 4]) for i in range(40)], "input_id string, Nom string, `Adresse 1` string, Postal string, Ville string")
+    asked = []
+    fetch = m.fetch_near
+    monkeypatch.setattr(m, "fetch_near", lambda rows, *more: asked.append(rows.count()) or fetch(rows, *more))
+    many = {r.input_id: r[1:] for r in m.match(df, registry).collect()}
+    assert asked[0] <= len(once)
+    alone = {r.input_id: r[1:] for r in m.match(df.filter("input_id IN ('S0', 'S1', 'S2', 'S3')"), registry).collect()}
+    assert len(many) == 40 and all(v == alone[f"S{int(k[1:]) % 4}"] for k, v in many.items())
