@@ -109,3 +109,18 @@ def test_equal_questions_are_answered_once(spark, monkeypatch):
     assert asked[0] <= len(once)
     alone = {r.input_id: r[1:] for r in m.match(df.filter("input_id IN ('S0', 'S1', 'S2', 'S3')"), registry).collect()}
     assert len(many) == 40 and all(v == alone[f"S{int(k[1:]) % 4}"] for k, v in many.items())
+
+
+def test_unreadable_rows_are_found_by_one_job(spark, monkeypatch):
+    """Every row of which a cell raises is found with its own message, without dividing all rows again and again."""
+    from tallyweld.plans import unified
+
+    rows = spark.range(200).selectExpr("concat('s', id) AS input_id", "CASE WHEN id % 9 = 4 THEN cast(raise_error(concat('bad row ', id)) AS string) WHEN id % 2 = 0 THEN 'X' END AS Nom", "id AS n")
+    tried = []
+    between = unified._between
+    monkeypatch.setattr(unified, "_between", lambda *cell: tried.append(cell) or between(*cell))
+    found = unified.unreadable_ids(rows, "tag")
+    bad = {r.place: r.id for r in spark.range(200).filter("id % 9 = 4").select("id", F.xxhash64(F.concat(F.lit("s"), "id")).alias("place")).collect()}
+    assert found.keys() == bad.keys() and all(f"bad row {i}" in found[p] for p, i in bad.items())
+    assert len(tried) == len(bad)
+    assert unified.unreadable_ids(rows.filter("n % 9 <> 4"), "tag") == {}
