@@ -124,3 +124,14 @@ def test_unreadable_rows_are_found_by_one_job(spark, monkeypatch):
     assert found.keys() == bad.keys() and all(f"bad row {i}" in found[p] for p, i in bad.items())
     assert len(tried) == len(bad)
     assert unified.unreadable_ids(rows.filter("n % 9 <> 4"), "tag") == {}
+
+
+def test_rows_are_not_copied_for_candidates_without_places(spark):
+    """fetch() joins suppliers with places by token and department, never by company."""
+    registry = small_registry(spark, [(f"{i:09d}", f"HOT RING {i % 3}") for i in range(60)], lambda i: f"{75000 + i % 2 * 1000:05d}")
+    df = spark.createDataFrame([(f"s{i}", "HOT RING", "RING", "75001" if i % 3 else None, "PARIS", "1 RUE HAUTE") for i in range(90)], "input_id string, clean_name string, search_token string, clean_cp string, supplier_city string, supplier_address string")
+    got = m.fetch(df, registry, m.fts_candidates(df, registry))
+    assert "[siren" not in " ".join(x for x in plan(got).split("\n") if "Join" in x)
+    twenty = {f"{i:09d}" for i in range(20)}
+    places = {(f"{i:014d}", i % 2) for i in range(60) if f"{i:09d}" in twenty}
+    assert sorted((r.input_id, r.siret) for r in got.collect()) == sorted((f"s{i}", s) for i in range(90) for s, odd in places if not i % 3 or not odd)
