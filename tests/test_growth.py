@@ -6,7 +6,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from tallyweld.functions import similarity as sim, text as tx
-from tallyweld.operators import bm25, matching as m
+from tallyweld.operators import bm25, matching as m, nearby
 from tallyweld.operators.suppliers import ROW, cleaned
 from tallyweld.plans import registry as reg
 from tallyweld.queries import Corrector
@@ -126,6 +126,23 @@ def test_unreadable_rows_are_found_by_one_job(spark, monkeypatch):
     assert unified.unreadable_ids(rows.filter("n % 9 <> 4"), "tag") == {}
 
 
+def test_rows_are_not_copied_for_near_names_of_other_codes(spark):
+    """Rows meet the names of their own code, and near tells which count; under a crowded code rows bring their near names. The same rows either way."""
+    names = [f"HOT RING BRAND {i}" for i in range(12)]
+    registry = small_registry(spark, [(f"{i:09d}", names[i * 5 % 12]) for i in range(200)], lambda i: "75000" if i % 3 else f"{75001 + i % 10}")
+    named = materialize(registry.plain, "named")
+    crowds = materialize(nearby.crowded(named, ["clean_cp"], 6), "crowds")
+    legal = materialize(registry.legal, "legal")
+    df = spark.createDataFrame([(f"s{i}", names[i % 12], f"{75000 + i % 12}" if i % 7 else None) for i in range(120)], "input_id string, clean_name string, clean_cp string")
+    row = lambda x: (x.input_id, x.clean_cp, x.official_name, x.times, x.siret)
+    want = sorted(map(row, m.near_names(df, registry).collect()))
+    none = m.near_names(df, replace(registry, named=named, legal=legal))
+    some = m.near_names(df, replace(registry, named=named, legal=legal, plain=named.join(crowds, "clean_cp", "left_anti"), crowds=crowds))
+    assert [r.clean_cp for r in crowds.collect()] == ["75000"] and len(want) > 100
+    assert sorted(map(row, none.collect())) == want == sorted(map(row, some.collect()))
+    assert not [x for x in plan(none).split("\n") if "Join" in x and "[clean_bytes#" in x and "name#" not in x]
+
+
 def test_rows_are_not_copied_for_candidates_without_places(spark):
     """fetch() joins suppliers with places by token and department, never by company."""
     registry = small_registry(spark, [(f"{i:09d}", f"HOT RING {i % 3}") for i in range(60)], lambda i: f"{75000 + i % 2 * 1000:05d}")
