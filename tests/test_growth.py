@@ -152,3 +152,13 @@ def test_rows_are_not_copied_for_candidates_without_places(spark):
     twenty = {f"{i:09d}" for i in range(20)}
     places = {(f"{i:014d}", i % 2) for i in range(60) if f"{i:09d}" in twenty}
     assert sorted((r.input_id, r.siret) for r in got.collect()) == sorted((f"s{i}", s) for i in range(90) for s, odd in places if not i % 3 or not odd)
+
+
+def test_words_are_dealt_once(spark):
+    """A company's length is counted where its terms lie: no join, and one exchange."""
+    legal = materialize(spark.createDataFrame([("1", "HOT HOT RING"), ("2", "RING"), ("3", "")], "siren string, denominationUniteLegale string"), "legal")
+    stats = materialize(bm25.statistics(legal), "stats")
+    got = bm25.postings(legal, stats)
+    own = plan(got).split("Subqueries")[0]
+    assert "Join" not in own and own.count("Exchange hashpartitioning") == 1
+    assert sorted((r.siren, r.term, r.tf, r.dl) for r in got.collect()) == [("1", "hot", 2, 3), ("1", "ring", 1, 3), ("2", "ring", 1, 1)]
