@@ -162,3 +162,16 @@ def test_words_are_dealt_once(spark):
     own = plan(got).split("Subqueries")[0]
     assert "Join" not in own and own.count("Exchange hashpartitioning") == 1
     assert sorted((r.siren, r.term, r.tf, r.dl) for r in got.collect()) == [("1", "hot", 2, 3), ("1", "ring", 1, 3), ("2", "ring", 1, 1)]
+
+
+def test_a_supplier_file_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Both halves of the split read what was parsed, not the file."""
+    from tallyweld.plans import unified
+
+    registry = small_registry(spark, [(f"{i:09d}", f"ACIER {i} NORD") for i in range(5)], lambda i: "75001")
+    (tmp_path / "in.csv").write_text("Auxiliaire,Nom,Adresse 1,Postal,Ville,Pays\n" + "".join(f"S{i},acier {i} nord,1 rue haute,75001,Paris,{'FR' if i % 2 else 'DE'}\n" for i in range(6)))
+    seen = []
+    split = unified.preprocess
+    monkeypatch.setattr(unified, "preprocess", lambda df, **k: seen.append(plan(df)) or split(df, **k))
+    got = unified.run_unified(spark, str(tmp_path / "in.csv"), registry, str(tmp_path / "out"))
+    assert "csv" not in seen[0].lower().replace(str(tmp_path), "") and {r.input_id for r in got.collect()} == {"S1", "S3", "S5"}
