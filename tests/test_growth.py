@@ -154,6 +154,13 @@ def test_rows_are_not_copied_for_candidates_without_places(spark):
     assert sorted((r.input_id, r.siret) for r in got.collect()) == sorted((f"s{i}", s) for i in range(90) for s, odd in places if not i % 3 or not odd)
 
 
+def test_rows_are_cleaned_once_for_scores(spark):
+    registry = small_registry(spark, [(f"{i:09d}", f"ACIER {i} NORD") for i in range(30)], lambda i: f"{75001 + i % 3}")
+    df = spark.createDataFrame([(f"S{i}", f"acier {i % 4} nord sarl", "1 rue haute", "75001" if i % 3 else None, "Paris") for i in range(40)], "Auxiliaire string, Nom string, `Adresse 1` string, Postal string, Ville string")
+    got = m.scored_near(m.cleaned_rows(df), registry)
+    assert "regexp_replace" not in plan(got) and {r.input_id for r in got.collect()} == {f"S{i}" for i in range(40)}
+
+
 def test_words_are_dealt_once(spark):
     """A company's length is counted where its terms lie: no join, and one exchange."""
     legal = materialize(spark.createDataFrame([("1", "HOT HOT RING"), ("2", "RING"), ("3", "")], "siren string, denominationUniteLegale string"), "legal")
