@@ -161,6 +161,45 @@ def test_rows_are_cleaned_once_for_scores(spark):
     assert "regexp_replace" not in plan(got) and {r.input_id for r in got.collect()} == {f"S{i}" for i in range(40)}
 
 
+def test_names_are_cleaned_once_and_rows_without_a_code_are_one_question(spark, monkeypatch):
+    """The rows that each row gives by itself, with names, codes, cities and addresses missing and ids that repeat."""
+    registry = small_registry(spark, [(f"{i:09d}", f"ACIER {i % 9} NORD") for i in range(60)], lambda i: f"{75001 + i % 3}")
+    pick = lambda i, *xs: xs[i % len(xs)]
+    rows = [(f"S{i % 70}", pick(i, "acier 1 nord sarl", "Acier  1 Nord", "acier 2 nord", None, ""), pick(i, "1 rue haute", "", None), pick(i // 2, "75001", None), pick(i // 3, "Paris", "paris ", None, "Lyon")) for i in range(240)]
+    df = spark.createDataFrame(rows, "Auxiliaire string, Nom string, `Adresse 1` string, Postal string, Ville string")
+    each = materialize(m.cleaned_rows(df).withColumn(ROW, F.monotonically_increasing_id()), "each")
+    near = m.fetch_near(each, registry, m.fts_candidates(each, registry), ROW)
+    want = m.scored(near, ROW).select(ROW, "siret", "score", "rank").join(each.select(ROW, "input_id"), ROW).select("input_id", "siret", "score", "rank")
+    asked, made = [], m.near_wide
+    monkeypatch.setattr(m, "near_wide", lambda own, *a: asked.append(own.count()) or made(own, *a))
+    got = m.scored_suppliers(df, registry)
+    questions = each.filter("clean_cp IS NULL").select("clean_name", "search_token", "supplier_city", "supplier_address").distinct().count()
+    assert "regexp_replace" not in plan(got) and asked == [questions] and 3 * questions < sum(r[3] is None for r in rows)
+    found = sorted(map(tuple, got.collect()))
+    assert found == sorted(map(tuple, want.collect())) and len(found) > 1000
+    assert found == sorted(map(tuple, m.scored_near(m.cleaned_rows(df), registry).collect()))
+
+
+def test_names_under_codes_are_written_when_asked_for(spark, tmp_path):
+    at = str(tmp_path)
+    legal = spark.createDataFrame([(f"{i:09d}", f"ACIER {i}", "x", "A") for i in range(9)], "siren string, denominationUniteLegale string, activitePrincipaleUniteLegale string, etatAdministratifUniteLegale string")
+    places = spark.createDataFrame([(f"{i:014d}", f"{i:09d}", "75001", "PARIS", *[None] * 5, True, "A") for i in range(9)], PLACE)
+    legal.write.parquet(f"{at}/ul")
+    places.write.parquet(f"{at}/etab")
+    bare = reg.build(spark, f"{at}/ul", f"{at}/etab", f"{at}/reg", codes=False)
+    assert bare.plain is None and not (tmp_path / "reg" / "names_by_code").exists() and reg.load(spark, f"{at}/reg").named is None
+    for whole in (reg.add_codes(spark, f"{at}/reg"), reg.load(spark, f"{at}/reg")):
+        assert whole.plain.count() == 9 and whole.named.count() == 9 and reg.paths(spark, f"{at}/reg")["codes"]
+
+
+def test_tokens_of_a_batch_are_those_of_the_plan(spark):
+    words = ["", " ", "a b", "b  a", "a\u00a0b c", "\u2003x\tx y\x85z", "a\x1cb c", "é z", "\u180ea b"]
+    pairs = spark.createDataFrame([(a, b) for a in [*words, None] for b in [*words, None]], "a string, b string")
+    pairs = pairs.withColumns({"s": sim.token_set(F.col("a")), "t": sim.token_set(F.col("b"))})
+    got = pairs.select(sim.token_set_of(F.col("a"), F.col("b")).alias("x"), sim.token_set_all(F.col("s"), F.col("t")).alias("y")).collect()
+    assert all(r.x == r.y for r in got) and len({r.x for r in got}) > 3
+
+
 def test_words_are_dealt_once(spark):
     """A company's length is counted where its terms lie: no join, and one exchange."""
     legal = materialize(spark.createDataFrame([("1", "HOT HOT RING"), ("2", "RING"), ("3", "")], "siren string, denominationUniteLegale string"), "legal")
