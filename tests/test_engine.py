@@ -241,6 +241,35 @@ def test_unified_and_build(spark, tmp_path, registry, suppliers):
         run_unified(spark, "no such file", again, f"{tmp_path}/nothing", skip_preprocess=True)
 
 
+@pytest.mark.parametrize("step", ["matching", "search"])
+def test_a_failing_step_is_no_result(spark, tmp_path, registry, suppliers, monkeypatch, step):
+    """When one step fails, the other's results are kept, but nothing is combined and the run fails."""
+    from tallyweld.plans import unified
+
+    broken = {"matching": "run_matching", "search": "search"}[step]
+    whole = getattr(unified, broken)
+
+    def fail(rows, *a, **k):
+        raise OSError(f"no {step}")
+
+    suppliers.withColumn("Pays", F.when(F.col("Auxiliaire") == "low", "DE")).write.parquet(f"{tmp_path}/in.parquet")
+    run = lambda **k: run_unified(spark, f"{tmp_path}/in.parquet", registry[0], f"{tmp_path}/out", client=Finder(), **k)
+    monkeypatch.setattr(unified, broken, fail)
+    with pytest.raises(RuntimeError, match=f"{step} failed: OSError: no {step}"):
+        run()
+    assert not (tmp_path / "out/results_combined").exists() and (tmp_path / "out/search").exists() == (step == "matching")
+    assert StateStore(spark, f"{tmp_path}/out/state").read().isEmpty() == (step == "matching")
+    monkeypatch.setattr(unified, broken, whole)
+    assert {r.input_id for r in run().collect()} == {r.Auxiliaire for r in suppliers.select("Auxiliaire").collect()}
+    # a search that fails later leaves the earlier one's rows
+    if step == "search":
+        kept = sorted(spark.read.parquet(f"{tmp_path}/out/search").collect())
+        monkeypatch.setattr(unified, broken, lambda rows, *a, **k: whole(rows, *a, **k).withColumn("city", F.raise_error(F.lit("late")).cast("string")))
+        with pytest.raises(RuntimeError, match="search failed"):
+            run()
+        assert kept and sorted(spark.read.parquet(f"{tmp_path}/out/search").collect()) == kept
+
+
 def test_repeated_rows(spark, registry, suppliers, results):
     """Rows of one id, equal or not, are judged each on its own."""
     other = suppliers.withColumn("Code SIRET", F.lit("10000000700017"))
