@@ -306,6 +306,26 @@ def test_many_bad_rows(spark, tmp_path, registry, monkeypatch):
         assert (f"bad row {r.input_id[1:]}" in (r.error or "")) == (int(r.input_id[1:]) % 10 == 3) and (r.resolved_siret == "10000000100011") == (r.error is None)
 
 
+def test_messages_of_bad_rows_take_no_job_each(spark, monkeypatch):
+    """Each failing id has its own message, and the jobs don't grow with the ids."""
+    from tallyweld.plans import unified
+
+    rows = spark.range(0, 300, 1, 3).selectExpr("concat('s', id) AS Auxiliaire", "CASE WHEN id % 5 = 3 THEN cast(raise_error(concat('bad row ', id)) AS string) ELSE 'A' END AS Nom", "CASE WHEN id % 25 = 4 THEN cast(concat('x', id) AS int) ELSE 1 END AS n")
+    state = spark.createDataFrame([("s3",)], "input_id string")  # a finished one
+    part = pending(unified.by_given_id(rows)[0], state.withColumn("error", F.lit(None).cast("string")))
+    tried, between = [], unified._between
+    monkeypatch.setattr(unified, "_between", lambda *a: tried.append(a) or between(*a))
+    monkeypatch.setattr(unified, "_LEFT_OUT", 40)  # two rounds
+    got = unified.unreadable_ids(part, "told")
+    want = {i: f"bad row {i} " if i % 5 == 3 else f"'x{i}'" for i in range(300) if (i % 5 == 3 or i % 25 == 4) and i != 3}
+    places = {r.place: r.i for r in spark.createDataFrame([(i, f"s{i}") for i in want], "i int, input_id string").select("i", unified._place().alias("place")).collect()}
+    assert {places[k] for k in got} == set(want) and all(want[places[k]] in m for k, m in got.items())
+    assert len(tried) == 1  # one id's job is compared with what was told
+    # errors of another step than a projection are still found, id by id
+    grouped = part.groupBy("input_id").agg(F.max("Nom").alias("Nom"))
+    assert len(unified.unreadable_ids(grouped.filter("input_id <= 's13'"), "told")) in (0, 2)
+
+
 def test_interrupt_ends_own_jobs_only(spark, tmp_path, registry, suppliers, monkeypatch):
     from tallyweld.plans import unified
 
