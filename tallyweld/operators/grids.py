@@ -3,7 +3,8 @@
 Pairs grow with the square of the rows; distinct strings often don't. Where all combinations of a
 column's distinct strings are few beside the pairs, they are computed as a table, a row for each string
 of one side, which is sent to the tasks, and a pair reads its cell by two numbers. Elsewhere each pair
-is compared as it comes. Either way pairs are made by one join and none is kept.
+is compared as it comes. Either way pairs are made by one join and none is kept: rows of one side meet
+bundles of the other's, so a row's cells are sought once for a bundle, and pairs come from running through it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from ..sources.tables import materialize
 
 #: A table has at most so many cells, and a side of it at most so many strings; more are compared pair by pair.
 MOST_CELLS, MOST_STRINGS = 1 << 24, 50_000
+#: Rows of a key that travel together, and pairs of a task: tasks are dealt by what they make, not by what they read.
+BUNDLE, PAIRS_A_TASK = 1024, 8_000_000
 #: A table pays where there are so many pairs for each cell.
 PAIRS_A_CELL = 4
 
@@ -56,6 +59,15 @@ def _table(own: DataFrame, known: DataFrame, of: Compared, i: str, j: str, cells
     return materialize(rows.select(i, F.col("all.cell").alias(cells)), "cells")
 
 
+def _bundles(there: DataFrame, on: str) -> DataFrame:
+    """(on, bundle): the rows of a key as arrays of about BUNDLE rows at most."""
+    crowds = materialize(there.groupBy(on).agg(F.count("*").alias("__n")).filter(F.col("__n") > BUNDLE), "crowds")
+    many = F.coalesce(F.ceil(F.col("__n") / BUNDLE), F.lit(1))
+    dealt = there.withColumn("__row", F.xxhash64(F.monotonically_increasing_id())).join(crowds, on, "left").withColumn("__part", F.pmod("__row", many))
+    one = F.struct(*(c for c in there.columns if c != on))
+    return dealt.groupBy(on, "__part").agg(F.collect_list(one).alias("__bundle")).drop("__part")
+
+
 def meet(asked: DataFrame, there: DataFrame, on: str, made: dict[str, Compared], where: bool = False) -> DataFrame:
     """asked and there joined on a column, with the columns of `made` (or filtered by them) and without what these compare."""
     asked, there = materialize(asked, "asked"), materialize(there, "there")
@@ -73,16 +85,17 @@ def meet(asked: DataFrame, there: DataFrame, on: str, made: dict[str, Compared],
         own, known = _numbered(own, of.a, i), _numbered(known, of.b, j)
         tables[name] = _table(own, known, of, i, j, cells)
         same = lambda df, strings, c: df.join(F.broadcast(strings.withColumnRenamed(c, "__same")), F.col(c).eqNullSafe(F.col("__same"))).drop("__same")
-        left, right = same(left, own, of.a), same(right, known, of.b)
+        left, right = same(left, own, of.a), same(right, known.withColumn(j, F.col(j).cast("int")), of.b)
     compared = {c for name, of in made.items() if name not in tables for c in (of.a, of.b)}
     without = lambda df: df.select(*(c for c in df.columns if c in (on, *kept, *compared) or c.startswith("__")))
-    both = without(left).join(without(right), on)
+    tasks = max(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // PAIRS_A_TASK))
+    both = without(left).repartition(tasks, on).join(_bundles(without(right), on).repartition(tasks, on), on)
     for name, table in tables.items():
-        i, j, cells = numbers(name)
-        both = both.join(F.broadcast(table), i).withColumn(name, made[name].read(F.get(cells, F.col(j).cast("int")))).drop(i, j, cells)
-        both = both.filter(name).drop(name) if where else both
-    for name, of in made.items():
-        if name not in tables:
-            value = of.make(F.col(of.a), F.col(of.b))
-            both = both.filter(value) if where else both.withColumn(name, value)
-    return both.select(*kept, *([] if where else made))
+        both = both.join(F.broadcast(table), numbers(name)[0])
+    both = both.select(*(c for c in both.columns if c not in (on, "__bundle")), F.inline("__bundle"))
+    values = {name: of.read(F.get(numbers(name)[2], F.col(numbers(name)[1]))) if name in tables else of.make(F.col(of.a), F.col(of.b)) for name, of in made.items()}
+    if not where:
+        return both.withColumns(values).select(*kept, *made)
+    for name in sorted(values, key=lambda name: name not in tables):  # what is only looked up goes first
+        both = both.filter(values[name])
+    return both.select(*kept)

@@ -50,6 +50,27 @@ def test_strings_that_hardly_repeat_are_compared_as_they_come(spark, monkeypatch
     assert len(rows(grids.meet(asked, there, "cp", {"v": grids.Compared("a", "b", F.levenshtein)}))) == 900
 
 
+def test_rows_of_a_crowded_key_travel_in_bundles(spark, monkeypatch):
+    asked, there = sides(spark, NAMES)
+    monkeypatch.setattr(grids, "BUNDLE", 4)
+    bundles = grids._bundles(there, "cp").select(F.size("__bundle")).collect()
+    assert len(bundles) > 8 and sum(r[0] for r in bundles) == 60
+    got = grids.meet(asked, there, "cp", {"v": grids.Compared("a", "b", sim.lcs_all)})
+    assert rows(got) == rows(asked.join(there, "cp").select("input_id", "siret", sim.lcs_all(F.col("a"), F.col("b")).alias("v")))
+
+
+def test_pairs_are_made_without_a_registry(spark, monkeypatch):
+    """Queries over all pairs read two tables: no index and no other table is written for them."""
+    from tallyweld import queries as q
+
+    monkeypatch.setattr(q, "_built", {})
+    monkeypatch.setattr(q.reg, "build", lambda *a, **k: pytest.fail("a registry"))
+    got = rows(q.lcs_ratio(spark, "/root/testdata/sf0.001"))
+    monkeypatch.undo()
+    q._registry(spark, "/root/testdata/sf0.001")
+    assert got and got == rows(q.lcs_ratio(spark, "/root/testdata/sf0.001"))
+
+
 def test_rounded_ratio(spark):
     both = spark.range(0, 700).selectExpr("cast(id as int) AS t").join(spark.range(0, 351).selectExpr("cast(id as int) AS c"), F.expr("2 * c <= t"))
     got = both.select(sim.rounded_ratio(F.col("c"), F.col("t")).alias("x"), F.round(F.when(F.col("t") == 0, 100.0).otherwise(200.0 * F.col("c") / F.col("t")), 6).alias("y"))
